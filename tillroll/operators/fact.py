@@ -119,6 +119,20 @@ def order_grain(lines: DataFrame, orders: DataFrame) -> DataFrame:
     return rolled.join(orders, "order_id", "left")
 
 
+def customer_day_grain(orders: DataFrame) -> DataFrame:
+    """One row per customer and day, from the roll-up by order.
+
+    The busiest customer has at most one row per calendar day here, so joins
+    and windows by customer need no further care.
+    """
+    return orders.groupBy("customer_id", "order_date").agg(
+        F.count(F.lit(1)).alias("order_count"),
+        F.sum("line_count").alias("line_count"),
+        F.sum("quantity").alias("quantity"),
+        F.sum("sales").alias("sales"),
+    )
+
+
 def product_grain(lines: DataFrame, products: DataFrame) -> DataFrame:
     """One row per sold product with its line count, quantity and sales."""
     rolled = lines.groupBy("product_id").agg(

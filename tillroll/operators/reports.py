@@ -431,12 +431,10 @@ def median_order(df: DataFrame, by: str = "root_category", value: str = "final_p
 
 
 def top_orders(df: DataFrame, n: int = 20) -> DataFrame:
-    """The largest orders with customer, date and type."""
+    """The largest orders with customer, date and, where known, customer type."""
+    shown = [c for c in ("customer_id", "order_date", "customer_type") if c in df.columns]
     by_order = df.groupBy("order_id").agg(
-        grain.sales(df).alias("order_total"),
-        F.min("customer_id").alias("customer_id"),
-        F.min("order_date").alias("order_date"),
-        F.min("customer_type").alias("customer_type"),
+        grain.sales(df).alias("order_total"), *[F.min(c).alias(c) for c in shown]
     )
     return top(by_order, n, "order_total", "order_id")
 

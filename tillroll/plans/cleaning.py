@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tillroll.functions.columns import rounded, safe_price, safe_rate
+from tillroll.functions.palette import PALETTE
 from tillroll.operators import cleaning, terms
 from tillroll.operators.fact import product_grain
-from tillroll.plans.common import fact, products_view, customer_segments, orders_view, show
-from tillroll.plans.common import SEGMENT_SQL
+from tillroll.plans.common import SEGMENT_SQL, customer_segments, orders_view, show
 from tillroll.plans.registry import q, query
-from tillroll.functions.columns import rounded, safe_price, safe_rate
-from tillroll.functions.palette import PALETTE
 from tillroll.sources.star import load_star
 
 KEY = F.col("product_id")

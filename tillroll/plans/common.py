@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tillroll.functions import grain
 from tillroll.functions.columns import rounded
 from tillroll.operators.cleaning import label_segments
-from tillroll.operators.fact import combine, order_grain, product_grain
+from tillroll.operators.fact import combine, customer_day_grain, order_grain, product_grain
 from tillroll.sources.star import Star
 
 AS_OF = "2002-01-01"
@@ -37,8 +37,12 @@ SPEND_LOW, SPEND_HIGH = 1.5e6, 2.5e6
 QTY_LOW, QTY_HIGH = 650, 850
 
 
+def days_view(star: Star) -> DataFrame:
+    return customer_day_grain(orders_view(star))
+
+
 def customer_segments(orders: DataFrame) -> DataFrame:
-    """``(customer_id, cluster)`` by total sales, from the order roll-up."""
+    """``(customer_id, cluster)`` by total sales, from an order or day roll-up."""
     spend = orders.groupBy("customer_id").agg(grain.sales(orders).alias("_spend"))
     return spend.select(
         "customer_id", rule_cluster(F.col("_spend"), SPEND_LOW, SPEND_HIGH).alias("cluster")
@@ -51,6 +55,12 @@ def customers_with_segment(star: Star, orders: DataFrame) -> DataFrame:
     return label_segments(customer_segments(orders).join(profile, "customer_id", "left"))
 
 
+def tagged_days(star: Star) -> DataFrame:
+    """The customer-day roll-up with profile, cluster and type of the customer."""
+    days = days_view(star)
+    return days.join(customers_with_segment(star, days), "customer_id", "left")
+
+
 SEGMENT_SQL = f"""
 s_spend AS (
     SELECT customer_id, sum(line_total) AS spend FROM s_order_lines GROUP BY customer_id),
