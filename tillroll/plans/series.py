@@ -1 +1,671 @@
-"""To be filled."""
+"""Monthly series, forecasts and their scores."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tillroll.functions.columns import rounded
+from tillroll.operators import forecast as fc
+from tillroll.operators import reports
+from tillroll.operators import series as ts
+from tillroll.plans.common import fact, show
+from tillroll.plans.registry import q, query
+from tillroll.session import pinned
+from tillroll.sources.star import load_star
+
+CUT = "2001-08-01"
+
+# The fixture's calendar: the general rules plus promotions in its own years.
+RULES = (
+    *(r for r in ts.CALENDAR if not r.years),
+    ts.CalendarRule((6, 7, 8), 1.20, (2000,)),
+    ts.CalendarRule((11, 12), 1.30, (2000,)),
+)
+
+SERIES_SQL = f"""
+    m AS (
+        SELECT root_category AS series_key, CAST(date_trunc('month', order_date) AS DATE) AS month,
+            sum(line_total) AS amount
+        FROM s_fact WHERE order_date < DATE '{CUT}' GROUP BY ALL),
+    spine AS (
+        SELECT series_key, CAST(unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS DATE) AS month
+        FROM (SELECT series_key, min(month) AS lo, max(month) AS hi FROM m GROUP BY 1)),
+    gapless AS (
+        SELECT series_key, month, coalesce(amount, 0) AS base,
+            row_number() OVER (PARTITION BY series_key ORDER BY month) AS i,
+            month(month) AS mm, year(month) AS yy
+        FROM spine LEFT JOIN m USING (series_key, month)),
+    factors AS (
+        SELECT *, 1 + 0.025e0 * i AS trend_factor,
+            (CASE WHEN mm IN (4, 5, 6) THEN 1.05e0 WHEN mm IN (7, 8, 9) THEN 1.1e0
+                WHEN mm IN (10, 11, 12) THEN 1.2e0 ELSE 1e0 END)
+            * (CASE WHEN mm >= 11 THEN 1.35e0 ELSE 1e0 END)
+            * (CASE WHEN mm IN (6, 7, 8) THEN 1.2e0 ELSE 1e0 END) AS seasonal_factor,
+            (CASE WHEN yy = 2000 AND mm IN (6, 7, 8) THEN 1.2e0 ELSE 1e0 END)
+            * (CASE WHEN yy = 2000 AND mm >= 11 THEN 1.3e0 ELSE 1e0 END) AS promo_factor
+        FROM gapless),
+    series AS (
+        SELECT series_key, month, i, base * trend_factor * seasonal_factor * promo_factor AS y
+        FROM factors),
+    parted AS (
+        SELECT *, CASE WHEN n < 24 THEN 'short' WHEN back <= 6 THEN 'test' WHEN back <= 24 THEN 'train'
+            ELSE 'skip' END AS part, 25 - back AS t
+        FROM (SELECT *, row_number() OVER (PARTITION BY series_key ORDER BY month DESC) AS back,
+            count(*) OVER (PARTITION BY series_key) AS n FROM series)),
+    train AS (SELECT series_key, month, y, t FROM parted WHERE part = 'train'),
+    test AS (SELECT series_key, month, y, t FROM parted WHERE part = 'test'),
+    ends AS (
+        SELECT series_key, max(month) AS last_month, count(*) AS n, avg(y) AS mean_y,
+            arg_max(y, month) AS last_y, arg_min(y, month) AS first_y
+        FROM train GROUP BY 1),
+    ahead AS (
+        SELECT e.*, CAST(h AS INTEGER) AS h, CAST(last_month + h * INTERVAL 1 MONTH AS DATE) AS month
+        FROM ends e, range(1, 7) r(h))"""
+
+
+def raw_series(spark, sf_dir):
+    """Monthly sales per root category, up to the last whole month."""
+    lines = fact(load_star(spark, sf_dir), "root_category", "order_date", "line_total")
+    monthly = reports.monthly_amount(
+        lines.filter(F.col("order_date") < F.to_date(F.lit(CUT))), ["root_category"]
+    )
+    return monthly.select(F.col("root_category").alias("series_key"), "month", F.col("amount").alias("y"))
+
+
+def panel(spark, sf_dir):
+    adjusted = ts.apply_calendar(ts.complete_months(raw_series(spark, sf_dir)), RULES)
+    return adjusted.select("series_key", "month", "y")
+
+
+def parted(spark, sf_dir):
+    return ts.split(panel(spark, sf_dir))
+
+
+def pinned_parts(spark, sf_dir):
+    """The split panel, kept: several steps read it and it is tiny, the lines are not."""
+    return pinned(parted(spark, sf_dir))
+
+
+def train(spark, sf_dir):
+    return ts.part(parted(spark, sf_dir), "train")
+
+
+@query(
+    "month_spine",
+    f"""{SERIES_SQL} SELECT series_key, month, {q('base')} AS y FROM gapless""",
+)
+def month_spine(spark, sf_dir):
+    return show(ts.complete_months(raw_series(spark, sf_dir)))
+
+
+@query(
+    "month_spine_gaps",
+    """
+    m AS (
+        SELECT brand AS series_key, CAST(date_trunc('month', order_date) AS DATE) AS month,
+            sum(quantity) AS y
+        FROM s_fact WHERE quantity >= 49 GROUP BY ALL),
+    spine AS (
+        SELECT series_key, CAST(unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS DATE) AS month
+        FROM (SELECT series_key, min(month) AS lo, max(month) AS hi FROM m GROUP BY 1))
+    SELECT series_key, month, coalesce(y, 0) AS y FROM spine LEFT JOIN m USING (series_key, month)
+    """,
+)
+def month_spine_gaps(spark, sf_dir):
+    lines = fact(load_star(spark, sf_dir), "brand", "order_date", "quantity")
+    monthly = reports.monthly_qty(lines.filter(F.col("quantity") >= 49), ["brand"])
+    return ts.complete_months(
+        monthly.select(F.col("brand").alias("series_key"), "month", F.col("qty").alias("y"))
+    )
+
+
+@query(
+    "calendar_factors",
+    f"""{SERIES_SQL}
+    SELECT series_key, month, CAST(i AS INTEGER) AS month_index, {q('trend_factor')} AS trend_factor,
+        {q('seasonal_factor')} AS seasonal_factor, {q('promo_factor')} AS promo_factor,
+        {q('base * trend_factor * seasonal_factor * promo_factor', 2)} AS y
+    FROM factors""",
+)
+def calendar_factors(spark, sf_dir):
+    out = ts.apply_calendar(ts.complete_months(raw_series(spark, sf_dir)), RULES)
+    return show(out.withColumn("y", rounded("y", 2)))
+
+
+@query(
+    "win_lags",
+    f"""{SERIES_SQL}
+    SELECT series_key, month, {q('y', 2)} AS y,
+        {', '.join(f"{q(f'lag(y, {k}) OVER (PARTITION BY series_key ORDER BY month)', 2)} AS lag_{k}"
+                   for k in (1, 3, 6, 12))}
+    FROM series""",
+)
+def win_lags(spark, sf_dir):
+    return show(ts.lags(panel(spark, sf_dir)), 2)
+
+
+def _ma_sql(k, end="CURRENT ROW", start=None):
+    frame = f"(PARTITION BY series_key ORDER BY month ROWS BETWEEN {start or k - 1} PRECEDING AND {end})"
+    return f"CASE WHEN count(y) OVER {frame} = {k} THEN avg(y) OVER {frame} END"
+
+
+@query(
+    "win_moving_mean",
+    f"""{SERIES_SQL}
+    SELECT series_key, month, {q(_ma_sql(3), 2)} AS ma_3, {q(_ma_sql(6), 2)} AS ma_6 FROM series""",
+)
+def win_moving_mean(spark, sf_dir):
+    return show(ts.moving_means(panel(spark, sf_dir)).drop("y"), 2)
+
+
+@query(
+    "win_row_index",
+    f"""{SERIES_SQL} SELECT series_key, month, CAST(i AS INTEGER) AS month_index FROM series""",
+)
+def win_row_index(spark, sf_dir):
+    return ts.row_index(panel(spark, sf_dir)).drop("y")
+
+
+@query(
+    "append_future_rows",
+    f"""{SERIES_SQL}
+    SELECT series_key, month, {q('y', 2)} AS y FROM series
+    UNION ALL
+    SELECT series_key, CAST(max(month) + INTERVAL 1 MONTH AS DATE), NULL FROM series GROUP BY 1""",
+)
+def append_future_rows(spark, sf_dir):
+    return show(ts.append_future(panel(spark, sf_dir)), 2)
+
+
+@query(
+    "ts_split",
+    f"""{SERIES_SQL}
+    SELECT series_key, month, {q('y', 2)} AS y, part, CAST(t AS INTEGER) AS t FROM parted""",
+)
+def ts_split(spark, sf_dir):
+    return show(parted(spark, sf_dir), 2)
+
+
+def _features_sql(leak_free):
+    end, extra = ("1 PRECEDING", 1) if leak_free else ("CURRENT ROW", 0)
+    lag = "lag(y, {k}) OVER (PARTITION BY series_key ORDER BY month)"
+    return f"""{SERIES_SQL},
+    f AS (
+        SELECT series_key, month, y, CAST(year(month) AS INTEGER) AS year,
+            CAST(month(month) AS INTEGER) AS month_num, CAST(quarter(month) AS INTEGER) AS quarter_num,
+            CAST(i AS INTEGER) AS trend,
+            {', '.join(f"{q(lag.format(k=k), 2)} AS lag_{k}" for k in (1, 3, 6, 12))},
+            {', '.join(f"{q(_ma_sql(k, end, k - 1 + extra), 2)} AS ma_{k}" for k in (3, 6))}
+        FROM series)
+    SELECT * REPLACE ({q('y', 2)} AS y) FROM f WHERE lag_12 IS NOT NULL AND ma_6 IS NOT NULL"""
+
+
+@query("ts_features", _features_sql(True))
+def ts_features(spark, sf_dir):
+    return show(ts.ts_features(panel(spark, sf_dir), leak_free=True), 2)
+
+
+@query("ts_features_parity", _features_sql(False))
+def ts_features_parity(spark, sf_dir):
+    return show(ts.ts_features(panel(spark, sf_dir), leak_free=False), 2)
+
+
+# --- closed-form models ---------------------------------------------------------
+
+CLOSED_SQL = f"""{SERIES_SQL},
+    season AS (
+        SELECT series_key, t % 12 AS s, avg(y) AS ys, avg(t) AS ts FROM train GROUP BY 1, 2),
+    slope AS (
+        SELECT train.series_key, sum((t - ts) * (y - ys)) / sum((t - ts) * (t - ts)) AS b
+        FROM train JOIN season ON season.series_key = train.series_key AND s = train.t % 12
+        GROUP BY ALL)"""
+
+_MODEL_SQL = {
+    "Mean": "SELECT series_key, month, h, mean_y AS yhat FROM ahead",
+    "Naive": "SELECT series_key, month, h, last_y AS yhat FROM ahead",
+    "Drift": """SELECT series_key, month, h, last_y + h * (last_y - first_y) / (n - 1) AS yhat
+        FROM ahead""",
+    "Seasonal Naive": """SELECT a.series_key, a.month, h, y AS yhat FROM ahead a JOIN train t
+        ON t.series_key = a.series_key AND t.month = CAST(a.month - INTERVAL 12 MONTH AS DATE)""",
+    "MA(3)": """SELECT a.series_key, a.month, h, avg(y) AS yhat FROM ahead a JOIN train t
+        ON t.series_key = a.series_key AND t > 15 GROUP BY ALL""",
+    "MA(6)": """SELECT a.series_key, a.month, h, avg(y) AS yhat FROM ahead a JOIN train t
+        ON t.series_key = a.series_key AND t > 12 GROUP BY ALL""",
+    "TSLM": """SELECT a.series_key, a.month, h, ys + b * (18 + h - ts) AS yhat
+        FROM ahead a JOIN slope USING (series_key)
+        JOIN season ON season.series_key = a.series_key AND s = (18 + h) % 12""",
+}
+
+
+def _forecasts_sql(models):
+    return " UNION ALL ".join(
+        f"SELECT series_key, '{m}' AS model, month, h, yhat FROM ({_MODEL_SQL[m]})" for m in models
+    )
+
+
+def _closed_query(name, models):
+    @query(
+        name,
+        f"""{CLOSED_SQL}
+        SELECT series_key, model, month, h, {q('yhat', 2)} AS yhat
+        FROM ({_forecasts_sql(models)})""",
+    )
+    def run(spark, sf_dir):
+        return show(fc.forecast(train(spark, sf_dir), models), 2)
+
+    return run
+
+
+_closed_query("fc_mean", ("Mean",))
+_closed_query("fc_naive", ("Naive",))
+_closed_query("fc_drift", ("Drift",))
+_closed_query("fc_seasonal_naive", ("Seasonal Naive",))
+_closed_query("fc_ma3_ma6", ("MA(3)", "MA(6)"))
+_closed_query("fc_tslm", ("TSLM",))
+_closed_query("union_models", fc.CLOSED)
+
+
+# --- smoothing and autoregression -------------------------------------------------
+
+_GRID_SQL = """
+    levels AS (SELECT unnest([0.1e0, 0.2e0, 0.3e0, 0.4e0, 0.5e0, 0.6e0, 0.7e0, 0.8e0, 0.9e0]) AS a),
+    small AS (SELECT unnest([0.05e0, 0.1e0, 0.2e0]) AS v),
+    grid AS (
+        SELECT 'simple' AS kind, a, 0e0 AS b, 0e0 AS g, 3 AS k, 1 AS rank FROM levels
+        UNION ALL SELECT 'trend', a, v, 0e0, 5, 2 FROM levels, small
+        UNION ALL SELECT 'season', a, x.v, z.v, 17, 3 FROM levels, small x, small z)"""
+
+
+@query(
+    "fc_ets",
+    f"""{SERIES_SQL}, {_GRID_SQL},
+    hist AS (SELECT series_key, max(month) AS last_month, list(y ORDER BY month) AS ys, count(*) AS n
+        FROM train GROUP BY 1),
+    init AS (
+        SELECT *, (ys[n] - ys[1]) / (n - 1) AS slope0,
+            list_avg(list_transform(range(13, n + 1), lambda i: (ys[i] - ys[i - 12]) / 12)) AS yearly,
+            list_avg(ys[1:12]) AS mean12
+        FROM hist),
+    started AS (
+        SELECT series_key, last_month, ys, n, kind, a, b AS wb, g, k, rank, CAST(0 AS BIGINT) AS t,
+            CASE kind WHEN 'season' THEN mean12 - yearly * 6.5 WHEN 'trend' THEN ys[1] - slope0
+                ELSE ys[1] END AS l,
+            CASE kind WHEN 'season' THEN yearly WHEN 'trend' THEN slope0 ELSE 0e0 END AS b,
+            CASE kind WHEN 'season' THEN list_transform(range(1, 13),
+                lambda i: ys[i] - (mean12 - yearly * 6.5) - yearly * i)
+                ELSE list_transform(range(1, 13), lambda i: 0e0) END AS s,
+            0e0 AS sse
+        FROM init, grid),
+    walk AS (
+        WITH RECURSIVE w AS (
+            SELECT * FROM started
+            UNION ALL
+            SELECT series_key, last_month, ys, n, kind, a, wb, g, k, rank, t + 1,
+                l + b + a * e, b + wb * e, list_append(s[2:12], s[1] + g * e), sse + e * e
+            FROM (SELECT *, ys[t + 1] - (l + b + s[1]) AS e FROM w WHERE t < n))
+        SELECT * FROM w WHERE t = n),
+    best AS (
+        SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY series_key
+            ORDER BY n * ln(greatest(sse / n, 1e-12)) + 2 * k, rank, a, wb, g) AS place FROM walk)
+        WHERE place = 1)
+    SELECT series_key, 'ETS' AS model, CAST(last_month + h * INTERVAL 1 MONTH AS DATE) AS month,
+        CAST(h AS INTEGER) AS h, {q('l + h * b + s[h]', 2)} AS yhat
+    FROM best, range(1, 7) r(h)""",
+)
+def fc_ets(spark, sf_dir):
+    return show(fc.forecast(train(spark, sf_dir), ("ETS",)), 2)
+
+
+@query(
+    "fc_ar",
+    f"""{SERIES_SQL},
+    x AS (
+        SELECT series_key, 0 AS d, t, y AS x FROM train
+        UNION ALL SELECT a.series_key, 1, a.t, a.y - p.y FROM train a JOIN train p
+            ON p.series_key = a.series_key AND p.t = a.t - 1
+        UNION ALL SELECT a.series_key, 12, a.t, a.y - p.y FROM train a JOIN train p
+            ON p.series_key = a.series_key AND p.t = a.t - 12),
+    sums AS (
+        SELECT v.series_key, v.d, count(*) AS m, regr_sxx(v.x, u.x) AS sxx, regr_syy(v.x, u.x) AS syy,
+            regr_sxy(v.x, u.x) AS sxy, avg(u.x) AS mb, avg(v.x) AS ma
+        FROM x v JOIN x u ON u.series_key = v.series_key AND u.d = v.d AND u.t = v.t - 1
+        GROUP BY 1, 2 HAVING count(*) >= 4),
+    cand AS (
+        SELECT series_key, d, 0e0 AS phi, ma AS c, ln(greatest(syy / m, 1e-12)) + 4e0 / m AS aic
+        FROM sums
+        UNION ALL
+        SELECT series_key, d, sxy / sxx, ma - sxy / sxx * mb,
+            ln(greatest((syy - sxy / sxx * sxy) / m, 1e-12)) + 6e0 / m
+        FROM sums WHERE abs(sxy / sxx) < 1),
+    best AS (
+        SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY series_key ORDER BY aic, d, phi) AS n
+            FROM cand) WHERE n = 1),
+    steps AS (
+        SELECT b.series_key, b.d, h, x.x * pow(phi, h) + c * (1 - pow(phi, h)) / (1 - phi) AS xh
+        FROM best b JOIN x ON x.series_key = b.series_key AND x.d = b.d AND x.t = 18,
+            range(1, 7) r(h))
+    SELECT s.series_key, 'AR' AS model, a.month, a.h,
+        {q('''CASE s.d WHEN 0 THEN xh
+            WHEN 1 THEN last_y + sum(xh) OVER (PARTITION BY s.series_key ORDER BY s.h)
+            ELSE p.y + xh END''', 2)} AS yhat
+    FROM steps s JOIN ahead a ON a.series_key = s.series_key AND a.h = s.h
+    JOIN train p ON p.series_key = s.series_key AND p.t = 6 + s.h""",
+)
+def fc_ar(spark, sf_dir):
+    return show(fc.forecast(train(spark, sf_dir), ("AR",)), 2)
+
+
+@query("fc_harmonic")
+def fc_harmonic(spark, sf_dir):
+    return show(fc.forecast_harmonic(train(spark, sf_dir)), 2)
+
+
+# --- scores ---------------------------------------------------------------------
+
+SCORES_SQL = f"""{CLOSED_SQL},
+    forecasts AS ({_forecasts_sql(fc.CLOSED)}),
+    scale AS (
+        SELECT a.series_key, avg(abs(a.y - p.y)) AS scale FROM train a JOIN train p
+            ON p.series_key = a.series_key AND p.t = a.t - 12 GROUP BY 1),
+    scores AS (
+        SELECT f.series_key, model, avg(abs(y - yhat)) AS mae, sqrt(avg((y - yhat) ^ 2)) AS rmse,
+            avg(CASE WHEN y <> 0 THEN 100 * abs((y - yhat) / y) END) AS mape,
+            count(CASE WHEN y = 0 THEN 1 END) AS zero_months
+        FROM forecasts f JOIN test ON test.series_key = f.series_key AND test.month = f.month
+        GROUP BY 1, 2)"""
+
+
+def _scored(everything):
+    learn, hold = ts.part(everything, "train"), ts.part(everything, "test")
+    return fc.accuracy(fc.forecast(learn), hold, learn)
+
+
+@query(
+    "fc_accuracy",
+    f"""{SCORES_SQL}
+    SELECT series_key, model, {q('mae', 2)} AS mae, {q('rmse', 2)} AS rmse, {q('mape', 4)} AS mape,
+        zero_months, {q('mae / scale', 4)} AS mase
+    FROM scores JOIN scale USING (series_key)""",
+)
+def fc_accuracy(spark, sf_dir):
+    scores = _scored(pinned_parts(spark, sf_dir))
+    return scores.select(
+        "series_key", "model", rounded("mae", 2).alias("mae"), rounded("rmse", 2).alias("rmse"),
+        rounded("mape").alias("mape"), "zero_months", rounded("mase").alias("mase"),
+    )
+
+
+BEST_SQL = f"""{SCORES_SQL},
+    best AS (
+        SELECT series_key, model, rmse FROM (
+            SELECT *, row_number() OVER (PARTITION BY series_key ORDER BY rmse, model) AS n FROM scores)
+        WHERE n = 1)"""
+
+
+@query("fc_best", f"{BEST_SQL} SELECT series_key, model, {q('rmse', 2)} AS rmse FROM best")
+def fc_best(spark, sf_dir):
+    return show(fc.best_model(_scored(pinned_parts(spark, sf_dir))), 2)
+
+
+@query(
+    "fc_compare",
+    f"""{SCORES_SQL}
+    SELECT series_key, month, 'actual' AS source, {q('y', 2)} AS value FROM test
+    UNION ALL
+    SELECT series_key, month, model, {q('yhat', 2)} FROM forecasts""",
+)
+def fc_compare(spark, sf_dir):
+    everything = pinned_parts(spark, sf_dir)
+    forecasts = fc.forecast(ts.part(everything, "train"))
+    return show(fc.compare(forecasts, ts.part(everything, "test")), 2)
+
+
+@query(
+    "fc_compare_best",
+    f"""{BEST_SQL}
+    SELECT series_key, month, 'actual' AS source, {q('y', 2)} AS value FROM test
+    UNION ALL
+    SELECT f.series_key, month, model, {q('yhat', 2)}
+    FROM forecasts f JOIN best USING (series_key, model)""",
+)
+def fc_compare_best(spark, sf_dir):
+    everything = pinned_parts(spark, sf_dir)
+    learn, hold = ts.part(everything, "train"), ts.part(everything, "test")
+    forecasts = fc.forecast(learn)
+    best = fc.best_model(fc.accuracy(forecasts, hold, learn))
+    chosen = forecasts.join(best.select("series_key", "model"), ["series_key", "model"])
+    return show(fc.compare(chosen, hold), 2)
+
+
+# The full history plays the training set, whatever its length.
+FULL_SQL = f"""{BEST_SQL},
+    full_t AS (SELECT series_key, month, y, i AS t FROM series),
+    full_end AS (
+        SELECT series_key, max(month) AS last_month, count(*) AS n, avg(y) AS mean_y,
+            arg_max(y, month) AS last_y, arg_min(y, month) AS first_y FROM full_t GROUP BY 1),
+    full_ahead AS (
+        SELECT e.*, h, CAST(last_month + h * INTERVAL 1 MONTH AS DATE) AS month
+        FROM full_end e, range(1, 7) r(h)),
+    full_season AS (
+        SELECT series_key, t % 12 AS s, avg(y) AS ys, avg(t) AS ts FROM full_t GROUP BY 1, 2),
+    full_slope AS (
+        SELECT f.series_key, sum((t - ts) * (y - ys)) / sum((t - ts) * (t - ts)) AS b
+        FROM full_t f JOIN full_season s ON s.series_key = f.series_key AND s.s = f.t % 12
+        GROUP BY 1),
+    full_ma AS (
+        SELECT f.series_key, avg(y) FILTER (t > n - 3) AS ma3, avg(y) FILTER (t > n - 6) AS ma6
+        FROM full_t f JOIN full_end USING (series_key) GROUP BY 1)"""
+
+
+@query(
+    "fc_future",
+    f"""{FULL_SQL}
+    SELECT a.series_key, model, a.month, {q('''CASE model WHEN 'Mean' THEN mean_y WHEN 'Naive' THEN last_y
+            WHEN 'Drift' THEN last_y + h * (last_y - first_y) / (n - 1) WHEN 'Seasonal Naive' THEN p.y
+            WHEN 'MA(3)' THEN ma3 WHEN 'MA(6)' THEN ma6 ELSE ys + b * (n + h - ts) END''', 2)} AS yhat
+    FROM full_ahead a JOIN best ON best.series_key = a.series_key
+    JOIN full_t p ON p.series_key = a.series_key AND p.t = n + h - 12
+    JOIN full_season s ON s.series_key = a.series_key AND s.s = (n + h) % 12
+    JOIN full_slope l ON l.series_key = a.series_key
+    JOIN full_ma m ON m.series_key = a.series_key""",
+)
+def fc_future(spark, sf_dir):
+    everything = pinned_parts(spark, sf_dir)
+    best = fc.best_model(_scored(everything))
+    return show(fc.future(everything.select("series_key", "month", "y"), best), 2)
+
+
+FITTED_SQL = f"""{CLOSED_SQL},
+    fitted AS (
+        SELECT t.series_key, t.month, t.t, t.y, mean_y AS f1, lag(y) OVER w AS f2,
+            lag(y) OVER w + (last_y - first_y) / (n - 1) AS f3, lag(y, 12) OVER w AS f4,
+            ys + b * (t.t - ts) AS f5
+        FROM train t JOIN ends USING (series_key) JOIN slope USING (series_key)
+        JOIN season ON season.series_key = t.series_key AND s = t.t % 12
+        WINDOW w AS (PARTITION BY t.series_key ORDER BY t.month)),
+    fits AS (
+        SELECT series_key, 'Mean' AS model, month, y, f1 AS fitted FROM fitted
+        UNION ALL SELECT series_key, 'Naive', month, y, f2 FROM fitted
+        UNION ALL SELECT series_key, 'Drift', month, y, f3 FROM fitted
+        UNION ALL SELECT series_key, 'Seasonal Naive', month, y, f4 FROM fitted
+        UNION ALL SELECT series_key, 'MA(3)', month, y, y FROM fitted
+        UNION ALL SELECT series_key, 'MA(6)', month, y, y FROM fitted
+        UNION ALL SELECT series_key, 'TSLM', month, y, f5 FROM fitted)"""
+
+
+@query(
+    "fc_residuals",
+    f"""{FITTED_SQL}
+    SELECT series_key, model, month, {q('y', 2)} AS y, {q('fitted', 2)} AS fitted,
+        CASE WHEN model NOT LIKE 'MA%' THEN {q('y - fitted', 2)} END AS residual
+    FROM fits""",
+)
+def fc_residuals(spark, sf_dir):
+    return show(fc.residuals(train(spark, sf_dir)), 2)
+
+
+@query(
+    "fc_interval",
+    f"""{FITTED_SQL},
+    forecasts AS ({_forecasts_sql(fc.CLOSED)}),
+    scores AS (
+        SELECT f.series_key, model, sqrt(avg((y - yhat) ^ 2)) AS rmse
+        FROM forecasts f JOIN test ON test.series_key = f.series_key AND test.month = f.month
+        GROUP BY 1, 2),
+    best AS (
+        SELECT series_key, model FROM (SELECT *, row_number() OVER (
+            PARTITION BY series_key ORDER BY rmse, model) AS n FROM scores) WHERE n = 1),
+    spread AS (
+        SELECT series_key, model, sum((y - fitted) ^ 2) AS sse,
+            quantile_cont(y - fitted, 0.1) AS q10, quantile_cont(y - fitted, 0.9) AS q90
+        FROM fits GROUP BY 1, 2),
+    half AS (
+        SELECT f.*, q10, q90, 1.2815515655446004e0 * CASE model
+            WHEN 'Mean' THEN sqrt(sse / 17) * sqrt(1 + 1e0 / 18)
+            WHEN 'Naive' THEN sqrt(sse / 17) * sqrt(h)
+            WHEN 'Drift' THEN sqrt(sse / 16) * sqrt(h * (1 + h / 17e0))
+            WHEN 'Seasonal Naive' THEN sqrt(sse / 6) * sqrt(floor((h - 1) / 12) + 1) END AS w
+        FROM forecasts f JOIN best USING (series_key, model) JOIN spread USING (series_key, model))
+    SELECT half.series_key, model, half.month, {q('yhat', 2)} AS yhat,
+        {q("yhat + CASE WHEN model = 'TSLM' THEN q10 ELSE -w END", 2)} AS lo80,
+        {q("yhat + CASE WHEN model = 'TSLM' THEN q90 ELSE w END", 2)} AS hi80,
+        {q('y', 2)} AS actual
+    FROM half JOIN test ON test.series_key = half.series_key AND test.month = half.month""",
+)
+def fc_interval(spark, sf_dir):
+    everything = pinned_parts(spark, sf_dir)
+    learn, hold = ts.part(everything, "train"), ts.part(everything, "test")
+    banded = fc.intervals(learn)
+    best = fc.best_model(fc.accuracy(banded.select("series_key", "model", "month", "yhat"), hold, learn))
+    return show(
+        banded.join(best.select("series_key", "model"), ["series_key", "model"]).join(
+            hold.withColumnRenamed("y", "actual"), ["series_key", "month"]
+        ),
+        2,
+    )
+
+
+# --- boosted trees ----------------------------------------------------------------
+
+
+@query("fc_gbt_depthwise")
+def fc_gbt_depthwise(spark, sf_dir):
+    everything = pinned_parts(spark, sf_dir)
+    return show(fc.forecast_boosted(everything, "GBT depthwise", depth=4, leak_free=False), 2)
+
+
+@query("fc_gbt_small")
+def fc_gbt_small(spark, sf_dir):
+    everything = pinned_parts(spark, sf_dir)
+    return show(
+        fc.forecast_boosted(everything, "GBT small", depth=3, min_leaf=20, leak_free=False), 2
+    )
+
+
+@query("fc_recursive")
+def fc_recursive(spark, sf_dir):
+    everything = pinned_parts(spark, sf_dir)
+    return show(fc.forecast_boosted(everything, "GBT small", depth=3, min_leaf=20), 2)
+
+
+# --- diagnostics ------------------------------------------------------------------
+
+
+def _loess_sql(degree):
+    if degree == 1:
+        det, own = "(s0 * s2 - s1 * s1)", "s2"
+        effect = "w * (s2 - s1 * d) / (s0 * s2 - s1 * s1)"
+    else:
+        own = "(s2 * s4 - s3 * s3)"
+        det = "(s0 * (s2 * s4 - s3 * s3) + s1 * (s2 * s3 - s1 * s4) + s2 * (s1 * s3 - s2 * s2))"
+        effect = f"w * ({own} + (s2 * s3 - s1 * s4) * d + (s1 * s3 - s2 * s2) * d * d) / {det}"
+    return f"""{SERIES_SQL},
+    size AS (SELECT series_key, count(*) AS n, CAST(floor(0.3 * count(*)) AS BIGINT) AS k
+        FROM series GROUP BY 1),
+    dist AS (
+        SELECT a.series_key, a.month, a.y AS y0, b.y, b.i - a.i AS d, n, k,
+            row_number() OVER (PARTITION BY a.series_key, a.i ORDER BY abs(b.i - a.i)) AS r
+        FROM series a JOIN series b ON a.series_key = b.series_key JOIN size s ON s.series_key = a.series_key),
+    wide AS (SELECT *, max(CASE WHEN r = k THEN abs(d) END) OVER (PARTITION BY series_key, month) AS width
+        FROM dist),
+    weighted AS (SELECT *, CASE WHEN abs(d) < width THEN pow(1 - pow(abs(d) / width, 3), 3) ELSE 0e0 END AS w
+        FROM wide),
+    moments AS (
+        SELECT *, {', '.join(f"sum(w * pow(d, {k})) OVER (PARTITION BY series_key, month) AS s{k}" for k in range(5))}
+        FROM weighted),
+    fit AS (
+        SELECT series_key, month, max(y0) AS y, max(n) AS n, sum({effect} * y) AS trend,
+            sum(({effect}) ^ 2) AS ll, max({own} / {det}) AS own
+        FROM moments GROUP BY 1, 2),
+    banded AS (
+        SELECT *, 1.959963984540054e0 * sqrt(sum((y - trend) ^ 2) OVER p
+            / (n - 2 * sum(own) OVER p + sum(ll) OVER p) * ll) AS half
+        FROM fit WINDOW p AS (PARTITION BY series_key))
+    SELECT series_key, month, {q('y', 2)} AS y, {q('trend', 2)} AS trend,
+        {q('trend - half', 2)} AS lower, {q('trend + half', 2)} AS upper
+    FROM banded"""
+
+
+@query("ts_local_trend", _loess_sql(1))
+def ts_local_trend(spark, sf_dir):
+    return show(ts.local_trend(panel(spark, sf_dir)), 2)
+
+
+@query("ts_local_trend_quadratic", _loess_sql(2))
+def ts_local_trend_quadratic(spark, sf_dir):
+    return show(ts.local_trend(panel(spark, sf_dir), degree=2), 2)
+
+
+@query(
+    "ts_decompose",
+    f"""{SERIES_SQL},
+    tr AS (
+        SELECT *, CASE WHEN count(y) OVER (w ROWS BETWEEN 6 PRECEDING AND 6 FOLLOWING) = 13
+            THEN (avg(y) OVER (w ROWS BETWEEN 6 PRECEDING AND 5 FOLLOWING)
+                + avg(y) OVER (w ROWS BETWEEN 5 PRECEDING AND 6 FOLLOWING)) / 2 END AS trend
+        FROM series WINDOW w AS (PARTITION BY series_key ORDER BY month)),
+    se AS (
+        SELECT series_key, month(month) AS mm, avg(y - trend) AS raw FROM tr GROUP BY 1, 2),
+    ce AS (SELECT *, raw - avg(raw) OVER (PARTITION BY series_key) AS seasonal FROM se)
+    SELECT tr.series_key, month, {q('y', 2)} AS y, {q('trend', 2)} AS trend,
+        {q('seasonal', 2)} AS seasonal, {q('y - trend - seasonal', 2)} AS remainder
+    FROM tr JOIN ce ON ce.series_key = tr.series_key AND mm = month(month)""",
+)
+def ts_decompose(spark, sf_dir):
+    return show(ts.decompose(panel(spark, sf_dir)), 2)
+
+
+ACF_SQL = f"""{SERIES_SQL},
+    c AS (SELECT series_key, i, y - avg(y) OVER (PARTITION BY series_key) AS z FROM series),
+    r AS (
+        SELECT a.series_key, CAST(b.i - a.i AS INTEGER) AS lag, sum(a.z * b.z) AS num
+        FROM c a JOIN c b ON a.series_key = b.series_key AND b.i - a.i BETWEEN 1 AND 24 GROUP BY 1, 2),
+    acf AS (
+        SELECT r.series_key, lag, num / den AS acf
+        FROM r JOIN (SELECT series_key, sum(z * z) AS den FROM c GROUP BY 1) USING (series_key))"""
+
+
+@query("ts_acf", f"{ACF_SQL} SELECT series_key, lag, {q('acf', 6)} AS acf FROM acf")
+def ts_acf(spark, sf_dir):
+    return show(ts.acf(panel(spark, sf_dir)), 6)
+
+
+@query(
+    "ts_pacf",
+    f"""{ACF_SQL},
+    lists AS (SELECT series_key, list(acf ORDER BY lag) AS r FROM acf GROUP BY 1),
+    walk AS (
+        WITH RECURSIVE w AS (
+            SELECT series_key, r, CAST(1 AS BIGINT) AS k, [r[1]] AS phi FROM lists
+            UNION ALL
+            SELECT series_key, r, k + 1,
+                list_append(list_transform(range(1, k + 1), lambda j: phi[j] - kk * phi[k + 1 - j]), kk)
+            FROM (SELECT *, (r[k + 1] - list_sum(list_transform(range(1, k + 1),
+                        lambda j: phi[j] * r[k + 1 - j])))
+                    / (1 - list_sum(list_transform(range(1, k + 1), lambda j: phi[j] * r[j]))) AS kk
+                  FROM w WHERE k < len(r)))
+        SELECT * FROM w)
+    SELECT series_key, CAST(k AS INTEGER) AS lag, {q('phi[k]', 6)} AS pacf FROM walk""",
+)
+def ts_pacf(spark, sf_dir):
+    return show(ts.pacf(panel(spark, sf_dir)), 6)
