@@ -1 +1,188 @@
-"""To be filled."""
+"""Scaling, clusters and their diagnostics."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tillroll.operators import features, segment
+from tillroll.operators.cleaning import complete_rows, label_segments
+from tillroll.plans.common import (
+    AS_OF, SEGMENT_SQL, customer_segments, orders_view, show,
+)
+from tillroll.plans.registry import q, query
+from tillroll.plans.reports import (
+    CUST_ITEM_SQL, CUST_ORDER_SQL, PROD_SALES_SQL, customer_items, product_sales, rfm_table,
+)
+from tillroll.session import pinned
+from tillroll.sources.star import load_star
+
+CUSTOMER = features.CUSTOMER_FEATURES
+PRODUCT = features.PRODUCT_FEATURES
+
+
+def customer_features(star):
+    """All customer features, kept: clustering reads them many times."""
+    return pinned(
+        features.join_features(
+            features.customer_order_features(orders_view(star), AS_OF),
+            customer_items(star),
+            key="customer_id",
+        )
+    )
+
+
+def product_features(star):
+    """Product features with the catalogue's still empty rating set to 0."""
+    return pinned(product_sales(star).withColumn("rating", F.lit(0.0)))
+
+
+def clustered_by_rule(star):
+    """Standardised customer features with the rule-based cluster."""
+    feats = customer_features(star)
+    scaled = segment.standardize(feats, CUSTOMER)
+    return scaled.join(customer_segments(orders_view(star)), "customer_id")
+
+
+Z_SQL = f"""{CUST_ORDER_SQL}, {CUST_ITEM_SQL}, {SEGMENT_SQL},
+    feats AS (
+        SELECT customer_id, {', '.join(CUSTOMER)}
+        FROM cust_order JOIN cust_item USING (customer_id)),
+    z AS (
+        SELECT customer_id,
+            {', '.join(f"({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER () AS z_{c}" for c in CUSTOMER)}
+        FROM feats)"""
+
+
+@query(
+    "feature_variance",
+    f"""{PROD_SALES_SQL},
+    f AS (SELECT *, 0e0 AS rating FROM prod_sales)
+    {' UNION ALL '.join(
+        f"SELECT '{c}' AS feature, {q(f'stddev_samp({c})')} AS sd, stddev_samp({c}) = 0 AS constant, "
+        f"CASE WHEN stddev_samp({c}) = 0 THEN {q(f'CAST(min({c}) AS DOUBLE)')} END AS only_value FROM f"
+        for c in PRODUCT)}""",
+)
+def feature_variance(spark, sf_dir):
+    feats = product_sales(load_star(spark, sf_dir)).withColumn("rating", F.lit(0.0))
+    return show(segment.feature_variance(feats, PRODUCT))
+
+
+@query(
+    "zscore",
+    f"""{Z_SQL} SELECT customer_id, {', '.join(f"{q(f'z_{c}')} AS z_{c}" for c in CUSTOMER)} FROM z""",
+)
+def zscore(spark, sf_dir):
+    scaled = segment.standardize(customer_features(load_star(spark, sf_dir)), CUSTOMER)
+    return show(scaled.select("customer_id", *[f"z_{c}" for c in CUSTOMER]))
+
+
+@query(
+    "cluster_centers",
+    f"""{Z_SQL}
+    SELECT cluster, {', '.join(f"{q(f'avg(z_{c})')} AS z_{c}" for c in CUSTOMER)}
+    FROM z JOIN s_segment USING (customer_id) GROUP BY cluster""",
+)
+def cluster_centers(spark, sf_dir):
+    tagged = clustered_by_rule(load_star(spark, sf_dir))
+    return show(segment.cluster_centers(tagged, [f"z_{c}" for c in CUSTOMER]))
+
+
+SILHOUETTE_SQL = f"""{Z_SQL},
+    long AS (
+        UNPIVOT (SELECT z.*, cluster FROM z JOIN s_segment USING (customer_id))
+        ON COLUMNS('z_.*') INTO NAME f VALUE v),
+    mean AS (SELECT cluster, f, avg(v) AS m FROM long GROUP BY 1, 2),
+    norm AS (SELECT customer_id, cluster, sum(v * v) AS nn FROM long GROUP BY 1, 2),
+    square AS (SELECT cluster, avg(nn) AS sq, count(*) AS n FROM norm GROUP BY 1),
+    dots AS (
+        SELECT long.customer_id, mean.cluster AS other, sum(v * m) AS dot
+        FROM long JOIN mean USING (f) GROUP BY 1, 2),
+    dist AS (
+        SELECT norm.customer_id, norm.cluster, other, n,
+            greatest(nn + sq - 2 * dot, 0) AS d
+        FROM norm JOIN dots USING (customer_id) JOIN square ON square.cluster = other),
+    own AS (SELECT customer_id, cluster, d * n / nullif(n - 1, 0) AS a, n FROM dist WHERE cluster = other),
+    near AS (SELECT customer_id, min(d) AS b, arg_min(other, d) AS neighbor
+        FROM dist WHERE cluster <> other GROUP BY 1),
+    detail AS (
+        SELECT customer_id, cluster, neighbor,
+            CASE WHEN n = 1 THEN 0 ELSE (b - a) / greatest(a, b) END AS sil_width
+        FROM own JOIN near USING (customer_id))"""
+
+
+@query(
+    "silhouette_detail",
+    f"{SILHOUETTE_SQL} SELECT customer_id, cluster, neighbor, {q('sil_width')} AS sil_width FROM detail",
+)
+def silhouette_detail(spark, sf_dir):
+    tagged = clustered_by_rule(load_star(spark, sf_dir))
+    return show(segment.silhouette_detail(tagged, [f"z_{c}" for c in CUSTOMER], "customer_id"))
+
+
+@query(
+    "silhouette_summary",
+    f"""{SILHOUETTE_SQL}
+    SELECT cluster, count(*) AS n, {q('avg(sil_width)')} AS avg_width,
+        {q('min(sil_width)')} AS min_width, {q('max(sil_width)')} AS max_width
+    FROM detail GROUP BY cluster""",
+)
+def silhouette_summary(spark, sf_dir):
+    tagged = clustered_by_rule(load_star(spark, sf_dir))
+    detail = segment.silhouette_detail(tagged, [f"z_{c}" for c in CUSTOMER], "customer_id")
+    return show(segment.silhouette_summary(detail))
+
+
+# --- models: checked by rows and by unit tests ------------------------------------
+
+
+@query("kmeans_customers")
+def kmeans_customers(spark, sf_dir):
+    feats = customer_features(load_star(spark, sf_dir))
+    found = segment.segment(feats, CUSTOMER, k=3, rank_by="total_spend")
+    return label_segments(found.select("customer_id", "cluster", "total_spend", "order_count"))
+
+
+@query("kmeans_products")
+def kmeans_products(spark, sf_dir):
+    feats = product_features(load_star(spark, sf_dir))
+    found = segment.segment(feats, PRODUCT, k=2, rank_by="total_revenue")
+    return found.select("product_id", "cluster", "total_quantity", "total_revenue")
+
+
+def _scaled_customers(spark, sf_dir):
+    return segment.scaled_features(customer_features(load_star(spark, sf_dir)), CUSTOMER)[0].persist()
+
+
+@query("wss_by_k")
+def wss_by_k(spark, sf_dir):
+    return segment.wss_by_k(_scaled_customers(spark, sf_dir))
+
+
+@query("silhouette_by_k")
+def silhouette_by_k(spark, sf_dir):
+    return segment.silhouette_by_k(_scaled_customers(spark, sf_dir))
+
+
+@query("pca_customers")
+def pca_customers(spark, sf_dir):
+    star = load_star(spark, sf_dir)
+    scaled, _ = segment.scaled_features(customer_features(star), CUSTOMER)
+    tagged = scaled.join(customer_segments(orders_view(star)), "customer_id")
+    return segment.principal_components(tagged, ["customer_id", "cluster"])
+
+
+@query("pca_customers_rfm")
+def pca_customers_rfm(spark, sf_dir):
+    """The report variant: frequency, spend, order value and recency only."""
+    columns = ["frequency", "monetary", "avg_order_value", "recency_days"]
+    base = complete_rows(
+        rfm_table(load_star(spark, sf_dir)), columns, {"recency_days": 9999}
+    )
+    scaled, _ = segment.scaled_features(pinned(base), columns)
+    return segment.principal_components(scaled, ["customer_id", "customer_type"])
+
+
+@query("pca_products")
+def pca_products(spark, sf_dir):
+    scaled, _ = segment.scaled_features(product_features(load_star(spark, sf_dir)), PRODUCT)
+    return segment.principal_components(scaled, ["product_id"])
