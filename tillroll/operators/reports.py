@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 
 from tillroll.functions import grain
 from tillroll.functions.columns import comma, dollar, percent, ratio, rounded, to_metrics, total
-from tillroll.functions.ranking import quantile_columns, row_numbers
+from tillroll.functions.ranking import quantile_columns, quantiles_of_counts, row_numbers
+from tillroll.functions.ranking import value_counts as price_counts
 from tillroll.operators.features import AS_OF
+from tillroll.session import pinned
 
 
 def top(df: DataFrame, n: int, by: str, *keys: str) -> DataFrame:
@@ -82,12 +84,11 @@ def daily_by_segment(df: DataFrame) -> DataFrame:
 
 def price_stats(df: DataFrame) -> DataFrame:
     """Mean and median line price over non-negative prices."""
-    valid = df.filter(F.col("final_price") >= 0)
     weight = "line_count" if "line_count" in df.columns else None
-    middle = quantile_columns(valid, "final_price", {"median_price": 0.5}, weight=weight)
-    return valid.agg(grain.line_mean(valid, "final_price").alias("avg_price")).withColumn(
-        "median_price", middle.scalar()
-    )
+    counts = pinned(price_counts(df.filter(F.col("final_price") >= 0), "final_price", weight=weight))
+    middle = quantiles_of_counts(counts, [0.5]).select("q")
+    mean = ratio(F.sum(F.col("value") * F.col("n")), F.sum("n"))
+    return counts.agg(mean.alias("avg_price")).withColumn("median_price", middle.scalar())
 
 
 def discount_stats(df: DataFrame, column: str = "discount_rate") -> DataFrame:
@@ -190,8 +191,10 @@ def stock_effect(df: DataFrame) -> DataFrame:
 
     Categories are placed by their in-stock sales; those without any come last.
     """
-    by_state = df.groupBy("root_category", "in_stock").agg(
-        grain.sales(df).alias("sales"), grain.order_count(df).alias("orders")
+    by_state = pinned(
+        df.groupBy("root_category", "in_stock").agg(
+            grain.sales(df).alias("sales"), grain.order_count(df).alias("orders")
+        )
     )
     in_stock_sales = by_state.groupBy("root_category").agg(
         F.max(F.when(F.col("in_stock"), F.col("sales"))).alias("_in_stock_sales")

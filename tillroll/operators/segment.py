@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
@@ -15,6 +18,8 @@ from pyspark.sql import functions as F
 from tillroll.functions.arrays import array_sum
 from tillroll.functions.columns import finite_or_zero
 
+T = TypeVar("T")
+
 
 def feature_variance(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(feature, sd, constant, only_value)`` from one pass over the table."""
@@ -85,14 +90,22 @@ def _kmeans(k: int, seed: int) -> KMeans:
     return KMeans(k=k, seed=seed, featuresCol="features", predictionCol="_cluster")
 
 
-def best_kmeans(df: DataFrame, k: int, restarts: int = 25, seed: int = 42) -> KMeansModel:
+def _side_by_side(
+    df: DataFrame, task: Callable[[int], T], items: Sequence[int], parallelism: int
+) -> list[T]:
+    """Results of independent jobs over ``df``, a few in flight at a time."""
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        return list(pool.map(inheritable_thread_target(df.sparkSession)(task), items))
+
+
+def best_kmeans(
+    df: DataFrame, k: int, restarts: int = 25, seed: int = 42, parallelism: int = 8
+) -> KMeansModel:
     """The model with the lowest cost over ``restarts`` seeded starts."""
-    best = None
-    for s in range(seed, seed + restarts):
-        model = _kmeans(k, s).fit(df)
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
-    return best
+    models = _side_by_side(
+        df, lambda s: _kmeans(k, s).fit(df), range(seed, seed + restarts), parallelism
+    )
+    return min(models, key=lambda m: m.summary.trainingCost)
 
 
 def ranked_clusters(df: DataFrame, rank_by: str) -> DataFrame:
@@ -122,7 +135,9 @@ def segment(
         scaled.unpersist()
 
 
-def wss_by_k(scaled: DataFrame, k_max: int = 10, seed: int = 42) -> DataFrame:
+def wss_by_k(
+    scaled: DataFrame, k_max: int = 10, seed: int = 42, parallelism: int = 8
+) -> DataFrame:
     """``(k, wss)``; k = 1 is the total sum of squares."""
     x = vector_to_array("features")
     width = scaled.select(F.size(x)).first()[0]
@@ -130,19 +145,26 @@ def wss_by_k(scaled: DataFrame, k_max: int = 10, seed: int = 42) -> DataFrame:
         sum((F.var_pop(x[i]) for i in range(width)), F.lit(0.0)).alias("v"), F.count(F.lit(1)).alias("n")
     ).first()
     rows = [(1, float(total["v"] * total["n"]))]
-    rows += [
-        (k, float(_kmeans(k, seed).fit(scaled).summary.trainingCost)) for k in range(2, k_max + 1)
-    ]
+    rows += _side_by_side(
+        scaled,
+        lambda k: (k, float(_kmeans(k, seed).fit(scaled).summary.trainingCost)),
+        range(2, k_max + 1),
+        parallelism,
+    )
     return scaled.sparkSession.createDataFrame(rows, "k int, wss double")
 
 
-def silhouette_by_k(scaled: DataFrame, k_max: int = 10, seed: int = 42) -> DataFrame:
+def silhouette_by_k(
+    scaled: DataFrame, k_max: int = 10, seed: int = 42, parallelism: int = 8
+) -> DataFrame:
     """``(k, silhouette)`` for 2 to ``k_max`` clusters."""
     judge = ClusteringEvaluator(predictionCol="_cluster", featuresCol="features")
-    rows = [
-        (k, float(judge.evaluate(_kmeans(k, seed).fit(scaled).transform(scaled))))
-        for k in range(2, k_max + 1)
-    ]
+    rows = _side_by_side(
+        scaled,
+        lambda k: (k, float(judge.evaluate(_kmeans(k, seed).fit(scaled).transform(scaled)))),
+        range(2, k_max + 1),
+        parallelism,
+    )
     return scaled.sparkSession.createDataFrame(rows, "k int, silhouette double")
 
 

@@ -163,12 +163,21 @@ def ts_features(series: DataFrame, leak_free: bool = True) -> DataFrame:
 
 def append_future(series: DataFrame, h: int = 1) -> DataFrame:
     """The history and ``h`` further months with unknown value."""
-    ahead = (
-        series.groupBy("series_key")
-        .agg(F.max("month").alias("_last"))
-        .select("series_key", F.explode(F.transform(steps(h), lambda k: F.add_months("_last", k))).alias("month"))
+    last = F.lead("month").over(BY_MONTH).isNull()
+    own = F.struct("month", "y")
+    ahead = F.transform(
+        steps(h),
+        lambda k: F.struct(
+            F.add_months("month", k).alias("month"), F.lit(None).cast("double").alias("y")
+        ),
+    )
+    rows = F.when(F.col("_last"), F.concat(F.array(own), ahead)).otherwise(F.array(own))
+    return (
+        series.select("series_key", "month", F.col("y").cast("double").alias("y"))
+        .withColumn("_last", last)
+        .select("series_key", F.explode(rows).alias("_r"))
+        .select("series_key", "_r.month", "_r.y")
     )
-    return series.unionByName(ahead.withColumn("y", F.lit(None).cast("double")))
 
 
 # --- diagnostics --------------------------------------------------------------
@@ -264,15 +273,16 @@ def decompose(series: DataFrame) -> DataFrame:
     early, late = BY_MONTH.rowsBetween(-6, 5), BY_MONTH.rowsBetween(-5, 6)
     full = F.count("y").over(BY_MONTH.rowsBetween(-6, 6)) == SEASON + 1
     trend = F.when(full, (F.avg("y").over(early) + F.avg("y").over(late)) / 2)
-    with_trend = series.withColumn("trend", trend).withColumn("_m", F.month("month"))
-    seasons = (
-        with_trend.groupBy("series_key", "_m")
-        .agg(F.avg(F.col("y") - F.col("trend")).alias("_raw"))
-        .withColumn("seasonal", F.col("_raw") - F.avg("_raw").over(BY_KEY))
-        .drop("_raw")
+    same_month = Window.partitionBy("series_key", F.month("month"))
+    with_season = (
+        series.withColumn("trend", trend)
+        .withColumn("_raw", F.avg(F.col("y") - F.col("trend")).over(same_month))
+        # Every calendar month weighs the same, however many years it was seen.
+        .withColumn("_w", F.when(F.col("_raw").isNotNull(), 1.0 / F.count(F.lit(1)).over(same_month)))
     )
+    centre = F.sum(F.col("_raw") * F.col("_w")).over(BY_KEY) / F.sum("_w").over(BY_KEY)
     return (
-        with_trend.join(seasons, ["series_key", "_m"], "left")
+        with_season.withColumn("seasonal", F.col("_raw") - centre)
         .withColumn("remainder", F.col("y") - F.col("trend") - F.col("seasonal"))
         .select("series_key", "month", "y", "trend", "seasonal", "remainder")
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions import grain
@@ -56,9 +56,15 @@ def customers_with_segment(star: Star, orders: DataFrame) -> DataFrame:
 
 
 def tagged_days(star: Star) -> DataFrame:
-    """The customer-day roll-up with profile, cluster and type of the customer."""
-    days = days_view(star)
-    return days.join(customers_with_segment(star, days), "customer_id", "left")
+    """The customer-day roll-up with profile, cluster and type of the customer.
+
+    The spend is summed over the customer's days in a window, which the
+    calendar bounds, so the lines are read once.
+    """
+    spend = F.sum("sales").over(Window.partitionBy("customer_id"))
+    days = days_view(star).withColumn("cluster", rule_cluster(spend, SPEND_LOW, SPEND_HIGH))
+    profile = star.customers.drop("customer_type", "customer_hierachy")
+    return label_segments(days.join(profile, "customer_id", "left"))
 
 
 SEGMENT_SQL = f"""

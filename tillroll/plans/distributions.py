@@ -10,6 +10,7 @@ from tillroll.operators import cleaning, distribution, features, reports
 from tillroll.plans.common import SEGMENT_SQL, fact, products_view, show
 from tillroll.plans.registry import q, query
 from tillroll.plans.reports import RATING_SQL, RFM_SQL, rfm_table
+from tillroll.session import pinned
 from tillroll.sources.star import load_star
 
 FREQ_SQL = """
@@ -47,7 +48,7 @@ def _hist_sql(chart, source, column, bins):
 )
 def histogram(spark, sf_dir):
     star = load_star(spark, sf_dir)
-    products, sold = star.products, cleaning.valid_price(products_view(star))
+    products, sold = star.products, pinned(cleaning.valid_price(products_view(star)))
     lines = star.lines.select(F.col("discount_rate_adjusted").alias("discount_rate"))
     freq = reports.order_frequency(star.orders)
     charts = {
@@ -187,7 +188,7 @@ def _trend_sql(chart, source, x, y):
 )
 def linear_trend(spark, sf_dir):
     star = load_star(spark, sf_dir)
-    sold = products_view(star).drop("rating")
+    sold = pinned(products_view(star).drop("rating"))
     priced = sold.select(
         "product_id", "quantity", F.coalesce("final_price", "initial_price").alias("avg_price")
     )

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from tillroll.functions.columns import dollar, total
 from tillroll.operators import cleaning, features, reports
 from tillroll.plans.common import (
-    AS_OF, COHORT_YEARS, QTY_HIGH, QTY_LOW, SEGMENT_SQL, customer_segments,
+    AS_OF, COHORT_YEARS, QTY_HIGH, QTY_LOW, SEGMENT_SQL, SPEND_HIGH, SPEND_LOW, customer_segments,
     days_view, fact, orders_view, products_view, rule_cluster, show, tagged_days,
 )
 from tillroll.plans.registry import q, query
+from tillroll.session import pinned
 from tillroll.sources.star import load_star
 
 DIMENSIONS = ("brand", "root_category", "color", "size")
@@ -179,13 +180,11 @@ def prod_rating(spark, sf_dir):
 )
 def cust_cluster_summary(spark, sf_dir):
     star = load_star(spark, sf_dir)
-    orders = orders_view(star)
     joined = features.join_features(
-        features.customer_order_features(orders, AS_OF),
+        features.customer_order_features(orders_view(star), AS_OF),
         customer_items(star),
-        customer_segments(orders),
         key="customer_id",
-    )
+    ).withColumn("cluster", rule_cluster(F.col("total_line_value"), SPEND_LOW, SPEND_HIGH))
     return show(features.customer_cluster_summary(joined), 2)
 
 
@@ -207,11 +206,14 @@ def cust_cluster_summary(spark, sf_dir):
 )
 def prod_cluster_summary(spark, sf_dir):
     star = load_star(spark, sf_dir)
-    sold = products_view(star).select(
-        "product_id", "quantity", F.coalesce("final_price", "initial_price").alias("avg_price")
+    sales = pinned(product_sales(star))
+    sold = sales.join(star.products, "product_id", "left").select(
+        "product_id",
+        F.col("total_quantity").alias("quantity"),
+        F.coalesce("final_price", "initial_price").alias("avg_price"),
     )
     joined = features.join_features(
-        product_sales(star), features.product_rating(sold), key="product_id"
+        sales, features.product_rating(sold), key="product_id"
     ).withColumn("cluster", rule_cluster(F.col("total_quantity"), QTY_LOW, QTY_HIGH))
     return show(features.product_cluster_summary(joined), 2)
 
@@ -323,7 +325,7 @@ def dimension_counts(spark, sf_dir):
 )
 def summary_metrics(spark, sf_dir):
     star = load_star(spark, sf_dir)
-    return reports.summary_metrics(star.lines, _known_products(star))
+    return reports.summary_metrics(star.lines, pinned(_known_products(star)))
 
 
 @query(
@@ -519,7 +521,7 @@ def category_discount(spark, sf_dir):
     FROM s_lines JOIN prod_rated USING (product_id) GROUP BY ALL""",
 )
 def rating_sales(spark, sf_dir):
-    sold = products_view(load_star(spark, sf_dir)).drop("rating")
+    sold = pinned(products_view(load_star(spark, sf_dir)).drop("rating"))
     priced = sold.withColumn("avg_price", F.coalesce("final_price", "initial_price"))
     rated = sold.join(features.product_rating(priced), "product_id", "left")
     return show(reports.rating_sales(rated))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tillroll.operators import features, segment
 from tillroll.operators.cleaning import complete_rows, label_segments
 from tillroll.plans.common import (
-    AS_OF, SEGMENT_SQL, customer_segments, orders_view, show,
+    AS_OF, SEGMENT_SQL, SPEND_HIGH, SPEND_LOW, orders_view, rule_cluster, show,
 )
 from tillroll.plans.registry import q, query
 from tillroll.plans.reports import (
@@ -39,8 +39,8 @@ def product_features(star):
 def clustered_by_rule(star):
     """Standardised customer features with the rule-based cluster."""
     feats = customer_features(star)
-    scaled = segment.standardize(feats, CUSTOMER)
-    return scaled.join(customer_segments(orders_view(star)), "customer_id")
+    cluster = rule_cluster(F.col("total_line_value"), SPEND_LOW, SPEND_HIGH)
+    return segment.standardize(feats, CUSTOMER).withColumn("cluster", cluster)
 
 
 Z_SQL = f"""{CUST_ORDER_SQL}, {CUST_ITEM_SQL}, {SEGMENT_SQL},
@@ -167,8 +167,10 @@ def silhouette_by_k(spark, sf_dir):
 def pca_customers(spark, sf_dir):
     star = load_star(spark, sf_dir)
     scaled, _ = segment.scaled_features(customer_features(star), CUSTOMER)
-    tagged = scaled.join(customer_segments(orders_view(star)), "customer_id")
-    return segment.principal_components(tagged, ["customer_id", "cluster"])
+    cluster = rule_cluster(F.col("total_line_value"), SPEND_LOW, SPEND_HIGH)
+    return segment.principal_components(
+        scaled.withColumn("cluster", cluster), ["customer_id", "cluster"]
+    )
 
 
 @query("pca_customers_rfm")

@@ -51,18 +51,18 @@ def verify_write(
     copy = df.sparkSession.read.parquet(path)
     source = df if before is None else before
 
-    def shape(table: DataFrame, suffix: str) -> DataFrame:
-        return table.agg(
+    def shape(table: DataFrame, suffix: str) -> list:
+        return [
             F.count(F.lit(1)).alias(f"rows_{suffix}"), F.count_distinct(key).alias(f"keys_{suffix}")
-        )
-
-    def tagged(table: DataFrame, suffix: str) -> DataFrame:
-        return shape(table, suffix).withColumn("table", F.lit(name))
+        ]
 
+    report = source.agg(*shape(source, "before")).withColumn("table", F.lit(name))
+    for suffix, table in (("expected", df), ("written", copy)):
+        one = table.agg(*shape(table, suffix))
+        report = report.withColumn("_s", one.select(F.struct(*one.columns)).scalar())
+        report = report.select("*", "_s.*").drop("_s")
     return (
-        tagged(source, "before")
-        .join(tagged(df, "expected"), "table")
-        .join(tagged(copy, "written"), "table")
+        report
         .withColumn("columns_expected", F.lit(len(df.columns)).cast("bigint"))
         .withColumn("columns_written", F.lit(len(copy.columns)).cast("bigint"))
         .withColumn(
