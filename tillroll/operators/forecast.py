@@ -37,7 +37,14 @@ SEASON_GRID = (0.05, 0.1, 0.2)
 TINY = 1e-12
 Z80 = 1.2815515655446004
 
-YS, N = F.col("ys"), F.size("ys")
+
+def _ys() -> Column:
+    """The values of a series in time order."""
+    return F.col("ys")
+
+
+def _n() -> Column:
+    return F.size("ys")
 
 
 def windows(series: DataFrame) -> DataFrame:
@@ -55,14 +62,14 @@ def _season_fit(w: DataFrame) -> DataFrame:
     """
     seasons = F.sequence(F.lit(0), F.lit(SEASON - 1))
     value = F.transform(
-        seasons, lambda s: array_mean(F.filter(YS, lambda y, i: i % SEASON == s))
+        seasons, lambda s: array_mean(F.filter(_ys(), lambda y, i: i % SEASON == s))
     )
     # Positions s, s + 12, ... average to s + 6 (count - 1).
-    place = F.transform(seasons, lambda s: s + 6.0 * (F.ceil((N - s) / F.lit(SEASON)) - 1))
+    place = F.transform(seasons, lambda s: s + 6.0 * (F.ceil((_n() - s) / F.lit(SEASON)) - 1))
     w = w.withColumns({"_sy": value, "_st": place})
     off = lambda i: i - F.get("_st", i % SEASON)
-    num = array_sum(F.transform(YS, lambda y, i: off(i) * (y - F.get("_sy", i % SEASON))))
-    den = array_sum(F.transform(YS, lambda y, i: off(i) * off(i)))
+    num = array_sum(F.transform(_ys(), lambda y, i: off(i) * (y - F.get("_sy", i % SEASON))))
+    den = array_sum(F.transform(_ys(), lambda y, i: off(i) * off(i)))
     return w.withColumn("_slope", F.when(den > 0, num / den))
 
 
@@ -94,23 +101,23 @@ def _smoothing_fit(w: DataFrame) -> DataFrame:
     One additive fold covers all kinds: the parts a kind lacks start at 0 and
     have weight 0.
     """
-    first = F.get(YS, F.lit(0))
-    slope = F.coalesce(F.try_divide(F.get(YS, N - 1) - first, N - 1), F.lit(0.0))
+    first = F.get(_ys(), F.lit(0))
+    slope = F.coalesce(F.try_divide(F.get(_ys(), _n() - 1) - first, _n() - 1), F.lit(0.0))
     yearly = array_mean(
         F.transform(
-            F.slice(YS, F.lit(SEASON + 1), F.greatest(N - SEASON, F.lit(0))),
-            lambda y, i: (y - F.get(YS, i)) / SEASON,
+            F.slice(_ys(), F.lit(SEASON + 1), F.greatest(_n() - SEASON, F.lit(0))),
+            lambda y, i: (y - F.get(_ys(), i)) / SEASON,
         )
     )
     w = w.withColumns({"_slope0": slope, "_yearly": yearly})
     w = w.withColumn(
         "_level0",
-        array_mean(F.slice(YS, 1, SEASON)) - F.col("_yearly") * ((SEASON + 1) / 2),
+        array_mean(F.slice(_ys(), 1, SEASON)) - F.col("_yearly") * ((SEASON + 1) / 2),
     )
     w = w.withColumn(
         "_season0",
         F.transform(
-            F.slice(YS, 1, SEASON), lambda y, i: y - F.col("_level0") - F.col("_yearly") * (i + 1)
+            F.slice(_ys(), 1, SEASON), lambda y, i: y - F.col("_level0") - F.col("_yearly") * (i + 1)
         ),
     )
     none = F.array_repeat(F.lit(0.0), SEASON)
@@ -147,17 +154,17 @@ def _smoothing_fit(w: DataFrame) -> DataFrame:
         return update
 
     def scored(c: Column, i: Column) -> Column:
-        end = F.aggregate(YS, start(c), step(c))
+        end = F.aggregate(_ys(), start(c), step(c))
         return let(
             end,
             lambda st: F.struct(
-                (N * F.log(F.greatest(st["sse"] / N, F.lit(TINY))) + 2 * c["k"]).alias("aic"),
+                (_n() * F.log(F.greatest(st["sse"] / _n(), F.lit(TINY))) + 2 * c["k"]).alias("aic"),
                 i.alias("i"), c["kind"].alias("kind"), st["l"].alias("l"), st["b"].alias("b"),
                 st["s"].alias("s"),
             ),
         )
 
-    usable = F.filter(_smoothing_grid(), lambda c: (c["kind"] != "season") | (N > SEASON))
+    usable = F.filter(_smoothing_grid(), lambda c: (c["kind"] != "season") | (_n() > SEASON))
     return w.withColumn("_ets", F.array_min(F.transform(usable, scored)))
 
 
@@ -169,10 +176,10 @@ def _ar_fit(w: DataFrame) -> DataFrame:
     """
     def differenced(d: int) -> Column:
         return F.transform(
-            F.slice(YS, F.lit(d + 1), F.greatest(N - d, F.lit(0))), lambda y, i: y - F.get(YS, i)
+            F.slice(_ys(), F.lit(d + 1), F.greatest(_n() - d, F.lit(0))), lambda y, i: y - F.get(_ys(), i)
         )
 
-    w = w.withColumns({"_x0": YS, "_x1": differenced(1), "_x12": differenced(SEASON)})
+    w = w.withColumns({"_x0": _ys(), "_x1": differenced(1), "_x12": differenced(SEASON)})
 
     def candidates(d: int) -> list[Column]:
         x = F.col(f"_x{d}")
@@ -228,12 +235,12 @@ def _ar_values(h: int) -> Column:
         lambda xs: F.when(ar["d"] == 0, xs)
         .when(
             ar["d"] == 1,
-            F.transform(steps(h), lambda k: F.get(YS, N - 1) + array_sum(F.slice(xs, F.lit(1), k))),
+            F.transform(steps(h), lambda k: F.get(_ys(), _n() - 1) + array_sum(F.slice(xs, F.lit(1), k))),
         )
         .otherwise(
             F.transform(
                 steps(h),
-                lambda k: F.get(YS, N - SEASON + (k - 1) % SEASON)
+                lambda k: F.get(_ys(), _n() - SEASON + (k - 1) % SEASON)
                 + array_sum(F.filter(xs, lambda v, j: (j < k) & ((k - 1 - j) % SEASON == 0))),
             )
         ),
@@ -242,19 +249,19 @@ def _ar_values(h: int) -> Column:
 
 def forecast_values(model: str, h: int) -> Column:
     """The ``h`` forecasts of one model as an array over a ``prepared`` row."""
-    last, first = F.get(YS, N - 1), F.get(YS, F.lit(0))
+    last, first = F.get(_ys(), _n() - 1), F.get(_ys(), F.lit(0))
     if model == "Mean":
-        return F.array_repeat(array_mean(YS), h)
+        return F.array_repeat(array_mean(_ys()), h)
     if model == "Naive":
         return F.array_repeat(last, h)
     if model == "Drift":
-        return F.transform(steps(h), lambda k: last + k * F.try_divide(last - first, N - 1))
+        return F.transform(steps(h), lambda k: last + k * F.try_divide(last - first, _n() - 1))
     if model == "Seasonal Naive":
-        return F.transform(steps(h), lambda k: F.get(YS, N - SEASON + (k - 1) % SEASON))
+        return F.transform(steps(h), lambda k: F.get(_ys(), _n() - SEASON + (k - 1) % SEASON))
     if model in ("MA(3)", "MA(6)"):
-        return F.array_repeat(array_mean(last_of(YS, int(model[3]))), h)
+        return F.array_repeat(array_mean(last_of(_ys(), int(model[3]))), h)
     if model == "TSLM":
-        return F.transform(steps(h), lambda k: _tslm_at(N - 1 + k))
+        return F.transform(steps(h), lambda k: _tslm_at(_n() - 1 + k))
     if model == "ETS":
         e = F.col("_ets")
         return F.transform(
@@ -281,7 +288,7 @@ def _long(w: DataFrame, per_model: dict[str, Column], name: str) -> DataFrame:
     entries = F.array(
         *[F.struct(F.lit(m).alias("model"), v.alias("v")) for m, v in per_model.items()]
     )
-    return w.select("series_key", "last_month", N.alias("_n"), F.explode(entries).alias("_e")).select(
+    return w.select("series_key", "last_month", _n().alias("_n"), F.explode(entries).alias("_e")).select(
         "series_key", "last_month", "_n", F.col("_e.model").alias("model"),
         F.posexplode("_e.v").alias("_k", name),
     )
@@ -298,21 +305,21 @@ def forecast(series: DataFrame, models: Sequence[str] = CLOSED, h: int = 6) -> D
 
 
 def _fitted(model: str) -> Column:
-    lag = lambda k: F.transform(YS, lambda y, i: F.get(YS, i - k))
+    lag = lambda k: F.transform(_ys(), lambda y, i: F.get(_ys(), i - k))
     if model == "Mean":
-        return let(array_mean(YS), lambda m: F.transform(YS, lambda y: m))
+        return let(array_mean(_ys()), lambda m: F.transform(_ys(), lambda y: m))
     if model == "Naive":
         return lag(1)
     if model == "Drift":
-        slope = F.try_divide(F.get(YS, N - 1) - F.get(YS, F.lit(0)), N - 1)
-        return let(slope, lambda b: F.transform(YS, lambda y, i: F.get(YS, i - 1) + b))
+        slope = F.try_divide(F.get(_ys(), _n() - 1) - F.get(_ys(), F.lit(0)), _n() - 1)
+        return let(slope, lambda b: F.transform(_ys(), lambda y, i: F.get(_ys(), i - 1) + b))
     if model == "Seasonal Naive":
         return lag(SEASON)
     if model in ("MA(3)", "MA(6)"):
         # The rolling mean is only a forecast rule; it passes its input through.
-        return YS
+        return _ys()
     if model == "TSLM":
-        return F.transform(YS, lambda y, i: _tslm_at(i))
+        return F.transform(_ys(), lambda y, i: _tslm_at(i))
     raise ValueError(f"no fitted values for {model}")
 
 
@@ -320,7 +327,7 @@ def residuals(series: DataFrame, models: Sequence[str] = CLOSED) -> DataFrame:
     """``(series_key, model, month, y, fitted, residual)`` over the training months."""
     w = prepared(windows(series), models)
     both = {
-        m: F.arrays_zip(YS.alias("y"), _fitted(m).alias("fitted")) for m in models
+        m: F.arrays_zip(_ys().alias("y"), _fitted(m).alias("fitted")) for m in models
     }
     long = _long(w, both, "_v")
     passes = F.col("model").isin("MA(3)", "MA(6)")
@@ -416,7 +423,7 @@ def intervals(series: DataFrame, models: Sequence[str] = CLOSED, h: int = 6) ->
 
     def residual(m: str) -> Column:
         return F.filter(
-            F.zip_with(YS, _fitted(m), lambda y, f: y - f), lambda e: e.isNotNull()
+            F.zip_with(_ys(), _fitted(m), lambda y, f: y - f), lambda e: e.isNotNull()
         )
 
     # Parameters plus start-up months that leave no residual.
@@ -424,12 +431,12 @@ def intervals(series: DataFrame, models: Sequence[str] = CLOSED, h: int = 6) ->
 
     def sigma(m: str) -> Column:
         sse = array_sum(F.transform(residual(m), lambda e: e * e))
-        return F.sqrt(F.when(N > lost[m], sse / F.nullif(N - lost[m], F.lit(0))))
+        return F.sqrt(F.when(_n() > lost[m], sse / F.nullif(_n() - lost[m], F.lit(0))))
 
     growth = {
-        "Mean": lambda k: F.sqrt(1 + F.lit(1.0) / N),
+        "Mean": lambda k: F.sqrt(1 + F.lit(1.0) / _n()),
         "Naive": lambda k: F.sqrt(k.cast("double")),
-        "Drift": lambda k: F.sqrt(k * (1 + F.try_divide(k.cast("double"), N - 1))),
+        "Drift": lambda k: F.sqrt(k * (1 + F.try_divide(k.cast("double"), _n() - 1))),
         "Seasonal Naive": lambda k: F.sqrt(F.floor((k - 1) / F.lit(SEASON)) + 1.0),
     }
     rows = {}
@@ -482,7 +489,7 @@ def forecast_harmonic(series: DataFrame, h: int = 6, harmonics: int = 2, ridge:
     One small weight table per series length is joined in; there are no more
     lengths than calendar months.
     """
-    w = windows(series).withColumn("_n", N)
+    w = windows(series).withColumn("_n", _n())
     spark = series.sparkSession
     lengths = [r[0] for r in w.select("_n").distinct().collect()]
     table = [
@@ -553,28 +560,28 @@ def predict_recursive(model, history: DataFrame, scale: DataFrame, name: str, h:
     """
     state = (
         windows(history)
-        .filter(N >= SEASON)
+        .filter(_n() >= SEASON)
         .join(scale.select("series_key", "scale"), "series_key")
         .withColumn("ys", F.transform("ys", lambda y: y / F.col("scale")))
     )
     for _ in range(h):
         month = F.add_months("last_month", 1)
-        back = lambda k: F.get(YS, N - k)
+        back = lambda k: F.get(_ys(), _n() - k)
         step = state.withColumns(
             {
                 "year": F.year(month),
                 "month_num": F.month(month),
                 "quarter_num": F.quarter(month),
-                "trend": N + 1,
+                "trend": _n() + 1,
                 **{f"lag_{k}": back(k) for k in (1, 3, 6, 12)},
-                **{f"ma_{k}": array_mean(last_of(YS, k)) for k in (3, 6)},
+                **{f"ma_{k}": array_mean(last_of(_ys(), k)) for k in (3, 6)},
             }
         )
         state = model.transform(_vector(step)).select(
             "series_key", "scale", F.add_months("last_month", 1).alias("last_month"),
             F.concat("ys", F.array("prediction")).alias("ys"),
         )
-    tail = F.transform(last_of(YS, h), lambda v: v * F.col("scale"))
+    tail = F.transform(last_of(_ys(), h), lambda v: v * F.col("scale"))
     return state.select("series_key", "last_month", F.posexplode(tail).alias("_k", "yhat")).select(
         "series_key", F.lit(name).alias("model"),
         F.add_months("last_month", F.col("_k") + 1 - h).alias("month"),

@@ -10,16 +10,22 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tillroll.functions.arrays import array_mean, array_sum, let, steps
 
-BY_MONTH = Window.partitionBy("series_key").orderBy("month")
-BY_KEY = Window.partitionBy("series_key")
 SEASON = 12
 
 
+def by_month() -> WindowSpec:
+    return Window.partitionBy("series_key").orderBy("month")
+
+
+def by_key() -> WindowSpec:
+    return Window.partitionBy("series_key")
+
+
 @dataclass(frozen=True)
 class CalendarRule:
     """A factor for some months, in some years only when ``years`` is given."""
@@ -48,7 +54,7 @@ def complete_months(series: DataFrame, value: str = "y") -> DataFrame:
     Each row is repeated up to the month before the next one, so the series is
     read once and not joined with itself.
     """
-    following = F.lead("month").over(BY_MONTH)
+    following = F.lead("month").over(by_month())
     until = F.add_months(F.coalesce(following, F.add_months("month", 1)), -1)
     others = [c for c in series.columns if c not in ("series_key", "month", value)]
     own = F.col("_gap") == 0
@@ -70,7 +76,7 @@ def complete_months(series: DataFrame, value: str = "y") -> DataFrame:
 
 
 def row_index(series: DataFrame, name: str = "month_index") -> DataFrame:
-    return series.withColumn(name, F.row_number().over(BY_MONTH))
+    return series.withColumn(name, F.row_number().over(by_month()))
 
 
 def apply_calendar(
@@ -103,7 +109,7 @@ def split(series: DataFrame, train: int = 18, test: int = 6) -> DataFrame:
     train + test is marked ``short`` throughout.
     """
     back = F.row_number().over(Window.partitionBy("series_key").orderBy(F.col("month").desc()))
-    n = F.count(F.lit(1)).over(BY_KEY)
+    n = F.count(F.lit(1)).over(by_key())
     part = (
         F.when(F.col("_n") < train + test, "short")
         .when(F.col("_back") <= test, "test")
@@ -124,7 +130,7 @@ def part(parted: DataFrame, name: str) -> DataFrame:
 
 
 def lags(series: DataFrame, ks: Sequence[int] = (1, 3, 6, 12), value: str = "y") -> DataFrame:
-    return series.withColumns({f"lag_{k}": F.lag(value, k).over(BY_MONTH) for k in ks})
+    return series.withColumns({f"lag_{k}": F.lag(value, k).over(by_month()) for k in ks})
 
 
 def moving_means(
@@ -138,7 +144,7 @@ def moving_means(
     end = -1 if leak_free else 0
 
     def mean(k: int) -> Column:
-        frame = BY_MONTH.rowsBetween(end - k + 1, end)
+        frame = by_month().rowsBetween(end - k + 1, end)
         return F.when(F.count(value).over(frame) == k, F.avg(value).over(frame))
 
     return series.withColumns({f"ma_{k}": mean(k) for k in ks})
@@ -163,7 +169,7 @@ def ts_features(series: DataFrame, leak_free: bool = True) -> DataFrame:
 
 def append_future(series: DataFrame, h: int = 1) -> DataFrame:
     """The history and ``h`` further months with unknown value."""
-    last = F.lead("month").over(BY_MONTH).isNull()
+    last = F.lead("month").over(by_month()).isNull()
     own = F.struct("month", "y")
     ahead = F.transform(
         steps(h),
@@ -259,8 +265,8 @@ def local_trend(
         array_sum(F.transform("_l", lambda e: e["l"] * e["l"])).alias("_ll"),
         F.try_divide(F.col("_a"), F.col("_det")).alias("_own"),
     )
-    freedom = F.col("_n") - 2 * F.sum("_own").over(BY_KEY) + F.sum("_ll").over(BY_KEY)
-    rss = F.sum(F.pow(F.col("y") - F.col("trend"), F.lit(2))).over(BY_KEY)
+    freedom = F.col("_n") - 2 * F.sum("_own").over(by_key()) + F.sum("_ll").over(by_key())
+    rss = F.sum(F.pow(F.col("y") - F.col("trend"), F.lit(2))).over(by_key())
     half = z * F.sqrt(F.when(freedom > 0, rss / freedom) * F.col("_ll"))
     return fitted.select(
         "series_key", "month", "y", "trend",
@@ -270,8 +276,8 @@ def local_trend(
 
 def decompose(series: DataFrame) -> DataFrame:
     """Trend by a centred 2x12 mean, monthly season centred on 0, remainder."""
-    early, late = BY_MONTH.rowsBetween(-6, 5), BY_MONTH.rowsBetween(-5, 6)
-    full = F.count("y").over(BY_MONTH.rowsBetween(-6, 6)) == SEASON + 1
+    early, late = by_month().rowsBetween(-6, 5), by_month().rowsBetween(-5, 6)
+    full = F.count("y").over(by_month().rowsBetween(-6, 6)) == SEASON + 1
     trend = F.when(full, (F.avg("y").over(early) + F.avg("y").over(late)) / 2)
     same_month = Window.partitionBy("series_key", F.month("month"))
     with_season = (
@@ -280,7 +286,7 @@ def decompose(series: DataFrame) -> DataFrame:
         # Every calendar month weighs the same, however many years it was seen.
         .withColumn("_w", F.when(F.col("_raw").isNotNull(), 1.0 / F.count(F.lit(1)).over(same_month)))
     )
-    centre = F.sum(F.col("_raw") * F.col("_w")).over(BY_KEY) / F.sum("_w").over(BY_KEY)
+    centre = F.sum(F.col("_raw") * F.col("_w")).over(by_key()) / F.sum("_w").over(by_key())
     return (
         with_season.withColumn("seasonal", F.col("_raw") - centre)
         .withColumn("remainder", F.col("y") - F.col("trend") - F.col("seasonal"))

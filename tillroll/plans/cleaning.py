@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tillroll.functions.columns import rounded, safe_price, safe_rate
@@ -12,14 +13,16 @@ from tillroll.plans.common import SEGMENT_SQL, customer_segments, orders_view, s
 from tillroll.plans.registry import q, query
 from tillroll.sources.star import load_star
 
-KEY = F.col("product_id")
+def key() -> Column:
+    return F.col("product_id")
+
 
 RAW_COLOR_SQL = """CASE WHEN product_id % 11 = 0 THEN ' n/a ' WHEN product_id % 13 = 0 THEN NULL
     ELSE color END"""
 
 
 def _raw_color():
-    return F.when(KEY % 11 == 0, " n/a ").when(KEY % 13 == 0, None).otherwise(F.col("color"))
+    return F.when(key() % 11 == 0, " n/a ").when(key() % 13 == 0, None).otherwise(F.col("color"))
 
 
 @query(
@@ -52,10 +55,10 @@ def _odd_prices(products):
     """Prices with missing, zero and non-positive values at fixed keys."""
     return products.select(
         "product_id",
-        F.when(KEY % 17 == 0, None).when(KEY % 19 == 0, 0.0).otherwise(F.col("initial_price")).alias(
+        F.when(key() % 17 == 0, None).when(key() % 19 == 0, 0.0).otherwise(F.col("initial_price")).alias(
             "initial_price"
         ),
-        F.when(KEY % 23 == 0, 0.0).when(KEY % 29 == 0, None).otherwise(F.col("final_price")).alias(
+        F.when(key() % 23 == 0, 0.0).when(key() % 29 == 0, None).otherwise(F.col("final_price")).alias(
             "final_price"
         ),
     )
@@ -114,11 +117,11 @@ COLOR_TEXT_SQL = """CASE WHEN product_id % 13 = 0 THEN NULL WHEN product_id % 11
 
 def _color_text():
     return (
-        F.when(KEY % 13 == 0, None)
-        .when(KEY % 11 == 0, "   ")
-        .when(KEY % 7 == 0, F.concat(F.lit("Dark  "), "color"))
-        .when(KEY % 5 == 0, F.upper("color"))
-        .when(KEY % 3 == 0, F.concat_ws(" ", "color", "category"))
+        F.when(key() % 13 == 0, None)
+        .when(key() % 11 == 0, "   ")
+        .when(key() % 7 == 0, F.concat(F.lit("Dark  "), "color"))
+        .when(key() % 5 == 0, F.upper("color"))
+        .when(key() % 3 == 0, F.concat_ws(" ", "color", "category"))
         .otherwise(F.col("color"))
     )
 
@@ -185,10 +188,10 @@ def clean_color_group(spark, sf_dir):
 def clean_safe_price(spark, sf_dir):
     raw = load_star(spark, sf_dir).products.select(
         "product_id",
-        F.when(KEY % 7 == 0, "ask").when(KEY % 11 == 0, "-5").otherwise(
+        F.when(key() % 7 == 0, "ask").when(key() % 11 == 0, "-5").otherwise(
             F.col("initial_price").cast("string")
         ).alias("price"),
-        F.when(KEY % 5 == 0, "n/a").otherwise(
+        F.when(key() % 5 == 0, "n/a").otherwise(
             (F.col("discount_rate") * 2 - 0.5).cast("string")
         ).alias("rate"),
     )
@@ -241,10 +244,10 @@ def line_totals(spark, sf_dir):
 )
 def normalize_types(spark, sf_dir):
     raw = load_star(spark, sf_dir).lines.select(
-        KEY.cast("string").alias("product_id"),
+        key().cast("string").alias("product_id"),
         F.col("order_id").cast("string").alias("order_id"),
-        F.when(KEY % 9 == 0, "two").otherwise(F.col("quantity").cast("string")).alias("quantity"),
-        F.when(KEY % 4 == 0, "").otherwise(F.col("discount_rate").cast("string")).alias(
+        F.when(key() % 9 == 0, "two").otherwise(F.col("quantity").cast("string")).alias("quantity"),
+        F.when(key() % 4 == 0, "").otherwise(F.col("discount_rate").cast("string")).alias(
             "discount_rate"
         ),
         F.col("discount_rate_adjusted").cast("string").alias("discount_rate_adjusted"),
@@ -263,8 +266,8 @@ def normalize_types(spark, sf_dir):
 def fill_unknown(spark, sf_dir):
     raw = load_star(spark, sf_dir).products.select(
         "product_id",
-        F.when(KEY % 3 != 0, F.col("brand")).alias("brand"),
-        F.when(KEY % 4 != 0, F.col("size")).alias("size"),
+        F.when(key() % 3 != 0, F.col("brand")).alias("brand"),
+        F.when(key() % 4 != 0, F.col("size")).alias("size"),
     )
     return cleaning.fill_unknown(raw, ["brand", "size"])
 
@@ -279,10 +282,10 @@ def fill_unknown(spark, sf_dir):
 def finite_features(spark, sf_dir):
     raw = load_star(spark, sf_dir).products.select(
         "product_id",
-        F.when(KEY % 5 == 0, None)
-        .when(KEY % 5 == 1, float("nan"))
-        .when(KEY % 5 == 2, float("inf"))
-        .when(KEY % 5 == 3, float("-inf"))
+        F.when(key() % 5 == 0, None)
+        .when(key() % 5 == 1, float("nan"))
+        .when(key() % 5 == 2, float("inf"))
+        .when(key() % 5 == 3, float("-inf"))
         .otherwise(F.col("initial_price"))
         .alias("measure"),
     )
