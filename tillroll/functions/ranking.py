@@ -73,6 +73,32 @@ def value_counts(
     )
 
 
+def _near_a_target(
+    probs: Sequence[float], first_rank: Column, last_rank: Column, last: Column
+) -> Column:
+    """Cheap test that drops the rows far from every wanted probability.
+
+    The unit interval is cut into cells and the probabilities are counted up to
+    each cell, so two array look-ups tell whether a row's ranks touch a cell
+    that holds one.
+    """
+    cells = 16 * len(probs)
+    upto, seen = [], 0
+    places = sorted(int(p * cells) for p in probs)
+    for cell in range(cells + 1):
+        while seen < len(places) and places[seen] <= cell:
+            seen += 1
+        upto.append(seen)
+    counted = F.expr(f"array({', '.join(map(str, (0, *upto)))})")
+
+    def cell_of(rank: Column) -> Column:
+        share = F.coalesce(F.try_divide(rank.cast("double"), last), F.lit(0.0))
+        return F.least(F.greatest(F.floor(share * cells), F.lit(0)), F.lit(cells)).cast("int")
+
+    low, high = cell_of(first_rank - 1), cell_of(last_rank + 1)
+    return (last == 0) | (F.get(counted, high + 1) > F.get(counted, low))
+
+
 def quantiles_of_counts(
     counts: DataFrame, probs: Sequence[float], by: Sequence[str] = ()
 ) -> DataFrame:
@@ -87,6 +113,7 @@ def quantiles_of_counts(
         return below.between(first_rank, last_rank) | above.between(first_rank, last_rank)
 
     grid = F.array(*[F.lit(float(p)) for p in probs])
+    ranked = ranked.filter(_near_a_target(probs, first_rank, last_rank, last))
     position = F.col("p") * last
     hits = ranked.withColumn("p", F.explode(F.filter(grid, holds))).select(
         *by,
