@@ -58,20 +58,21 @@ def compare(spark, con, query, sql, sf_dir):
 
 
 def main():
-    """python tests/compare.py SF [name ...]"""
+    """python tests/compare.py SF-or-folder [name or prefix* ...] [spark.conf=value ...]"""
     import tempfile
 
     sys.path.insert(0, "/root/repo")
     from tillroll.plans import load
     from tillroll.session import build_session
 
-    sf, only = sys.argv[1], sys.argv[2:]
-    sf_dir = f"/root/testdata/sf{sf}"
+    sf, only = sys.argv[1], [a for a in sys.argv[2:] if "=" not in a]
+    extra = dict(a.split("=", 1) for a in sys.argv[2:] if "=" in a)
+    sf_dir = sf if "/" in sf else f"/root/testdata/sf{sf}"
     spark = build_session(
         "compare", "local[8]",
         **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g",
            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="run-"),
-           "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="run-")},
+           "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="run-"), **extra},
     )
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
