@@ -4,8 +4,9 @@ import re
 
 import pytest
 
-from tillroll.operators import fact, reports
+from tillroll.operators import cleaning, fact, reports
 from tillroll.plans import load
+from tillroll.sources.files import write_table
 from tillroll.sources.star import load_star
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -55,3 +56,26 @@ def test_top_list_is_not_a_full_sort(spark):
 
 def test_brand_ranking_is_cut_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan(QUERIES["top20_brand_per_category"](spark, SF_DIR))
+
+
+def test_period_reads_only_its_months(spark, tmp_path):
+    star = load_star(spark, SF_DIR)
+    path = str(tmp_path / "orders")
+    write_table(star.orders.withColumn("order_month", reports.month_of()), path, ["order_month"])
+    df = cleaning.period(spark.read.parquet(path), "1996-02-10", "1996-03-05", "order_date")
+    filters = re.search(r"PartitionFilters: \[([^\n]*)\], PushedFilters", plan(df)).group(1)
+    assert "order_month" in filters
+    assert len(df.inputFiles()) > 2
+    want = star.orders.filter("order_date between date'1996-02-10' and date'1996-03-05'").count()
+    assert df.count() == want
+
+
+def test_large_sides_are_not_broadcast(spark):
+    """Beyond the broadcast limit the fact is built with shuffled joins."""
+    star = load_star(spark, SF_DIR)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        text = plan(fact.combine(star.lines, star.orders, star.customers, star.products))
+        assert "BroadcastHashJoin" not in text and text.count("SortMergeJoin") >= 3
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -178,5 +178,13 @@ def valid_amount(df: DataFrame, column: str = "total_amount") -> DataFrame:
 
 
 def period(df: DataFrame, start: str, end: str, column: str = "month") -> DataFrame:
-    """Months from ``start`` to ``end``, both included."""
-    return df.filter(F.col(column).between(F.to_date(F.lit(start)), F.to_date(F.lit(end))))
+    """Rows from ``start`` to ``end``, both included.
+
+    On a fact stored by order month the months are named as well, so only
+    their folders are listed and read.
+    """
+    low, high = F.to_date(F.lit(start)), F.to_date(F.lit(end))
+    kept = df.filter(F.col(column).between(low, high))
+    if column == "order_date" and "order_month" in df.columns:
+        kept = kept.filter(F.col("order_month").between(F.trunc(low, "MM"), high))
+    return kept

@@ -11,7 +11,7 @@ from tillroll.plans.common import (
 )
 from tillroll.plans.registry import q, query
 from tillroll.plans.reports import (
-    CUST_ITEM_SQL, CUST_ORDER_SQL, PROD_SALES_SQL, customer_items, product_sales, rfm_table,
+    CUST_ITEM_SQL, CUST_ORDER_SQL, PROD_SALES_SQL, RFM_SQL, customer_items, product_sales, rfm_table,
 )
 from tillroll.session import pinned
 from tillroll.sources.star import load_star
@@ -163,28 +163,88 @@ def silhouette_by_k(spark, sf_dir):
     return segment.silhouette_by_k(_scaled_customers(spark, sf_dir))
 
 
-@query("pca_customers")
+def _pca_sql(source, keys, columns):
+    """Two components by repeated squaring of the cross-product matrix.
+
+    The squares tend to the projector on the leading axis; the row with the
+    largest diagonal entry is that axis with its largest loading positive.
+    """
+    def axis(name, matrix):
+        return f"""
+    {name}_power AS (
+        WITH RECURSIVE p AS (
+            SELECT 0 AS k, m FROM {matrix}
+            UNION ALL
+            SELECT k + 1, list_transform(sq, lambda a: list_transform(a, lambda x: x / list_sum(
+                list_transform(range(1, len(sq) + 1), lambda i: sq[i][i]))))
+            FROM (SELECT k, list_transform(m, lambda a: list_transform(m,
+                lambda b: list_dot_product(a, b))) AS sq FROM p WHERE k < 24))
+        SELECT m FROM p WHERE k = 24),
+    {name} AS (
+        SELECT list_transform(m[place], lambda x: x / sqrt(m[place][place])) AS v
+        FROM (SELECT m, list_position(d, list_max(d)) AS place FROM (
+            SELECT m, list_transform(range(1, len(m) + 1), lambda i: m[i][i]) AS d FROM {name}_power)))"""
+
+    z = ", ".join(f"({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER () AS {c}" for c in columns)
+    point = "[" + ", ".join(f"CAST({c} AS DOUBLE)" for c in columns) + "]"
+    pairs = ", ".join(
+        "[" + ", ".join(f"sum({a} * {b})" for b in columns) + "]" for a in columns
+    )
+    return f"""
+    pz AS (SELECT {keys}, {z} FROM {source}),
+    cross1 AS (SELECT [{pairs}] AS m FROM pz),
+    {axis('axis1', 'cross1')},
+    cross2 AS (
+        SELECT list_transform(range(1, len(m) + 1), lambda i: list_transform(range(1, len(m) + 1),
+            lambda j: m[i][j] - v[i] * v[j] * list_dot_product(v, list_transform(m,
+                lambda a: list_dot_product(a, v))))) AS m
+        FROM cross1, axis1),
+    {axis('axis2', 'cross2')}
+    SELECT {keys}, {q(f'list_dot_product({point}, axis1.v)')} AS PC1,
+        {q(f'list_dot_product({point}, axis2.v)')} AS PC2
+    FROM pz, axis1, axis2"""
+
+
+@query(
+    "pca_customers",
+    f"""{CUST_ORDER_SQL}, {CUST_ITEM_SQL}, {SEGMENT_SQL},
+    feats AS (
+        SELECT customer_id, cluster, {', '.join(CUSTOMER)}
+        FROM cust_order JOIN cust_item USING (customer_id) JOIN s_segment USING (customer_id)),
+    {_pca_sql('feats', 'customer_id, cluster', CUSTOMER)}""",
+)
 def pca_customers(spark, sf_dir):
     star = load_star(spark, sf_dir)
     scaled, _ = segment.scaled_features(customer_features(star), CUSTOMER)
     cluster = rule_cluster(F.col("total_line_value"), SPEND_LOW, SPEND_HIGH)
-    return segment.principal_components(
-        scaled.withColumn("cluster", cluster), ["customer_id", "cluster"]
+    return show(
+        segment.principal_components(scaled.withColumn("cluster", cluster), ["customer_id", "cluster"])
     )
 
 
-@query("pca_customers_rfm")
+RFM_COLUMNS = ["frequency", "monetary", "avg_order_value", "recency_days"]
+
+
+@query(
+    "pca_customers_rfm",
+    f"""{SEGMENT_SQL}, {RFM_SQL},
+    feats AS (SELECT *, order_count AS frequency FROM rfm),
+    {_pca_sql('feats', 'customer_id, customer_type', RFM_COLUMNS)}""",
+)
 def pca_customers_rfm(spark, sf_dir):
     """The report variant: frequency, spend, order value and recency only."""
-    columns = ["frequency", "monetary", "avg_order_value", "recency_days"]
     base = complete_rows(
-        rfm_table(load_star(spark, sf_dir)), columns, {"recency_days": 9999}
+        rfm_table(load_star(spark, sf_dir)), RFM_COLUMNS, {"recency_days": 9999}
     )
-    scaled, _ = segment.scaled_features(pinned(base), columns)
-    return segment.principal_components(scaled, ["customer_id", "customer_type"])
+    scaled, _ = segment.scaled_features(pinned(base), RFM_COLUMNS)
+    return show(segment.principal_components(scaled, ["customer_id", "customer_type"]))
 
 
-@query("pca_products")
+@query(
+    "pca_products",
+    f"""{PROD_SALES_SQL},
+    {_pca_sql('prod_sales', 'product_id', [c for c in PRODUCT if c != 'rating'])}""",
+)
 def pca_products(spark, sf_dir):
     scaled, _ = segment.scaled_features(product_features(load_star(spark, sf_dir)), PRODUCT)
-    return segment.principal_components(scaled, ["product_id"])
+    return show(segment.principal_components(scaled, ["product_id"]))

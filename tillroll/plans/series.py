@@ -355,7 +355,53 @@ def fc_ar(spark, sf_dir):
     return show(fc.forecast(train(spark, sf_dir), ("AR",)), 2)
 
 
-@query("fc_harmonic")
+def _harmonic_sql(columns=5, n=18, ridge=0.1):
+    """Ridge regression as least squares with extra rows, solved by Gram-Schmidt.
+
+    Rows 1 to 18 are the training months, 19 to 24 the forecast (weight 0) and
+    101 on the penalty.
+    """
+    steps = [f"""
+    x0 AS (
+        SELECT r, j, v - CASE WHEN r < 100 THEN avg(v) FILTER (r <= {n}) OVER (PARTITION BY j) ELSE 0 END AS v,
+            CASE WHEN r <= {n} OR r > 100 THEN 1 ELSE 0 END AS w
+        FROM (
+            SELECT r, j, CASE j WHEN 1 THEN r / {n}e0 WHEN 2 THEN sin(2 * pi() * r / 12)
+                WHEN 3 THEN cos(2 * pi() * r / 12) WHEN 4 THEN sin(4 * pi() * r / 12)
+                ELSE cos(4 * pi() * r / 12) END AS v
+            FROM range(1, {n + 7}) t(r), range(1, {columns + 1}) c(j)
+            UNION ALL
+            SELECT 100 + i, j, CASE WHEN i = j THEN sqrt({ridge}e0) ELSE 0e0 END
+            FROM range(1, {columns + 1}) a(i), range(1, {columns + 1}) c(j)))"""]
+    for k in range(1, columns + 1):
+        steps.append(f"""
+    q{k} AS (
+        SELECT r, w, v / (SELECT sqrt(sum(v * v)) FROM x{k - 1} WHERE j = {k} AND w = 1) AS v
+        FROM x{k - 1} WHERE j = {k}),
+    d{k} AS (
+        SELECT j, sum(x.v * q.v) AS d FROM x{k - 1} x JOIN q{k} q USING (r)
+        WHERE x.w = 1 AND j > {k} GROUP BY j),
+    x{k} AS (
+        SELECT x.r, x.j, x.w, x.v - d * q.v AS v
+        FROM x{k - 1} x JOIN q{k} q ON q.r = x.r JOIN d{k} ON d{k}.j = x.j)""")
+    union = " UNION ALL ".join(f"SELECT {k} AS k, r, v FROM q{k}" for k in range(1, columns + 1))
+    return ",".join(steps) + f""",
+    basis AS ({union}),
+    weight AS (
+        SELECT series_key, k, sum(v * (y - mean_y)) AS c
+        FROM train JOIN ends USING (series_key) JOIN basis ON r = t GROUP BY 1, 2),
+    fit AS (
+        SELECT series_key, r, max(mean_y) + sum(c * v) AS yhat
+        FROM weight JOIN ends USING (series_key) JOIN basis USING (k) WHERE r < 100 GROUP BY 1, 2)"""
+
+
+@query(
+    "fc_harmonic",
+    f"""{SERIES_SQL}, {_harmonic_sql()}
+    SELECT series_key, 'Harmonic' AS model, CAST(last_month + (r - 18) * INTERVAL 1 MONTH AS DATE) AS month,
+        CAST(r - 18 AS INTEGER) AS h, {q('yhat', 2)} AS yhat
+    FROM fit JOIN ends USING (series_key)""",
+)
 def fc_harmonic(spark, sf_dir):
     return show(fc.forecast_harmonic(train(spark, sf_dir)), 2)
 

@@ -142,7 +142,8 @@ def forecast_monthly(
     """
     lines = store.read("fact")
     if before:
-        lines = lines.filter(F.col("order_date") < F.to_date(F.lit(before)))
+        end = F.to_date(F.lit(before))
+        lines = lines.filter((F.col("order_date") < end) & (F.col("order_month") <= F.trunc(end, "MM")))
     monthly = (
         reports.monthly_amount(lines, by, "total_amount") if measure == "amount" else reports.monthly_qty(lines, by)
     )
