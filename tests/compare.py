@@ -42,7 +42,10 @@ def rows_of(columns, rows):
 
 def compare(spark, con, query, sql, sf_dir):
     """None when equal, else a text naming the first difference."""
-    df = query(spark, sf_dir)
+    return difference(query(spark, sf_dir), con, sql)
+
+
+def difference(df, con, sql):
     mine = rows_of(df.columns, [tuple(r) for r in df.collect()])
     cur = con.execute(sql)
     names = [d[0] for d in cur.description]

@@ -2,7 +2,7 @@
 
 import pytest
 
-from compare import compare, connect
+from compare import connect, difference
 from tillroll.plans import load
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -16,9 +16,16 @@ def con():
     return connect(SF_DIR)
 
 
+PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas")
+PAIR_JOINS = ("CartesianProduct", "BroadcastNestedLoopJoin")
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
-def test_same_as_sql(spark, con, name):
-    assert compare(spark, con, QUERIES[name], ORACLES[name], SF_DIR) is None
+def test_same_as_sql_without_python_or_pair_joins(spark, con, name):
+    df = QUERIES[name](spark, SF_DIR)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not [node for node in (*PYTHON_NODES, *PAIR_JOINS) if node in plan]
+    assert difference(df, con, ORACLES[name]) is None
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - SLOW))

@@ -34,9 +34,9 @@ def test_salted_join_equals_plain_join(spark, hot_lines):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_hot_key_is_spread_over_tasks(spark, hot_lines):
+def test_copies_of_a_hot_line_are_spread_over_tasks(spark, hot_lines):
     right = spark.range(500).select(F.col("id").alias("product_id"), (F.col("id") * 2).alias("v"))
-    lines = hot_lines.withColumn("line", F.monotonically_increasing_id())
+    lines = skew.with_line_id(hot_lines.withColumn("quantity", F.lit(1)))
     confs = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.coalescePartitions.enabled": "false",

@@ -10,6 +10,20 @@ from pyspark.sql import functions as F
 HOT_SHARE = 0.01
 SALTS = 32
 
+# Column that tells equal lines apart while they are spread over salts.
+LINE_ID = "_line"
+
+
+def with_line_id(df: DataFrame) -> DataFrame:
+    """Adds ``_line``, unless the lines carry an id of their own.
+
+    For tables straight from storage: a retried task reads its split in the
+    same order and gives every row the same number again.
+    """
+    if LINE_ID in df.columns or "order_item_id" in df.columns:
+        return df
+    return df.withColumn(LINE_ID, F.monotonically_increasing_id())
+
 
 def hot_keys(df: DataFrame, *keys: str, share: float = HOT_SHARE) -> dict[str, list]:
     """Values holding more than ``share`` of the rows, per key column.
@@ -28,7 +42,9 @@ def salted_left_join(
 
     ``right`` has one row per key. Rows of ``left`` with a hot key go to
     ``salts`` shuffle partitions by a hash of the row, which a retried task
-    repeats exactly; only the hot rows of ``right`` are copied to match.
+    repeats exactly; only the hot rows of ``right`` are copied to match. Equal
+    rows share a salt, so tables that may hold many copies of one row need a
+    line id (``with_line_id``).
     """
     on = list(on)
     if not hot:

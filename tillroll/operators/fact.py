@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.columns import money, total
-from tillroll.functions.skew import hot_keys, salted_left_join
+from tillroll.functions.skew import LINE_ID, hot_keys, salted_left_join, with_line_id
 from tillroll.operators.cleaning import label_segments
 from tillroll.sources.contracts import require_columns
 
@@ -17,9 +17,11 @@ SHARED_WITH_PRODUCT = ("free_shipping", "discount_rate")
 
 
 def add_line_customer(lines: DataFrame, orders: DataFrame) -> DataFrame:
-    """Gives each line the customer of its order."""
+    """Gives each line of a stored table the customer of its order."""
     hot = hot_keys(lines, "order_id")["order_id"]
-    return salted_left_join(lines, orders.select("order_id", "customer_id"), ["order_id"], hot)
+    numbered = with_line_id(lines) if hot else lines
+    owners = orders.select("order_id", "customer_id")
+    return salted_left_join(numbered, owners, ["order_id"], hot).drop(LINE_ID)
 
 
 def combine(
@@ -34,7 +36,9 @@ def combine(
     With ``columns`` only the joins that supply one of them are made. Lines
     that carry a customer must agree with the order on it. No join carries a
     broadcast hint: Spark compares each side with its broadcast limit when it
-    runs and shuffles the larger ones, where hot keys are spread out.
+    runs and shuffles the larger ones, where hot keys are spread out. ``lines``
+    is a stored table; name ``_line`` among the columns to keep the line id
+    for a further salted join.
     """
     require_columns(lines, ["order_id", "product_id"])
     require_columns(orders, ["order_id", "customer_id"])
@@ -62,17 +66,22 @@ def combine(
     keys = ["order_id"] if from_order else []
     keys += ["product_id"] if from_product or shared else []
     hot = hot_keys(lines, *keys) if keys else {}
-    fact = lines
+    hot_customers = []
+    if from_customer:
+        source = lines if customer_on_line else orders
+        hot_customers = hot_keys(source, "customer_id")["customer_id"]
+    keep_id = wanted is not None and LINE_ID in wanted
+    spread = keep_id or hot_customers or any(hot.values())
+    fact = with_line_id(lines) if spread else lines
     if wanted is not None:
-        keep = wanted | {"order_id", "product_id"} | ({"customer_id"} if customer_on_line else set())
-        fact = lines.select(*[c for c in lines.columns if c in keep])
+        keep = wanted | {"order_id", "product_id", "order_item_id", LINE_ID}
+        keep |= {"customer_id"} if customer_on_line else set()
+        fact = fact.select(*[c for c in fact.columns if c in keep])
     if from_order:
         fact = salted_left_join(
             fact, orders.select(*order_keys, *from_order), order_keys, hot["order_id"]
         )
     if from_customer:
-        source = lines if customer_on_line else orders
-        hot_customers = hot_keys(source, "customer_id")["customer_id"]
         fact = salted_left_join(
             fact, customers.select("customer_id", *from_customer), ["customer_id"], hot_customers
         )
@@ -84,7 +93,7 @@ def combine(
         fact = fact.withColumns(
             {c: F.coalesce(F.col(c), F.col(f"_product_{c}")) for c in shared}
         ).drop(*[f"_product_{c}" for c in shared])
-    return fact.select(*columns) if columns else fact
+    return fact.select(*columns) if columns else fact.drop(LINE_ID)
 
 
 def roll_up_orders(orders: DataFrame, lines: DataFrame) -> DataFrame:

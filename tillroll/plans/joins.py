@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tillroll.functions.columns import rounded, total
-from tillroll.functions.skew import hot_keys
+from tillroll.functions.skew import LINE_ID, hot_keys, with_line_id
 from tillroll.operators import fact as facts
 from tillroll.operators import features
 from tillroll.plans.common import (
@@ -99,9 +99,9 @@ def feature_join(spark, sf_dir):
 )
 def writeback_segments(spark, sf_dir):
     star = load_star(spark, sf_dir)
-    lines = fact(star, "order_id", "product_id", "quantity", "customer_id")
+    lines = fact(star, "order_id", "product_id", "quantity", "customer_id", LINE_ID)
     hot = hot_keys(star.orders, "customer_id")["customer_id"]
-    return facts.write_back_segments(lines, customer_segments(orders_view(star)), hot)
+    return facts.write_back_segments(lines, customer_segments(orders_view(star)), hot).drop(LINE_ID)
 
 
 @query(
@@ -129,8 +129,9 @@ def writeback_segments(spark, sf_dir):
 def writeback_rating(spark, sf_dir):
     star = load_star(spark, sf_dir)
     lines = star.lines.select("order_id", "product_id", "quantity", F.lit(9).alias("rating"))
-    ratings = features.product_rating(_rated(star))
-    return facts.write_back_rating(lines, ratings.filter(F.col("product_id") % 6 != 0))
+    ratings = features.product_rating(_rated(star)).filter(F.col("product_id") % 6 != 0)
+    hot = hot_keys(lines, "product_id")["product_id"]
+    return facts.write_back_rating(with_line_id(lines), ratings, hot).drop(LINE_ID)
 
 
 def _rated(star):
@@ -153,9 +154,9 @@ def _rated(star):
 )
 def join_first_order(spark, sf_dir):
     star = load_star(spark, sf_dir)
-    lines = fact(star, "order_id", "product_id", "customer_id", "order_date")
+    lines = fact(star, "order_id", "product_id", "customer_id", "order_date", LINE_ID)
     hot = hot_keys(star.orders, "customer_id")["customer_id"]
-    return facts.add_first_order(lines, hot)
+    return facts.add_first_order(lines, hot).drop(LINE_ID)
 
 
 @query(

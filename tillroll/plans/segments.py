@@ -149,18 +149,23 @@ def kmeans_products(spark, sf_dir):
     return found.select("product_id", "cluster", "total_quantity", "total_revenue")
 
 
-def _scaled_customers(spark, sf_dir):
-    return segment.scaled_features(customer_features(load_star(spark, sf_dir)), CUSTOMER)[0].persist()
+def _by_k(spark, sf_dir, measure):
+    scaled = segment.scaled_features(customer_features(load_star(spark, sf_dir)), CUSTOMER)[0]
+    scaled = scaled.persist()
+    try:
+        return measure(scaled)
+    finally:
+        scaled.unpersist()
 
 
 @query("wss_by_k")
 def wss_by_k(spark, sf_dir):
-    return segment.wss_by_k(_scaled_customers(spark, sf_dir))
+    return _by_k(spark, sf_dir, segment.wss_by_k)
 
 
 @query("silhouette_by_k")
 def silhouette_by_k(spark, sf_dir):
-    return segment.silhouette_by_k(_scaled_customers(spark, sf_dir))
+    return _by_k(spark, sf_dir, segment.silhouette_by_k)
 
 
 def _pca_sql(source, keys, columns):

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.functions.columns import total
-from tillroll.functions.skew import hot_keys, salted_left_join
+from tillroll.functions.skew import LINE_ID, hot_keys, salted_left_join, with_line_id
 from tillroll.operators import cleaning, distribution, fact, features, reports, segment, terms
 from tillroll.operators import forecast as fc
 from tillroll.operators import series as ts
@@ -64,7 +64,8 @@ def price_orders(store: Store, lines: DataFrame, orders: DataFrame) -> None:
     lookup = cleaning.product_lookup(store.read("products"))
     bare = lines.drop("unit_price", "discount_rate", "free_shipping")
     hot = hot_keys(bare, "product_id")["product_id"]
-    priced = cleaning.price_lines(salted_left_join(bare, lookup, ["product_id"], hot))
+    joined = salted_left_join(with_line_id(bare), lookup, ["product_id"], hot).drop(LINE_ID)
+    priced = store.write(cleaning.price_lines(joined), "priced_lines")
     items = store.write(fact.add_line_customer(priced, orders), "order_items")
     store.write(fact.roll_up_orders(orders, items), "orders")
 
@@ -102,11 +103,12 @@ def write_back(store: Store) -> DataFrame:
     """The fact with segment labels and product ratings."""
     lines = store.read("fact")
     hot = hot_keys(lines, "customer_id", "product_id")
+    lines = with_line_id(lines)
     tagged = fact.write_back_segments(
         lines, store.read("customer_features", "customer_id", "cluster"), hot["customer_id"]
     )
     ratings = features.product_rating(store.write(features.rated_products(lines), "rated_products"))
-    rated = fact.write_back_rating(tagged, ratings, hot["product_id"])
+    rated = fact.write_back_rating(tagged, ratings, hot["product_id"]).drop(LINE_ID)
     return store.write(rated, "fact_with_clusters", ["order_month"])
 
 
