@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_SHARE = 0.01
-SALTS = 32
+LEAST_SALTS = 32
 
 # Column that tells equal lines apart while they are spread over salts.
 LINE_ID = "_line"
@@ -36,19 +36,25 @@ def hot_keys(df: DataFrame, *keys: str, share: float = HOT_SHARE) -> dict[str, l
 
 
 def salted_left_join(
-    left: DataFrame, right: DataFrame, on: Sequence[str], hot: list, salts: int = SALTS
+    left: DataFrame, right: DataFrame, on: Sequence[str], hot: list, salts: int | None = None
 ) -> DataFrame:
     """``left LEFT JOIN right`` on ``on``, hot values of ``on[0]`` spread out.
 
     ``right`` has one row per key. Rows of ``left`` with a hot key go to
     ``salts`` shuffle partitions by a hash of the row, which a retried task
-    repeats exactly; only the hot rows of ``right`` are copied to match. Equal
+    repeats exactly; only the hot rows of ``right`` are copied to match. There
+    are as many salts as shuffle partitions unless given, so a key with a
+    third of the rows fills the cluster evenly; keys below the hot share are
+    left to the adaptive skew join. Equal
     rows share a salt, so tables that may hold many copies of one row need a
     line id (``with_line_id``).
     """
     on = list(on)
     if not hot:
         return left.join(right, on, "left")
+    if salts is None:
+        configured = left.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")
+        salts = max(LEAST_SALTS, int(configured))
     is_hot = F.col(on[0]).isin(hot)
     spread = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(salts)).cast("int")
     every = F.sequence(F.lit(0), F.lit(salts - 1))

@@ -147,7 +147,7 @@ def product_rating(products: DataFrame) -> DataFrame:
 
 
 def rated_products(fact: DataFrame) -> DataFrame:
-    """Input of ``product_rating`` from the line fact."""
+    """Input of ``product_rating`` from the line fact or the roll-up by product."""
     return fact.groupBy("product_id").agg(
         total("quantity").alias("quantity"),
         F.avg(F.coalesce("final_price", "initial_price")).alias("avg_price"),

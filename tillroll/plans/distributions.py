@@ -189,10 +189,9 @@ def _trend_sql(chart, source, x, y):
 def linear_trend(spark, sf_dir):
     star = load_star(spark, sf_dir)
     sold = pinned(products_view(star).drop("rating"))
-    priced = sold.select(
-        "product_id", "quantity", F.coalesce("final_price", "initial_price").alias("avg_price")
+    rated = sold.join(
+        features.product_rating(features.rated_products(sold)), "product_id", "left"
     )
-    rated = sold.join(features.product_rating(priced), "product_id", "left")
     charts = {
         "discount_by_price": (cleaning.discounted(star.products), "initial_price", "discount_rate"),
         "sales_by_rating": (reports.rating_sales(rated), "rating", "sales"),

@@ -9,7 +9,7 @@ from tillroll.functions.skew import LINE_ID, hot_keys, with_line_id
 from tillroll.operators import fact as facts
 from tillroll.operators import features
 from tillroll.plans.common import (
-    SEGMENT_SQL, customer_segments, customers_with_segment, fact, orders_view, show,
+    SEGMENT_SQL, customer_segments, customers_with_segment, fact, orders_view, products_view, show,
 )
 from tillroll.operators.reports import named_clusters
 from tillroll.plans.registry import q, query
@@ -129,19 +129,12 @@ def writeback_segments(spark, sf_dir):
 def writeback_rating(spark, sf_dir):
     star = load_star(spark, sf_dir)
     lines = star.lines.select("order_id", "product_id", "quantity", F.lit(9).alias("rating"))
-    ratings = features.product_rating(_rated(star)).filter(F.col("product_id") % 6 != 0)
+    sold = features.rated_products(products_view(star))
+    ratings = features.product_rating(sold).filter(F.col("product_id") % 6 != 0)
     hot = hot_keys(lines, "product_id")["product_id"]
     return facts.write_back_rating(with_line_id(lines), ratings, hot).drop(LINE_ID)
 
 
-def _rated(star):
-    """Quantity and price per sold product; the price is constant per product."""
-    sold = facts.product_grain(star.lines, star.products)
-    return sold.select(
-        "product_id", "quantity", F.coalesce("final_price", "initial_price").alias("avg_price")
-    )
-
-
 @query(
     "join_first_order",
     """

@@ -109,7 +109,9 @@ def cust_item_features(spark, sf_dir):
 )
 def cust_profile(spark, sf_dir):
     star = load_star(spark, sf_dir)
-    return features.customer_profile(fact(star, "customer_id", *features.CUSTOMER_PROFILE))
+    # The attributes sit on the customer: one row per customer meets them, not every line.
+    seen = orders_view(star).select("customer_id").distinct()
+    return features.customer_profile(seen.join(star.customers, "customer_id", "left"))
 
 
 @query(
@@ -138,8 +140,7 @@ def prod_sales_features(spark, sf_dir):
     """,
 )
 def prod_profile(spark, sf_dir):
-    star = load_star(spark, sf_dir)
-    return show(features.product_profile(fact(star, "product_id", *features.PRODUCT_PROFILE)))
+    return show(features.product_profile(products_view(load_star(spark, sf_dir))))
 
 
 RATING_SQL = """
@@ -161,9 +162,7 @@ RATING_SQL = """
 
 @query("prod_rating", f"{RATING_SQL} SELECT product_id, rating FROM prod_rated")
 def prod_rating(spark, sf_dir):
-    star = load_star(spark, sf_dir)
-    lines = fact(star, "product_id", "quantity", "final_price", "initial_price")
-    return features.product_rating(features.rated_products(lines))
+    return features.product_rating(features.rated_products(products_view(load_star(spark, sf_dir))))
 
 
 @query(
@@ -522,8 +521,9 @@ def category_discount(spark, sf_dir):
 )
 def rating_sales(spark, sf_dir):
     sold = pinned(products_view(load_star(spark, sf_dir)).drop("rating"))
-    priced = sold.withColumn("avg_price", F.coalesce("final_price", "initial_price"))
-    rated = sold.join(features.product_rating(priced), "product_id", "left")
+    rated = sold.join(
+        features.product_rating(features.rated_products(sold)), "product_id", "left"
+    )
     return show(reports.rating_sales(rated))
 
 
