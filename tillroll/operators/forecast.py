@@ -25,6 +25,7 @@ from tillroll.functions.arrays import (
 )
 from tillroll.functions.columns import ratio
 from tillroll.operators.series import FEATURES, SEASON, arrays, ts_features
+from tillroll.session import pinned
 
 BASELINES = ("Mean", "Naive", "Drift", "Seasonal Naive", "MA(3)", "MA(6)")
 CLOSED = (*BASELINES, "TSLM")
@@ -529,15 +530,18 @@ def fit_boosted(
     rows: DataFrame, depth: int = 4, min_leaf: int = 1, rounds: int = 100, rate: float = 0.1,
     seed: int = 42,
 ):
-    """One model for the whole panel, fitted on the training rows."""
-    train = _vector(rows.filter(F.col("part") == "train")).select("features", "target").persist()
-    try:
-        return GBTRegressor(
-            featuresCol="features", labelCol="target", maxDepth=depth, maxIter=rounds,
-            stepSize=rate, minInstancesPerNode=min_leaf, seed=seed,
-        ).fit(train)
-    finally:
-        train.unpersist()
+    """One model for the whole panel, fitted on the training rows.
+
+    The rows are read once per boosting round, so they are pinned first, in as
+    few partitions as their size asks for.
+    """
+    train = pinned(
+        _vector(rows.filter(F.col("part") == "train")).select("features", "target")
+    )
+    return GBTRegressor(
+        featuresCol="features", labelCol="target", maxDepth=depth, maxIter=rounds,
+        stepSize=rate, minInstancesPerNode=min_leaf, seed=seed,
+    ).fit(train)
 
 
 def _vector(rows: DataFrame) -> DataFrame:
