@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import tillroll
 from tillroll.session import scratch_path
 
 # Texts handed to one vectorised step; keeps a task's memory apart from Arrow's batch size.
@@ -25,7 +27,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def on_workers(spark: SparkSession) -> SparkSession:
+    """Lets Python workers import this package from where the driver has it, unless they find it anyway."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(tillroll.__file__)))
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    on_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
