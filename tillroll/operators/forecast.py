@@ -17,19 +17,22 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.arrays import (
     array_mean,
-    array_quantile,
     array_sum,
     last_of,
     let,
     steps,
 )
 from tillroll.functions.columns import ratio
+from tillroll.functions.probability import student_t90
 from tillroll.operators.series import FEATURES, SEASON, arrays, ts_features
 from tillroll.session import pinned
 
 BASELINES = ("Mean", "Naive", "Drift", "Seasonal Naive", "MA(3)", "MA(6)")
 CLOSED = (*BASELINES, "TSLM")
 FOLDED = ("ETS", "AR")
+STATISTICAL = (*CLOSED, *FOLDED, "Harmonic")
+BOOSTED = {"GBT depthwise": (4, 1), "GBT small": (3, 20)}
+HARMONICS, RIDGE = 2, 0.1
 
 # Candidate smoothing weights for level, trend and season.
 LEVEL_GRID = (0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9)
@@ -71,7 +74,7 @@ def _season_fit(w: DataFrame) -> DataFrame:
     off = lambda i: i - F.get("_st", i % SEASON)
     num = array_sum(F.transform(_ys(), lambda y, i: off(i) * (y - F.get("_sy", i % SEASON))))
     den = array_sum(F.transform(_ys(), lambda y, i: off(i) * off(i)))
-    return w.withColumn("_slope", F.when(den > 0, num / den))
+    return w.withColumn("_den", den).withColumn("_slope", F.when(F.col("_den") > 0, num / F.col("_den")))
 
 
 def _tslm_at(t: Column) -> Column:
@@ -96,6 +99,35 @@ def _smoothing_grid() -> Column:
     )
 
 
+def _smoothing_step(st: Column, y: Column, level: Column, trend: Column, season: Column) -> Column:
+    """The state after one more value; its squared one-step error is added up."""
+    now = F.get(st["s"], F.lit(0))
+    return let(
+        y - (st["l"] + st["b"] + now),
+        lambda e: F.struct(
+            (st["l"] + st["b"] + level * e).alias("l"),
+            (st["b"] + trend * e).alias("b"),
+            F.concat(F.slice(st["s"], 2, SEASON - 1), F.array(now + season * e)).alias("s"),
+            (st["sse"] + e * e).alias("sse"),
+        ),
+    )
+
+
+def _smoothing_fits() -> Column:
+    """One-step forecasts of the chosen smoothing model over the values it was fitted on."""
+    e = F.col("_ets")
+    begin = F.struct(e["start"].alias("st"), F.array().cast("array<double>").alias("fits"))
+
+    def move(acc: Column, y: Column) -> Column:
+        st = acc["st"]
+        return F.struct(
+            _smoothing_step(st, y, e["wa"], e["wb"], e["wg"]).alias("st"),
+            F.concat(acc["fits"], F.array(st["l"] + st["b"] + F.get(st["s"], F.lit(0)))).alias("fits"),
+        )
+
+    return F.aggregate(_ys(), begin, move)["fits"]
+
+
 def _smoothing_fit(w: DataFrame) -> DataFrame:
     """Adds the candidate with the lowest AIC and its final state.
 
@@ -138,21 +170,7 @@ def _smoothing_fit(w: DataFrame) -> DataFrame:
         )
 
     def step(c: Column):
-        def update(st: Column, y: Column) -> Column:
-            season = F.get(st["s"], F.lit(0))
-            return let(
-                y - (st["l"] + st["b"] + season),
-                lambda e: F.struct(
-                    (st["l"] + st["b"] + c["a"] * e).alias("l"),
-                    (st["b"] + c["b"] * e).alias("b"),
-                    F.concat(
-                        F.slice(st["s"], 2, SEASON - 1), F.array(season + c["g"] * e)
-                    ).alias("s"),
-                    (st["sse"] + e * e).alias("sse"),
-                ),
-            )
-
-        return update
+        return lambda st, y: _smoothing_step(st, y, c["a"], c["b"], c["g"])
 
     def scored(c: Column, i: Column) -> Column:
         end = F.aggregate(_ys(), start(c), step(c))
@@ -161,7 +179,8 @@ def _smoothing_fit(w: DataFrame) -> DataFrame:
             lambda st: F.struct(
                 (_n() * F.log(F.greatest(st["sse"] / _n(), F.lit(TINY))) + 2 * c["k"]).alias("aic"),
                 i.alias("i"), c["kind"].alias("kind"), st["l"].alias("l"), st["b"].alias("b"),
-                st["s"].alias("s"),
+                st["s"].alias("s"), st["sse"].alias("sse"), c["a"].alias("wa"), c["b"].alias("wb"),
+                c["g"].alias("wg"), c["k"].alias("k"), start(c).alias("start"),
             ),
         )
 
@@ -206,7 +225,7 @@ def _ar_fit(w: DataFrame) -> DataFrame:
             return F.struct(
                 (F.log(F.greatest(sse / m, F.lit(TINY))) + F.lit(2.0 * k) / m).alias("aic"),
                 F.lit(d).alias("d"), phi.alias("phi"), const.alias("c"),
-                F.get(x, m).alias("x"),
+                F.get(x, m).alias("x"), sse.alias("sse"), F.nullif(m - (k - 1), F.lit(0)).alias("free"),
             )
 
         def both(s: Column) -> Column:
@@ -270,6 +289,8 @@ def forecast_values(model: str, h: int) -> Column:
         )
     if model == "AR":
         return _ar_values(h)
+    if model == "Harmonic":
+        return F.transform(steps(h), lambda k: _harmonic_at(_n() + k))
     raise ValueError(f"unknown model: {model}")
 
 
@@ -281,6 +302,8 @@ def prepared(w: DataFrame, models: Sequence[str]) -> DataFrame:
         w = _smoothing_fit(w)
     if "AR" in models:
         w = _ar_fit(w)
+    if "Harmonic" in models:
+        w = _harmonic_fit(w)
     return w
 
 
@@ -321,6 +344,16 @@ def _fitted(model: str) -> Column:
         return _ys()
     if model == "TSLM":
         return F.transform(_ys(), lambda y, i: _tslm_at(i))
+    if model == "ETS":
+        return _smoothing_fits()
+    if model == "AR":
+        ar = F.col("_ar")
+        back = lambda i, k: F.get(_ys(), i - k)
+        change = lambda i: ar["c"] + ar["phi"] * (back(i, 1) - back(i, 1 + ar["d"]))
+        plain = F.transform(_ys(), lambda y, i: ar["c"] + ar["phi"] * back(i, 1))
+        return F.when(ar["d"] == 0, plain).otherwise(F.transform(_ys(), lambda y, i: back(i, ar["d"]) + change(i)))
+    if model == "Harmonic":
+        return F.transform(_ys(), lambda y, i: _harmonic_at(i + 1))
     raise ValueError(f"no fitted values for {model}")
 
 
@@ -410,15 +443,41 @@ def future(series: DataFrame, best: DataFrame, models: Sequence[str] = CLOSED, h
     )
 
 
-def _scaled_steps(growth, h: int):
-    return lambda s: F.transform(steps(h), lambda k: -Z80 * s * growth(k))
+def _tslm_leverage(t: Column) -> Column:
+    """Leverage of position ``t`` in the regression on trend and season."""
+    season = t % SEASON
+    count = F.ceil((_n() - season) / F.lit(SEASON))
+    off = t - F.get("_st", season)
+    return 1 / F.nullif(count, F.lit(0)) + off * off / F.nullif(F.col("_den"), F.lit(0.0))
+
+
+def _ar_weight(ar: Column, j: Column) -> Column:
+    """How much of a shock ``j`` months ago is left, ``j`` from 1 on."""
+    power = F.pow(ar["phi"], j)
+    every = F.transform(F.sequence(F.lit(0), F.floor(j / SEASON).cast("int")), lambda i: F.pow(ar["phi"], j - SEASON * i))
+    return (
+        F.when(ar["d"] == 0, power)
+        .when(ar["d"] == 1, (1 - power * ar["phi"]) / (1 - ar["phi"]))
+        .otherwise(array_sum(every))
+    )
+
+
+def _spread_over(s: Column, weight, h: int) -> Column:
+    """80% half-widths for ``h`` months from the spread of a month and the weights of past shocks."""
+    def width(k: Column) -> Column:
+        past = F.filter(steps(h), lambda j: j < k)
+        return Z80 * s * F.sqrt(1 + F.coalesce(array_sum(F.transform(past, lambda j: weight(j) * weight(j))), F.lit(0.0)))
+
+    return F.transform(steps(h), width)
 
 
 def intervals(series: DataFrame, models: Sequence[str] = CLOSED, h: int = 6) -> DataFrame:
     """Forecasts with 80% bounds; NULL bounds for models that have none.
 
-    Mean, naive, drift and seasonal naive grow with the horizon in closed
-    form. The regression takes the 10% and 90% quantiles of its residuals.
+    Mean, naive, drift, seasonal naive, smoothing and autoregression grow with
+    the horizon in closed form. The regression has the prediction interval of
+    least squares: Student's t, residual spread and the leverage of the month
+    ahead. Moving means and the penalised harmonic regression have none.
     """
     w = prepared(windows(series), models)
 
@@ -428,7 +487,7 @@ def intervals(series: DataFrame, models: Sequence[str] = CLOSED, h: int = 6) ->
         )
 
     # Parameters plus start-up months that leave no residual.
-    lost = {"Mean": 1, "Naive": 1, "Drift": 2, "Seasonal Naive": SEASON}
+    lost = {"Mean": 1, "Naive": 1, "Drift": 2, "Seasonal Naive": SEASON, "TSLM": SEASON + 1}
 
     def sigma(m: str) -> Column:
         sse = array_sum(F.transform(residual(m), lambda e: e * e))
@@ -440,18 +499,29 @@ def intervals(series: DataFrame, models: Sequence[str] = CLOSED, h: int = 6) ->
         "Drift": lambda k: F.sqrt(k * (1 + F.try_divide(k.cast("double"), _n() - 1))),
         "Seasonal Naive": lambda k: F.sqrt(F.floor((k - 1) / F.lit(SEASON)) + 1.0),
     }
+
+    def half_width(m: str) -> Column:
+        if m in growth:
+            return let(sigma(m), lambda s: F.transform(steps(h), lambda k: Z80 * s * growth[m](k)))
+        if m == "TSLM":
+            quantile = student_t90(_n() - lost[m])
+            return let(sigma(m), lambda s: F.transform(steps(h), lambda k: quantile * s * F.sqrt(1 + _tslm_leverage(_n() - 1 + k))))
+        if m == "ETS":
+            e = F.col("_ets")
+            s = F.sqrt(F.when(_n() > e["k"], e["sse"] / F.nullif(_n() - e["k"], F.lit(0))))
+            weight = lambda j: e["wa"] + j * e["wb"] + F.when(j % SEASON == 0, e["wg"]).otherwise(0.0)
+            return _spread_over(s, weight, h)
+        if m == "AR":
+            ar = F.col("_ar")
+            s = F.sqrt(F.when(ar["free"] > 0, ar["sse"] / ar["free"]))
+            return _spread_over(s, lambda j: _ar_weight(ar, j), h)
+        return F.array_repeat(F.lit(None).cast("double"), h)
+
     rows = {}
     for m in models:
-        if m in growth:
-            low = let(sigma(m), _scaled_steps(growth[m], h))
-            high = F.transform(low, lambda v: -v)
-        elif m == "TSLM":
-            low = F.array_repeat(array_quantile(residual(m), 0.1), h)
-            high = F.array_repeat(array_quantile(residual(m), 0.9), h)
-        else:
-            low = high = F.array_repeat(F.lit(None).cast("double"), h)
+        wide = half_width(m)
         rows[m] = F.arrays_zip(
-            forecast_values(m, h).alias("yhat"), low.alias("low"), high.alias("high")
+            forecast_values(m, h).alias("yhat"), F.transform(wide, lambda v: -v).alias("low"), wide.alias("high")
         )
     long = _long(w, rows, "_v")
     return long.select(
@@ -465,44 +535,64 @@ def intervals(series: DataFrame, models: Sequence[str] = CLOSED, h: int = 6) ->
 # --- harmonic regression ---------------------------------------------------------
 
 
-def harmonic_weights(n: int, h: int, harmonics: int = 2, ridge: float = 0.1) -> np.ndarray:
-    """Rows of the linear map from ``n`` values to ``n`` fits and ``h`` forecasts.
+def _harmonic_terms(t: Column) -> Column:
+    """Trend and yearly sine and cosine terms at the 1-based position ``t``."""
+    terms = [t / _n()]
+    for k in range(1, HARMONICS + 1):
+        angle = t * (2 * np.pi * k / SEASON)
+        terms += [F.sin(angle), F.cos(angle)]
+    return F.array(*terms)
 
-    Trend and yearly sine and cosine terms with a ridge penalty. The design
-    depends on the length alone: shifting the start month only rotates each
-    sine-cosine pair, which the penalty does not notice.
-    """
-    t = np.arange(1, n + h + 1, dtype=float)
+
+def harmonic_inverse(n: int) -> tuple[list[float], list[list[float]]]:
+    """Means of the terms over ``n`` months and the inverse of their penalised cross products."""
+    t = np.arange(1, n + 1, dtype=float)
     columns = [t / n]
-    for k in range(1, harmonics + 1):
+    for k in range(1, HARMONICS + 1):
         columns += [np.sin(2 * np.pi * k * t / SEASON), np.cos(2 * np.pi * k * t / SEASON)]
     x = np.column_stack(columns)
-    centre = x[:n].mean(axis=0)
+    centre = x.mean(axis=0)
     xc = x - centre
-    gram = xc[:n].T @ xc[:n] + ridge * np.eye(x.shape[1])
-    slopes = np.linalg.solve(gram, xc[:n].T)
-    return np.full((n + h, n), 1.0 / n) + xc @ (slopes - slopes.mean(axis=1, keepdims=True))
+    return centre.tolist(), np.linalg.inv(xc.T @ xc + RIDGE * np.eye(x.shape[1])).tolist()
 
 
-def forecast_harmonic(series: DataFrame, h: int = 6, harmonics: int = 2, ridge: float = 0.1) -> DataFrame:
-    """In-sample fits (``h`` <= 0) and forecasts of the harmonic regression.
+def _harmonic_fit(w: DataFrame) -> DataFrame:
+    """Adds the mean, the centres and the coefficients of a ridge regression on trend and season.
 
-    One small weight table per series length is joined in; there are no more
+    The design depends on the length of a series alone: shifting the start
+    month only rotates each sine-cosine pair, which the penalty does not
+    notice. One small inverse per length is broadcast; there are no more
     lengths than calendar months.
     """
-    w = windows(series).withColumn("_n", _n())
-    spark = series.sparkSession
-    lengths = [r[0] for r in w.select("_n").distinct().collect()]
-    table = [
-        (n, i + 1 - n, [float(v) for v in row])
-        for n in lengths
-        for i, row in enumerate(harmonic_weights(n, h, harmonics, ridge))
-    ]
-    weights = spark.createDataFrame(table, "_n int, h int, w array<double>")
-    dot = array_sum(F.zip_with("w", "ys", lambda a, b: a * b))
-    return w.join(weights, "_n").select(
-        "series_key", F.lit("Harmonic").alias("model"),
-        F.add_months("last_month", F.col("h")).alias("month"), "h", dot.alias("yhat"),
+    lengths = [r[0] for r in w.select(_n().alias("n")).distinct().collect()]
+    table = [(n, *harmonic_inverse(n)) for n in lengths]
+    inverses = w.sparkSession.createDataFrame(table, "_length int, _centre array<double>, _inverse array<array<double>>")
+    w = w.join(F.broadcast(inverses), _n() == F.col("_length")).withColumn("_mean", array_mean(_ys()))
+    terms = F.transform(_ys(), lambda y, i: F.struct(_harmonic_terms(i + 1).alias("x"), (y - F.col("_mean")).alias("y")))
+    w = w.withColumn("_terms", terms)
+    places = F.sequence(F.lit(0), F.lit(2 * HARMONICS))
+    crossed = F.transform(
+        places,
+        lambda j: array_sum(F.transform("_terms", lambda r: (F.get(r["x"], j) - F.get("_centre", j)) * r["y"])),
+    )
+    w = w.withColumn("_crossed", crossed)
+    slopes = F.transform("_inverse", lambda row: array_sum(F.zip_with(row, "_crossed", lambda a, b: a * b)))
+    return w.withColumn("_slopes", slopes).drop("_terms", "_crossed", "_inverse", "_length")
+
+
+def _harmonic_at(t: Column) -> Column:
+    off = F.zip_with(_harmonic_terms(t), "_centre", lambda x, c: x - c)
+    return F.col("_mean") + array_sum(F.zip_with(off, "_slopes", lambda x, b: x * b))
+
+
+def forecast_harmonic(series: DataFrame, h: int = 6) -> DataFrame:
+    """In-sample fits (``h`` <= 0) and forecasts of the harmonic regression."""
+    w = _harmonic_fit(windows(series))
+    both = F.concat(_fitted("Harmonic"), forecast_values("Harmonic", h))
+    return _long(w, {"Harmonic": both}, "yhat").select(
+        "series_key", "model",
+        F.add_months("last_month", F.col("_k") + 1 - F.col("_n")).alias("month"),
+        (F.col("_k") + 1 - F.col("_n")).alias("h"), "yhat",
     )
 
 
@@ -512,12 +602,12 @@ SCALED = ("lag_1", "lag_3", "lag_6", "lag_12", "ma_3", "ma_6")
 
 
 def boosted_features(parted: DataFrame, leak_free: bool = True) -> DataFrame:
-    """Feature rows in units of the series' training mean, with their part."""
+    """Feature rows in units of the series' training mean (1 if it is not positive), with their part."""
     scale = (
         parted.filter(F.col("part") == "train")
         .groupBy("series_key")
-        .agg(F.avg("y").alias("scale"))
-        .filter(F.col("scale") > 0)
+        .agg(F.avg("y").alias("_m"))
+        .select("series_key", F.when(F.col("_m") > 0, F.col("_m")).otherwise(1.0).alias("scale"))
     )
     rows = ts_features(parted.select("series_key", "month", "y", "part"), leak_free)
     rows = rows.join(scale, "series_key")
@@ -610,3 +700,17 @@ def forecast_boosted(
     history = parted.filter(F.col("part").isin("skip", "train")).select("series_key", "month", "y")
     scale = rows.select("series_key", "scale").distinct()
     return predict_recursive(model, history, scale, name, h).drop("h")
+
+
+def future_boosted(series: DataFrame, best: DataFrame, name: str, h: int = 6) -> DataFrame:
+    """``h`` months ahead for the series whose best model is this boosted one.
+
+    The trees are fitted anew on the full histories of all series, since one
+    model serves the panel; only the chosen series are walked forward.
+    """
+    depth, leaf = BOOSTED[name]
+    rows = boosted_features(series.withColumn("part", F.lit("train")))
+    model = fit_boosted(rows, depth, leaf)
+    chosen = series.join(best.filter(F.col("model") == name).select("series_key"), "series_key", "left_semi")
+    scale = rows.select("series_key", "scale").distinct()
+    return predict_recursive(model, chosen, scale, name, h).select("series_key", "model", "month", "yhat")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tillroll.functions.columns import rounded
+from tillroll.functions.probability import t90_table
 from tillroll.operators import forecast as fc
 from tillroll.operators import reports
 from tillroll.operators import series as ts
@@ -13,8 +14,6 @@ from tillroll.plans.registry import q, query
 from tillroll.session import pinned
 from tillroll.sources.star import load_star
 
-CUT = "2001-08-01"
-
 # The fixture's calendar: the general rules plus promotions in its own years.
 RULES = (
     *(r for r in ts.CALENDAR if not r.years),
@@ -22,11 +21,11 @@ RULES = (
     ts.CalendarRule((11, 12), 1.30, (2000,)),
 )
 
-SERIES_SQL = f"""
+SERIES_SQL = """
     m AS (
         SELECT root_category AS series_key, CAST(date_trunc('month', order_date) AS DATE) AS month,
             sum(line_total) AS amount
-        FROM s_fact WHERE order_date < DATE '{CUT}' GROUP BY ALL),
+        FROM s_fact GROUP BY ALL),
     spine AS (
         SELECT series_key, CAST(unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS DATE) AS month
         FROM (SELECT series_key, min(month) AS lo, max(month) AS hi FROM m GROUP BY 1)),
@@ -64,11 +63,9 @@ SERIES_SQL = f"""
 
 
 def raw_series(spark, sf_dir):
-    """Monthly sales per root category, up to the last whole month."""
+    """Monthly sales per root category."""
     lines = fact(load_star(spark, sf_dir), "root_category", "order_date", "line_total")
-    monthly = reports.monthly_amount(
-        lines.filter(F.col("order_date") < F.to_date(F.lit(CUT))), ["root_category"]
-    )
+    monthly = reports.monthly_amount(lines, ["root_category"])
     return monthly.select(F.col("root_category").alias("series_key"), "month", F.col("amount").alias("y"))
 
 
@@ -104,18 +101,21 @@ def month_spine(spark, sf_dir):
     m AS (
         SELECT brand AS series_key, CAST(date_trunc('month', order_date) AS DATE) AS month,
             sum(quantity) AS y
-        FROM s_fact WHERE quantity >= 49 GROUP BY ALL),
+        FROM s_fact GROUP BY ALL),
+    kept AS (SELECT * FROM m WHERE (year(month) * 12 + month(month)) % 5 <> 0),
     spine AS (
         SELECT series_key, CAST(unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS DATE) AS month
-        FROM (SELECT series_key, min(month) AS lo, max(month) AS hi FROM m GROUP BY 1))
-    SELECT series_key, month, coalesce(y, 0) AS y FROM spine LEFT JOIN m USING (series_key, month)
+        FROM (SELECT series_key, min(month) AS lo, max(month) AS hi FROM kept GROUP BY 1))
+    SELECT series_key, month, coalesce(y, 0) AS y FROM spine LEFT JOIN kept USING (series_key, month)
     """,
 )
 def month_spine_gaps(spark, sf_dir):
+    """Every fifth month is blanked out after all lines were added up."""
     lines = fact(load_star(spark, sf_dir), "brand", "order_date", "quantity")
-    monthly = reports.monthly_qty(lines.filter(F.col("quantity") >= 49), ["brand"])
+    monthly = reports.monthly_qty(lines, ["brand"])
+    kept = monthly.filter((F.year("month") * 12 + F.month("month")) % 5 != 0)
     return ts.complete_months(
-        monthly.select(F.col("brand").alias("series_key"), "month", F.col("qty").alias("y"))
+        kept.select(F.col("brand").alias("series_key"), "month", F.col("qty").alias("y"))
     )
 
 
@@ -212,81 +212,40 @@ def ts_features_parity(spark, sf_dir):
 
 # --- closed-form models ---------------------------------------------------------
 
-CLOSED_SQL = f"""{SERIES_SQL},
-    season AS (
-        SELECT series_key, t % 12 AS s, avg(y) AS ys, avg(t) AS ts FROM train GROUP BY 1, 2),
-    slope AS (
-        SELECT train.series_key, sum((t - ts) * (y - ys)) / sum((t - ts) * (t - ts)) AS b
-        FROM train JOIN season ON season.series_key = train.series_key AND s = train.t % 12
-        GROUP BY ALL)"""
-
-_MODEL_SQL = {
-    "Mean": "SELECT series_key, month, h, mean_y AS yhat FROM ahead",
-    "Naive": "SELECT series_key, month, h, last_y AS yhat FROM ahead",
-    "Drift": """SELECT series_key, month, h, last_y + h * (last_y - first_y) / (n - 1) AS yhat
-        FROM ahead""",
-    "Seasonal Naive": """SELECT a.series_key, a.month, h, y AS yhat FROM ahead a JOIN train t
-        ON t.series_key = a.series_key AND t.month = CAST(a.month - INTERVAL 12 MONTH AS DATE)""",
-    "MA(3)": """SELECT a.series_key, a.month, h, avg(y) AS yhat FROM ahead a JOIN train t
-        ON t.series_key = a.series_key AND t > 15 GROUP BY ALL""",
-    "MA(6)": """SELECT a.series_key, a.month, h, avg(y) AS yhat FROM ahead a JOIN train t
-        ON t.series_key = a.series_key AND t > 12 GROUP BY ALL""",
-    "TSLM": """SELECT a.series_key, a.month, h, ys + b * (18 + h - ts) AS yhat
-        FROM ahead a JOIN slope USING (series_key)
-        JOIN season ON season.series_key = a.series_key AND s = (18 + h) % 12""",
-}
-
-
-def _forecasts_sql(models):
-    return " UNION ALL ".join(
-        f"SELECT series_key, '{m}' AS model, month, h, yhat FROM ({_MODEL_SQL[m]})" for m in models
-    )
-
-
-def _closed_query(name, models):
-    @query(
-        name,
-        f"""{CLOSED_SQL}
-        SELECT series_key, model, month, h, {q('yhat', 2)} AS yhat
-        FROM ({_forecasts_sql(models)})""",
-    )
-    def run(spark, sf_dir):
-        return show(fc.forecast(train(spark, sf_dir), models), 2)
-
-    return run
-
 
-_closed_query("fc_mean", ("Mean",))
-_closed_query("fc_naive", ("Naive",))
-_closed_query("fc_drift", ("Drift",))
-_closed_query("fc_seasonal_naive", ("Seasonal Naive",))
-_closed_query("fc_ma3_ma6", ("MA(3)", "MA(6)"))
-_closed_query("fc_tslm", ("TSLM",))
-_closed_query("union_models", fc.CLOSED)
-
-
-# --- smoothing and autoregression -------------------------------------------------
-
-_GRID_SQL = """
-    levels AS (SELECT unnest([0.1e0, 0.2e0, 0.3e0, 0.4e0, 0.5e0, 0.6e0, 0.7e0, 0.8e0, 0.9e0]) AS a),
-    small AS (SELECT unnest([0.05e0, 0.1e0, 0.2e0]) AS v),
-    grid AS (
-        SELECT 'simple' AS kind, a, 0e0 AS b, 0e0 AS g, 3 AS k, 1 AS rank FROM levels
-        UNION ALL SELECT 'trend', a, v, 0e0, 5, 2 FROM levels, small
-        UNION ALL SELECT 'season', a, x.v, z.v, 17, 3 FROM levels, small x, small z)"""
-
-
-@query(
-    "fc_ets",
-    f"""{SERIES_SQL}, {_GRID_SQL},
-    hist AS (SELECT series_key, max(month) AS last_month, list(y ORDER BY month) AS ys, count(*) AS n
-        FROM train GROUP BY 1),
-    init AS (
+# --- models in SQL ----------------------------------------------------------------
+#
+# Each builder adds the steps of some models over a table ``src`` of
+# (series_key, month, y, t); ``p`` keeps the names for training and full history apart.
+
+
+def _closed_sql(src, p=""):
+    return f"""
+    {p}season AS (
+        SELECT series_key, t % 12 AS s, avg(y) AS ys, avg(t) AS ts, count(*) AS cnt FROM {src} GROUP BY 1, 2),
+    {p}slope AS (
+        SELECT x.series_key, sum((t - ts) * (y - ys)) / sum((t - ts) * (t - ts)) AS b,
+            sum((t - ts) * (t - ts)) AS den
+        FROM {src} x JOIN {p}season z ON z.series_key = x.series_key AND z.s = x.t % 12
+        GROUP BY 1)"""
+
+
+def _ets_sql(src, p=""):
+    return f"""
+    {p}levels AS (SELECT unnest([0.1e0, 0.2e0, 0.3e0, 0.4e0, 0.5e0, 0.6e0, 0.7e0, 0.8e0, 0.9e0]) AS a),
+    {p}small AS (SELECT unnest([0.05e0, 0.1e0, 0.2e0]) AS v),
+    {p}grid AS (
+        SELECT 'simple' AS kind, a, 0e0 AS b, 0e0 AS g, 3 AS k, 1 AS rank FROM {p}levels
+        UNION ALL SELECT 'trend', a, v, 0e0, 5, 2 FROM {p}levels, {p}small
+        UNION ALL SELECT 'season', a, x.v, z.v, 17, 3 FROM {p}levels, {p}small x, {p}small z),
+    {p}hist AS (SELECT series_key, max(month) AS last_month, list(y ORDER BY month) AS ys, count(*) AS n
+        FROM {src} GROUP BY 1),
+    {p}init AS (
         SELECT *, (ys[n] - ys[1]) / (n - 1) AS slope0,
             list_avg(list_transform(range(13, n + 1), lambda i: (ys[i] - ys[i - 12]) / 12)) AS yearly,
             list_avg(ys[1:12]) AS mean12
-        FROM hist),
-    started AS (
+        FROM {p}hist),
+    {p}started AS (
         SELECT series_key, last_month, ys, n, kind, a, b AS wb, g, k, rank, CAST(0 AS BIGINT) AS t,
             CASE kind WHEN 'season' THEN mean12 - yearly * 6.5 WHEN 'trend' THEN ys[1] - slope0
                 ELSE ys[1] END AS l,
@@ -294,112 +253,160 @@ _GRID_SQL = """
             CASE kind WHEN 'season' THEN list_transform(range(1, 13),
                 lambda i: ys[i] - (mean12 - yearly * 6.5) - yearly * i)
                 ELSE list_transform(range(1, 13), lambda i: 0e0) END AS s,
-            0e0 AS sse
-        FROM init, grid),
-    walk AS (
+            0e0 AS sse, CAST([] AS DOUBLE[]) AS fits
+        FROM {p}init, {p}grid),
+    {p}walk AS (
         WITH RECURSIVE w AS (
-            SELECT * FROM started
+            SELECT * FROM {p}started
             UNION ALL
             SELECT series_key, last_month, ys, n, kind, a, wb, g, k, rank, t + 1,
-                l + b + a * e, b + wb * e, list_append(s[2:12], s[1] + g * e), sse + e * e
+                l + b + a * e, b + wb * e, list_append(s[2:12], s[1] + g * e), sse + e * e,
+                list_append(fits, l + b + s[1])
             FROM (SELECT *, ys[t + 1] - (l + b + s[1]) AS e FROM w WHERE t < n))
         SELECT * FROM w WHERE t = n),
-    best AS (
+    {p}ets AS (
         SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY series_key
-            ORDER BY n * ln(greatest(sse / n, 1e-12)) + 2 * k, rank, a, wb, g) AS place FROM walk)
-        WHERE place = 1)
-    SELECT series_key, 'ETS' AS model, CAST(last_month + h * INTERVAL 1 MONTH AS DATE) AS month,
-        CAST(h AS INTEGER) AS h, {q('l + h * b + s[h]', 2)} AS yhat
-    FROM best, range(1, 7) r(h)""",
-)
-def fc_ets(spark, sf_dir):
-    return show(fc.forecast(train(spark, sf_dir), ("ETS",)), 2)
+            ORDER BY n * ln(greatest(sse / n, 1e-12)) + 2 * k, rank, a, wb, g) AS place FROM {p}walk)
+        WHERE place = 1)"""
 
 
-@query(
-    "fc_ar",
-    f"""{SERIES_SQL},
-    x AS (
-        SELECT series_key, 0 AS d, t, y AS x FROM train
-        UNION ALL SELECT a.series_key, 1, a.t, a.y - p.y FROM train a JOIN train p
+def _ar_sql(src, p=""):
+    return f"""
+    {p}x AS (
+        SELECT series_key, 0 AS d, t, y AS x FROM {src}
+        UNION ALL SELECT a.series_key, 1, a.t, a.y - p.y FROM {src} a JOIN {src} p
             ON p.series_key = a.series_key AND p.t = a.t - 1
-        UNION ALL SELECT a.series_key, 12, a.t, a.y - p.y FROM train a JOIN train p
+        UNION ALL SELECT a.series_key, 12, a.t, a.y - p.y FROM {src} a JOIN {src} p
             ON p.series_key = a.series_key AND p.t = a.t - 12),
-    sums AS (
+    {p}sums AS (
         SELECT v.series_key, v.d, count(*) AS m, regr_sxx(v.x, u.x) AS sxx, regr_syy(v.x, u.x) AS syy,
             regr_sxy(v.x, u.x) AS sxy, avg(u.x) AS mb, avg(v.x) AS ma
-        FROM x v JOIN x u ON u.series_key = v.series_key AND u.d = v.d AND u.t = v.t - 1
+        FROM {p}x v JOIN {p}x u ON u.series_key = v.series_key AND u.d = v.d AND u.t = v.t - 1
         GROUP BY 1, 2 HAVING count(*) >= 4),
-    cand AS (
-        SELECT series_key, d, 0e0 AS phi, ma AS c, ln(greatest(syy / m, 1e-12)) + 4e0 / m AS aic
-        FROM sums
+    {p}cand AS (
+        SELECT series_key, d, 0e0 AS phi, ma AS c, ln(greatest(syy / m, 1e-12)) + 4e0 / m AS aic,
+            syy AS sse, m - 1 AS free
+        FROM {p}sums
         UNION ALL
         SELECT series_key, d, sxy / sxx, ma - sxy / sxx * mb,
-            ln(greatest((syy - sxy / sxx * sxy) / m, 1e-12)) + 6e0 / m
-        FROM sums WHERE abs(sxy / sxx) < 1),
-    best AS (
-        SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY series_key ORDER BY aic, d, phi) AS n
-            FROM cand) WHERE n = 1),
-    steps AS (
-        SELECT b.series_key, b.d, h, x.x * pow(phi, h) + c * (1 - pow(phi, h)) / (1 - phi) AS xh
-        FROM best b JOIN x ON x.series_key = b.series_key AND x.d = b.d AND x.t = 18,
-            range(1, 7) r(h))
-    SELECT s.series_key, 'AR' AS model, a.month, a.h,
-        {q('''CASE s.d WHEN 0 THEN xh
-            WHEN 1 THEN last_y + sum(xh) OVER (PARTITION BY s.series_key ORDER BY s.h)
-            ELSE p.y + xh END''', 2)} AS yhat
-    FROM steps s JOIN ahead a ON a.series_key = s.series_key AND a.h = s.h
-    JOIN train p ON p.series_key = s.series_key AND p.t = 6 + s.h""",
-)
-def fc_ar(spark, sf_dir):
-    return show(fc.forecast(train(spark, sf_dir), ("AR",)), 2)
+            ln(greatest((syy - sxy / sxx * sxy) / m, 1e-12)) + 6e0 / m, syy - sxy / sxx * sxy, m - 2
+        FROM {p}sums WHERE abs(sxy / sxx) < 1),
+    {p}ar AS (
+        SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY series_key ORDER BY aic, d, phi) AS place
+            FROM {p}cand) WHERE place = 1),
+    {p}ar_ahead AS (
+        SELECT s.series_key, a.month, a.h, CASE s.d WHEN 0 THEN xh
+            WHEN 1 THEN last_y + sum(xh) OVER (PARTITION BY s.series_key ORDER BY s.h) ELSE o.y + xh END AS yhat
+        FROM (
+            SELECT b.series_key, b.d, a.h, e.n, x.x * pow(phi, a.h) + c * (1 - pow(phi, a.h)) / (1 - phi) AS xh
+            FROM {p}ar b JOIN {p}ends e ON e.series_key = b.series_key
+            JOIN {p}x x ON x.series_key = b.series_key AND x.d = b.d AND x.t = e.n
+            JOIN {p}ahead a ON a.series_key = b.series_key) s
+        JOIN {p}ahead a ON a.series_key = s.series_key AND a.h = s.h
+        JOIN {src} o ON o.series_key = s.series_key AND o.t = s.n - 12 + s.h)"""
 
 
-def _harmonic_sql(columns=5, n=18, ridge=0.1):
-    """Ridge regression as least squares with extra rows, solved by Gram-Schmidt.
+def _harmonic_sql(src, p="", columns=5, ridge=0.1):
+    """Ridge regression as least squares with extra rows, solved by Gram-Schmidt for each length.
 
-    Rows 1 to 18 are the training months, 19 to 24 the forecast (weight 0) and
-    101 on the penalty.
+    Rows 1 to n are the months fitted, the next six the forecast (weight 0), and
+    negative ones the penalty.
     """
     steps = [f"""
-    x0 AS (
-        SELECT r, j, v - CASE WHEN r < 100 THEN avg(v) FILTER (r <= {n}) OVER (PARTITION BY j) ELSE 0 END AS v,
-            CASE WHEN r <= {n} OR r > 100 THEN 1 ELSE 0 END AS w
+    {p}x0 AS (
+        SELECT n, r, j, v - CASE WHEN r > 0 THEN avg(v) FILTER (r BETWEEN 1 AND n) OVER (PARTITION BY n, j)
+            ELSE 0 END AS v, CASE WHEN r <= n THEN 1 ELSE 0 END AS w
         FROM (
-            SELECT r, j, CASE j WHEN 1 THEN r / {n}e0 WHEN 2 THEN sin(2 * pi() * r / 12)
+            SELECT n, r, j, CASE j WHEN 1 THEN r / CAST(n AS DOUBLE) WHEN 2 THEN sin(2 * pi() * r / 12)
                 WHEN 3 THEN cos(2 * pi() * r / 12) WHEN 4 THEN sin(4 * pi() * r / 12)
                 ELSE cos(4 * pi() * r / 12) END AS v
-            FROM range(1, {n + 7}) t(r), range(1, {columns + 1}) c(j)
+            FROM (SELECT n, unnest(range(1, n + 7)) AS r FROM (SELECT DISTINCT n FROM {p}ends)),
+                range(1, {columns + 1}) c(j)
             UNION ALL
-            SELECT 100 + i, j, CASE WHEN i = j THEN sqrt({ridge}e0) ELSE 0e0 END
-            FROM range(1, {columns + 1}) a(i), range(1, {columns + 1}) c(j)))"""]
+            SELECT n, -i, j, CASE WHEN i = j THEN sqrt({ridge}e0) ELSE 0e0 END
+            FROM (SELECT DISTINCT n FROM {p}ends), range(1, {columns + 1}) a(i), range(1, {columns + 1}) c(j)))"""]
     for k in range(1, columns + 1):
         steps.append(f"""
-    q{k} AS (
-        SELECT r, w, v / (SELECT sqrt(sum(v * v)) FROM x{k - 1} WHERE j = {k} AND w = 1) AS v
-        FROM x{k - 1} WHERE j = {k}),
-    d{k} AS (
-        SELECT j, sum(x.v * q.v) AS d FROM x{k - 1} x JOIN q{k} q USING (r)
-        WHERE x.w = 1 AND j > {k} GROUP BY j),
-    x{k} AS (
-        SELECT x.r, x.j, x.w, x.v - d * q.v AS v
-        FROM x{k - 1} x JOIN q{k} q ON q.r = x.r JOIN d{k} ON d{k}.j = x.j)""")
-    union = " UNION ALL ".join(f"SELECT {k} AS k, r, v FROM q{k}" for k in range(1, columns + 1))
+    {p}q{k} AS (
+        SELECT n, r, w, v / sqrt(sum(v * v) FILTER (w = 1) OVER (PARTITION BY n)) AS v
+        FROM {p}x{k - 1} WHERE j = {k}),
+    {p}d{k} AS (
+        SELECT n, j, sum(x.v * q.v) AS d FROM {p}x{k - 1} x JOIN {p}q{k} q USING (n, r)
+        WHERE x.w = 1 AND j > {k} GROUP BY n, j),
+    {p}x{k} AS (
+        SELECT x.n, x.r, x.j, x.w, x.v - d * q.v AS v
+        FROM {p}x{k - 1} x JOIN {p}q{k} q ON q.n = x.n AND q.r = x.r
+        JOIN {p}d{k} d ON d.n = x.n AND d.j = x.j)""")
+    union = " UNION ALL ".join(f"SELECT {k} AS k, n, r, v FROM {p}q{k}" for k in range(1, columns + 1))
     return ",".join(steps) + f""",
-    basis AS ({union}),
-    weight AS (
-        SELECT series_key, k, sum(v * (y - mean_y)) AS c
-        FROM train JOIN ends USING (series_key) JOIN basis ON r = t GROUP BY 1, 2),
-    fit AS (
-        SELECT series_key, r, max(mean_y) + sum(c * v) AS yhat
-        FROM weight JOIN ends USING (series_key) JOIN basis USING (k) WHERE r < 100 GROUP BY 1, 2)"""
+    {p}basis AS ({union}),
+    {p}weight AS (
+        SELECT x.series_key, e.n, k, sum(v * (y - mean_y)) AS c
+        FROM {src} x JOIN {p}ends e ON e.series_key = x.series_key
+        JOIN {p}basis b ON b.n = e.n AND b.r = x.t GROUP BY 1, 2, 3),
+    {p}fit AS (
+        SELECT w.series_key, w.n, r, max(mean_y) + sum(c * v) AS yhat
+        FROM {p}weight w JOIN {p}ends e ON e.series_key = w.series_key
+        JOIN {p}basis b ON b.n = w.n AND b.k = w.k WHERE r > 0 GROUP BY 1, 2, 3)"""
+
+
+def _models_sql(src, p=""):
+    return ",".join(f(src, p) for f in (_closed_sql, _ets_sql, _ar_sql, _harmonic_sql))
+
+
+def _forecasts_sql(models, src="train", p=""):
+    back = f"""FROM {p}ahead a JOIN {src} t ON t.series_key = a.series_key"""
+    per_model = {
+        "Mean": f"SELECT series_key, month, h, mean_y AS yhat FROM {p}ahead",
+        "Naive": f"SELECT series_key, month, h, last_y AS yhat FROM {p}ahead",
+        "Drift": f"SELECT series_key, month, h, last_y + h * (last_y - first_y) / (n - 1) AS yhat FROM {p}ahead",
+        "Seasonal Naive": f"SELECT a.series_key, a.month, h, y AS yhat {back} AND t.t = n + h - 12",
+        "MA(3)": f"SELECT a.series_key, a.month, h, avg(y) AS yhat {back} AND t.t > n - 3 GROUP BY ALL",
+        "MA(6)": f"SELECT a.series_key, a.month, h, avg(y) AS yhat {back} AND t.t > n - 6 GROUP BY ALL",
+        "TSLM": f"""SELECT a.series_key, a.month, h, ys + b * (n + h - ts) AS yhat
+            FROM {p}ahead a JOIN {p}slope l ON l.series_key = a.series_key
+            JOIN {p}season z ON z.series_key = a.series_key AND z.s = (n + h) % 12""",
+        "ETS": f"""SELECT series_key, CAST(last_month + h * INTERVAL 1 MONTH AS DATE) AS month,
+            CAST(h AS INTEGER) AS h, l + h * b + s[h] AS yhat FROM {p}ets, range(1, 7) r(h)""",
+        "AR": f"SELECT series_key, month, h, yhat FROM {p}ar_ahead",
+        "Harmonic": f"""SELECT f.series_key, CAST(last_month + (r - f.n) * INTERVAL 1 MONTH AS DATE) AS month,
+            CAST(r - f.n AS INTEGER) AS h, yhat
+            FROM {p}fit f JOIN {p}ends e ON e.series_key = f.series_key WHERE r > f.n""",
+    }
+    return " UNION ALL ".join(
+        f"SELECT series_key, '{m}' AS model, month, h, yhat FROM ({per_model[m]})" for m in models
+    )
+
+
+def _model_query(name, models, steps):
+    @query(
+        name,
+        f"""{SERIES_SQL}, {steps}
+        SELECT series_key, model, month, h, {q('yhat', 2)} AS yhat
+        FROM ({_forecasts_sql(models)})""",
+    )
+    def run(spark, sf_dir):
+        return show(fc.forecast(train(spark, sf_dir), models), 2)
+
+    return run
+
+
+for _name, _models in (
+    ("fc_mean", ("Mean",)), ("fc_naive", ("Naive",)), ("fc_drift", ("Drift",)),
+    ("fc_seasonal_naive", ("Seasonal Naive",)), ("fc_ma3_ma6", ("MA(3)", "MA(6)")), ("fc_tslm", ("TSLM",)),
+):
+    _model_query(_name, _models, _closed_sql("train"))
+_model_query("fc_ets", ("ETS",), _ets_sql("train"))
+_model_query("fc_ar", ("AR",), _ar_sql("train"))
+_model_query("union_models", fc.STATISTICAL, _models_sql("train"))
 
 
 @query(
     "fc_harmonic",
-    f"""{SERIES_SQL}, {_harmonic_sql()}
-    SELECT series_key, 'Harmonic' AS model, CAST(last_month + (r - 18) * INTERVAL 1 MONTH AS DATE) AS month,
-        CAST(r - 18 AS INTEGER) AS h, {q('yhat', 2)} AS yhat
+    f"""{SERIES_SQL}, {_harmonic_sql("train")}
+    SELECT fit.series_key, 'Harmonic' AS model,
+        CAST(last_month + (r - fit.n) * INTERVAL 1 MONTH AS DATE) AS month,
+        CAST(r - fit.n AS INTEGER) AS h, {q('yhat', 2)} AS yhat
     FROM fit JOIN ends USING (series_key)""",
 )
 def fc_harmonic(spark, sf_dir):
@@ -408,8 +415,8 @@ def fc_harmonic(spark, sf_dir):
 
 # --- scores ---------------------------------------------------------------------
 
-SCORES_SQL = f"""{CLOSED_SQL},
-    forecasts AS ({_forecasts_sql(fc.CLOSED)}),
+SCORES_SQL = f"""{SERIES_SQL}, {_models_sql("train")},
+    forecasts AS ({_forecasts_sql(fc.STATISTICAL)}),
     scale AS (
         SELECT a.series_key, avg(abs(a.y - p.y)) AS scale FROM train a JOIN train p
             ON p.series_key = a.series_key AND p.t = a.t - 12 GROUP BY 1),
@@ -423,7 +430,7 @@ SCORES_SQL = f"""{CLOSED_SQL},
 
 def _scored(everything):
     learn, hold = ts.part(everything, "train"), ts.part(everything, "test")
-    return fc.accuracy(fc.forecast(learn), hold, learn)
+    return fc.accuracy(fc.forecast(learn, fc.STATISTICAL), hold, learn)
 
 
 @query(
@@ -462,7 +469,7 @@ def fc_best(spark, sf_dir):
 )
 def fc_compare(spark, sf_dir):
     everything = pinned_parts(spark, sf_dir)
-    forecasts = fc.forecast(ts.part(everything, "train"))
+    forecasts = fc.forecast(ts.part(everything, "train"), fc.STATISTICAL)
     return show(fc.compare(forecasts, ts.part(everything, "test")), 2)
 
 
@@ -477,7 +484,7 @@ def fc_compare(spark, sf_dir):
 def fc_compare_best(spark, sf_dir):
     everything = pinned_parts(spark, sf_dir)
     learn, hold = ts.part(everything, "train"), ts.part(everything, "test")
-    forecasts = fc.forecast(learn)
+    forecasts = fc.forecast(learn, fc.STATISTICAL)
     best = fc.best_model(fc.accuracy(forecasts, hold, learn))
     chosen = forecasts.join(best.select("series_key", "model"), ["series_key", "model"])
     return show(fc.compare(chosen, hold), 2)
@@ -486,47 +493,46 @@ def fc_compare_best(spark, sf_dir):
 # The full history plays the training set, whatever its length.
 FULL_SQL = f"""{BEST_SQL},
     full_t AS (SELECT series_key, month, y, i AS t FROM series),
-    full_end AS (
+    full_ends AS (
         SELECT series_key, max(month) AS last_month, count(*) AS n, avg(y) AS mean_y,
             arg_max(y, month) AS last_y, arg_min(y, month) AS first_y FROM full_t GROUP BY 1),
     full_ahead AS (
-        SELECT e.*, h, CAST(last_month + h * INTERVAL 1 MONTH AS DATE) AS month
-        FROM full_end e, range(1, 7) r(h)),
-    full_season AS (
-        SELECT series_key, t % 12 AS s, avg(y) AS ys, avg(t) AS ts FROM full_t GROUP BY 1, 2),
-    full_slope AS (
-        SELECT f.series_key, sum((t - ts) * (y - ys)) / sum((t - ts) * (t - ts)) AS b
-        FROM full_t f JOIN full_season s ON s.series_key = f.series_key AND s.s = f.t % 12
-        GROUP BY 1),
-    full_ma AS (
-        SELECT f.series_key, avg(y) FILTER (t > n - 3) AS ma3, avg(y) FILTER (t > n - 6) AS ma6
-        FROM full_t f JOIN full_end USING (series_key) GROUP BY 1)"""
+        SELECT e.*, CAST(h AS INTEGER) AS h, CAST(last_month + h * INTERVAL 1 MONTH AS DATE) AS month
+        FROM full_ends e, range(1, 7) r(h)),
+    {_models_sql("full_t", "full_")},
+    full_forecasts AS ({_forecasts_sql(fc.STATISTICAL, "full_t", "full_")})"""
 
 
 @query(
     "fc_future",
     f"""{FULL_SQL}
-    SELECT a.series_key, model, a.month, {q('''CASE model WHEN 'Mean' THEN mean_y WHEN 'Naive' THEN last_y
-            WHEN 'Drift' THEN last_y + h * (last_y - first_y) / (n - 1) WHEN 'Seasonal Naive' THEN p.y
-            WHEN 'MA(3)' THEN ma3 WHEN 'MA(6)' THEN ma6 ELSE ys + b * (n + h - ts) END''', 2)} AS yhat
-    FROM full_ahead a JOIN best ON best.series_key = a.series_key
-    JOIN full_t p ON p.series_key = a.series_key AND p.t = n + h - 12
-    JOIN full_season s ON s.series_key = a.series_key AND s.s = (n + h) % 12
-    JOIN full_slope l ON l.series_key = a.series_key
-    JOIN full_ma m ON m.series_key = a.series_key""",
+    SELECT f.series_key, model, f.month, {q('yhat', 2)} AS yhat
+    FROM full_forecasts f JOIN best USING (series_key, model)""",
 )
 def fc_future(spark, sf_dir):
     everything = pinned_parts(spark, sf_dir)
     best = fc.best_model(_scored(everything))
-    return show(fc.future(everything.select("series_key", "month", "y"), best), 2)
+    return show(fc.future(everything.select("series_key", "month", "y"), best, fc.STATISTICAL), 2)
+
+
+@query(
+    "fc_future_all",
+    f"{FULL_SQL} SELECT series_key, model, month, h, {q('yhat', 2)} AS yhat FROM full_forecasts",
+)
+def fc_future_all(spark, sf_dir):
+    """Every model on the full history, so that each refit is checked, not only the best one's."""
+    return show(fc.forecast(panel(spark, sf_dir), fc.STATISTICAL), 2)
 
 
-FITTED_SQL = f"""{CLOSED_SQL},
+FITTED_SQL = f"""{SERIES_SQL}, {_models_sql("train")},
     fitted AS (
         SELECT t.series_key, t.month, t.t, t.y, mean_y AS f1, lag(y) OVER w AS f2,
             lag(y) OVER w + (last_y - first_y) / (n - 1) AS f3, lag(y, 12) OVER w AS f4,
-            ys + b * (t.t - ts) AS f5
-        FROM train t JOIN ends USING (series_key) JOIN slope USING (series_key)
+            ys + b * (t.t - ts) AS f5,
+            c + phi * lag(y) OVER w AS g0,
+            lag(y) OVER w + c + phi * (lag(y) OVER w - lag(y, 2) OVER w) AS g1,
+            lag(y, 12) OVER w + c + phi * (lag(y) OVER w - lag(y, 13) OVER w) AS g12, d
+        FROM train t JOIN ends USING (series_key) JOIN slope USING (series_key) JOIN ar USING (series_key)
         JOIN season ON season.series_key = t.series_key AND s = t.t % 12
         WINDOW w AS (PARTITION BY t.series_key ORDER BY t.month)),
     fits AS (
@@ -536,7 +542,11 @@ FITTED_SQL = f"""{CLOSED_SQL},
         UNION ALL SELECT series_key, 'Seasonal Naive', month, y, f4 FROM fitted
         UNION ALL SELECT series_key, 'MA(3)', month, y, y FROM fitted
         UNION ALL SELECT series_key, 'MA(6)', month, y, y FROM fitted
-        UNION ALL SELECT series_key, 'TSLM', month, y, f5 FROM fitted)"""
+        UNION ALL SELECT series_key, 'TSLM', month, y, f5 FROM fitted
+        UNION ALL SELECT f.series_key, 'ETS', month, y, fits[f.t] FROM fitted f JOIN ets e ON e.series_key = f.series_key
+        UNION ALL SELECT series_key, 'AR', month, y, CASE d WHEN 0 THEN g0 WHEN 1 THEN g1 ELSE g12 END FROM fitted
+        UNION ALL SELECT f.series_key, 'Harmonic', month, y, yhat FROM fitted f
+            JOIN fit ON fit.series_key = f.series_key AND fit.r = f.t)"""
 
 
 @query(
@@ -547,41 +557,54 @@ FITTED_SQL = f"""{CLOSED_SQL},
     FROM fits""",
 )
 def fc_residuals(spark, sf_dir):
-    return show(fc.residuals(train(spark, sf_dir)), 2)
+    return show(fc.residuals(train(spark, sf_dir), fc.STATISTICAL), 2)
+
+
+_SHOCKS = "coalesce(list_sum(list_transform(range(1, f.h), lambda j: ({0}) ^ 2)), 0)"
+
+INTERVAL_SQL = f"""{FITTED_SQL},
+    forecasts AS ({_forecasts_sql(fc.STATISTICAL)}),
+    spread AS (SELECT series_key, model, sum((y - fitted) ^ 2) AS sse FROM fits GROUP BY 1, 2),
+    half AS (
+        SELECT f.*, CASE f.model
+            WHEN 'Mean' THEN {fc.Z80}e0 * sqrt(z.sse / (n - 1)) * sqrt(1 + 1e0 / n)
+            WHEN 'Naive' THEN {fc.Z80}e0 * sqrt(z.sse / (n - 1)) * sqrt(f.h)
+            WHEN 'Drift' THEN {fc.Z80}e0 * sqrt(z.sse / (n - 2)) * sqrt(f.h * (1 + f.h / (n - 1e0)))
+            WHEN 'Seasonal Naive' THEN {fc.Z80}e0 * sqrt(z.sse / (n - 12)) * sqrt(floor((f.h - 1) / 12) + 1)
+            WHEN 'TSLM' THEN {{t90}}e0 * sqrt(z.sse / (n - 13))
+                * sqrt(1 + 1e0 / cnt + (n + f.h - ts) * (n + f.h - ts) / den)
+            WHEN 'ETS' THEN {fc.Z80}e0 * sqrt(e.sse / nullif(greatest(n - e.k, 0), 0)) * sqrt(1 + {_SHOCKS.format(
+                'e.a + j * e.wb + CASE WHEN j % 12 = 0 THEN e.g ELSE 0 END')})
+            WHEN 'AR' THEN {fc.Z80}e0 * sqrt(r.sse / nullif(greatest(r.free, 0), 0)) * sqrt(1 + {_SHOCKS.format(
+                'CASE r.d WHEN 1 THEN (1 - pow(r.phi, j + 1)) / (1 - r.phi) ELSE pow(r.phi, j) END')})
+            END AS w
+        FROM forecasts f JOIN spread z ON z.series_key = f.series_key AND z.model = f.model
+        JOIN (SELECT series_key, n FROM ends) x ON x.series_key = f.series_key
+        JOIN season s ON s.series_key = f.series_key AND s.s = (n + f.h) % 12
+        JOIN slope l ON l.series_key = f.series_key
+        JOIN (SELECT series_key, a, wb, g, k, sse FROM ets) e ON e.series_key = f.series_key
+        JOIN ar r ON r.series_key = f.series_key)""".replace("{t90}", repr(t90_table()[18 - 13 - 1]))
 
 
 @query(
     "fc_interval",
-    f"""{FITTED_SQL},
-    forecasts AS ({_forecasts_sql(fc.CLOSED)}),
+    f"""{INTERVAL_SQL},
     scores AS (
         SELECT f.series_key, model, sqrt(avg((y - yhat) ^ 2)) AS rmse
         FROM forecasts f JOIN test ON test.series_key = f.series_key AND test.month = f.month
         GROUP BY 1, 2),
     best AS (
         SELECT series_key, model FROM (SELECT *, row_number() OVER (
-            PARTITION BY series_key ORDER BY rmse, model) AS n FROM scores) WHERE n = 1),
-    spread AS (
-        SELECT series_key, model, sum((y - fitted) ^ 2) AS sse,
-            quantile_cont(y - fitted, 0.1) AS q10, quantile_cont(y - fitted, 0.9) AS q90
-        FROM fits GROUP BY 1, 2),
-    half AS (
-        SELECT f.*, q10, q90, 1.2815515655446004e0 * CASE model
-            WHEN 'Mean' THEN sqrt(sse / 17) * sqrt(1 + 1e0 / 18)
-            WHEN 'Naive' THEN sqrt(sse / 17) * sqrt(h)
-            WHEN 'Drift' THEN sqrt(sse / 16) * sqrt(h * (1 + h / 17e0))
-            WHEN 'Seasonal Naive' THEN sqrt(sse / 6) * sqrt(floor((h - 1) / 12) + 1) END AS w
-        FROM forecasts f JOIN best USING (series_key, model) JOIN spread USING (series_key, model))
-    SELECT half.series_key, model, half.month, {q('yhat', 2)} AS yhat,
-        {q("yhat + CASE WHEN model = 'TSLM' THEN q10 ELSE -w END", 2)} AS lo80,
-        {q("yhat + CASE WHEN model = 'TSLM' THEN q90 ELSE w END", 2)} AS hi80,
-        {q('y', 2)} AS actual
-    FROM half JOIN test ON test.series_key = half.series_key AND test.month = half.month""",
+            PARTITION BY series_key ORDER BY rmse, model) AS n FROM scores) WHERE n = 1)
+    SELECT half.series_key, model, half.month, {q('yhat', 2)} AS yhat, {q('yhat - w', 2)} AS lo80,
+        {q('yhat + w', 2)} AS hi80, {q('y', 2)} AS actual
+    FROM half JOIN best USING (series_key, model)
+    JOIN test ON test.series_key = half.series_key AND test.month = half.month""",
 )
 def fc_interval(spark, sf_dir):
     everything = pinned_parts(spark, sf_dir)
     learn, hold = ts.part(everything, "train"), ts.part(everything, "test")
-    banded = fc.intervals(learn)
+    banded = fc.intervals(learn, fc.STATISTICAL)
     best = fc.best_model(fc.accuracy(banded.select("series_key", "model", "month", "yhat"), hold, learn))
     return show(
         banded.join(best.select("series_key", "model"), ["series_key", "model"]).join(
@@ -591,6 +614,17 @@ def fc_interval(spark, sf_dir):
     )
 
 
+@query(
+    "fc_interval_all",
+    f"""{INTERVAL_SQL}
+    SELECT series_key, model, month, {q('yhat', 2)} AS yhat, {q('yhat - w', 2)} AS lo80,
+        {q('yhat + w', 2)} AS hi80 FROM half""",
+)
+def fc_interval_all(spark, sf_dir):
+    """The bounds of every model, not only of each series' best."""
+    return show(fc.intervals(train(spark, sf_dir), fc.STATISTICAL), 2)
+
+
 # --- boosted trees ----------------------------------------------------------------
 
 
