@@ -105,3 +105,60 @@ def test_roll_ups_give_the_same_reports(spark):
     a = sorted(reports.category_sales(flat).collect(), key=key)
     b = sorted(reports.category_sales(rolled).collect(), key=key)
     assert a == b
+
+
+@pytest.fixture
+def plain_joins(spark):
+    """Shuffle joins as planned: no broadcast, nothing coalesced or split at run time."""
+    confs = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "false",
+    }
+    old = {k: spark.conf.get(k) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    yield spark
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+def largest_share(df):
+    counts = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    return max(counts) / (sum(counts) / 8)
+
+
+def test_rows_without_a_key_are_spread(plain_joins):
+    lines = plain_joins.range(80000).select(
+        F.when(F.col("id") % 2 == 0, F.col("id") % 4001).alias("k"), F.col("id").alias("x")
+    )
+    right = plain_joins.range(4001).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    assert largest_share(skew.salted_left_join(lines, right, ["k"], [])) < 2
+
+
+def test_the_customer_of_a_hot_order_is_spread(plain_joins, tmp_path):
+    spark = plain_joins
+    lines = spark.range(60000).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5003).alias("order_id"),
+        (F.col("id") % 97).alias("product_id"), F.col("id").alias("x"),
+    )
+    lines.write.parquet(str(tmp_path / "lines"))
+    lines = spark.read.parquet(str(tmp_path / "lines"))
+    orders = spark.range(5003).select(F.col("id").alias("order_id"), (F.col("id") % 1009).alias("customer_id"))
+    customers = spark.range(1009).select(F.col("id").alias("customer_id"), (F.col("id") * 2).alias("age"))
+    products = spark.range(97).select(F.col("id").alias("product_id"))
+    hot = fact.line_hot_keys(lines, orders)
+    assert 7 in hot["order_id"] and 7 in hot["customer_id"]
+    joined = fact.combine(lines, orders, customers, products, ["x", "age"], hot)
+    assert joined.filter(F.col("age").isNull()).count() == 0
+    assert largest_share(joined) < 2
+
+
+def test_no_job_runs_while_the_fact_is_planned(spark, hot_lines):
+    lines = hot_lines.withColumn("order_id", F.col("quantity"))
+    orders = spark.range(5).select(F.col("id").alias("order_id"), F.col("id").alias("customer_id"))
+    customers = spark.range(5).select(F.col("id").alias("customer_id"), F.lit(1).alias("age"))
+    products = spark.range(701).select(F.col("id").alias("product_id"), F.lit("a").alias("color"))
+    hot = {"order_id": [], "product_id": [0], "customer_id": []}
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    fact.combine(lines, orders, customers, products, hot=hot)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == len(before)

@@ -42,7 +42,8 @@ def salted_left_join(
 
     ``right`` has one row per key. Rows of ``left`` with a hot key go to
     ``salts`` shuffle partitions by a hash of the row, which a retried task
-    repeats exactly; only the hot rows of ``right`` are copied to match. There
+    repeats exactly; only the hot rows of ``right`` are copied to match. Rows
+    without a key match nothing and are spread the same way, without copies. There
     are as many salts as shuffle partitions unless given, so a key with a
     third of the rows fills the cluster evenly; keys below the hot share are
     left to the adaptive skew join. Equal
@@ -50,16 +51,17 @@ def salted_left_join(
     line id (``with_line_id``).
     """
     on = list(on)
-    if not hot:
-        return left.join(right, on, "left")
     if salts is None:
         configured = left.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")
         salts = max(LEAST_SALTS, int(configured))
-    is_hot = F.col(on[0]).isin(hot)
+    is_hot = F.col(on[0]).isin(hot) if hot else F.lit(False)
+    bare = F.col(on[0]).isNull()
+    for c in on[1:]:
+        bare = bare | F.col(c).isNull()
     spread = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(salts)).cast("int")
     every = F.sequence(F.lit(0), F.lit(salts - 1))
-    salted_left = left.withColumn("_salt", F.when(is_hot, spread).otherwise(F.lit(0)))
-    salted_right = right.withColumn(
-        "_salt", F.explode(F.when(is_hot, every).otherwise(F.array(F.lit(0))))
-    )
+    salted_left = left.withColumn("_salt", F.when(bare | is_hot, spread).otherwise(F.lit(0)))
+    # Exploded even without copies: a salt known to be 0 would be optimised away.
+    copies = F.when(is_hot, every).otherwise(F.array(F.lit(0)))
+    salted_right = right.withColumn("_salt", F.explode(copies))
     return salted_left.join(salted_right, [*on, "_salt"], "left").drop("_salt")

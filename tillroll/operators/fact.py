@@ -16,12 +16,33 @@ from tillroll.sources.contracts import require_columns
 SHARED_WITH_PRODUCT = ("free_shipping", "discount_rate")
 
 
-def add_line_customer(lines: DataFrame, orders: DataFrame) -> DataFrame:
+def line_hot_keys(
+    lines: DataFrame, orders: DataFrame, keys: Sequence[str] = ("order_id", "product_id", "customer_id")
+) -> dict[str, list]:
+    """Frequent orders, products and customers of a stored line table, found in one pass.
+
+    A customer is frequent by orders or by owning a frequent order; lines that
+    carry the customer are asked themselves. Pass the result on wherever these
+    lines are joined.
+    """
+    own = [c for c in keys if c in lines.columns]
+    if "customer_id" in keys and "customer_id" not in own and "order_id" not in own:
+        own.append("order_id")
+    hot = hot_keys(lines, *own)
+    if "customer_id" in keys and "customer_id" not in own:
+        found = set(hot_keys(orders, "customer_id")["customer_id"])
+        if hot.get("order_id"):
+            owners = orders.filter(F.col("order_id").isin(hot["order_id"])).select("customer_id")
+            found |= {r[0] for r in owners.distinct().collect() if r[0] is not None}
+        hot["customer_id"] = sorted(found)
+    return hot
+
+
+def add_line_customer(lines: DataFrame, orders: DataFrame, hot: dict[str, list] | None = None) -> DataFrame:
     """Gives each line of a stored table the customer of its order."""
-    hot = hot_keys(lines, "order_id")["order_id"]
-    numbered = with_line_id(lines) if hot else lines
+    frequent = (hot or hot_keys(lines, "order_id"))["order_id"]
     owners = orders.select("order_id", "customer_id")
-    return salted_left_join(numbered, owners, ["order_id"], hot).drop(LINE_ID)
+    return salted_left_join(with_line_id(lines), owners, ["order_id"], frequent).drop(LINE_ID)
 
 
 def combine(
@@ -30,6 +51,7 @@ def combine(
     customers: DataFrame,
     products: DataFrame,
     columns: Sequence[str] | None = None,
+    hot: dict[str, list] | None = None,
 ) -> DataFrame:
     """The denormalised fact: one row per line, order, customer and product added.
 
@@ -38,7 +60,8 @@ def combine(
     broadcast hint: Spark compares each side with its broadcast limit when it
     runs and shuffles the larger ones, where hot keys are spread out. ``lines``
     is a stored table; name ``_line`` among the columns to keep the line id
-    for a further salted join.
+    for a further salted join. With ``hot`` from ``line_hot_keys`` no job runs
+    while the plan is built.
     """
     require_columns(lines, ["order_id", "product_id"])
     require_columns(orders, ["order_id", "customer_id"])
@@ -63,16 +86,10 @@ def combine(
         products, ["product_id"], [*lines.columns, *orders.columns, *customers.columns]
     )
 
-    keys = ["order_id"] if from_order else []
-    keys += ["product_id"] if from_product or shared else []
-    hot = hot_keys(lines, *keys) if keys else {}
-    hot_customers = []
-    if from_customer:
-        source = lines if customer_on_line else orders
-        hot_customers = hot_keys(source, "customer_id")["customer_id"]
-    keep_id = wanted is not None and LINE_ID in wanted
-    spread = keep_id or hot_customers or any(hot.values())
-    fact = with_line_id(lines) if spread else lines
+    needs = {"order_id": from_order, "customer_id": from_customer, "product_id": from_product or shared}
+    if hot is None and any(needs.values()):
+        hot = line_hot_keys(lines, orders, [k for k, needed_for in needs.items() if needed_for])
+    fact = with_line_id(lines)
     if wanted is not None:
         keep = wanted | {"order_id", "product_id", "order_item_id", LINE_ID}
         keep |= {"customer_id"} if customer_on_line else set()
@@ -83,7 +100,7 @@ def combine(
         )
     if from_customer:
         fact = salted_left_join(
-            fact, customers.select("customer_id", *from_customer), ["customer_id"], hot_customers
+            fact, customers.select("customer_id", *from_customer), ["customer_id"], hot["customer_id"]
         )
     if from_product or shared:
         renamed = products.select(

@@ -429,9 +429,11 @@ def compare(forecasts: DataFrame, actual: DataFrame) -> DataFrame:
 def future(series: DataFrame, best: DataFrame, models: Sequence[str] = CLOSED, h: int = 6) -> DataFrame:
     """Each series' best model on its full history, ``h`` months ahead.
 
-    Only the branch of the chosen model is evaluated for a series.
+    Only the branch of the chosen model is evaluated for a series. Series whose
+    best model is not among ``models`` are left to ``future_boosted``.
     """
-    w = prepared(windows(series), models).join(best.select("series_key", "model"), "series_key")
+    chosen = best.filter(F.col("model").isin(*models)).select("series_key", "model")
+    w = prepared(windows(series), models).join(chosen, "series_key")
     value = None
     for m in models:
         chosen = F.col("model") == m

@@ -51,26 +51,35 @@ def month_of(c: str = "order_date") -> Column:
 
 
 def monthly_amount(df: DataFrame, by: Sequence[str] = (), fallback: str | None = None) -> DataFrame:
-    """Sales by month; lines without a total use ``fallback`` when it is given."""
-    if "sales" in df.columns:
-        amount = F.col("sales")
-    else:
-        amount = F.coalesce("line_total", fallback) if fallback else F.col("line_total")
+    """Sales by month from lines; lines without a total use ``fallback`` when it is given.
+
+    Missing totals can't be told in a roll-up, so one is refused.
+    """
+    amount = F.coalesce("line_total", fallback) if fallback else F.col("line_total")
     return (
-        df.filter(F.col("order_date").isNotNull() & amount.isNotNull())
+        _as_lines(df)
+        .filter(F.col("order_date").isNotNull() & amount.isNotNull())
         .groupBy(*by, month_of().alias("month"))
         .agg(F.sum(amount).alias("amount"))
     )
 
 
 def monthly_qty(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Quantity by month from lines with a quantity of at least 0; a roll-up is refused."""
     return (
-        df.filter(F.col("order_date").isNotNull() & (F.col("quantity") >= 0))
+        _as_lines(df)
+        .filter(F.col("order_date").isNotNull() & (F.col("quantity") >= 0))
         .groupBy(*by, month_of().alias("month"))
         .agg(F.sum("quantity").alias("qty"))
     )
 
 
+def _as_lines(df: DataFrame) -> DataFrame:
+    if "line_count" in df.columns:
+        raise ValueError("this report applies a rule to each line; pass the lines, not a roll-up")
+    return df
+
+
 def daily_by_segment(df: DataFrame) -> DataFrame:
     return (
         df.filter(F.col("order_date").isNotNull())

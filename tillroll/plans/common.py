@@ -15,9 +15,9 @@ AS_OF = "2002-01-01"
 COHORT_YEARS = (1995, 1996, 1997)
 
 
-def fact(star: Star, *columns: str) -> DataFrame:
+def fact(star: Star, *columns: str, hot: dict[str, list] | None = None) -> DataFrame:
     """The line fact with only the joins ``columns`` need."""
-    return combine(star.lines, star.orders, star.customers, star.products, columns or None)
+    return combine(star.lines, star.orders, star.customers, star.products, columns or None, hot)
 
 
 def orders_view(star: Star) -> DataFrame:

@@ -99,9 +99,11 @@ def feature_join(spark, sf_dir):
 )
 def writeback_segments(spark, sf_dir):
     star = load_star(spark, sf_dir)
-    lines = fact(star, "order_id", "product_id", "quantity", "customer_id", LINE_ID)
-    hot = hot_keys(star.orders, "customer_id")["customer_id"]
-    return facts.write_back_segments(lines, customer_segments(orders_view(star)), hot).drop(LINE_ID)
+    hot = facts.line_hot_keys(star.lines, star.orders)
+    lines = fact(star, "order_id", "product_id", "quantity", "customer_id", LINE_ID, hot=hot)
+    return facts.write_back_segments(
+        lines, customer_segments(orders_view(star)), hot["customer_id"]
+    ).drop(LINE_ID)
 
 
 @query(
@@ -147,9 +149,9 @@ def writeback_rating(spark, sf_dir):
 )
 def join_first_order(spark, sf_dir):
     star = load_star(spark, sf_dir)
-    lines = fact(star, "order_id", "product_id", "customer_id", "order_date", LINE_ID)
-    hot = hot_keys(star.orders, "customer_id")["customer_id"]
-    return facts.add_first_order(lines, hot).drop(LINE_ID)
+    hot = facts.line_hot_keys(star.lines, star.orders)
+    lines = fact(star, "order_id", "product_id", "customer_id", "order_date", LINE_ID, hot=hot)
+    return facts.add_first_order(lines, hot["customer_id"]).drop(LINE_ID)
 
 
 @query(

@@ -246,11 +246,17 @@ def monthly_amount(spark, sf_dir):
     "monthly_qty",
     """
     SELECT CAST(date_trunc('month', order_date) AS DATE) AS month, sum(quantity) AS qty
-    FROM s_order_lines WHERE order_date IS NOT NULL AND quantity >= 0 GROUP BY 1
+    FROM (SELECT order_date, CASE WHEN product_id % 7 = 0 THEN -quantity
+            WHEN product_id % 11 = 0 THEN NULL ELSE quantity END AS quantity FROM s_order_lines)
+    WHERE order_date IS NOT NULL AND quantity >= 0 GROUP BY 1
     """,
 )
 def monthly_qty(spark, sf_dir):
-    return reports.monthly_qty(orders_view(load_star(spark, sf_dir)))
+    """Some lines have a negative or no quantity, by product."""
+    key, quantity = F.col("product_id"), F.col("quantity")
+    changed = F.when(key % 7 == 0, -quantity).when(key % 11 != 0, quantity)
+    lines = fact(load_star(spark, sf_dir), "product_id", "order_date", "quantity")
+    return reports.monthly_qty(lines.withColumn("quantity", changed))
 
 
 @query(

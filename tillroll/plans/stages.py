@@ -156,25 +156,29 @@ def forecast_monthly(
     parted = ts.split(series.select("series_key", "month", "y"))
     learn, hold = ts.part(parted, "train"), ts.part(parted, "test")
 
+    # Series too short to score are named instead of silently left out.
+    short = ts.part(parted, "short").groupBy("series_key").agg(F.count(F.lit(1)).alias("months"))
+    store.result(short, f"short_series_{measure}")
+
     names = ("series_key", "model", "month", "yhat")
-    found = fc.forecast(learn, (*fc.CLOSED, *fc.FOLDED), h).select(*names).unionByName(
-        fc.forecast_harmonic(learn, h).filter("h > 0").select(*names)
-    )
-    if boosted:
-        for name, depth, leaf in (("GBT depthwise", 4, 1), ("GBT small", 3, 20)):
-            found = found.unionByName(
-                fc.forecast_boosted(parted, name, depth, leaf, h=h).select(*names)
-            )
+    found = fc.forecast(learn, fc.STATISTICAL, h).select(*names)
+    boosters = fc.BOOSTED if boosted else {}
+    for name, (depth, leaf) in boosters.items():
+        found = found.unionByName(fc.forecast_boosted(parted, name, depth, leaf, h=h).select(*names))
     found = store.write(found, f"forecasts_{measure}")
     scores = store.write(fc.accuracy(found, hold, learn), f"model_comparison_{measure}")
-    store.result(scores.orderBy("series_key", "rmse"), f"model_ranking_{measure}")
+    store.result(scores.orderBy("series_key", "rmse", "model"), f"model_ranking_{measure}")
     store.result(fc.compare(found, hold), f"forecast_compare_{measure}")
     history = series.select("series_key", "month", "y")
-    closed = scores.filter(F.col("model").isin(*fc.CLOSED, *fc.FOLDED))
-    best = store.write(fc.best_model(closed), f"best_model_{measure}")
-    store.result(fc.future(history, best, (*fc.CLOSED, *fc.FOLDED), h), f"future_{measure}")
-    store.result(fc.intervals(learn, fc.CLOSED, h), f"intervals_{measure}")
-    store.result(ts.local_trend(history), f"local_trend_{measure}")
+    best = store.write(fc.best_model(scores), f"best_model_{measure}")
+    ahead = fc.future(history, best, fc.STATISTICAL, h)
+    for name in boosters:
+        if best.filter(F.col("model") == name).take(1):
+            scored = history.join(best.select("series_key"), "series_key", "left_semi")
+            ahead = ahead.unionByName(fc.future_boosted(scored, best, name, h))
+    store.result(ahead, f"future_{measure}")
+    store.result(fc.intervals(learn, fc.STATISTICAL, h), f"intervals_{measure}")
+    store.result(ts.local_trend(history, degree=2), f"local_trend_{measure}")
     store.result(ts.decompose(history), f"decomposition_{measure}")
     correlations = ts.acf(history).join(ts.pacf(history), ["series_key", "lag"])
     store.result(correlations, f"autocorrelation_{measure}")
