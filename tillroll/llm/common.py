@@ -47,7 +47,7 @@ def id_remainder(doc_id: Column, n: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % n, F.lit(0))
 
 
-def text_steps(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+def text_steps(batches: Iterator[pa.RecordBatch], column: str | int = "text") -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of the batches with their texts as UTF-8, about ``STEP_BYTES`` each (null: empty).
 
     A single text is never cut, however long it is.

@@ -198,25 +198,26 @@ def sample_languages(labelled: DataFrame) -> Languages:
     return learn(samples) if samples else Languages([], [], np.zeros(0, "i4"), np.zeros(0, "i8"), np.zeros(0))
 
 
-def predict(docs: DataFrame, languages: Languages, keep: list[str] | None = None) -> DataFrame:
-    """Adds ``lang_pred, score`` to the columns ``keep`` (default ``doc_id``); only ``text`` is looked at.
+def predict(
+    docs: DataFrame, languages: Languages, keep: list[str], names: tuple[str, str] = ("lang_pred", "score")
+) -> DataFrame:
+    """Adds the language and the score to the columns ``keep``; only ``text`` is looked at.
 
     The score is the share of the second-best language's cost in the sum of
     both, 1 when only one language is known. Null texts, texts without a
     letter and all texts when nothing was learned are ``und`` with score 0.
     Ties go to the name that sorts first.
     """
-    keep = ["doc_id"] if keep is None else keep
     rows = docs.select(*keep, F.col("text").alias("_text"))
     shared = docs.sparkSession.sparkContext.broadcast(languages)
     kinds = rows.select(*keep).schema
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kinds), "lang_pred string", "score double"])
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kinds), f"{names[0]} string", f"{names[1]} double"])
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         mapping = known.symbol_map() if known.names else None
-        for batch, texts in text_steps(batches, "_text"):
-            names: list[str] = [UNDETERMINED] * len(texts)
+        for batch, texts in text_steps(batches, len(keep)):
+            told: list[str] = [UNDETERMINED] * len(texts)
             scores = np.zeros(len(texts))
             if mapping is not None:
                 symbols = [normal_symbols(t, mapping) for t in texts]
@@ -225,12 +226,12 @@ def predict(docs: DataFrame, languages: Languages, keep: list[str] | None = None
                 ordered = np.sort(cost, axis=1)
                 for i in range(len(texts)):
                     if len(symbols[i]):
-                        names[i] = known.names[best[i]]
+                        told[i] = known.names[best[i]]
                         two = ordered[i, :2]
                         scores[i] = two[1] / two.sum() if len(two) == 2 else 1.0
             columns = [batch.column(i) for i in range(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(names, pa.string()), pa.array(scores)], names=[*keep, "lang_pred", "score"]
+                [*columns, pa.array(told, pa.string()), pa.array(scores)], names=[*keep, *names]
             )
 
     return rows.mapInArrow(step, schema)
@@ -256,6 +257,6 @@ def reject_undetermined(docs: DataFrame) -> DataFrame:
     """``docs`` without those whose language can't be determined; a null ``lang`` becomes the one predicted."""
     columns = docs.columns
     languages = sample_languages(docs.filter(~held_out(F.col("doc_id"))).select("text", "lang"))
-    found = predict(docs, languages, columns)
-    lang = F.coalesce("lang", "lang_pred").alias("lang")
-    return found.filter(F.col("lang_pred") != UNDETERMINED).select(*[lang if c == "lang" else c for c in columns])
+    found = predict(docs, languages, columns, ("_pred", "_share"))
+    lang = F.coalesce("lang", "_pred").alias("lang")
+    return found.filter(F.col("_pred") != UNDETERMINED).select(*[lang if c == "lang" else c for c in columns])

@@ -9,7 +9,8 @@ have become unique. Coverage is the share of the template's words aligned.
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, insort
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -150,8 +151,9 @@ def templates_of(notices: tuple[tuple[str, str], ...]) -> Templates:
 def scan(text: str, templates: Templates, least: float) -> list[tuple[str, int, float, int, int, int]]:
     """Matches (license, template, coverage, first word, last word, words aligned), not overlapping per template.
 
-    A template is aligned wherever a pair of its neighbouring words stands in
-    the text and the text holds enough of its words at all.
+    Pairs of neighbouring words shared with a template vote for the place where
+    it would begin; it is aligned at places with enough votes, most votes
+    first, if the text holds enough of its words at all.
     """
     words = words_of(text)
     present = templates.vocabulary.intersection(words)
@@ -168,19 +170,29 @@ def scan(text: str, templates: Templates, least: float) -> list[tuple[str, int,
                 starts.setdefault(k, []).append(p - i)
     found = []
     for k, places in starts.items():
-        template, done, tried = templates.words[k], 0, None
+        template = templates.words[k]
         slack = max(4, len(template) // 4)
-        for s in sorted(places):
-            begin = max(done, s - slack)
-            if s + len(template) <= done or (tried is not None and s - tried <= slack // 2):
+        places.sort()
+        votes = Counter(places)
+        # An alignment that covers enough keeps at least so many neighbours together.
+        least_votes = (2 * least - 1) * len(template) - 2
+        spans: list[tuple[int, int]] = []
+        tried: set[int] = set()
+        for s in sorted(votes, key=lambda s: (-votes[s], s)):
+            if s in tried:
                 continue
-            aligned = patience(words[begin : s + len(template) + slack], template)
+            if bisect_left(places, s + slack + 1) - bisect_left(places, s - slack) < least_votes:
+                continue
+            at = bisect_left(spans, (s, -1))
+            begin = max(0, s - slack, spans[at - 1][1] + 1 if at else 0)
+            end = min(s + len(template) + slack, spans[at][0] if at < len(spans) else len(words))
+            tried.update(range(s - slack // 2, s + slack // 2 + 1))
+            aligned = patience(words[begin:end], template) if begin < end else []
             coverage = len(aligned) / len(template)
-            tried = s
             if coverage >= least:
                 first, last = begin + aligned[0][0], begin + aligned[-1][0]
+                insort(spans, (first, last))
                 found.append((templates.names[k], k, coverage, first, last, len(aligned)))
-                done, tried = last + 1, None
     return sorted(found, key=lambda f: (f[3], f[4], f[1]))
 
 

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from tillroll.llm.common import id_remainder, shuffle_partitions, stored, text_steps
 
-DEPTH = 4
+DEPTH = 5
 # Bytes of recent context shared by the grams of one tree task; shorter contexts are summed over them.
 SHARED = 2
 # Byte positions sorted together, and distinct grams or words after which a task folds what it has.
@@ -67,6 +67,34 @@ def joined_grams(texts: list[bytes], depth: int = DEPTH) -> np.ndarray:
     return key[at]
 
 
+class GramTable:
+    """Values by gram, found by a hash: where a bucket begins, then one step for each entry before."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.shift = np.uint64(64 - max(1, (4 * len(keys)).bit_length()))
+        bucket = self.bucket(keys)
+        order = np.argsort(bucket, kind="stable")
+        self.keys = np.append(keys[order], -1)
+        self.values = np.append(values[order], 0.0)
+        ends = np.cumsum(np.bincount(bucket, minlength=1 << (64 - int(self.shift))))
+        self.begin = np.concatenate([[0], ends[:-1]]).astype("i4")
+
+    def bucket(self, keys: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return (keys.view("u8") * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype("i8")
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        """Values of keys; KeyError for one that isn't there."""
+        at = self.begin[self.bucket(keys)]
+        wrong = np.flatnonzero(self.keys[at] != keys)
+        while len(wrong):
+            at[wrong] += 1
+            if at[wrong].max() >= len(self.keys):
+                raise KeyError("unknown gram")
+            wrong = wrong[self.keys[at[wrong]] != keys[wrong]]
+        return self.values[at]
+
+
 def add_up(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order with the sum of their counts."""
     if not keys:
@@ -148,7 +176,7 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
     """Stirling's series after moving the argument up by 8."""
     y = x + 8
     shift = np.log(x * (x + 1) * (x + 2) * (x + 3)) + np.log((x + 4) * (x + 5) * (x + 6) * (x + 7))
-    series = 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5) - 1 / (1680 * y**7)
+    series = 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5) - 1 / (1680 * y**7) + 1 / (1188 * y**9)
     return (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + series - shift
 
 
@@ -310,20 +338,20 @@ def score_documents(docs: DataFrame) -> DataFrame:
         if value[gram == -2].tolist() != [float((~pdf["out"]).sum())]:
             raise ValueError("the documents were dealt anew between two passes; store them first")
         at = np.flatnonzero(gram >= 0)
-        order = at[np.argsort(gram[at])]
-        key, logs = gram[order], value[order]
+        logs = GramTable(gram[at], value[at])
         at = np.flatnonzero(gram == -1)
-        base = dict(zip(map(bytes, told["word"].iloc[at]), np.log10((value[at] + 0.1) / floor).tolist(), strict=True))
+        base = dict(zip(told["word"].iloc[at], np.log10((value[at] + 0.1) / floor).tolist(), strict=True))
+        told = gram = value = None
         out = []
         for text in pdf["text"]:
             raw = text.encode() if text else b""
             found = words_of(raw)
-            seen = [base[w] for w in found if w in base]
+            seen = [v for v in map(base.get, found) if v is not None]
             unseen = len(found) - len(seen)
             total = 0.0
             for at in range(0, len(raw), SORTED):
                 want = grams_of(raw[max(0, at - DEPTH) : at + SORTED])[min(at, DEPTH) :]
-                total += float(logs[np.searchsorted(key, want)].sum())
+                total += float(logs.of(want).sum())
             out.append((len(found) + 1, len(seen) + (ends > 0), math.fsum(seen) + unseen * low + end, total, len(raw)))
         kinds = zip(*out, strict=True) if out else ((),) * 5
         tokens, known, base_score, total, size = (np.array(c) for c in kinds)
