@@ -348,7 +348,7 @@ def test_negative_binomial_fit(spark):
     assert row["mu"] == pytest.approx(sample.mean())
     assert row["size"] == pytest.approx(3.0, rel=0.06)
     table = distribution.frequency_fit(freq).collect()
-    assert len(table) == values.max() + 1
+    assert sorted(r["x"] for r in table) == values.tolist()
     assert sum(r["negative_binomial"] for r in table) == pytest.approx(20000, rel=1e-3)
     assert sum(r["poisson"] for r in table) == pytest.approx(20000, rel=1e-3)
 

@@ -14,7 +14,7 @@ from tillroll.functions.probability import (
     normal_quantile,
     poisson_log_pmf,
 )
-from tillroll.functions.ranking import quantiles, quantiles_of_counts, value_counts
+from tillroll.functions.ranking import quantiles, quantiles_of_counts, running_count, value_counts
 from tillroll.session import pinned
 
 
@@ -197,11 +197,34 @@ def qq_normal(df: DataFrame, column: str, points: int = 99) -> DataFrame:
     )
 
 
+def qq_values(df: DataFrame, column: str) -> DataFrame:
+    """``(scale, value, n, last_rank, z_first, z_last)``: the whole quantile plot.
+
+    One row per distinct value of the raw and the log scale; its ``n`` equal
+    points lie between the normal quantiles of its first and last rank.
+    """
+    counts = value_counts(df.filter(F.col(column) > 0), column)
+    ranked = running_count(counts, [F.col("value")], "n")
+    place = lambda rank: normal_quantile((rank - 0.5) / F.col("_total"))
+    points = ranked.select(
+        "value", "n", F.col("_upto").alias("last_rank"),
+        place(F.col("_upto") - F.col("n") + 1).alias("z_first"), place(F.col("_upto")).alias("z_last"),
+    )
+    logs = points.withColumn("value", F.log("value")).withColumn("scale", F.lit("log"))
+    return points.withColumn("scale", F.lit("raw")).unionByName(logs)
+
+
+def pair_counts(df: DataFrame, x: str, y: str, measure: Column) -> DataFrame:
+    """Each pair of values with its count and a measure such as a mean."""
+    known = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
+    return known.groupBy(x, y).agg(F.count(F.lit(1)).alias("n"), measure)
+
+
 def negative_binomial_fit(freq: DataFrame) -> DataFrame:
     """``(mu, var, size)`` of a ``(freq, customers)`` table.
 
     The likelihood is searched on a geometric grid around the moment estimate,
-    coarse and then fine. Without overdispersion ``size`` is NULL.
+    each time finer around the best cell. Without overdispersion ``size`` is NULL.
     """
     x, n = F.col("freq").cast("double"), F.col("customers")
     mean = freq.agg(F.sum(x * n) / F.sum(n)).scalar()
@@ -226,32 +249,24 @@ def negative_binomial_fit(freq: DataFrame) -> DataFrame:
             F.max_by("_size", F.struct("_ll", -F.col("_j"))).alias("_best")
         ).select("_c.mu", "_c.var", F.when(F.col("_c.size").isNotNull(), F.col("_best")).alias("size"))
 
-    return search(search(start, 4, 16), 64, 16)
+    return search(search(search(start, 4, 16), 64, 16), 1024, 16)
 
 
 def frequency_fit(freq: DataFrame) -> DataFrame:
     """Observed customers per order count next to Poisson and negative binomial counts.
 
-    One row per count from 0 to the largest one seen.
+    One row per count that occurs, so a single customer with very many orders
+    costs one row.
     """
     freq = pinned(freq)
-    largest = freq.agg(F.max("freq")).first()[0] or 0
     params = negative_binomial_fit(freq).select(F.struct("mu", "size"))
     total = freq.agg(F.sum("customers")).scalar()
-    x = F.col("x").cast("double")
-    return (
-        freq.sparkSession.range(0, largest + 1)
-        .withColumnRenamed("id", "x")
-        .join(freq.withColumnRenamed("freq", "x"), "x", "left")
-        .withColumn("_p", params.scalar())
-        .withColumn("_n", total)
-        .select(
-            "x",
-            F.coalesce("customers", F.lit(0)).alias("observed"),
-            (F.col("_n") * F.exp(poisson_log_pmf(x, F.col("_p.mu")))).alias("poisson"),
-            (
-                F.col("_n")
-                * F.exp(negative_binomial_log_pmf(x, F.col("_p.size"), F.col("_p.mu")))
-            ).alias("negative_binomial"),
-        )
+    x = F.col("freq").cast("double")
+    return freq.withColumn("_p", params.scalar()).withColumn("_n", total).select(
+        F.col("freq").alias("x"),
+        F.col("customers").alias("observed"),
+        (F.col("_n") * F.exp(poisson_log_pmf(x, F.col("_p.mu")))).alias("poisson"),
+        (F.col("_n") * F.exp(negative_binomial_log_pmf(x, F.col("_p.size"), F.col("_p.mu")))).alias(
+            "negative_binomial"
+        ),
     )

@@ -250,6 +250,21 @@ def qq_normal(spark, sf_dir):
     )
 
 
+@query(
+    "qq_values",
+    f"""
+    v AS (SELECT total_amount AS value, count(*) AS n FROM s_orders WHERE total_amount > 0 GROUP BY 1),
+    r AS (SELECT *, CAST(sum(n) OVER (ORDER BY value) AS BIGINT) AS last_rank, sum(n) OVER () AS total FROM v),
+    f AS (SELECT value, n, last_rank, {NORMAL_SQL} AS z_first FROM (SELECT *, (last_rank - n + 0.5e0) / total AS p FROM r)),
+    l AS (SELECT value, {NORMAL_SQL} AS z_last FROM (SELECT *, (last_rank - 0.5e0) / total AS p FROM r)),
+    b AS (SELECT * FROM f JOIN l USING (value))
+    SELECT 'raw' AS scale, {q('value')} AS value, n, last_rank, {q('z_first')} AS z_first, {q('z_last')} AS z_last FROM b
+    UNION ALL SELECT 'log', {q('ln(value)')}, n, last_rank, {q('z_first')}, {q('z_last')} FROM b""",
+)
+def qq_values(spark, sf_dir):
+    return show(distribution.qq_values(load_star(spark, sf_dir).orders, "total_amount"))
+
+
 _NB_LL = """sum(customers * (lgamma(freq + size) - lgamma(size) - lgamma(freq + 1)
     + size * ln(size / (size + mu)) + freq * ln(mu / (size + mu))))"""
 
@@ -269,12 +284,17 @@ _NB_LL = """sum(customers * (lgamma(freq + size) - lgamma(size) - lgamma(freq +
         SELECT arg_max(size, ll) AS size FROM (
             SELECT size, {_NB_LL} AS ll
             FROM (SELECT freq, customers, mu, size1 * pow(2, j / 64e0) AS size
-                FROM freqs, coarse, range(-16, 17) r(j)) GROUP BY size))
-    SELECT x, coalesce(customers, 0) AS observed,
+                FROM freqs, coarse, range(-16, 17) r(j)) GROUP BY size)),
+    finest AS (
+        SELECT arg_max(size, ll) AS size FROM (
+            SELECT size, {_NB_LL} AS ll
+            FROM (SELECT freq, customers, mu, size * pow(2, j / 1024e0) AS size
+                FROM freqs, mom, fine, range(-16, 17) r(j)) GROUP BY size))
+    SELECT x, customers AS observed,
         {q('n * exp(x * ln(mu) - mu - lgamma(x + 1))')} AS poisson,
         {q('''n * exp(lgamma(x + size) - lgamma(size) - lgamma(x + 1) + size * ln(size / (size + mu))
             + x * ln(mu / (size + mu)))''')} AS negative_binomial
-    FROM start, fine, range(0, (SELECT top + 1 FROM mom)) r(x) LEFT JOIN freqs ON freq = x""",
+    FROM start, finest, (SELECT *, freq AS x FROM freqs)""",
 )
 def freq_poisson_nb(spark, sf_dir):
     return show(distribution.frequency_fit(reports.order_frequency(load_star(spark, sf_dir).orders)))
@@ -322,6 +342,19 @@ def scatter_aov_bins(spark, sf_dir):
 @query(
     "price_pairs",
     f"""
+    SELECT initial_price, {q('final_price')} AS final_price, count(*) AS n, {q('avg(discount_rate_adjusted)')} AS avg_discount
+    FROM s_lines JOIN s_products USING (product_id)
+    WHERE initial_price IS NOT NULL AND final_price IS NOT NULL GROUP BY initial_price, s_products.final_price""",
+)
+def price_pairs(spark, sf_dir):
+    lines = fact(load_star(spark, sf_dir), "initial_price", "final_price", "discount_rate_adjusted")
+    mean = F.avg("discount_rate_adjusted").alias("avg_discount")
+    return show(distribution.pair_counts(lines, "initial_price", "final_price", mean))
+
+
+@query(
+    "price_pair_bins",
+    f"""
     k AS (SELECT initial_price, final_price, l.discount_rate_adjusted
         FROM s_lines l JOIN s_products USING (product_id)
         WHERE initial_price IS NOT NULL AND final_price IS NOT NULL),
@@ -331,7 +364,7 @@ def scatter_aov_bins(spark, sf_dir):
         count(*) AS n, {q('avg(discount_rate_adjusted)')} AS avg_discount
     FROM k, s GROUP BY ALL""",
 )
-def price_pairs(spark, sf_dir):
+def price_pair_bins(spark, sf_dir):
     lines = fact(
         load_star(spark, sf_dir), "initial_price", "final_price", "discount_rate_adjusted"
     )

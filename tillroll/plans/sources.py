@@ -48,7 +48,10 @@ def src_csv_catalog(spark, sf_dir):
         ),
         "in_stock",
     )
-    raw.write.option("header", True).option("escape", '"').csv(path)
+    # The file has its columns in another order than the schema.
+    raw.select("in_stock", "color", *raw.columns[:3], "initial_price").write.option("header", True).option(
+        "escape", '"'
+    ).csv(path)
     return files.read_catalog_csv(spark, path, CATALOG_SCHEMA)
 
 
@@ -67,9 +70,11 @@ def src_parquet(spark, sf_dir):
 @query(
     "src_csv_result",
     f"""
-    SELECT CAST(date_trunc('month', order_date) AS DATE) AS month, count(*) AS orders,
-        {q('sum(total_amount)', 2)} AS amount
-    FROM s_orders GROUP BY 1
+    SELECT *, CASE orders % 3 WHEN 0 THEN NULL WHEN 1 THEN ''
+        ELSE 'a "' || orders || '" \\' || chr(10) || 'b, \\n' END AS label
+    FROM (SELECT CAST(date_trunc('month', order_date) AS DATE) AS month, count(*) AS orders,
+            {q('sum(total_amount)', 2)} AS amount
+        FROM s_orders GROUP BY 1)
     """,
 )
 def src_csv_result(spark, sf_dir):
@@ -79,7 +84,10 @@ def src_csv_result(spark, sf_dir):
         .orders.groupBy(month_of().alias("month"))
         .agg(F.count(F.lit(1)).alias("orders"), F.sum("total_amount").alias("amount"))
     )
-    files.write_csv(show(monthly, 2), path)
+    n = F.col("orders")
+    broken = F.concat(F.lit('a "'), n.cast("string"), F.lit('" \\\nb, \\n'))
+    label = F.when(n % 3 == 1, "").when(n % 3 == 2, broken)
+    files.write_csv(show(monthly, 2).withColumn("label", label), path)
     return files.read_result_csv(
         spark,
         path,
@@ -88,6 +96,7 @@ def src_csv_result(spark, sf_dir):
                 T.StructField("month", T.DateType()),
                 T.StructField("orders", T.LongType()),
                 T.StructField("amount", T.DoubleType()),
+                T.StructField("label", T.StringType()),
             ]
         ),
     )
@@ -110,17 +119,14 @@ def src_distinct_column(spark, sf_dir):
     SELECT CAST(date_trunc('month', order_date) AS DATE) AS order_month,
         count(DISTINCT order_id) AS orders, CAST(count(*) AS BIGINT) AS lines,
         {q('sum(line_total)', 2)} AS sales
-    FROM s_order_lines WHERE order_date >= DATE '1996-01-01' AND order_date < DATE '1998-01-01'
-    GROUP BY 1
+    FROM s_order_lines GROUP BY 1
     """,
 )
 def sink_parquet(spark, sf_dir):
     path = scratch_path(spark, "orders")
     orders = orders_view(load_star(spark, sf_dir)).withColumn("order_month", month_of())
     files.write_table(orders, path, ["order_month"])
-    months = files.read_table(spark, path).filter(
-        F.col("order_month").between(F.lit("1996-01-01").cast("date"), F.lit("1997-12-31").cast("date"))
-    )
+    months = files.read_table(spark, path)
     return show(
         months.groupBy("order_month").agg(
             F.count(F.lit(1)).alias("orders"),
