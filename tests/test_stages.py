@@ -21,10 +21,10 @@ def store(spark, tmp_path_factory):
     lines = star.lines.select("order_id", "product_id", "quantity").filter("product_id > 0")
     stages.price_orders(s, lines, star.orders)
     stages.build_fact(s)
-    stages.segment_customers(s, restarts=3)
+    stages.segment_customers(s, restarts=3, k_max=3)
     stages.write_back(s)
-    stages.segment_products(s, restarts=3)
-    stages.forecast_monthly(s, "amount", boosted=False, before="2001-08-01")
+    stages.segment_products(s, restarts=3, k_max=3)
+    stages.forecast_monthly(s, "amount", before="2001-08-01")
     stages.forecast_monthly(s, "qty", ["root_category"], boosted=False, before="2001-08-01")
     stages.report(s, "2002-01-01", (1995, 1996))
     return s
@@ -79,3 +79,25 @@ def test_reports_agree_with_the_fact(store):
     assert retained.agg(F.max("retention")).first()[0] == 1.0
     csv = store.spark.read.option("header", True).csv(store.path("report/brand_top10.csv"))
     assert csv.count() == 10
+
+
+def test_the_best_model_leads_the_ranking(store):
+    """Among all twelve models where the trees were fitted too."""
+    assert store.read("model_ranking_amount").select("model").distinct().count() == 12
+    for measure in ("amount", "qty"):
+        best = {r["series_key"]: r["model"] for r in store.read(f"best_model_{measure}").collect()}
+        ranking = store.read(f"model_ranking_{measure}").orderBy("series_key", "rmse", "model").collect()
+        first = {}
+        for r in ranking:
+            first.setdefault(r["series_key"], r["model"])
+        assert best == first
+        future = {(r["series_key"], r["model"]) for r in store.read(f"future_{measure}").collect()}
+        assert future == set(best.items())
+
+
+def test_segment_labels_are_one_row_each_in_the_csv(store):
+    from tillroll.sources.files import read_result_csv
+
+    table = store.read("report/segment_share")
+    back = read_result_csv(store.spark, store.path("report/segment_share.csv"), table.schema)
+    assert sorted(map(str, back.collect())) == sorted(map(str, table.collect()))

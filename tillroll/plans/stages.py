@@ -79,8 +79,26 @@ def build_fact(store: Store) -> DataFrame:
     return store.write(dated, "fact", ["order_month"])
 
 
-def segment_customers(store: Store, k: int = 3, restarts: int = 25) -> None:
-    """Customer features with cluster, the cluster table and silhouette widths."""
+def _diagnose(
+    store: Store, found: DataFrame, base: DataFrame, columns: Sequence[str], key: str, name: str, k_max: int
+) -> None:
+    """Cost and silhouette by k, components, centres and silhouette widths of one segmentation."""
+    z = [c for c in found.columns if c.startswith("z_")]
+    scaled = segment.scaled_features(base, columns)[0].persist()
+    try:
+        store.result(segment.wss_by_k(scaled, k_max), f"{name}_cost_by_k")
+        store.result(segment.silhouette_by_k(scaled, k_max), f"{name}_silhouette_by_k")
+        components = segment.principal_components(scaled, [key])
+        store.write(components.join(found.select(key, "cluster"), key), f"{name}_components")
+    finally:
+        scaled.unpersist()
+    store.result(segment.cluster_centers(found, z), f"{name}_cluster_centers")
+    widths = store.write(segment.silhouette_detail(found, z, key), f"{name}_silhouette")
+    store.result(segment.silhouette_summary(widths), f"{name}_silhouette_summary")
+
+
+def segment_customers(store: Store, k: int = 3, restarts: int = 25, k_max: int = 10) -> None:
+    """Customer features with cluster, the cluster table and the diagnostics."""
     lines = store.read("fact")
     require_columns(lines, FACT_COLUMNS)
     joined = features.join_features(
@@ -91,12 +109,9 @@ def segment_customers(store: Store, k: int = 3, restarts: int = 25) -> None:
     )
     base = store.write(joined, "customer_features_base")
     found = segment.segment(base, features.CUSTOMER_FEATURES, k, "total_spend", restarts)
-    z = [c for c in found.columns if c.startswith("z_")]
     found = store.write(found, "customer_features")
     store.result(features.customer_cluster_summary(found), "customer_cluster_result")
-    store.result(segment.cluster_centers(found, z), "customer_cluster_centers")
-    widths = store.write(segment.silhouette_detail(found, z, "customer_id"), "customer_silhouette")
-    store.result(segment.silhouette_summary(widths), "customer_silhouette_summary")
+    _diagnose(store, found, base, features.CUSTOMER_FEATURES, "customer_id", "customer", k_max)
 
 
 def write_back(store: Store) -> DataFrame:
@@ -112,8 +127,8 @@ def write_back(store: Store) -> DataFrame:
     return store.write(rated, "fact_with_clusters", ["order_month"])
 
 
-def segment_products(store: Store, k: int = 2, restarts: int = 25) -> None:
-    """Product features with cluster, and the cluster table."""
+def segment_products(store: Store, k: int = 2, restarts: int = 25, k_max: int = 10) -> None:
+    """Product features with cluster, the cluster table and the diagnostics."""
     lines = store.read("fact")
     require_columns(lines, ["in_stock", "color", "size", "brand", "rating"], strict=False)
     joined = features.join_features(
@@ -125,6 +140,7 @@ def segment_products(store: Store, k: int = 2, restarts: int = 25) -> None:
     found = segment.segment(base, features.PRODUCT_FEATURES, k, "total_revenue", restarts)
     found = store.write(found, "product_features")
     store.result(features.product_cluster_summary(found), "product_cluster_result")
+    _diagnose(store, found, base, features.PRODUCT_FEATURES, "product_id", "product", k_max)
 
 
 def forecast_monthly(
@@ -212,7 +228,33 @@ def report(store: Store, as_of: str = features.AS_OF, years: Sequence[int] = (20
     )
     rfm = store.write(reports.rfm(days, as_of), "rfm")
     names = reports.modal_names(days)
+    catalogue = store.read("products")
+    spread = rfm.filter(F.col("customer_type").isNotNull()).withColumn("log_aov", F.log10("avg_order_value"))
     tables = {
+        "root_category_analysis": reports.catalogue_by(catalogue, "root_category"),
+        **{
+            name: reports.top(reports.catalogue_by(catalogue, column), n, "product_count", column)
+            for name, column, n in (
+                ("top20_subcategories", "category", 20), ("top15_colors", "color", 15),
+                ("top20_sizes", "size", 20), ("top20_brands", "brand", 20),
+            )
+        },
+        "color_price": reports.color_price(catalogue),
+        "category_discount": reports.category_discount(catalogue),
+        "median_order": reports.median_order(cleaning.valid_price(catalogue, at_most=1000)),
+        "price_density": distribution.density(cleaning.valid_price(products), "final_price", weight="line_count"),
+        "discount_trend": distribution.linear_trend(
+            cleaning.discounted(catalogue), "initial_price", "discount_rate"
+        ),
+        "rating_trend": distribution.linear_trend(reports.rating_sales(products), "rating", "sales"),
+        "images_trend": distribution.linear_trend(reports.content_richness(products), "image_count", "sales"),
+        "price_pairs": distribution.pair_counts(
+            lines, "initial_price", "final_price", F.avg("discount_rate_adjusted").alias("avg_discount")
+        ),
+        "order_value_bins": distribution.histogram_2d(spread, "order_count", "log_aov", by=["customer_type"]),
+        "order_amount_quantiles": distribution.qq_values(
+            cleaning.valid_amount(store.read("orders")), "total_amount"
+        ),
         "summary_metrics": reports.summary_metrics(lines, products),
         "overall_summary": reports.overall_summary(days),
         "price_distribution": cleaning.price_band_report(
