@@ -32,11 +32,11 @@ from pyspark.sql import functions as F
 
 from tillroll.llm.common import id_remainder, shuffle_partitions, stored, text_steps
 
-DEPTH = 5
+DEPTH = 4
 # Bytes of recent context shared by the grams of one tree task; shorter contexts are summed over them.
 SHARED = 2
-# Byte positions sorted together, and distinct grams or words after which a task folds what it has.
-SORTED, FOLDED = 1 << 20, 1 << 20
+# Byte positions handled together, and distinct grams after which a task folds what it has.
+SORTED, FOLDED = 1 << 19, 1 << 20
 
 
 def held_out(doc_id: Column) -> Column:
@@ -67,6 +67,24 @@ def joined_grams(texts: list[bytes], depth: int = DEPTH) -> np.ndarray:
     return key[at]
 
 
+def gram_blocks(texts: list[bytes]) -> Iterator[np.ndarray]:
+    """All grams of the texts, about ``SORTED`` at a time; a long text is taken in slices."""
+    held: list[bytes] = []
+    size = 0
+    for raw in texts:
+        if len(raw) >= SORTED:
+            for at in range(0, len(raw), SORTED):
+                yield grams_of(raw[max(0, at - DEPTH) : at + SORTED])[min(at, DEPTH) :]
+            continue
+        held.append(raw)
+        size += len(raw)
+        if size >= SORTED:
+            yield joined_grams(held)
+            held, size = [], 0
+    if size:
+        yield joined_grams(held)
+
+
 class GramTable:
     """Values by gram, found by a hash: where a bucket begins, then one step for each entry before."""
 
@@ -131,12 +149,9 @@ def chunk_counts(docs: DataFrame) -> DataFrame:
                     others.update(words_of(raw))
                 else:
                     words.update(words_of(raw))
-            for part, weight in ([t for t, o in zip(texts, out, strict=True) if not o], 1), (
-                [t for t, o in zip(texts, out, strict=True) if o], 0
-            ):
-                grams = joined_grams(part) if part else np.zeros(0, "i8")
-                for at in range(0, len(grams), SORTED):
-                    key, n = np.unique(grams[at : at + SORTED], return_counts=True)
+            for weight in (1, 0):
+                for grams in gram_blocks([t for t, o in zip(texts, out, strict=True) if o != weight]):
+                    key, n = np.unique(grams, return_counts=True)
                     keys.append(key)
                     counts.append(n * weight)
                     held += len(key)
@@ -333,18 +348,20 @@ def score_documents(docs: DataFrame) -> DataFrame:
     floor = n + 0.1 * (v + 1)
     low, end = math.log10(0.1 / floor), math.log10((ends + 0.1) / floor)
 
-    def score(pdf: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+    def score(docs: pa.Table, told: pa.Table) -> pa.Table:
         gram, value = told["gram"].to_numpy(), told["value"].to_numpy()
-        if value[gram == -2].tolist() != [float((~pdf["out"]).sum())]:
+        out = docs["out"].to_pylist()
+        if value[gram == -2].tolist() != [float(out.count(False))]:
             raise ValueError("the documents were dealt anew between two passes; store them first")
         at = np.flatnonzero(gram >= 0)
         logs = GramTable(gram[at], value[at])
-        at = np.flatnonzero(gram == -1)
-        base = dict(zip(told["word"].iloc[at], np.log10((value[at] + 0.1) / floor).tolist(), strict=True))
-        told = gram = value = None
-        out = []
-        for text in pdf["text"]:
-            raw = text.encode() if text else b""
+        about = told.filter(pa.array(gram == -1))
+        words = np.log10((about["value"].to_numpy() + 0.1) / floor).tolist()
+        base = dict(zip(about["word"].to_pylist(), words, strict=True))
+        del told, about, gram, value, words
+        rows = []
+        for text in docs["text"].cast(pa.binary()):
+            raw = text.as_py() or b""
             found = words_of(raw)
             seen = [v for v in map(base.get, found) if v is not None]
             unseen = len(found) - len(seen)
@@ -352,18 +369,20 @@ def score_documents(docs: DataFrame) -> DataFrame:
             for at in range(0, len(raw), SORTED):
                 want = grams_of(raw[max(0, at - DEPTH) : at + SORTED])[min(at, DEPTH) :]
                 total += float(logs.of(want).sum())
-            out.append((len(found) + 1, len(seen) + (ends > 0), math.fsum(seen) + unseen * low + end, total, len(raw)))
-        kinds = zip(*out, strict=True) if out else ((),) * 5
-        tokens, known, base_score, total, size = (np.array(c) for c in kinds)
-        with np.errstate(all="ignore"):
-            bits = np.where(size > 0, -total * math.log2(10) / np.maximum(size, 1), np.nan)
-        return pd.DataFrame(
-            {"doc_id": pdf["doc_id"], "held_out": pdf["out"], "n_tokens": tokens, "n_known": known,
-             "train_tokens": n, "base_score": base_score, "score": total, "code_bits_per_byte": bits}
+            bits = -total * math.log2(10) / len(raw) if raw else None
+            rows.append((len(found) + 1, len(seen) + (ends > 0), math.fsum(seen) + unseen * low + end, total, bits))
+        tokens, known, base_score, total, bits = zip(*rows, strict=True) if rows else ((),) * 5
+        return pa.table(
+            {
+                "doc_id": docs["doc_id"], "held_out": docs["out"], "n_tokens": pa.array(tokens, pa.int64()),
+                "n_known": pa.array(known, pa.int64()), "train_tokens": pa.array([n] * len(rows), pa.int64()),
+                "base_score": pa.array(base_score, pa.float64()), "score": pa.array(total, pa.float64()),
+                "code_bits_per_byte": pa.array(bits, pa.float64()),
+            }
         )
 
     kind = (
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
         "base_score double, score double, code_bits_per_byte double"
     )
-    return scored.groupBy("chunk").cogroup(named.groupBy("chunk")).applyInPandas(score, kind)
+    return scored.groupBy("chunk").cogroup(named.groupBy("chunk")).applyInArrow(score, kind)
