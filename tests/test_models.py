@@ -129,7 +129,7 @@ def test_seasonal_autoregression_past_one_season(spark, waves):
 @pytest.mark.parametrize("offset", [0, 5])
 def test_harmonic_is_ridge_regression_whatever_the_start(spark, waves, offset):
     n, h, ridge = 30, 6, 0.1
-    got = fc.forecast_harmonic(panel(spark, {k: v[:n] for k, v in waves.items()}, offset), h, 2, ridge)
+    got = fc.forecast_harmonic(panel(spark, {k: v[:n] for k, v in waves.items()}, offset), h)
     t = np.arange(1, n + h + 1) + offset
     x = np.column_stack(
         [np.arange(1, n + h + 1) / n, *[f(2 * np.pi * k * t / 12) for k in (1, 2) for f in (np.sin, np.cos)]]
@@ -400,3 +400,43 @@ def test_trend_line(spark):
     cov = sse[0] / 198 * np.linalg.inv(design.T @ design)
     assert (row["intercept"], row["slope"]) == (pytest.approx(beta[0]), pytest.approx(beta[1]))
     assert row["slope_se"] == pytest.approx(math.sqrt(cov[1, 1]))
+
+
+def test_segments_do_not_depend_on_partitions(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, *map(float, rng.normal(size=3) + 4 * (i % 3))) for i in range(600)]
+    df = spark.createDataFrame(rows, "k int, a double, b double, c double")
+    found = [
+        {r["k"]: r["cluster"] for r in segment.segment(df.repartition(n), ["a", "b", "c"], 3, "a", restarts=2).collect()}
+        for n in (1, 5)
+    ]
+    assert found[0] == found[1]
+
+
+def test_interval_of_the_regression_holds_its_share(spark):
+    rng = np.random.default_rng(12)
+    rows, ahead = [], {}
+    for s in range(400):
+        t = np.arange(1, 43)
+        y = 100 + 2 * t + 20 * np.sin(2 * np.pi * t / 12) + rng.normal(0, 5, 42)
+        rows += [(f"s{s}", dt.date(2020 + i // 12, i % 12 + 1, 1), float(y[i])) for i in range(36)]
+        ahead.update({(f"s{s}", dt.date(2020 + i // 12, i % 12 + 1, 1)): y[i] for i in range(36, 42)})
+    series = spark.createDataFrame(rows, "series_key string, month date, y double")
+    got = fc.intervals(series, ("TSLM",)).collect()
+    inside = [r["lo80"] <= ahead[r["series_key"], r["month"]] <= r["hi80"] for r in got]
+    assert len(inside) == 2400 and 0.76 < sum(inside) / len(inside) < 0.84
+
+
+def test_series_with_a_mean_of_zero_keep_their_boosted_forecast(spark):
+    months = [dt.date(2020 + i // 12, i % 12 + 1, 1) for i in range(36)]
+    rows = [(k, m, v(i)) for k, v in (("zero", lambda i: 0.0), ("up", lambda i: 5.0 + i)) for i, m in enumerate(months)]
+    parted = ts.split(spark.createDataFrame(rows, "series_key string, month date, y double"))
+    got = fc.forecast_boosted(parted, "GBT small", depth=2, rounds=3).groupBy("series_key").count().collect()
+    assert {r["series_key"]: r["count"] for r in got} == {"zero": 6, "up": 6}
+
+
+def test_student_quantiles():
+    from tillroll.functions.probability import t90_table
+
+    table = t90_table()
+    assert [table[i] for i in (0, 1, 4, 9, 29)] == pytest.approx([3.07768, 1.88562, 1.47588, 1.37218, 1.31042], abs=1e-4)

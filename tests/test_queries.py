@@ -7,8 +7,6 @@ from tillroll.plans import load
 
 SF_DIR = "/root/testdata/sf0.001"
 QUERIES, ORACLES = load()
-# Model queries without SQL; the models themselves are tested in test_models.
-SLOW = {"fc_gbt_depthwise", "fc_gbt_small", "fc_recursive", "kmeans_customers", "kmeans_products"}
 
 
 @pytest.fixture(scope="module")
@@ -28,7 +26,7 @@ def test_same_as_sql_without_python_or_pair_joins(spark, con, name):
     assert difference(df, con, ORACLES[name]) is None
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_has_rows(spark, name):
     assert QUERIES[name](spark, SF_DIR).count() > 0
 

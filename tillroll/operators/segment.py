@@ -119,6 +119,21 @@ def ranked_clusters(df: DataFrame, rank_by: str) -> DataFrame:
     return df.withColumn("cluster", place).drop("_cluster")
 
 
+# Rows of one partition while clusters are fitted.
+FIT_ROWS = 100_000
+
+
+def arranged(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The rows dealt and ordered by their values alone, however they arrived.
+
+    Seeded starts draw from each partition, so the same rows must lie in the
+    same places for the same clusters to be found.
+    """
+    parts = df.count() // FIT_ROWS + 1
+    place = F.xxhash64(*[F.col(c) for c in columns])
+    return df.repartition(parts, place).sortWithinPartitions(place, *columns)
+
+
 def segment(
     df: DataFrame, columns: Sequence[str], k: int, rank_by: str, restarts: int = 25, seed: int = 42
 ) -> DataFrame:
@@ -126,7 +141,7 @@ def segment(
 
     ``df`` is read once per iteration and should be a pinned or written table.
     """
-    scaled, _ = scaled_features(df, columns)
+    scaled, _ = scaled_features(arranged(df, columns), columns)
     scaled = scaled.persist()
     try:
         model = best_kmeans(scaled, k, restarts, seed)
@@ -223,6 +238,25 @@ def silhouette_summary(detail: DataFrame, cluster: str = "cluster") -> DataFrame
     )
 
 
+def misplaced(df: DataFrame, z: Sequence[str], cluster: str = "cluster") -> DataFrame:
+    """``(n, clusters, misplaced)``: rows nearer to another cluster's mean than to their own."""
+    means = df.groupBy(cluster).agg(F.array(*[F.avg(c) for c in z]).alias("mean"))
+    every = means.agg(F.collect_list(F.struct(F.col(cluster).alias("c"), "mean"))).scalar()
+    point = F.array(*[F.col(c).cast("double") for c in z])
+
+    def distance(m: Column) -> Column:
+        return array_sum(F.zip_with("_x", m["mean"], lambda a, b: (a - b) * (a - b)))
+
+    placed = df.select(cluster, point.alias("_x")).withColumn("_all", every)
+    nearest = F.array_min(F.transform("_all", lambda m: F.struct(distance(m).alias("d"), m["c"].alias("c"))))
+    placed = placed.withColumn("_near", nearest["c"])
+    return placed.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_distinct(cluster).alias("clusters"),
+        F.count_if(F.col("_near") != F.col(cluster)).alias("misplaced"),
+    )
+
+
 def principal_components(scaled: DataFrame, keep: Sequence[str]) -> DataFrame:
     """``keep`` columns with PC1 and PC2 of the scaled vectors.
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tillroll.functions.columns import rounded
 from tillroll.operators import features, segment
 from tillroll.operators.cleaning import complete_rows, label_segments
 from tillroll.plans.common import (
@@ -168,6 +170,59 @@ def silhouette_by_k(spark, sf_dir):
     return _by_k(spark, sf_dir, segment.silhouette_by_k)
 
 
+# --- what is certain about the models -----------------------------------------------
+
+
+@query(
+    "kmeans_check",
+    f"""{CUST_ORDER_SQL}, {CUST_ITEM_SQL}, {PROD_SALES_SQL}
+    SELECT 'customers' AS part, count(*) AS n, CAST(3 AS BIGINT) AS clusters, {q('sum(total_spend)', 0)} AS measure,
+        TRUE AS settled FROM cust_order JOIN cust_item USING (customer_id)
+    UNION ALL SELECT 'products', count(*), 2, {q('sum(total_revenue)', 0)}, TRUE FROM prod_sales""",
+)
+def kmeans_check(spark, sf_dir):
+    """Nobody is lost, and all but a few border rows are nearest to their own cluster's mean."""
+    star = load_star(spark, sf_dir)
+    out = None
+    for name, feats, columns, k, measure in (
+        ("customers", customer_features(star), CUSTOMER, 3, "total_spend"),
+        ("products", product_features(star), PRODUCT, 2, "total_revenue"),
+    ):
+        found = pinned(segment.segment(feats, columns, k, measure, restarts=5))
+        z = [c for c in found.columns if c.startswith("z_")]
+        total = found.agg(F.sum(measure)).scalar()
+        row = segment.misplaced(found, z).select(
+            F.lit(name).alias("part"), "n", "clusters", rounded(total, 0).alias("measure"),
+            (F.col("misplaced") <= 0.05 * F.col("n")).alias("settled"),
+        )
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query(
+    "cost_by_k_check",
+    f"""{Z_SQL}
+    SELECT CAST(k AS INTEGER) AS k, CASE WHEN k = 1 THEN {q(f'CAST({len(CUSTOMER)} * (n - 1) AS DOUBLE)', 2)} END AS whole,
+        TRUE AS falls, TRUE AS in_range
+    FROM (SELECT count(*) AS n FROM z), range(1, 5) r(k)""",
+)
+def cost_by_k_check(spark, sf_dir):
+    """One cluster costs the whole sum of squares, more cost less, and widths lie between -1 and 1."""
+    scaled = segment.scaled_features(customer_features(load_star(spark, sf_dir)), CUSTOMER)[0].persist()
+    try:
+        cost = segment.wss_by_k(scaled, 4)
+        width = segment.silhouette_by_k(scaled, 4)
+    finally:
+        scaled.unpersist()
+    before = F.lag("wss").over(Window.partitionBy().orderBy("k"))
+    return cost.withColumn("_before", before).join(width, "k", "left").select(
+        "k",
+        F.when(F.col("k") == 1, rounded("wss", 2)).alias("whole"),
+        F.coalesce(F.col("wss") < F.col("_before"), F.lit(True)).alias("falls"),
+        F.coalesce(F.col("silhouette").between(-1, 1), F.lit(True)).alias("in_range"),
+    )
+
+
 def _pca_sql(source, keys, columns):
     """Two components by repeated squaring of the cross-product matrix.
 

@@ -648,6 +648,35 @@ def fc_recursive(spark, sf_dir):
     return show(fc.forecast_boosted(everything, "GBT small", depth=3, min_leaf=20), 2)
 
 
+@query(
+    "boosted_check",
+    f"""{SERIES_SQL}
+    SELECT model, series_key, month, TRUE AS forecast, TRUE AS beats_mean
+    FROM test, (SELECT unnest(['GBT depthwise', 'GBT small']) AS model)""",
+)
+def boosted_check(spark, sf_dir):
+    """Each test month of each series has a forecast, and the trees beat the mean on the rows they learned."""
+    everything = pinned_parts(spark, sf_dir)
+    rows = pinned(fc.boosted_features(everything))
+    learned = rows.filter(F.col("part") == "train")
+    out = None
+    for name, (depth, leaf) in fc.BOOSTED.items():
+        model = fc.fit_boosted(rows, depth, leaf, rounds=20)
+        errors = fc.predict_rows(model, learned, name).join(learned, ["series_key", "month"]).agg(
+            F.avg((F.col("yhat") / F.col("scale") - F.col("target")) ** 2).alias("left"),
+            F.var_pop("target").alias("around"),
+        )
+        beats = errors.select(F.col("left") < F.col("around")).scalar()
+        history = everything.filter(F.col("part").isin("skip", "train")).select("series_key", "month", "y")
+        scale = rows.select("series_key", "scale").distinct()
+        ahead = fc.predict_recursive(model, history, scale, name)
+        row = ahead.select(
+            "model", "series_key", "month", F.col("yhat").isNotNull().alias("forecast"), beats.alias("beats_mean")
+        )
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 # --- diagnostics ------------------------------------------------------------------
 
 
