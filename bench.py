@@ -23,6 +23,7 @@ HEADLINE = (
     "cohort_retention", "daily_by_segment", "channel_region", "top20_orders", "summary_metrics",
     "monthly_amount", "union_models", "fc_ets", "fc_accuracy", "fc_future", "ts_local_trend",
     "silhouette_detail", "histogram", "box_stats", "qq_normal", "freq_poisson_nb",
+    "kmeans_customers", "wss_by_k", "silhouette_by_k", "fc_gbt_small",
 )
 
 
