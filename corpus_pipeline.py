@@ -32,6 +32,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a copy of a test item."""
+    on_workers(spark)
     return decontaminate.without_copies(docs, table(spark, sf_dir, "benchmark"))
 
 
@@ -47,7 +48,9 @@ def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of at most 4096 tokens and their places in sequences."""
     on_workers(spark)
-    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), 4096, end_id=1)
+    # Workers of earlier stages live on, so less is remembered here than by packing alone.
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack_documents(docs, tokenizer, 4096, end_id=1, places=1 << 18)
 
 
 STAGES: list[tuple[str, Stage]] = [

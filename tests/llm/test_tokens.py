@@ -43,10 +43,22 @@ TOKENIZERS = {p: Tokenizer.from_file(p) for p in (BYTE, WORD)}
 
 
 def test_forgetting_changes_nothing():
-    encoder = ChunkEncoder(WORD, True)
-    before = encoder.encode([b"some longer words and some short ones"])
-    encoder.known.forget()
-    assert encoder.encode([b"some longer words and some short ones"]) == before
+    encoder = ChunkEncoder(WORD, True, places=8)
+    texts = [b"some longer words and some short ones, some words"] * 3 + [b"others here, and these too; or not"]
+    whole = [np.array(encoder.ids(t), "<u4").tobytes() for t in texts]
+    for _ in range(4):
+        assert [encoder.encode([t])[0] for t in texts] == whole
+
+
+@pytest.mark.parametrize("lower", [False, True])
+def test_long_texts_are_cut_at_white_space(lower):
+    rng = np.random.default_rng(0)
+    parts = ["word", "Other,", " ", "\n\n", "\t", "x" * 90, "été", "a.b", "it's", "12"]
+    text = " ".join(rng.choice(parts, 300_000)).encode()
+    encoder = ENCODERS[WORD if lower else BYTE]
+    assert encoder.encode([b"", text, b" ", b"ab"]) == [
+        np.array(encoder.ids(t), "<u4").tobytes() for t in (b"", text, b" ", b"ab")
+    ]
 
 
 def test_records_hold_every_document_in_order(spark, docs, tmp_path):

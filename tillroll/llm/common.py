@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 import tillroll
 from tillroll.session import scratch_path
 
-# Texts handed to one vectorised step; keeps a task's memory apart from Arrow's batch size.
+# Texts handed to one vectorised step.
 STEP_BYTES = 4 << 20
+# Rows that Spark and its Python workers exchange at once; whole documents are too large for the usual 10,000.
+BATCH_ROWS = 2000
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -28,12 +30,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def on_workers(spark: SparkSession) -> SparkSession:
-    """Lets Python workers import this package from where the driver has it, unless they find it anyway."""
+    """Lets Python workers import this package from where the driver has it, and sizes their batches for texts."""
     root = os.path.dirname(os.path.dirname(os.path.abspath(tillroll.__file__)))
     environment = spark.sparkContext.environment
     paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
         environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(setting)) <= BATCH_ROWS:
+        spark.conf.set(setting, str(BATCH_ROWS))
     return spark
 
 
@@ -65,6 +70,7 @@ def text_steps(batches: Iterator[pa.RecordBatch], column: str | int = "text") ->
                 begin, size, held = i + 1, 0, []
         if held:
             yield batch.slice(begin, len(held)), held
+    pa.default_memory_pool().release_unused()
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import stored, text_steps
-from tillroll.llm.tokens import encoder
+from tillroll.llm.tokens import PLACES, encoder
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long"
 # A rank among pieces of equal length stays below two to this power.
@@ -26,7 +26,9 @@ RANK_BITS = 44
 PACKED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
 
-def cut_documents(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 1) -> DataFrame:
+def cut_documents(
+    docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 1, places: int = PLACES
+) -> DataFrame:
     """Every text as pieces of at most ``capacity`` ids, the end id included.
 
     Only documents above the capacity are cut. ``nth`` counts the pieces of
@@ -36,7 +38,7 @@ def cut_documents(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id:
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = encoder(tokenizer, lower=True)
+        tool = encoder(tokenizer, True, places)
         part, last = TaskContext.get().partitionId(), end_id.to_bytes(4, "little")
         seen = [0] * (capacity + 1)
         for batch, texts in text_steps(batches):
@@ -173,7 +175,13 @@ def assign_bins(pieces: DataFrame, capacity: int = 4096) -> DataFrame:
     return ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "rank").mapInArrow(assign, PACKED)
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 1) -> DataFrame:
-    """All documents packed: one row per piece. No document: no row."""
-    pieces = stored(cut_documents(docs, tokenizer, capacity, end_id), "pieces")
+def pack_documents(
+    docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 1, places: int = PLACES
+) -> DataFrame:
+    """All documents packed: one row per piece. No document: no row.
+
+    ``places`` (a power of two) bounds the chunks whose ids a worker keeps; fewer take less
+    memory and more time.
+    """
+    pieces = stored(cut_documents(docs, tokenizer, capacity, end_id, places), "pieces")
     return assign_bins(pieces, capacity)

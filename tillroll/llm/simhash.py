@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 from itertools import combinations, repeat
 from math import comb
 
@@ -176,11 +177,18 @@ class Probing:
     counts: list[np.ndarray]
     distance: int
 
+    @cached_property
+    def work(self) -> list[np.ndarray]:
+        """Per part the work of each threshold for each counted value."""
+        return [
+            probe_costs(ball_counts(counts, len(bits), self.distance), len(bits))
+            for bits, counts in zip(self.parts, self.counts, strict=True)
+        ]
+
     def thresholds(self, fp: np.ndarray) -> np.ndarray:
         costs = []
-        for bits, counts in zip(self.parts, self.counts, strict=True):
+        for bits, counts, work in zip(self.parts, self.counts, self.work, strict=True):
             low = part_values(fp, bits) & np.uint64(len(counts) - 1)
-            work = probe_costs(ball_counts(counts, len(bits), self.distance), len(bits))
             costs.append(work[:, low.astype("i8")])
         return allocate(costs, self.distance + 1)
 
