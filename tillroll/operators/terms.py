@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -19,13 +20,9 @@ def normal_text(c: Column | str) -> Column:
 
 
 def _entries(palette: Palette) -> Column:
-    return F.array(
-        *[
-            F.struct(F.lit(group).alias("name"), F.lit(term.lower()).alias("term"))
-            for group, terms in palette
-            for term in terms
-        ]
-    )
+    """The palette as one array literal, in its own order."""
+    rows = [{"name": group, "term": term.lower()} for group, terms in palette for term in terms]
+    return F.from_json(F.lit(json.dumps(rows)), "array<struct<name:string,term:string>>")
 
 
 def _nearly_inside(value: Column, term: Column) -> Column:
