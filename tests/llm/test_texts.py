@@ -373,6 +373,25 @@ def test_joined_grams_are_those_of_each_text():
     assert lm_score.joined_grams(texts).tolist() == want.tolist()
 
 
+def test_packed_grams_come_back():
+    key = np.unique(np.random.default_rng(1).integers(0, 1 << 48, 1000))
+    assert lm_score.unpack_keys(lm_score.pack_keys(key)).tolist() == key.tolist()
+    assert lm_score.unpack_keys(lm_score.pack_keys(key[:0])).tolist() == []
+    values = np.log(key + 1.0)
+    assert lm_score.unpack(lm_score.pack(values), "f8").tolist() == values.tolist()
+    assert (lm_score.group_of(key, 7) == lm_score.group_of(key | 255 << 40 | 255, 7)).all()
+
+
+def test_five_bytes_of_context_count(spark, tmp_path):
+    # The byte after four equal ones depends on the fifth before.
+    train = "1abcdx 2abcdy " * 200
+    rows = [(1, train), (30, "1abcdx"), (30, "1abcdy")]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "d"))
+    got = lm_score.score_documents(spark.read.parquet(str(tmp_path / "d"))).collect()
+    right, wrong = sorted((r["score"] for r in got if r["doc_id"] == 30), reverse=True)
+    assert right - wrong > 1.5
+
+
 def test_log_gamma():
     x = np.array([0.5, 1.0, 1.5, 3.25, 100.5, 1e6])
     assert lm_score.log_gamma(x) == pytest.approx([math.lgamma(v) for v in x], rel=1e-12, abs=1e-12)

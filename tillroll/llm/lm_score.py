@@ -14,7 +14,9 @@ starts after ``DEPTH`` zero bytes.
 Nothing about all texts is held in one place. Each scan partition of the
 documents is a *chunk* that names the grams and words in it, with their
 training counts; counts are added up per gram and per word over all chunks;
-and a chunk gets back what it named, which is never more than it holds.
+and a chunk gets back what it named, which is never more than it holds. Grams
+travel packed: one row for a chunk and a group of contexts, its grams in order
+as compressed differences.
 """
 
 from __future__ import annotations
@@ -24,15 +26,15 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import id_remainder, shuffle_partitions, stored, text_steps
 
-DEPTH = 4
+DEPTH = 5
 # Bytes of recent context shared by the grams of one tree task; shorter contexts are summed over them.
 SHARED = 2
 # Byte positions handled together, and distinct grams after which a task folds what it has.
@@ -124,23 +126,65 @@ def add_up(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
     return key[first], np.add.reduceat(count, first) if len(first) else count
 
 
+def pack(values: np.ndarray) -> bytes:
+    """8-byte values, their bytes side by side and compressed."""
+    rows = np.ascontiguousarray(values).view("u1").reshape(-1, 8)
+    return len(values).to_bytes(4, "little") + pa.Codec("zstd").compress(np.ascontiguousarray(rows.T), asbytes=True)
+
+
+def unpack(raw: bytes, kind: str = "i8") -> np.ndarray:
+    n = int.from_bytes(raw[:4], "little")
+    rows = np.frombuffer(pa.Codec("zstd").decompress(raw[4:], 8 * n, asbytes=True), "u1").reshape(8, n)
+    return np.ascontiguousarray(rows.T).view(kind).reshape(n)
+
+
+def pack_keys(key: np.ndarray) -> bytes:
+    """Keys in order, as differences."""
+    return pack(np.diff(key, prepend=0))
+
+
+def unpack_keys(raw: bytes) -> np.ndarray:
+    return np.cumsum(unpack(raw))
+
+
+def group_of(key: np.ndarray, groups: int) -> np.ndarray:
+    """Grams with the same ``SHARED`` bytes of recent context are in one group."""
+    context = (key >> 8 & ((1 << (8 * SHARED)) - 1)).astype("u8")
+    return ((context * np.uint64(0x9E3779B1) >> np.uint64(16)) % np.uint64(groups)).astype("i4")
+
+
+def folded(packed: Iterator[tuple[bytes, bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct grams in order with the sum of their counts, from packed grams and counts."""
+    keys, counts, held, most = [], [], 0, FOLDED
+    for grams, n in packed:
+        keys.append(unpack_keys(grams))
+        counts.append(unpack(n))
+        held += len(keys[-1])
+        if held > most:
+            key, n = add_up(keys, counts)
+            keys, counts, held, most = [key], [n], len(key), max(FOLDED, 2 * len(key))
+    return add_up(keys, counts)
+
+
 def words_of(raw: bytes) -> list[bytes]:
     """Words between ASCII white space, A-Z in lower case."""
     return raw.lower().split()
 
 
 def chunk_counts(docs: DataFrame) -> DataFrame:
-    """Rows (chunk, word or gram, training count) for all that occurs in each scan partition.
+    """Rows (chunk, word or packed grams, training count) for all that occurs in each scan partition.
 
-    ``word`` is null in rows about grams and ``gram`` null in rows about
-    words; a row with both null counts the training texts.
+    ``word`` is null in rows about grams, which hold those of one group
+    (``grp``) and their counts packed; a row without word and grams counts the
+    training texts.
     """
+    groups = 4 * shuffle_partitions(docs.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk = TaskContext.get().partitionId()
         words: Counter[bytes] = Counter()
         others: set[bytes] = set()
-        keys, counts, held, trained = [], [], 0, 0
+        keys, counts, held, most, trained = [], [], 0, FOLDED, 0
         for batch, texts in text_steps(batches):
             out = batch.column("out").to_pylist()
             trained += out.count(False)
@@ -155,36 +199,40 @@ def chunk_counts(docs: DataFrame) -> DataFrame:
                     keys.append(key)
                     counts.append(n * weight)
                     held += len(key)
-            if held > FOLDED:
-                key, n = add_up(keys, counts)
-                keys, counts, held = [key], [n], 0
+                    if held > most:
+                        key, n = add_up(keys, counts)
+                        keys, counts, held, most = [key], [n], len(key), max(FOLDED, 2 * len(key))
         key, n = add_up(keys, counts)
-        names = ["chunk", "word", "gram", "n"]
-
-        def rows(found: list[bytes] | None, grams: np.ndarray | None, n) -> pa.RecordBatch:
-            size = len(n)
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(size, chunk, "i4")),
-                    pa.array(found, pa.binary()) if found is not None else pa.nulls(size, pa.binary()),
-                    pa.array(grams) if grams is not None else pa.nulls(size, pa.int64()),
-                    pa.array(n, pa.int64()),
-                ],
-                names=names,
+        keys, counts = [], []
+
+        def rows(size: int, **given) -> pa.RecordBatch:
+            kinds = {"grp": pa.int32(), "word": pa.binary(), "grams": pa.binary(), "counts": pa.binary(), "n": pa.int64()}
+            columns = [pa.array(given[c], k) if c in given else pa.nulls(size, k) for c, k in kinds.items()]
+            return pa.RecordBatch.from_arrays([pa.array(np.full(size, chunk, "i4")), *columns], names=["chunk", *kinds])
+
+        group = group_of(key, groups)
+        order = np.argsort(group, kind="stable")
+        group, key, n = group[order], key[order], n[order]
+        begins = np.flatnonzero(np.diff(group, prepend=-1))
+        ends = [*begins[1:].tolist(), len(group)]
+        parts = list(zip(begins.tolist(), ends, strict=False))
+        for at in range(0, len(parts), 64):
+            some = parts[at : at + 64]
+            yield rows(
+                len(some), grp=[int(group[a]) for a, _ in some], grams=[pack_keys(key[a:b]) for a, b in some],
+                counts=[pack(n[a:b]) for a, b in some],
             )
-
-        step = 1 << 16
-        for at in range(0, len(key), step):
-            yield rows(None, key[at : at + step], n[at : at + step])
         for word in others - words.keys():
             words[word] = 0
-        found = list(words)
+        found, step = list(words), 1 << 16
         for at in range(0, len(found), step):
             part = found[at : at + step]
-            yield rows(part, None, [words[w] for w in part])
-        yield rows(None, None, [trained])
+            yield rows(len(part), word=part, n=[words[w] for w in part])
+        yield rows(1, n=[trained])
 
-    return docs.select("text", "out").mapInArrow(count, "chunk int, word binary, gram long, n long")
+    return docs.select("text", "out").mapInArrow(
+        count, "chunk int, grp int, word binary, grams binary, counts binary, n long"
+    )
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -274,22 +322,23 @@ def gram_logs(key: np.ndarray, levels: list[tuple], depth: int) -> np.ndarray:
     return total
 
 
-def gram_model(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """``gram, log10p`` for rows ``gram, n`` (n may be 0: a gram to be scored only).
+def gram_model(counted: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """``chunk, grams, logs`` for rows ``chunk, grp, grams, counts``: log10 probabilities beside the grams, packed.
 
-    The tree is built per ``SHARED`` bytes of recent context. The nodes above
-    are at most 256 contexts of 255 decisions, and are all that meets on the
-    driver, however long the texts are.
+    A count may be 0: a gram to be scored only. The tree is built per
+    ``SHARED`` bytes of recent context. The nodes above are at most 256
+    contexts of 255 decisions, and are all that meets on the driver, however
+    long the texts are.
     """
-    context = F.shiftright("gram", 8).bitwiseAND(F.lit((1 << (8 * SHARED)) - 1))
-    groups = 4 * shuffle_partitions(counts.sparkSession)
-    keyed = counts.withColumn("grp", F.pmod(F.xxhash64(context), F.lit(groups)).cast("int"))
 
-    def tops(pdf: pd.DataFrame) -> pd.DataFrame:
-        node, zeros, ones, logs, _ = subtree(pdf["gram"].to_numpy(), pdf["n"].to_numpy(), depth, SHARED)[-1]
-        return pd.DataFrame({"node": node, "zeros": zeros, "ones": ones, "logs": logs})
+    def tops(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, n = folded(pair for batch in batches for pair in zip(*map(pa.Array.to_pylist, batch.columns[1:]), strict=True))
+        node, zeros, ones, logs, _ = subtree(key, n, depth, SHARED)[-1]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in (node, zeros, ones, logs)], names=["node", "zeros", "ones", "logs"])
 
-    shared = keyed.groupBy("grp").applyInPandas(tops, "node long, zeros long, ones long, logs double")
+    shared = counted.select("grp", "grams", "counts").groupBy("grp").applyInArrow(
+        tops, "node long, zeros long, ones long, logs double"
+    )
     shorter = shared.groupBy(F.col("node").bitwiseAND(F.lit((1 << (8 * SHARED)) - 1)).alias("node"))
     found = shorter.agg(
         F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("logs").alias("below")
@@ -302,12 +351,24 @@ def gram_model(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
         logs, share = weigh(node, zeros, ones, below)
         above.append((node, zeros, ones, logs, share))
 
-    def score(pdf: pd.DataFrame) -> pd.DataFrame:
-        key = pdf["gram"].to_numpy()
-        levels = subtree(key, pdf["n"].to_numpy(), depth, SHARED)
-        return pd.DataFrame({"gram": key, "log10p": gram_logs(key, [*levels, *above], depth)})
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [row for batch in batches for row in zip(*map(pa.Array.to_pylist, batch.columns[1:]), strict=True)]
+        key, n = folded((grams, counts) for _, grams, counts in held)
+        levels = [*subtree(key, n, depth, SHARED), *above]
+        logs = np.concatenate(
+            [gram_logs(key[at : at + SORTED], levels, depth) for at in range(0, len(key), SORTED)] or [np.zeros(0)]
+        )
+        del levels, n
+        for chunk, grams, _ in held:
+            told = pack(logs[np.searchsorted(key, unpack_keys(grams))])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([chunk], pa.int32()), pa.array([grams], pa.binary()), pa.array([told], pa.binary())],
+                names=["chunk", "grams", "logs"],
+            )
 
-    return keyed.groupBy("grp").applyInPandas(score, "gram long, log10p double")
+    return counted.select("grp", "chunk", "grams", "counts").groupBy("grp").applyInArrow(
+        score, "chunk int, grams binary, logs binary"
+    )
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
@@ -324,24 +385,24 @@ def score_documents(docs: DataFrame) -> DataFrame:
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out(F.col("doc_id")).alias("out"))
     counted = stored(chunk_counts(rows), "chunk-counts")
-    grams, words = counted.filter("gram is not null"), counted.filter("word is not null")
-    gram_counts = stored(grams.groupBy("gram").agg(F.sum("n").alias("n")), "gram-counts")
+    grams, words = counted.filter("grams is not null"), counted.filter("word is not null")
     word_counts = stored(words.groupBy("word").agg(F.sum("n").alias("c")), "word-counts")
-    texts = counted.filter("gram is null and word is null")
+    texts = counted.filter("grams is null and word is null")
     ends = texts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     n, v = word_counts.filter("c > 0").agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     n, v = int(n) + int(ends), int(v) + (ends > 0)
-    model = stored(gram_model(gram_counts), "gram-model")
-    # One row for each thing a chunk named: its value, beside the word or the gram (-1: a word, -2: texts).
+    # What a chunk named: packed grams with their values, a word with its count, the number of texts.
+    nothing, none = F.lit(None).cast("binary"), F.lit(None).cast("double")
     named = (
-        grams.select("chunk", "gram").join(model, "gram")
-        .select("chunk", F.lit(b"").alias("word"), "gram", F.col("log10p").alias("value"))
+        gram_model(grams).select("chunk", nothing.alias("word"), "grams", "logs", none.alias("value"))
         .unionByName(
             words.select("chunk", "word").join(word_counts.filter("c > 0"), "word")
-            .select("chunk", "word", F.lit(-1).cast("long").alias("gram"), F.col("c").cast("double").alias("value"))
+            .select("chunk", "word", nothing.alias("grams"), nothing.alias("logs"), F.col("c").cast("double").alias("value"))
         )
         .unionByName(
-            texts.select("chunk", F.lit(b"").alias("word"), F.lit(-2).cast("long").alias("gram"), F.col("n").cast("double").alias("value"))
+            texts.select(
+                "chunk", nothing.alias("word"), nothing.alias("grams"), nothing.alias("logs"), F.col("n").cast("double").alias("value")
+            )
         )
     )
     scored = rows.withColumn("chunk", F.spark_partition_id())
@@ -349,16 +410,19 @@ def score_documents(docs: DataFrame) -> DataFrame:
     low, end = math.log10(0.1 / floor), math.log10((ends + 0.1) / floor)
 
     def score(docs: pa.Table, told: pa.Table) -> pa.Table:
-        gram, value = told["gram"].to_numpy(), told["value"].to_numpy()
         out = docs["out"].to_pylist()
-        if value[gram == -2].tolist() != [float(out.count(False))]:
+        word, gram = told["word"].is_valid(), told["grams"].is_valid()
+        if told.filter(pc.invert(pc.or_(word, gram)))["value"].to_pylist() != [float(out.count(False))]:
             raise ValueError("the documents were dealt anew between two passes; store them first")
-        at = np.flatnonzero(gram >= 0)
-        logs = GramTable(gram[at], value[at])
-        about = told.filter(pa.array(gram == -1))
+        about, packed = told.filter(word), told.filter(gram)
         words = np.log10((about["value"].to_numpy() + 0.1) / floor).tolist()
         base = dict(zip(about["word"].to_pylist(), words, strict=True))
-        del told, about, gram, value, words
+        del told, about, words
+        keys = [unpack_keys(x.as_py()) for x in packed["grams"]] or [np.zeros(0, "i8")]
+        values = [unpack(x.as_py(), "f8") for x in packed["logs"]] or [np.zeros(0)]
+        del packed
+        logs = GramTable(np.concatenate(keys), np.concatenate(values))
+        del keys, values
         rows = []
         for text in docs["text"].cast(pa.binary()):
             raw = text.as_py() or b""
