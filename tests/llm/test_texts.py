@@ -173,6 +173,64 @@ def test_notices_are_found_where_they_stand(spark):
     assert license_align.licenses(df.limit(0)).count() == 0
 
 
+def licenses_in(text):
+    templates = licenses_in.templates = getattr(licenses_in, "templates", None) or license_align.templates_of(license_align.NOTICES)
+    return [f[0] for f in license_align.best_matches(license_align.scan(text, templates, license_align.LEAST))]
+
+
+@pytest.mark.parametrize(
+    ("text", "found"),
+    [
+        ("Released under the Apache License.", []),
+        ("Released under the BSD License.", []),
+        ("Released under the modified MIT License.", []),
+        ("Released under MIT License.", ["MIT"]),
+        ("Released under the terms of the MIT License.", ["MIT"]),
+        ("Released under the BSD 2-Clause License.", ["BSD-2-Clause"]),
+        ("This work is licensed under the GNU Affero General Public License, version 3.", ["AGPL-3.0"]),
+        ("This work is licensed under the GNU Lesser General Public License, version 3.", ["LGPL-3.0"]),
+        ("Released under the GNU Lesser General Public License version 2.1.", ["LGPL-2.1"]),
+        ("Licensed under the GNU General Public License v3.", ["GPL-3.0"]),
+        ("Licensed under CC BY-ND 4.0.", ["CC-BY-ND-4.0"]),
+        ("Licensed under CC BY-NC 3.0.", ["CC-BY-NC-3.0"]),
+        ("Licensed under CC BY-NC-SA 4.0.", ["CC-BY-NC-SA-4.0"]),
+        ("Licensed under the Apache License, Version 1.1.", ["Apache-1.1"]),
+        ("SPDX-License-Identifier: MIT", ["MIT"]),
+        ("SPDX-License-Identifier: MIT-0", ["MIT-0"]),
+        ("// SPDX-License-Identifier: GPL-2.0-or-later", ["GPL-2.0"]),
+        (
+            "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+            "Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) "
+            "any later version. This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without "
+            "even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public "
+            "License for more details.", ["LGPL-2.1"],
+        ),
+    ],
+)
+def test_name_variant_and_version_decide(text, found):
+    assert licenses_in(text) == found
+    assert licenses_in(f"some words before. {text} And more words after it.") == found
+
+
+def test_every_notice_is_found_as_its_license():
+    for name, text, *_ in license_align.NOTICES:
+        assert name in licenses_in(text), (name, text[:80])
+        if len(text) < 300:
+            assert licenses_in(text) == [name], text
+
+
+def test_full_texts_and_relatives():
+    by = {}
+    for name, text, *_ in license_align.NOTICES:
+        if len(text) > len(by.get(name, "")):
+            by[name] = text
+    for name in ("MIT", "MIT-0", "BSD-2-Clause", "BSD-3-Clause", "BSD-4-Clause", "ISC", "0BSD", "Zlib", "GPL-2.0", "GPL-3.0", "Apache-2.0"):
+        assert licenses_in(f"Copyright 2020 A. {by[name]} End")[0] == name
+    # The body of a relative is not taken for the license itself.
+    affero = by["GPL-3.0"].replace("GNU GENERAL", "GNU AFFERO GENERAL").replace("GNU General", "GNU Affero General")
+    assert "GPL-3.0" not in licenses_in(affero)
+
+
 # --- language ---------------------------------------------------------------------------
 
 

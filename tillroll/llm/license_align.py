@@ -4,6 +4,8 @@ Words that occur once in a stretch of text and once in a template anchor the
 alignment; the longest increasing run of anchors is kept, and the gaps between
 them are aligned the same way, where words that were too frequent before may
 have become unique. Coverage is the share of the template's words aligned.
+What tells a license from its relatives, its name, variant and version, has to
+be aligned without a word between.
 """
 
 from __future__ import annotations
@@ -19,14 +21,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import text_steps
+from tillroll.llm.license_notices import PERMISSIVE, full_texts, headers, short_notices
 
 WORD = re.compile(r"\w+")
 LEAST = 0.8
+# Before a name, these words make it another license.
+QUALIFIERS = frozenset("custom modified non".split())
 
-# Wording of common license notices, by SPDX identifier.
+# Wording of common license notices, by SPDX identifier, and the phrases that decide.
 NOTICES = (
-    ("MIT", "Released under the MIT License."),
-    ("MIT", "Licensed under the MIT License."),
+    ("MIT", "Released under the MIT License.", ("MIT License",)),
+    ("MIT", "Licensed under the MIT License.", ("MIT License",)),
     (
         "MIT",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
@@ -36,7 +41,7 @@ NOTICES = (
         "conditions: The above copyright notice and this permission notice shall be included in all copies or "
         "substantial portions of the Software.",
     ),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0.", ("Apache License, Version 2.0",)),
     (
         "Apache-2.0",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
@@ -45,8 +50,9 @@ NOTICES = (
         "distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY "
         "KIND, either express or implied. See the License for the specific language governing permissions and "
         "limitations under the License.",
+        ("Apache License, Version 2.0",),
     ),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
+    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3.", ("GNU General Public License, version 3",)),
     (
         "GPL-3.0",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
@@ -54,12 +60,13 @@ NOTICES = (
         "option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY "
         "WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the "
         "GNU General Public License for more details.",
+        ("GNU General Public License", "version 3 of the License"),
     ),
-    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2.", ("GNU General Public License, version 2",)),
+    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0.", ("CC BY-NC 4.0",)),
+    ("CC-BY-4.0", "Licensed under CC BY 4.0.", ("CC BY 4.0",)),
+    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0.", ("CC BY-SA 4.0",)),
+    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License.", ("Creative Commons Attribution 4.0",)),
     (
         "BSD-3-Clause",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
@@ -69,8 +76,13 @@ NOTICES = (
         "materials provided with the distribution. Neither the name of the copyright holder nor the names of its "
         "contributors may be used to endorse or promote products derived from this software without specific prior "
         "written permission.",
+        ("endorse or promote products",),
     ),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", ("Mozilla Public License, v. 2.0",)),
+    *short_notices(),
+    *headers(),
+    *PERMISSIVE,
+    *full_texts(),
 )
 
 
@@ -135,17 +147,52 @@ def unique_places(words: list[str], begin: int, end: int) -> dict[str, int]:
 class Templates:
     names: list[str]
     words: list[list[str]]
-    pairs: dict[tuple[str, str], list[tuple[int, int]]] = field(default_factory=dict)
+    # Where and how long the deciding phrases are, and the words they need.
+    deciding: list[list[tuple[list[int], int]]]
+    needed: list[frozenset[str]]
+    distinct: list[frozenset[str]]
+    pairs: dict[tuple[str, str], dict[int, list[int]]] = field(default_factory=dict)
     vocabulary: frozenset[str] = frozenset()
 
 
-def templates_of(notices: tuple[tuple[str, str], ...]) -> Templates:
-    words = [words_of(t) for _, t in notices]
-    pairs: dict[tuple[str, str], list[tuple[int, int]]] = {}
+def templates_of(notices: tuple[tuple, ...]) -> Templates:
+    """Templates of notices (license, text) or (license, text, deciding phrases)."""
+    words = [words_of(n[1]) for n in notices]
+    deciding, needed = [], []
+    for row, (_, text, *given) in zip(words, notices, strict=True):
+        phrases = [words_of(phrase) for phrase in (given[0] if given else ())]
+        places = [[i for i in range(len(row)) if row[i : i + len(phrase)] == phrase] for phrase in phrases]
+        if not all(places):
+            raise ValueError(f"a deciding phrase isn't in its notice: {text[:80]}")
+        deciding.append([(found, len(phrase)) for found, phrase in zip(places, phrases, strict=True)])
+        needed.append(frozenset(w for phrase in phrases for w in phrase))
+    pairs: dict[tuple[str, str], dict[int, list[int]]] = {}
     for k, row in enumerate(words):
         for i, pair in enumerate(zip(row, row[1:], strict=False)):
-            pairs.setdefault(pair, []).append((k, i))
-    return Templates([n for n, _ in notices], words, pairs, frozenset().union(*map(set, words)))
+            pairs.setdefault(pair, {}).setdefault(k, []).append(i)
+    distinct = [frozenset(row) for row in words]
+    return Templates([n[0] for n in notices], words, deciding, needed, distinct, pairs, frozenset().union(*distinct))
+
+
+def decided(words: list[str], aligned: list[tuple[int, int]], deciding: list[tuple[list[int], int]]) -> bool:
+    """Whether each deciding phrase stands in the text once at least, as it is.
+
+    ``aligned`` has places in ``words``. A qualifier before it or a further
+    part of a version behind it, beyond the template, makes it another phrase.
+    """
+    place = {t: p for p, t in aligned}
+    used = set(place.values())
+
+    def stands(t: int, n: int) -> bool:
+        p = place.get(t)
+        if p is None or any(place.get(t + i) != p + i for i in range(n)):
+            return False
+        if p and p - 1 not in used and words[p - 1] in QUALIFIERS:
+            return False
+        after = words[p + n] if p + n < len(words) and p + n not in used else ""
+        return not (words[p + n - 1].isdigit() and len(after) == 1 and after in "123456789")
+
+    return all(any(stands(t, n) for t in places) for places, n in deciding)
 
 
 def scan(text: str, templates: Templates, least: float) -> list[tuple[str, int, float, int, int, int]]:
@@ -153,21 +200,23 @@ def scan(text: str, templates: Templates, least: float) -> list[tuple[str, int,
 
     Pairs of neighbouring words shared with a template vote for the place where
     it would begin; it is aligned at places with enough votes, most votes
-    first, if the text holds enough of its words at all.
+    first, if the text holds its deciding words and enough of the others at all.
     """
     words = words_of(text)
     present = templates.vocabulary.intersection(words)
     may = {
-        k for k, row in enumerate(templates.words)
-        if row and len(present.intersection(row)) >= least * len(set(row)) - 1e-9
+        k for k, (row, needed) in enumerate(zip(templates.distinct, templates.needed, strict=True))
+        if row and needed <= present and len(present) >= least * len(row) - 1e-9
+        and len(row & present) >= least * len(row) - 1e-9
     }
     if not may:
         return []
     starts: dict[int, list[int]] = {}
     for p, pair in enumerate(zip(words, words[1:], strict=False)):
-        for k, i in templates.pairs.get(pair, ()):
-            if k in may:
-                starts.setdefault(k, []).append(p - i)
+        given = templates.pairs.get(pair)
+        if given:
+            for k in may.intersection(given):
+                starts.setdefault(k, []).extend(p - i for i in given[k])
     found = []
     for k, places in starts.items():
         template = templates.words[k]
@@ -189,8 +238,9 @@ def scan(text: str, templates: Templates, least: float) -> list[tuple[str, int,
             tried.update(range(s - slack // 2, s + slack // 2 + 1))
             aligned = patience(words[begin:end], template) if begin < end else []
             coverage = len(aligned) / len(template)
-            if coverage >= least:
-                first, last = begin + aligned[0][0], begin + aligned[-1][0]
+            here = [(begin + p, t) for p, t in aligned] if coverage >= least else []
+            if here and decided(words, here, templates.deciding[k]):
+                first, last = here[0][0], here[-1][0]
                 insort(spans, (first, last))
                 found.append((templates.names[k], k, coverage, first, last, len(aligned)))
     return sorted(found, key=lambda f: (f[3], f[4], f[1]))
@@ -208,7 +258,7 @@ def best_matches(found: list[tuple]) -> list[tuple]:
     return kept
 
 
-def licenses(docs: DataFrame, notices: tuple[tuple[str, str], ...] = NOTICES, least: float = LEAST) -> DataFrame:
+def licenses(docs: DataFrame, notices: tuple[tuple, ...] = NOTICES, least: float = LEAST) -> DataFrame:
     """``doc_id, license, coverage, first_word, last_word, n_words`` for each notice found.
 
     Null texts are empty and hold none. Null and repeated ids keep their rows;
