@@ -117,6 +117,20 @@ def test_rendering(html, text):
     assert html_layout.visible_text(html) == text
 
 
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ("<head><title>T</title>Hello <p>x", "Hello\n\nx"), ("<head><title>T</title><em>a</em> b", "a b"),
+        ("<head><title>T</title><font><p>whole page</font>", "whole page"), ("<head> <meta>\n<foo>bar</foo>", "bar"),
+        ("<html><head>\n<title>T</title>\n<!-- c --> <style>p{}</style><script>s</script>\n<link></head><body>b", "b"),
+        ("<head><noscript>n</noscript><template><b>t</b></template><svg/>x", "x"), ("<head><title>T</title></head><head>a", "a"),
+        ("<head><![CDATA[c]]></head><body>b", "b"), ("<head></p><td>a", "a"), ("<head><textarea>t</textarea>v", "v"),
+    ],
+)
+def test_a_head_without_end_tag_ends_where_the_page_begins(html, text):
+    assert html_layout.visible_text(html) == text
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.sampled_from(
     "<p> </p> <table> <tr> <td> <th> </td> </tr> </table> <ul> <li> </ul> <ol> x <b> </b> <pre> </pre> <br> <div hidden> "

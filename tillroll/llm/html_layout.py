@@ -57,6 +57,8 @@ ENDS = {
     "tbody": ({"thead", "tbody", "tfoot", "caption", "colgroup"}, {"table"}),
     "tfoot": ({"thead", "tbody", "tfoot", "caption", "colgroup"}, {"table"}),
 }
+# What may stand in a head; anything else, and any text, ends one that was not closed.
+IN_HEAD = frozenset("base basefont bgsound link meta title noscript noframes style script template head html".split())
 SCOPE = frozenset("table td th caption html".split())
 CELL_GAP = "  "
 MOST_SPAN = 100
@@ -181,7 +183,12 @@ class Page:
     def is_open(self, names, limits) -> bool:
         return any(n in names for n in self.names_until(limits))
 
+    def in_head(self) -> bool:
+        return bool(self.open) and self.open[-1][0] == "head"
+
     def text(self, raw: str) -> None:
+        if self.in_head() and raw.strip(" \t\n\r\f"):
+            self.close_through({"head"})
         if self.hidden or not raw:
             return
         # Text between the parts of a table, outside cells, is not laid out there.
@@ -207,7 +214,7 @@ class Page:
             return
         if name == "body" and self.is_open({"head"}, {"html"}):
             self.close_through({"head"})
-        if self.open and self.open[-1][0] == "head" and (name in BLOCK or name in ("a", "b", "span", "table", "img", "br")):
+        if self.in_head() and name not in IN_HEAD:
             self.close_through({"head"})
         found = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(attributes)} if attributes.strip(" /") else {}
         hidden = (
@@ -371,7 +378,7 @@ def visible_text(html: str | None) -> str:
         at = found.end()
         name = (found[2] or found[5] or "").lower()
         if not name:
-            if found[0].startswith("<![CDATA["):
+            if found[0].startswith("<![CDATA[") and not page.in_head():
                 page.text(found[0][9:].removesuffix("]]>").replace("&", "&amp;"))
             continue
         if found[1] or found[4]:
