@@ -347,6 +347,29 @@ def test_copies_are_caught_and_clean_documents_left(spark):
     assert decontaminate.without_copies(df.limit(0), bench).count() == 0
 
 
+def test_seeds_do_not_lengthen_with_the_corpus():
+    # Two words of share 1 in 10,000 and two common ones, in turns.
+    shares = np.array([0.0, 1e-4, 1e-4, 0.01, 0.02])
+    row = np.array([1, 2, 3, 4] * 3, "u4")
+    small, large = (decontaminate.seeds_of([row], shares, total) for total in (10**6, 10**10))
+    assert {n: v[2].tolist() for n, v in small.items()} == {n: v[2].tolist() for n, v in large.items()}
+    assert 2 in large
+
+
+def test_items_of_common_words_are_found(spark):
+    # Every word has a share of 1 in 4, so that no run of up to eight words is rare.
+    rng = np.random.default_rng(5)
+    texts = [" ".join(rng.choice(list("abcd"), 400)) for _ in range(50)]
+    item = "a a b b c c d d a c b d a d c b a a c c"
+    docs = [(i, t) for i, t in enumerate(texts)] + [(99, f"c d {item} a b")]
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    shares = np.array([0.0, *[0.25] * 4])
+    words = np.array(["abcd".index(w) + 1 for w in item.split()], "u4")
+    assert [len(v[0]) for v in decontaminate.seeds_of([words], shares, 10**10).values()] == [1]
+    got = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()
+    assert any(r["doc_id"] == 99 and r["score"] == 1.0 for r in got)
+
+
 # --- language model ---------------------------------------------------------------------------
 
 

@@ -1,10 +1,12 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
 A seed is the shortest run of words from a place in a test item that chance
-would hardly produce in the corpus: the product of the words' shares in the
-corpus, times the corpus length, stays below ``CHANCE``. Copies of an item
-barely change those shares, so an item copied into many documents keeps its
-seeds. Where a document holds a seed, the item is aligned with the words
+would rarely produce at a place of a text: the product of the words' shares in
+the corpus stays below ``RATE``, which is the same for every corpus, so a copy
+that is found in a small one is found in a large one too. What chance does
+produce is refused by the alignment. Copies of an item barely change those
+shares, so an item copied into many documents keeps its seeds. An item of
+common words alone has its rarest run for a seed. Where a document holds a seed, the item is aligned with the words
 around it by Smith-Waterman, which tolerates replaced, added and lost words.
 
 Items are taken in blocks of a bounded size, each met by all documents.
@@ -24,8 +26,8 @@ from pyspark.sql import functions as F
 from tillroll.llm.common import text_steps
 
 WORD = re.compile(r"\w+")
-# Expected chance occurrences of a seed in the whole corpus, and the words a seed may have.
-CHANCE, SEED_WORDS = 0.01, range(2, 9)
+# Expected chance occurrences of a seed per word of text, for small corpora in the whole; words a seed may have.
+RATE, CHANCE, SEED_WORDS = 1e-7, 0.01, range(2, 9)
 MATCH, MISMATCH, GAP = 2, -1, -1
 # Share of an item's best possible score that tells a copy; items count as no longer than this many words.
 LEAST, COUNTED_WORDS = 0.5, 50
@@ -63,7 +65,7 @@ def seeds_of(words: list[np.ndarray], shares: np.ndarray, total: int) -> dict[in
     """By length: keys in order, and for each the item and the place it stands for."""
     found: dict[int, list[tuple[int, int, int]]] = {}
     logs = np.log(np.maximum(shares, 1.0 / max(total, 1)))
-    limit = np.log(CHANCE) - np.log(max(total, 1))
+    limit = np.log(max(RATE, CHANCE / max(total, 1)))
     for item, row in enumerate(words):
         sums = np.concatenate([[0.0], np.cumsum(logs[row])])
         taken = np.zeros(len(row), bool)
@@ -75,6 +77,10 @@ def seeds_of(words: list[np.ndarray], shares: np.ndarray, total: int) -> dict[in
             taken[places] = True
             keys = run_keys(row, n)
             found.setdefault(n, []).extend((int(keys[p]), item, int(p)) for p in places)
+        n = min(len(row), SEED_WORDS[-1])
+        if n >= SEED_WORDS[0] and not taken.any():
+            p = int(np.argmin(sums[n:] - sums[:-n]))
+            found.setdefault(n, []).append((int(run_keys(row, n)[p]), item, p))
     out = {}
     for n, rows in found.items():
         if rows:
@@ -211,7 +217,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) ->
 
     One row per document row and item, for the best alignment; the score is
     its share of the item's best possible score. Null texts and items, items
-    without an id and items without a rare run of words match nothing.
+    without an id and items of a single word match nothing.
     Null and repeated document ids keep their rows; other columns are ignored.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
