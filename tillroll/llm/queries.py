@@ -11,12 +11,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.llm import (
-    decontaminate, embedding_dedup, html_layout, language_id, license_align, lm_score, packing, pii, simhash,
-    token_records,
+    decontaminate, embedding_dedup, filter_audit, html_layout, language_id, license_align, lm_score, packing, pii,
+    simhash, token_alignment, token_records, toxicity,
 )
 from tillroll.llm.common import table
 
-BYTE_TOKENIZER, WORD_TOKENIZER = "byte_bpe_50k.json", "word_bpe_49k.json"
+BYTE_TOKENIZER, WORD_TOKENIZER, PIECE_MODEL = "byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"
 
 
 def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,14 +62,27 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = public_tokenizers.path(BYTE_TOKENIZER), public_tokenizers.path(PIECE_MODEL)
+    return token_alignment.alignment_digest(table(spark, sf_dir, "documents"), *paths)
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_embedding_near_dedup, op2_html_extraction, op3_license_scan, op4_language_id, op5_pii,
         op6_token_records, op7_simhash_near_dedup, op8_benchmark_decontamination, op9_best_fit_packing,
-        op10_lm_scoring,
+        op10_lm_scoring, op11_cross_tokenizer_alignment, op12_toxicity, op13_filter_interaction_audit,
     )
     return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_pii": pii.digest_sql()}
+    return {"op5_pii": pii.digest_sql(), "op13_filter_interaction_audit": filter_audit.digest_sql()}
