@@ -203,3 +203,14 @@ def test_odd_vectors(spark):
     assert got == [*first, *rest, (12, 4, 1, False)]
     assert embedding_dedup.near_vectors(df.limit(0)).count() == 0
     assert shuffle_partitions(spark) == 8 and F is not None
+
+
+@pytest.mark.parametrize("turn", [1, -1])
+def test_a_repeated_id_does_not_lose_a_text(spark, turn):
+    a, b = "one text of several words that go on", "another text with quite different words altogether"
+    rows = [(3, a, 1), (5, a, 2), (5, b, 3), (5, b, 4), (None, b, 5), (None, "words of no other row at all here", 6)]
+    df = spark.createDataFrame(rows[::turn], "doc_id long, text string, n int").coalesce(1)
+    kept = sorted((r["doc_id"] or 0, r["text"], r["n"]) for r in simhash.one_per_group(df).collect())
+    assert [(i, t) for i, t, _ in kept] == [(0, rows[5][1]), (3, a), (5, b)]
+    again = spark.createDataFrame(rows, df.schema).repartition(4)
+    assert kept == sorted((r["doc_id"] or 0, r["text"], r["n"]) for r in simhash.one_per_group(again).collect())

@@ -3,6 +3,7 @@
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tillroll.llm import decontaminate, pii, queries, simhash
@@ -86,6 +87,22 @@ def test_no_documents(spark, steps):
         assert docs.count() == 0
 
 
+CLASHES = "_pred _share _fp component_fp _exact a.b row id h bare tie exact lang_pred score doc fp component_id _row".split()
+
+
+@pytest.mark.parametrize("stage", corpus_pipeline.STAGES[:-1], ids=lambda s: s[0])
+def test_names_of_other_columns_do_not_matter(spark, stage):
+    """Each stage gives the rows it gives without them, each with its own values."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    more = docs.select("*", *[F.concat(F.lit(f"{c} "), F.col("doc_id").cast("string")).alias(c) for c in CLASHES])
+    name, run = stage
+    plain, wide = run(spark, docs, SF), run(spark, more, SF)
+    assert wide.columns == more.columns
+    rows = wide.collect()
+    assert sorted(tuple(r)[:5] for r in rows) == sorted(map(tuple, plain.collect()))
+    assert all(tuple(r)[5:] == tuple(f"{c} {r['doc_id']}" for c in CLASHES) for r in rows)
+
+
 def test_run(spark):
     assert corpus_pipeline.run(spark, SF).count() > 100
 

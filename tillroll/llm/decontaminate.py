@@ -26,15 +26,16 @@ from pyspark.sql import functions as F
 from tillroll.llm.common import text_steps
 
 WORD = re.compile(r"\w+")
-# Expected chance occurrences of a seed per word of text, for small corpora in the whole; words a seed may have.
-RATE, CHANCE, SEED_WORDS = 1e-7, 0.01, range(2, 9)
+# Expected chance occurrences of a seed per word of text; words a seed may have.
+RATE, SEED_WORDS = 1e-7, range(2, 9)
 MATCH, MISMATCH, GAP = 2, -1, -1
-# Share of an item's best possible score that tells a copy; items count as no longer than this many words.
+# Share of an item's best possible score that tells a copy. By default items count as no longer than this many
+# words, so that a passage of half as many is a copy of an item of any length.
 LEAST, COUNTED_WORDS = 0.5, 50
 # Bytes of item texts in one block.
 BLOCK_BYTES = 8 << 20
 FACTOR = 0x9E3779B97F4A7C15
-HITS = "item_id long, score double, first_word long, last_word long, matches long"
+HITS = "item_id long, score double, full_share double, first_word long, last_word long, matches long"
 
 
 def words_of(text: str) -> list[str]:
@@ -65,7 +66,7 @@ def seeds_of(words: list[np.ndarray], shares: np.ndarray, total: int) -> dict[in
     """By length: keys in order, and for each the item and the place it stands for."""
     found: dict[int, list[tuple[int, int, int]]] = {}
     logs = np.log(np.maximum(shares, 1.0 / max(total, 1)))
-    limit = np.log(max(RATE, CHANCE / max(total, 1)))
+    limit = np.log(RATE)
     for item, row in enumerate(words):
         sums = np.concatenate([[0.0], np.cumsum(logs[row])])
         taken = np.zeros(len(row), bool)
@@ -117,8 +118,8 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int, int]:
     return score, int(j), last, matches
 
 
-def copies_in(text: str, items: Items, least: float) -> list[tuple[int, float, int, int, int]]:
-    """Per item found: id, share of its best possible score, first and last word, equal words."""
+def copies_in(text: str, items: Items, least: float, counted_words: int = COUNTED_WORDS) -> list[tuple]:
+    """Per item found: id, share of its best possible score (as counted, and in full), first and last word, equal words."""
     if not items.seeds:
         return []
     look = items.vocabulary.get
@@ -142,7 +143,7 @@ def copies_in(text: str, items: Items, least: float) -> list[tuple[int, float, i
     for i, starts in hits.items():
         words = items.words[i]
         slack = 8 + len(words) // 4
-        need = MATCH * min(len(words), COUNTED_WORDS)
+        need = MATCH * min(len(words), counted_words)
         best: tuple | None = None
         # Neighbouring seeds share a window, cut where the next would begin a copy of its own.
         windows: list[list[int]] = []
@@ -157,7 +158,7 @@ def copies_in(text: str, items: Items, least: float) -> list[tuple[int, float, i
             if score >= least * need and (best is None or score > best[0]):
                 best = (score, begin + a, begin + b, matches)
         if best:
-            out.append((items.ids[i], min(1.0, best[0] / need), *best[1:]))
+            out.append((items.ids[i], min(1.0, best[0] / need), best[0] / (MATCH * len(words)), *best[1:]))
     return sorted(out)
 
 
@@ -212,11 +213,14 @@ def known_items(docs: DataFrame, benchmark: DataFrame) -> Iterator[Items]:
         yield Items(ids, rows, vocabulary, seeds_of(rows, shares, total))
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> DataFrame:
-    """``doc_id, item_id, score, first_word, last_word, matches`` for each copy found.
+def contaminated(
+    docs: DataFrame, benchmark: DataFrame, least: float = LEAST, counted_words: int = COUNTED_WORDS
+) -> DataFrame:
+    """``doc_id, item_id, score, full_share, first_word, last_word, matches`` for each copy found.
 
-    One row per document row and item, for the best alignment; the score is
-    its share of the item's best possible score. Null texts and items, items
+    One row per document row and item, for the best alignment; ``full_share``
+    is its share of the item's best possible score, ``score`` the same for an
+    item that counts as no longer than ``counted_words``. Null texts and items, items
     without an id and items of a single word match nothing.
     Null and repeated document ids keep their rows; other columns are ignored.
     """
@@ -230,13 +234,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) ->
                 found = [
                     (doc_id, *hit)
                     for doc_id, raw in zip(batch.column("doc_id").to_pylist(), texts, strict=True)
-                    for hit in copies_in(raw.decode(), shared.value, least)
+                    for hit in copies_in(raw.decode(), shared.value, least, counted_words)
                 ]
-                columns = zip(*found, strict=True) if found else ((),) * 6
-                kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64())
+                columns = zip(*found, strict=True) if found else ((),) * 7
+                kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.int64(), pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                    names=["doc_id", "item_id", "score", "first_word", "last_word", "matches"],
+                    names=["doc_id", "item_id", "score", "full_share", "first_word", "last_word", "matches"],
                 )
 
         hits = rows.mapInArrow(find, f"doc_id long, {HITS}")
@@ -246,8 +250,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) ->
 
 def without_copies(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> DataFrame:
     """``docs`` without the documents that hold a copy of a test item; no shuffle."""
-    out = docs
-    for items in known_items(docs, benchmark):
+    columns = docs.columns
+    # The row travels as one value, whatever its columns are called.
+    out = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), "text")
+    kind = out.schema
+    for items in known_items(docs.select("text"), benchmark):
         shared = docs.sparkSession.sparkContext.broadcast(items)
 
         def keep(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -255,5 +262,5 @@ def without_copies(docs: DataFrame, benchmark: DataFrame, least: float = LEAST)
                 clean = [not copies_in(raw.decode(), shared.value, least) for raw in texts]
                 yield batch.filter(pa.array(clean))
 
-        out = out.mapInArrow(keep, docs.schema)
-    return out
+        out = out.mapInArrow(keep, kind)
+    return out.select(*[F.col("row")[c].alias(c) for c in columns])

@@ -61,7 +61,8 @@ ENDS = {
 IN_HEAD = frozenset("base basefont bgsound link meta title noscript noframes style script template head html".split())
 SCOPE = frozenset("table td th caption html".split())
 CELL_GAP = "  "
-MOST_SPAN = 100
+# Spans reach no further by the standard.
+MOST_SPAN = {"colspan": 1000, "rowspan": 65534}
 
 
 class Flow:
@@ -257,7 +258,7 @@ class Page:
             self.tables[-1].rows.append([])
         elif name in ("td", "th", "caption"):
             self.flows.append(Flow())
-            return [_number(found.get(k)) for k in ("colspan", "rowspan")]
+            return [_number(found.get(k), 1, most) for k, most in MOST_SPAN.items()]
         elif name in ("ul", "ol", "menu", "dir", "dl"):
             nested = any(n in ("li", "dd") for n, _, _ in self.open)
             flow.end_line()
@@ -353,7 +354,7 @@ class Page:
         return "\n".join(lines[begin:])
 
 
-def _number(raw: str | None, default: int = 1, most: int = MOST_SPAN) -> int:
+def _number(raw: str | None, default: int, most: int) -> int:
     digits = re.match(r"\s*(\d{1,9})", raw or "")
     return min(max(1, int(digits[1])), most) if digits else default
 

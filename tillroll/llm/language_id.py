@@ -210,8 +210,7 @@ def predict(
     """
     rows = docs.select(*keep, F.col("text").alias("_text"))
     shared = docs.sparkSession.sparkContext.broadcast(languages)
-    kinds = rows.select(*keep).schema
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kinds), f"{names[0]} string", f"{names[1]} double"])
+    schema = rows.select(*keep).schema.add(names[0], "string").add(names[1], "double")
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
@@ -255,8 +254,9 @@ def language_digest(docs: DataFrame) -> DataFrame:
 
 def reject_undetermined(docs: DataFrame) -> DataFrame:
     """``docs`` without those whose language can't be determined; a null ``lang`` becomes the one predicted."""
-    columns = docs.columns
     languages = sample_languages(docs.filter(~held_out(F.col("doc_id"))).select("text", "lang"))
-    found = predict(docs, languages, columns, ("_pred", "_share"))
-    lang = F.coalesce("lang", "_pred").alias("lang")
-    return found.filter(F.col("_pred") != UNDETERMINED).select(*[lang if c == "lang" else c for c in columns])
+    # The row travels as one value, so that no column of it can clash with the ones added.
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    found = predict(docs.select(row, "text"), languages, ["row"]).filter(F.col("lang_pred") != UNDETERMINED)
+    filled = {"lang": F.coalesce(F.col("row")["lang"], F.col("lang_pred"))}
+    return found.select(*[filled.get(c, F.col("row")[c]).alias(c) for c in docs.columns])

@@ -81,7 +81,7 @@ def fingerprints_of(texts: list[bytes], words: int) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
-    """``doc_id, fp`` (long, the 64 bits as they are) of every whole text.
+    """``doc_id, fp, h``: the 64 bits as they are (long), and a hash of the text, of every whole text.
 
     Null texts are empty; a text without words has fingerprint zero; one with
     fewer words than a shingle is one shingle. Null and repeated ids keep
@@ -91,10 +91,11 @@ def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_steps(batches):
             fp = fingerprints_of(texts, words).view("<i8")
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fp)], names=["doc_id", "fp"])
+            told = [batch.column("doc_id"), pa.array(fp), batch.column("h")]
+            yield pa.RecordBatch.from_arrays(told, names=["doc_id", "fp", "h"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(step, "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"))
+    return rows.mapInArrow(step, "doc_id long, fp long, h long")
 
 
 def bit_parts(correlation: np.ndarray, m: int) -> list[list[int]]:
@@ -353,7 +354,7 @@ def fingerprint_links(prints: DataFrame, distance: int) -> DataFrame:
 
 
 def simhash_groups(docs: DataFrame, words: int = 4, distance: int = 4) -> DataFrame:
-    """``doc_id, fp, component_fp, component_id`` of every document.
+    """``doc_id, fp, h, component_fp, component_id`` of every document; ``h`` is a hash of the text.
 
     ``component_fp`` names the group; ``component_id`` is its smallest
     non-null ``doc_id``, null only if the group has none. Equal fingerprints
@@ -369,7 +370,7 @@ def simhash_groups(docs: DataFrame, words: int = 4, distance: int = 4) -> DataFr
     named = stored(named.select("fp", "component_fp", "least"), "print-groups")
     least = named.groupBy("component_fp").agg(F.min("least").alias("component_id"))
     labels = named.select("fp", "component_fp").join(least, "component_fp")
-    return own.join(labels, "fp").select("doc_id", "fp", "component_fp", "component_id")
+    return own.join(labels, "fp").select("doc_id", "fp", "h", "component_fp", "component_id")
 
 
 def simhash_digest(docs: DataFrame, words: int = 4, distance: int = 4) -> DataFrame:
@@ -379,20 +380,22 @@ def simhash_digest(docs: DataFrame, words: int = 4, distance: int = 4) -> DataFr
 
 
 def one_per_group(docs: DataFrame, words: int = 4, distance: int = 4) -> DataFrame:
-    """The document with the smallest id of each group, all columns.
+    """One row of each group, all columns: that with the smallest (``doc_id``, hash of the text), null ids last.
 
-    Rows that repeat an id are one document, of which one row stays. A group
-    whose documents all have null ids keeps one of them.
+    Rows that repeat an id with different texts are different documents, so a
+    text of no other group never goes because of its id. Of rows equal in both,
+    the one with the smallest hash of all columns that can be hashed stays.
+    Names of other columns do not matter.
     """
-    found = simhash_groups(docs, words, distance)
-    kept = found.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    nameless = found.filter(F.col("component_id").isNull()).select(F.col("fp").alias("_fp"), "component_fp").distinct()
-
-    @F.pandas_udf("long")
-    def fp_of(texts: pd.Series) -> pd.Series:
-        return pd.Series(fingerprints_of([(t or "").encode() for t in texts], words).view("i8"))
-
-    bare = docs.filter(F.col("doc_id").isNull()).withColumn("_fp", fp_of("text"))
-    bare = bare.join(nameless, "_fp").dropDuplicates(["component_fp"])
-    return named.select(docs.columns).unionByName(bare.select(docs.columns))
+    column = {c: F.col(f"`{c}`") for c in docs.columns}
+    hashable = [column[f.name] for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    rows = docs.select(
+        F.struct(*column.values()).alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("h"),
+        F.xxhash64(*hashable).alias("tie"),
+    )
+    rows = rows.withColumn("bare", F.col("id").isNull()).withColumn("id", F.coalesce("id", F.lit(0)))
+    groups = simhash_groups(docs, words, distance)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("bare"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("h")))
+    kept = groups.groupBy("component_fp").agg(first.alias("first")).select("first.*")
+    found = rows.join(kept, ["bare", "id", "h"]).groupBy("bare", "id", "h").agg(F.min_by("row", "tie").alias("row"))
+    return found.select("row.*")
