@@ -39,10 +39,12 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced; ``n_chars`` follows the text where it did before."""
     on_workers(spark)
-    marked = docs.withColumn("_exact", F.col("n_chars") == F.length("text"))
-    masked = pii.redact(marked)
-    n_chars = F.when(F.col("_exact"), F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return masked.withColumn("n_chars", n_chars).select(docs.columns)
+    # The row travels as one value, so that no column of it can clash with the ones added.
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    masked = pii.redact(docs.select(row, "text", (F.col("n_chars") == F.length("text")).alias("exact")))
+    n_chars = F.when(F.col("exact"), F.length("text").cast("long")).otherwise(F.col("row")["n_chars"])
+    new = {"text": F.col("text"), "n_chars": n_chars}
+    return masked.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
