@@ -28,12 +28,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import stored, text_steps
-from tillroll.llm.tokens import PLACES, ChunkEncoder
+from tillroll.llm.tokens import ChunkEncoder, IdTable
 
 # Text of one chunk: its documents' links are held together.
-CHUNK_BYTES = 24 << 20
-# Parts of a row of groups that are hashed together.
-HASHED = 1 << 14
+CHUNK_BYTES = 16 << 20
+# Groups hashed together, uneven groups remembered, and places of the tables of chunks seen.
+HASHED, UNEVEN, REMEMBERED = 1 << 14, 1 << 17, 1 << 20
 
 _tokenizers: dict[tuple[str, str], TokenizerPair] = {}
 
@@ -46,11 +46,9 @@ class PieceEncoder(ChunkEncoder):
     apart; texts with a carriage return are encoded as a whole.
     """
 
-    def __init__(self, path: str, places: int = PLACES):
+    def __init__(self, path: str, places: int):
         from sentencepiece import SentencePieceProcessor
 
-        from tillroll.llm.tokens import IdTable
-
         self.model = SentencePieceProcessor(model_file=path)
         self.lower = False
         self.table = IdTable(places, "u2" if self.model.get_piece_size() <= 1 << 16 else "u4")
@@ -86,9 +84,9 @@ class TokenizerPair:
 
     def __init__(self, path_a: str, path_b: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.a = ChunkEncoder(path_a, lower=False)
+        self.a = ChunkEncoder(path_a, False, REMEMBERED)
         self.a.tokenizer.encode_special_tokens = True
-        self.b = PieceEncoder(path_b)
+        self.b = PieceEncoder(path_b, REMEMBERED)
         letter, model = byte_letters(), self.b.model
         vocabulary = self.a.tokenizer.get_vocab(with_added_tokens=True)
         of_a = [b""] * (max(vocabulary.values()) + 1)
@@ -100,7 +98,6 @@ class TokenizerPair:
         ]
         self.bytes_a, self.bytes_b = of_a, of_b
         self.size_a, self.size_b = (np.array([len(x) for x in of], "u4") for of in (of_a, of_b))
-        self.decimal = [str(i) for i in range(max(len(of_a), len(of_b)))]
 
     def encode(self, texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Both rows of ids per text; empty ones where the texts spelled differ from a space and the text."""
@@ -122,30 +119,28 @@ def tokenizer_pair(path_a: str, path_b: str) -> TokenizerPair:
     return _tokenizers[path_a, path_b]
 
 
-# Tokens ``a:a_end`` against ``b:b_end``: groups of one token each, or else one group.
-Stretch = tuple[int, int, int, int, bool]
-
+def align(ends_a: np.ndarray, ends_b: np.ndarray) -> list[tuple[int, int, int, int]]:
+    """The groups that are not one token each, as ``a, a_end, b, b_end``, of two rows of end offsets with the same last one.
 
-def align(ends_a: np.ndarray, ends_b: np.ndarray) -> Iterator[Stretch]:
-    """Stretches of two increasing rows of end offsets with the same last one."""
+    All tokens between them match one to one.
+    """
     raw_a, raw_b = ends_a.astype("<u4").tobytes(), ends_b.astype("<u4").tobytes()
-    n, m = 4 * len(ends_a), 4 * len(ends_b)
+    n, m = len(raw_a), len(raw_b)
     list_a, list_b = ends_a.tolist(), ends_b.tolist()
+    out = []
     # Places in bytes; their difference is the present shift.
     i = j = 0
     while i < n:
-        from_i, from_j, step = i, j, 4
+        step = 4
         while raw_a[i : i + step] == raw_b[j : j + step] and i + step <= n and j + step <= m:
             i += step
             j += step
-            step *= 2
+            step += step
         while step > 4:
-            step //= 2
+            step >>= 1
             if raw_a[i : i + step] == raw_b[j : j + step] and i + step <= n and j + step <= m:
                 i += step
                 j += step
-        if i > from_i:
-            yield from_i >> 2, i >> 2, from_j >> 2, j >> 2, True
         if i < n:
             a, b = p, q = i >> 2, j >> 2
             end_a, end_b = list_a[a], list_b[b]
@@ -156,43 +151,76 @@ def align(ends_a: np.ndarray, ends_b: np.ndarray) -> Iterator[Stretch]:
                 else:
                     b += 1
                     end_b = list_b[b]
-            yield p, a + 1, q, b + 1, False
-            i, j = (a + 1) << 2, (b + 1) << 2
+            a += 1
+            b += 1
+            out.append((p, a, q, b))
+            i, j = a << 2, b << 2
+    return out
 
 
 @dataclass(frozen=True)
 class Alignment:
-    """Tokens before the end of each group, and the SHA-256 of the groups written out."""
+    """The last token of each group on both sides; groups of more than one token each side, and which ones they are."""
 
-    upto_a: list[int]
-    upto_b: list[int]
-    digest: str
+    last_a: np.ndarray
+    last_b: np.ndarray
+    uneven: list[tuple[int, int, int, int]]
+    places: list[int]
 
 
 def align_ids(ids_a: np.ndarray, ids_b: np.ndarray, pair: TokenizerPair) -> Alignment:
     if not len(ids_a):
-        return Alignment([], [], "")
-    upto_a: list[int] = []
-    upto_b: list[int] = []
-    text_a, text_b = ([pair.decimal[i] for i in ids.tolist()] for ids in (ids_a, ids_b))
-    parts: list[str] = []
-    hashed, mark = hashlib.sha256(), ""
-    ends = np.cumsum(pair.size_a[ids_a], dtype="u4"), np.cumsum(pair.size_b[ids_b], dtype="u4")
-    for a, a_end, b, b_end, single in align(*ends):
-        if single:
-            upto_a += range(a + 1, a_end + 1)
-            upto_b += range(b + 1, b_end + 1)
-            parts += map("|".join, zip(text_a[a:a_end], text_b[b:b_end], strict=True))
-        else:
-            upto_a.append(a_end)
-            upto_b.append(b_end)
-            parts.append(f"{','.join(text_a[a:a_end])}|{','.join(text_b[b:b_end])}")
-        if len(parts) >= HASHED:
-            hashed.update((mark + ";".join(parts)).encode())
-            parts, mark = [], ";"
-    if parts:
-        hashed.update((mark + ";".join(parts)).encode())
-    return Alignment(upto_a, upto_b, hashed.hexdigest())
+        return Alignment(np.zeros(0, "i8"), np.zeros(0, "i8"), [], [])
+    uneven = align(np.cumsum(pair.size_a[ids_a], dtype="u4"), np.cumsum(pair.size_b[ids_b], dtype="u4"))
+    a, a_end, b, b_end = np.array(uneven, "i8").reshape(-1, 4).T
+    last_a, last_b = last_tokens(len(ids_a), a, a_end), last_tokens(len(ids_b), b, b_end)
+    return Alignment(last_a, last_b, uneven, np.searchsorted(last_a, a_end - 1).tolist())
+
+
+def last_tokens(n: int, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Places of the tokens that end a group, where the groups of several tokens are ``begin:end``."""
+    inside = np.zeros(n, "i1")
+    inside[begin] += 1
+    inside[end - 1] -= 1
+    return np.flatnonzero(np.cumsum(inside, dtype="i1") == 0)
+
+
+class Links(dict):
+    """Pairs of linked ids, each as ``a * width + b``, numbered as they come, with a group of just these two written out."""
+
+    def __init__(self, width: int):
+        super().__init__()
+        self.width = width
+        self.written: list[str] = []
+        self.uneven: dict[tuple[bytes, bytes], str] = {}
+
+    def __missing__(self, pair: int) -> int:
+        self[pair] = number = len(self)
+        self.written.append("%d|%d" % divmod(pair, self.width))
+        return number
+
+    def uneven_group(self, a: bytes, b: bytes) -> str:
+        key = a, b
+        if key not in self.uneven:
+            if len(self.uneven) >= UNEVEN:
+                self.uneven.clear()
+            self.uneven[key] = "|".join(",".join(map(str, np.frombuffer(x, "<u4").tolist())) for x in key)
+        return self.uneven[key]
+
+    def of(self, ids_a: np.ndarray, ids_b: np.ndarray, found: Alignment) -> tuple[list[int], str]:
+        """Numbers of a text's links, and the SHA-256 of its groups written out ('' without any)."""
+        pairs = ids_a[found.last_a].astype("i8") * self.width + ids_b[found.last_b]
+        numbers = list(map(self.__getitem__, pairs.tolist()))
+        if not numbers:
+            return numbers, ""
+        raw_a, raw_b = ids_a.tobytes(), ids_b.tobytes()
+        groups = list(map(self.written.__getitem__, numbers))
+        for place, (a, a_end, b, b_end) in zip(found.places, found.uneven, strict=True):
+            groups[place] = self.uneven_group(raw_a[4 * a : 4 * a_end], raw_b[4 * b : 4 * b_end])
+        hashed = hashlib.sha256()
+        for at in range(0, len(groups), HASHED):
+            hashed.update(((";" if at else "") + ";".join(groups[at : at + HASHED])).encode())
+        return numbers, hashed.hexdigest()
 
 
 def aligned(docs: DataFrame, path_a: str, path_b: str, keep: list[str]) -> DataFrame:
@@ -213,7 +241,7 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, keep: list[str]) -> DataF
             out: list[list] = [[], [], [], []]
             for ids_a, ids_b in pair.encode(texts):
                 found = align_ids(ids_a, ids_b, pair)
-                for column, row in zip(out, (ids_a, ids_b, found.upto_a, found.upto_b), strict=True):
+                for column, row in zip(out, (ids_a, ids_b, found.last_a + 1, found.last_b + 1), strict=True):
                     column.append(row)
             columns = [batch.column(i) for i in range(batch.num_columns - 1)]
             arrays = [pa.array(c, pa.list_(pa.int32())) for c in out]
@@ -226,15 +254,15 @@ DOCUMENT = ("doc_id long", "n_a long", "n_b long", "n_groups long", "groups_sha2
 
 
 def chunk_links(rows: DataFrame, path_a: str, path_b: str) -> DataFrame:
-    """Documents with places of their links among the chunk's distinct pairs, and those pairs with their counts.
+    """Documents with the numbers of their links in their chunk, and the chunk's pairs by number with their counts.
 
-    A pair is one number, ``a * |B| + b``; a chunk's pairs are in ascending order.
+    A pair is one value, ``a * |B| + b``.
     """
     document = pa.schema(
         [("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()),
          ("groups_sha256", pa.string()), ("links", pa.binary())]
     )
-    counted = pa.schema([("pair", pa.int64()), ("n", pa.int64())])
+    counted = pa.schema([("pair", pa.int64()), ("place", pa.int64()), ("n", pa.int64())])
     schema = pa.schema([("chunk", pa.int64()), *document, *counted])
 
     def rows_of(chunk: int, size: int, columns: dict[str, pa.Array]) -> Iterator[pa.RecordBatch]:
@@ -244,42 +272,36 @@ def chunk_links(rows: DataFrame, path_a: str, path_b: str) -> DataFrame:
         for at in range(0, size, 1 << 14):
             yield batch.slice(at, 1 << 14)
 
-    def flush(chunk: int, held: list[tuple], linked: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        sizes = [len(x) for x in linked]
-        pairs, place, n = np.unique(np.concatenate(linked), return_inverse=True, return_counts=True)
-        linked.clear()
-        width = "<u2" if len(pairs) <= 1 << 16 else "<u4"
-        raw = place.astype(width).tobytes()
-        del place
-        each = np.dtype(width).itemsize
-        ends = np.cumsum([0, *sizes]) * each
-        links = [raw[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
-        columns = dict(zip(document.names, zip(*held, strict=True), strict=False))
-        arrays = {k: pa.array(v, document.field(k).type) for k, v in columns.items()}
-        yield from rows_of(chunk, len(held), arrays | {"links": pa.array(links, pa.binary())})
-        yield from rows_of(chunk, len(pairs), {"pair": pa.array(pairs.astype("i8")), "n": pa.array(n.astype("i8"))})
+    def flush(chunk: int, held: list[tuple], links: Links) -> Iterator[pa.RecordBatch]:
+        width = "<u2" if len(links) <= 1 << 16 else "<u4"
+        counts = np.zeros(len(links), "i8")
+        for at in range(0, len(held), 1 << 12):
+            part = held[at : at + (1 << 12)]
+            counts += np.bincount(np.concatenate([np.frombuffer(h[-1], "<u4") for h in part]), minlength=len(links))
+            columns = dict(zip(document.names, zip(*part, strict=True), strict=True))
+            columns["links"] = [np.frombuffer(x, "<u4").astype(width).tobytes() for x in columns["links"]]
+            yield from rows_of(chunk, len(part), {k: pa.array(v, document.field(k).type) for k, v in columns.items()})
+        numbers = {"pair": np.fromiter(links, "i8", len(links)), "place": np.arange(len(links)), "n": counts}
+        yield from rows_of(chunk, len(links), {k: pa.array(v) for k, v in numbers.items()})
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = tokenizer_pair(path_a, path_b)
-        width = len(pair.bytes_b)
-        kind = "u4" if len(pair.bytes_a) * width < 1 << 32 else "i8"
+        links = Links(len(pair.bytes_b))
         chunk, size = TaskContext.get().partitionId() << 32, 0
         held: list[tuple] = []
-        linked: list[np.ndarray] = []
         for batch, texts in text_steps(batches, 1):
             for doc_id, text, (a, b) in zip(batch.column(0).to_pylist(), texts, pair.encode(texts), strict=True):
                 found = align_ids(a, b, pair)
-                held.append((doc_id, len(a), len(b), len(found.upto_a), found.digest))
-                last_a, last_b = (np.array(u, "i8") - 1 for u in (found.upto_a, found.upto_b))
-                linked.append(a[last_a].astype(kind) * np.array(width, kind) + b[last_b].astype(kind))
+                numbers, digest = links.of(a, b, found)
+                held.append((doc_id, len(a), len(b), len(numbers), digest, np.array(numbers, "<u4").tobytes()))
                 size += len(text)
                 if size >= CHUNK_BYTES:
-                    yield from flush(chunk, held, linked)
-                    chunk, size, held = chunk + 1, 0, []
+                    yield from flush(chunk, held, links)
+                    chunk, size, held, links = chunk + 1, 0, [], Links(links.width)
         if held:
-            yield from flush(chunk, held, linked)
+            yield from flush(chunk, held, links)
 
-    return rows.mapInArrow(step, ", ".join(["chunk long", *DOCUMENT, "pair long", "n long"]))
+    return rows.mapInArrow(step, ", ".join(["chunk long", *DOCUMENT, "pair long", "place long", "n long"]))
 
 
 def alignment_digest(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
@@ -296,16 +318,16 @@ def alignment_digest(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     width = SentencePieceProcessor(model_file=path_b).get_piece_size()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = stored(chunk_links(rows, path_a, path_b), "token-links")
-    pairs = found.filter("pair is not null").select("chunk", "pair", "n")
+    pairs = found.filter("pair is not null").select("chunk", "pair", "place", "n")
     totals = pairs.groupBy("pair").agg(F.sum("n").alias("total"))
     # One id has at most as many partners as the other vocabulary has ids.
     of_id = Window.partitionBy(F.pmod("pair", F.lit(width)))
     ranked = totals.withColumn("best", F.col("total") == F.max("total").over(of_id))
-    told = pairs.join(ranked, "pair").select(F.col("chunk").alias("of_chunk"), "pair", "total", "best")
+    told = pairs.join(ranked, "pair").select(F.col("chunk").alias("of_chunk"), "place", "total", "best")
     documents = found.filter("pair is null").select("chunk", *(c.split()[0] for c in DOCUMENT))
 
     def score(docs: pa.Table, told: pa.Table) -> pa.Table:
-        order = np.argsort(told["pair"].to_numpy())
+        order = np.argsort(told["place"].to_numpy())
         total, best = told["total"].to_numpy()[order], told["best"].to_numpy()[order]
         each = "<u2" if len(order) <= 1 << 16 else "<u4"
         links = [np.frombuffer(x.as_py(), each) for x in docs["links"]]
