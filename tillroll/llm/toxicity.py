@@ -36,7 +36,7 @@ ENDS = tuple(map(ord, ".!?\n\r"))
 # Fitting: passes over the sample, texts a step, step width, weight of the absolute values.
 PASSES, STEP_TEXTS, RATE, SPARSE = 20, 128, 0.2, 0.05
 # A text longer than this is judged in parts that end with a sentence.
-LONG = 2 << 20
+LONG = 1 << 20
 SENTENCE_END = re.compile(rb"[.!?\n\r]")
 BASE = np.uint64(0x9E3779B97F4A7C15)
 MIX, KIND = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA24BAED4963EE407)
@@ -186,7 +186,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model | N
 
     Per class the sample is made of at most ``SAMPLE_TEXTS`` distinct texts
     with the smallest hashes, each whole, until they have ``SAMPLE_WORDS``
-    words (at one per six characters). Each class weighs what it weighs among
+    words (at one per six characters); longer ones are left out. Each class weighs what it weighs among
     all labelled documents. A document labelled more than once is toxic if
     one label says so; null labels count as none.
     """
@@ -207,9 +207,10 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model | N
     picked = []
     for y in sorted(share):
         words = 0
-        for r in texts.filter(F.col("y") == y).orderBy("h").limit(SAMPLE_TEXTS).collect():
+        fitting = texts.filter((F.col("y") == y) & (F.col("chars") < 6 * SAMPLE_WORDS))
+        for r in fitting.orderBy("h").limit(SAMPLE_TEXTS).collect():
             words += r["chars"] // 6 + 1
-            if words > SAMPLE_WORDS and picked and picked[-1][2] == y:
+            if words > SAMPLE_WORDS:
                 break
             picked.append((r["doc_id"], r["h"], y))
     chosen = spark.createDataFrame(picked, "doc_id long, h long, y int")
@@ -217,7 +218,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model | N
     # At most 2 * SAMPLE_TEXTS rows of numbers are broadcast.
     sample = found.join(F.broadcast(chosen), ["doc_id", "h"]).dropDuplicates(["doc_id", "h"])
     rows = []
-    for r in sample.orderBy("h", "doc_id").toLocalIterator():
+    for r in sorted(sample.collect(), key=lambda r: (r["h"], r["doc_id"])):
         own_sentences = sentences_of([r["text"].encode()])
         if len(own_sentences.first):
             rows.append((r["y"], own_sentences))
