@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tillroll.functions import ranking, skew
+from tillroll.functions import ranking, selection, skew
 from tillroll.operators import fact, reports
 
 
@@ -78,7 +78,7 @@ def test_quantiles_are_exact(spark, weighted):
         df = df.groupBy("g", "v").agg(F.count(F.lit(1)).alias("w"))
         weight = "w"
     probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
-    got = {(r["g"], r["p"]): r["q"] for r in ranking.quantiles(df, "v", probs, ["g"], weight).collect()}
+    got = {(r["g"], r["p"]): r["q"] for r in selection.quantiles(df, "v", probs, ["g"], weight).collect()}
     for g, vs in values.items():
         for p in probs:
             assert got[g, p] == pytest.approx(np.quantile(vs, p)), (g, p)
@@ -86,7 +86,7 @@ def test_quantiles_are_exact(spark, weighted):
 
 def test_quantiles_with_a_missing_group_and_nan(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("x", float("nan")), ("x", 2.0)], "g string, v double")
-    got = {r["g"]: r["q"] for r in ranking.quantiles(df, "v", [0.5], ["g"]).collect()}
+    got = {r["g"]: r["q"] for r in selection.quantiles(df, "v", [0.5], ["g"]).collect()}
     assert got == {None: 2.0, "x": 2.0}
 
 

@@ -1,4 +1,4 @@
-"""Exact ranks and quantiles over a whole table without a one-task sort.
+"""Exact ranks over a whole table without a one-task sort.
 
 Rows are range-partitioned on the sort key and pinned with their partition
 number. Each partition is then ranked on its own and shifted by the row count
@@ -71,81 +71,3 @@ def value_counts(
         .groupBy(*by, x.alias("value"))
         .agg(n.cast("bigint").alias("n"))
     )
-
-
-def _near_a_target(
-    probs: Sequence[float], first_rank: Column, last_rank: Column, last: Column
-) -> Column:
-    """Cheap test that drops the rows far from every wanted probability.
-
-    The unit interval is cut into cells and the probabilities are counted up to
-    each cell, so two array look-ups tell whether a row's ranks touch a cell
-    that holds one.
-    """
-    cells = 16 * len(probs)
-    upto, seen = [], 0
-    places = sorted(int(p * cells) for p in probs)
-    for cell in range(cells + 1):
-        while seen < len(places) and places[seen] <= cell:
-            seen += 1
-        upto.append(seen)
-    counted = F.expr(f"array({', '.join(map(str, (0, *upto)))})")
-
-    def cell_of(rank: Column) -> Column:
-        share = F.coalesce(F.try_divide(rank.cast("double"), last), F.lit(0.0))
-        return F.least(F.greatest(F.floor(share * cells), F.lit(0)), F.lit(cells)).cast("int")
-
-    low, high = cell_of(first_rank - 1), cell_of(last_rank + 1)
-    return (last == 0) | (F.get(counted, high + 1) > F.get(counted, low))
-
-
-def quantiles_of_counts(
-    counts: DataFrame, probs: Sequence[float], by: Sequence[str] = ()
-) -> DataFrame:
-    """``(by..., p, q)`` with linear interpolation, from ``value_counts`` rows."""
-    by = list(by)
-    ranked = running_count(counts, [F.col("value")], "n", by)
-    last = (F.col("_total") - 1).cast("double")
-    first_rank, last_rank = F.col("_upto") - F.col("n"), F.col("_upto") - 1
-
-    def holds(p: Column) -> Column:
-        below, above = F.floor(p * last), F.ceil(p * last)
-        return below.between(first_rank, last_rank) | above.between(first_rank, last_rank)
-
-    grid = F.array(*[F.lit(float(p)) for p in probs])
-    ranked = ranked.filter(_near_a_target(probs, first_rank, last_rank, last))
-    position = F.col("p") * last
-    hits = ranked.withColumn("p", F.explode(F.filter(grid, holds))).select(
-        *by,
-        "p",
-        (position - F.floor(position)).alias("_part_way"),
-        F.when(F.floor(position).between(first_rank, last_rank), F.col("value")).alias("_low"),
-        F.when(F.ceil(position).between(first_rank, last_rank), F.col("value")).alias("_high"),
-    )
-    return hits.groupBy(*by, "p").agg(
-        (
-            F.max("_low") + (F.max("_high") - F.max("_low")) * F.max("_part_way")
-        ).alias("q")
-    )
-
-
-def quantiles(
-    df: DataFrame,
-    value: str,
-    probs: Sequence[float],
-    by: Sequence[str] = (),
-    weight: str | None = None,
-) -> DataFrame:
-    """Exact quantiles of ``value`` per group, ``(by..., p, q)``."""
-    return quantiles_of_counts(value_counts(df, value, by, weight), probs, by)
-
-
-def quantile_columns(
-    df: DataFrame, value: str, names: dict[str, float], by: Sequence[str] = (),
-    weight: str | None = None,
-) -> DataFrame:
-    """Like ``quantiles`` with one named column per probability."""
-    long = quantiles(df, value, list(names.values()), by, weight)
-    return long.groupBy(*by).agg(
-        *[F.max(F.when(F.col("p") == float(p), F.col("q"))).alias(n) for n, p in names.items()]
-    )

@@ -14,7 +14,8 @@ from tillroll.functions.probability import (
     normal_quantile,
     poisson_log_pmf,
 )
-from tillroll.functions.ranking import quantiles, quantiles_of_counts, running_count, value_counts
+from tillroll.functions.ranking import running_count, value_counts
+from tillroll.functions.selection import FEW_CELLS, first_grid, inside, known_values, quantiles, quantiles_of_grid, wide
 from tillroll.session import pinned
 
 
@@ -76,31 +77,38 @@ def density(df: DataFrame, column: str, points: int = 512, weight: str | None =
 
     Every value is shared between its two neighbouring grid points, so the
     kernel sum runs over at most ``points`` bins whatever the table's size.
+    The moments come from the cells of the grid on which the quartiles are
+    counted; ``df`` is read once more for them and once for the bins.
     """
-    counts = pinned(value_counts(df, column, weight=weight))
+    rows = known_values(df, column, weight=weight)
     v, n = F.col("value"), F.col("n")
-    # The variance is taken around the mean; raw squares would cancel.
-    mean = counts.agg(F.sum(v * n) / F.sum(n)).scalar()
-    shape = counts.withColumn("_m", mean).agg(
-        F.sum(n).alias("n"),
-        F.sqrt(ratio(F.sum((v - F.col("_m")) * (v - F.col("_m")) * n), F.sum(n) - 1)).alias("sd"),
-        F.min(v).alias("lo"),
-        F.max(v).alias("hi"),
-    )
-    iqr = quantiles_of_counts(counts, (0.25, 0.75)).agg(F.max("q") - F.min("q")).scalar()
-    spread = F.least(F.col("sd"), F.nullif(F.col("iqr") / 1.34, F.lit(0.0)))
-    shape = shape.withColumn("iqr", iqr).select(
-        F.struct(
-            "n", "lo", ((F.col("hi") - F.col("lo")) / (points - 1)).alias("step"),
-            (0.9 * spread * F.pow(F.col("n").cast("double"), F.lit(-0.2))).alias("bw"),
-        )
+    cells = first_grid(rows, 0, F.sum(v * n).alias("s"))
+    step = (F.max("hi") - F.min("lo")) / (points - 1)
+    shape = cells.agg(
+        F.struct(F.min("lo").alias("lo"), step.alias("step"), (F.sum("s") / F.sum("n")).alias("mean"))
     )
-    placed = counts.withColumn("_p", shape.scalar()).withColumn(
+    placed = rows.withColumn("_p", shape.scalar()).withColumn(
         "_at", F.coalesce(F.try_divide(v - F.col("_p.lo"), F.col("_p.step")), F.lit(0.0))
     )
     placed = placed.withColumn("_k", F.least(F.floor("_at"), F.lit(points - 2)).cast("int"))
     right = (F.col("_at") - F.col("_k")) * n
-    halves = placed.groupBy("_k", "_p").agg(F.sum(n - right).alias("_left"), F.sum(right).alias("_right"))
+    # The variance is taken around the mean; raw squares would cancel.
+    apart = v - F.col("_p.mean")
+    halves = pinned(
+        placed.groupBy("_k", F.col("_p.lo").alias("_lo"), F.col("_p.step").alias("_step")).agg(
+            F.sum(n - right).alias("_left"), F.sum(right).alias("_right"), F.sum(n).alias("_n"),
+            F.sum(apart * apart * n).alias("_squares"),
+        )
+    )
+    iqr = quantiles_of_grid(rows, cells, (0.25, 0.75)).agg(F.max("q") - F.min("q")).scalar()
+    sd = F.sqrt(ratio(F.sum("_squares"), F.sum("_n") - 1))
+    widths = halves.agg(F.sum("_n").alias("n"), sd.alias("sd")).withColumn("iqr", iqr)
+    spread = F.least(F.col("sd"), F.nullif(F.col("iqr") / 1.34, F.lit(0.0)))
+    width = 0.9 * spread * F.pow(F.col("n").cast("double"), F.lit(-0.2))
+    shape = widths.select(F.struct("n", width.alias("bw"))).scalar()
+    halves = halves.withColumn("_w", shape).withColumn(
+        "_p", F.struct(F.col("_lo").alias("lo"), F.col("_step").alias("step"), "_w.n", "_w.bw")
+    )
     grid = halves.select(
         "_p",
         F.explode(
@@ -120,37 +128,50 @@ def density(df: DataFrame, column: str, points: int = 512, weight: str | None =
 
 
 def box_stats(df: DataFrame, column: str, by: Sequence[str], weight: str | None = None) -> DataFrame:
-    """Quartiles, whiskers within 1.5 IQR of the box and outlier count per group."""
+    """Quartiles, whiskers within 1.5 IQR of the box and outlier count per group.
+
+    Counts, smallest and largest values come from the grid on which the
+    quartiles are counted; ``df`` is read once more, for the cells in which
+    the whiskers may end.
+    """
     by = list(by)
-    counts = pinned(value_counts(df, column, by, weight))
-    box = (
-        quantiles_of_counts(counts, (0.25, 0.5, 0.75), by)
-        .groupBy(*by)
-        .agg(
-            *[
-                F.max(F.when(F.col("p") == p, F.col("q"))).alias(name)
-                for name, p in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))
-            ]
-        )
+    keys = [f"_g{i}" for i in range(len(by))]
+    rows = known_values(df, column, by, weight)
+    cells = first_grid(rows, len(by))
+    quartiles = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+    box = pinned(wide(quantiles_of_grid(rows, cells, list(quartiles.values()), by), quartiles, by))
+    fences = box.select(
+        *[F.col(c).alias(f"_b{i}") for i, c in enumerate(by)], *quartiles,
+        (F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).alias("_low"),
+        (F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))).alias("_high"),
     )
-    renamed = box.select(*[F.col(c).alias(f"_b_{c}") for c in by], "q1", "median", "q3")
     same = F.lit(True)
-    for c in by:
-        same = same & F.col(c).eqNullSafe(F.col(f"_b_{c}"))
-    reach = 1.5 * (F.col("q3") - F.col("q1"))
-    inside = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
-    return (
-        counts.join(renamed, same)
-        .groupBy(*by, "q1", "median", "q3")
-        .agg(
-            F.sum("n").cast("bigint").alias("n"),
-            F.min("value").alias("min"),
-            F.max("value").alias("max"),
-            F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
-            F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
-            F.sum(F.when(~inside, F.col("n")).otherwise(0)).cast("bigint").alias("outliers"),
-        )
+    for i in range(len(by)):
+        same = same & F.col(f"_g{i}").eqNullSafe(F.col(f"_b{i}"))
+    fenced = pinned(cells.join(fences, same).select(*keys, "cell", "n", "lo", "hi", "ahead", "total", *quartiles, "_low", "_high"))
+    # A cell that a fence runs through is looked at row by row, any other counts as a whole.
+    cut = F.lit(False)
+    for fence in ("_low", "_high"):
+        cut = cut | ((F.col("lo") < F.col(fence)) & (F.col("hi") >= F.col(fence)) & (F.col("lo") < F.col("hi")))
+        cut = cut | ((F.col("lo") <= F.col(fence)) & (F.col("hi") > F.col(fence)))
+    split = fenced.filter(cut)
+    few = split.agg(F.count(F.lit(1)) <= FEW_CELLS).first()[0]
+    within = inside(rows, split, len(by), few).select(*keys, "cell", "value", "n")
+    single = within.groupBy(*keys, "cell", F.col("value").alias("lo"), F.col("value").alias("hi")).agg(F.sum("n").alias("n"))
+    ends = split.select(*[F.col(k).alias(f"_b{i}") for i, k in enumerate(keys)], F.col("cell").alias("_cell"), *quartiles, "_low", "_high")
+    single = single.join(ends, same & (F.col("cell") == F.col("_cell")))
+    columns = [*keys, "n", "lo", "hi", *quartiles, "_low", "_high"]
+    parts = fenced.filter(~cut).select(*columns).unionByName(single.select(*columns))
+    kept = (F.col("lo") >= F.col("_low")) & (F.col("hi") <= F.col("_high"))
+    out = parts.groupBy(*keys, *quartiles).agg(
+        F.sum("n").cast("bigint").alias("n"),
+        F.min("lo").alias("min"),
+        F.max("hi").alias("max"),
+        F.min(F.when(kept, F.col("lo"))).alias("whisker_low"),
+        F.max(F.when(kept, F.col("hi"))).alias("whisker_high"),
+        F.sum(F.when(~kept, F.col("n")).otherwise(0)).cast("bigint").alias("outliers"),
     )
+    return out.withColumnsRenamed(dict(zip(keys, by)))
 
 
 def linear_trend(df: DataFrame, x: str, y: str) -> DataFrame:

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from tillroll.functions import grain
 from tillroll.functions.columns import comma, dollar, percent, ratio, rounded, to_metrics, total
-from tillroll.functions.ranking import quantile_columns, quantiles_of_counts, row_numbers
-from tillroll.functions.ranking import value_counts as price_counts
+from tillroll.functions.ranking import row_numbers
+from tillroll.functions.selection import first_grid, known_values, quantile_columns, quantiles_of_grid
 from tillroll.operators.features import AS_OF
 from tillroll.session import pinned
 
@@ -94,10 +94,10 @@ def daily_by_segment(df: DataFrame) -> DataFrame:
 def price_stats(df: DataFrame) -> DataFrame:
     """Mean and median line price over non-negative prices."""
     weight = "line_count" if "line_count" in df.columns else None
-    counts = pinned(price_counts(df.filter(F.col("final_price") >= 0), "final_price", weight=weight))
-    middle = quantiles_of_counts(counts, [0.5]).select("q")
-    mean = ratio(F.sum(F.col("value") * F.col("n")), F.sum("n"))
-    return counts.agg(mean.alias("avg_price")).withColumn("median_price", middle.scalar())
+    rows = known_values(df.filter(F.col("final_price") >= 0), "final_price", weight=weight)
+    cells = first_grid(rows, 0, F.sum(F.col("value") * F.col("n")).alias("s"))
+    middle = quantiles_of_grid(rows, cells, [0.5]).select("q")
+    return cells.agg(ratio(F.sum("s"), F.sum("n")).alias("avg_price")).withColumn("median_price", middle.scalar())
 
 
 def discount_stats(df: DataFrame, column: str = "discount_rate") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.columns import to_metrics
-from tillroll.functions.ranking import quantile_columns
+from tillroll.functions.selection import quantile_columns
 
 
 def require_columns(df: DataFrame, columns: Sequence[str], strict: bool = True) -> list[str]:
@@ -102,11 +102,11 @@ def check_detail_total(orders: DataFrame, lines: DataFrame) -> DataFrame:
     return totals.withColumn("ok", guard)
 
 
-def profile(df: DataFrame, columns: Sequence[str], exact: bool = False) -> DataFrame:
+def profile(df: DataFrame, columns: Sequence[str], exact: bool = True) -> DataFrame:
     """Rows, missing values, minimum, quartiles, mean and maximum per numeric column.
 
-    The default reads the table once with approximate quartiles; ``exact``
-    ranks every column.
+    Quartiles are counted on grids, in a few passes over the table. Without
+    ``exact`` they are approximate and the table is read once.
     """
     long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
         [], list(columns), "column", "value"
