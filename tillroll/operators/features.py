@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions.columns import distinct_with_missing, first_known, share_true, total
+from tillroll.functions.columns import distinct_with_missing, first_known, ratio, total
 
 # Fixed value: the day recency is counted from unless another is given.
 AS_OF = "2026-08-29"
@@ -53,19 +53,56 @@ def customer_order_features(orders: DataFrame, as_of: str = AS_OF) -> DataFrame:
     )
 
 
+def _sums(measures: dict[str, Column]) -> list[Column]:
+    """Sum and number of known values of each measure, which add up over any roll-up."""
+    out = []
+    for name, c in measures.items():
+        out += [F.sum(c).alias(f"_sum_{name}"), F.count(c).alias(f"_n_{name}")]
+    return out
+
+
+def _mean(name: str) -> Column:
+    return ratio(F.sum(f"_sum_{name}"), F.sum(f"_n_{name}"))
+
+
+def _by_distinct(
+    fact: DataFrame, key: str, widest: str, others: Sequence[str], measures: dict[str, Column]
+) -> DataFrame:
+    """Roll-ups of ``fact`` by key and each column, one below the other.
+
+    That by ``widest`` carries the sums of the measures; a row of any of them
+    has a 1 in the column that names it, so distinct values are counted by
+    adding up. Each roll-up combines before its exchange, and no line is
+    copied per distinct count.
+    """
+    one = F.lit(1).cast("bigint")
+    rolled = fact.groupBy(key, widest).agg(*_sums(measures)).withColumn(f"_is_{widest}", one)
+    for c in others:
+        rolled = rolled.unionByName(
+            fact.select(key, c).distinct().withColumn(f"_is_{c}", one), allowMissingColumns=True
+        )
+    return rolled
+
+
 def customer_item_features(fact: DataFrame) -> DataFrame:
     """Quantities, prices, discounts and variety per customer from the lines."""
-    return fact.groupBy("customer_id").agg(
-        total("quantity").alias("total_quantity"),
-        F.avg("quantity").alias("avg_quantity_per_order"),
-        total("line_total").alias("total_line_value"),
-        F.avg("discount_rate_adjusted").alias("avg_discount_rate"),
-        F.avg("unit_price").alias("avg_unit_price"),
-        distinct_with_missing("product_id").cast("bigint").alias("unique_product_count"),
-        F.count_distinct("category").alias("category_diversity"),
-        share_true(F.col("discount_rate_adjusted") > 0).alias("discounted_item_ratio"),
-        F.avg("line_total").alias("avg_line_total"),
-        distinct_with_missing("order_date").cast("bigint").alias("frequency"),
+    measures = {
+        "quantity": F.col("quantity"), "line_total": F.col("line_total"), "rate": F.col("discount_rate_adjusted"),
+        "price": F.col("unit_price"), "discounted": (F.col("discount_rate_adjusted") > 0).cast("int"),
+    }
+    rolled = _by_distinct(fact, "customer_id", "product_id", ["category", "order_date"], measures)
+    return rolled.groupBy("customer_id").agg(
+        total("_sum_quantity").alias("total_quantity"),
+        _mean("quantity").alias("avg_quantity_per_order"),
+        total("_sum_line_total").alias("total_line_value"),
+        _mean("rate").alias("avg_discount_rate"),
+        _mean("price").alias("avg_unit_price"),
+        F.sum("_is_product_id").alias("unique_product_count"),
+        # Unlike the others, a missing category is none.
+        F.coalesce(F.sum(F.when(F.col("category").isNotNull(), F.col("_is_category"))), F.lit(0).cast("bigint")).alias("category_diversity"),
+        _mean("discounted").alias("discounted_item_ratio"),
+        _mean("line_total").alias("avg_line_total"),
+        F.sum("_is_order_date").alias("frequency"),
     )
 
 
@@ -86,20 +123,25 @@ def product_profile(fact: DataFrame, order_by: str | None = None) -> DataFrame:
 
 def product_sales_features(fact: DataFrame, as_of: str = AS_OF) -> DataFrame:
     """Sales, reach, price and activity per product."""
+    measures = {
+        "quantity": F.col("quantity"), "line_total": F.col("line_total"), "rate": F.col("discount_rate_adjusted"),
+        "price": F.col("unit_price"), "discounted": (F.col("discount_rate_adjusted") > 0).cast("int"),
+    }
+    rolled = _by_distinct(fact, "product_id", "order_id", ["customer_id", "order_date"], measures)
     return (
-        fact.groupBy("product_id")
+        rolled.groupBy("product_id")
         .agg(
-            total("quantity").alias("total_quantity"),
-            total("line_total").alias("total_revenue"),
-            F.avg("line_total").alias("avg_line_total"),
-            distinct_with_missing("order_id").cast("bigint").alias("order_count"),
-            distinct_with_missing("customer_id").cast("bigint").alias("customer_count"),
-            F.avg("unit_price").alias("avg_unit_price"),
-            F.avg("discount_rate_adjusted").alias("avg_discount_rate"),
-            share_true(F.col("discount_rate_adjusted") > 0).alias("discounted_item_ratio"),
+            total("_sum_quantity").alias("total_quantity"),
+            total("_sum_line_total").alias("total_revenue"),
+            _mean("line_total").alias("avg_line_total"),
+            F.sum("_is_order_id").alias("order_count"),
+            F.sum("_is_customer_id").alias("customer_count"),
+            _mean("price").alias("avg_unit_price"),
+            _mean("rate").alias("avg_discount_rate"),
+            _mean("discounted").alias("discounted_item_ratio"),
             F.min("order_date").alias("first_order_date"),
             F.max("order_date").alias("last_order_date"),
-            distinct_with_missing("order_date").cast("bigint").alias("frequency"),
+            F.sum("_is_order_date").alias("frequency"),
         )
         .withColumn("recency_days", F.datediff(F.to_date(F.lit(as_of)), "last_order_date"))
         .withColumn("active_days", F.datediff("last_order_date", "first_order_date") + 1)

@@ -13,6 +13,7 @@ from tillroll.plans.common import (
 )
 from tillroll.operators.reports import named_clusters
 from tillroll.plans.registry import q, query
+from tillroll.sources.buckets import store_pair
 from tillroll.sources.star import load_star
 
 
@@ -35,6 +36,22 @@ def combined_fact(spark, sf_dir):
     )
 
 
+@query(
+    "co_partitioned_fact",
+    """
+    SELECT order_id, product_id, quantity, line_total, customer_id, order_date, region, gender, age, channel_source
+    FROM s_fact
+    """,
+)
+def co_partitioned_fact(spark, sf_dir):
+    star = load_star(spark, sf_dir)
+    profile = star.customers.select("customer_id", "region", "gender", "age", "channel_source")
+    orders = star.orders.select("order_id", "customer_id", "order_date")
+    owned = store_pair(orders, profile, "customer_id").joined()
+    lines = star.lines.select("order_id", "product_id", "quantity", "line_total")
+    return store_pair(lines, owned, "order_id").joined()
+
+
 @query(
     "order_totals",
     f"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 import warnings
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tillroll.functions.columns import to_metrics
@@ -74,6 +74,54 @@ def verify_write(
     )
 
 
+def write_verified(df: DataFrame, keep: Column, path: str, key: str, name: str) -> DataFrame:
+    """Writes the rows that ``keep`` holds for, and reports whether they arrived; ``df`` is read once.
+
+    The copy lies in ``accepted(path)``. Keys of the other rows are written
+    next to it, so that all keys can be counted without a second look at
+    ``df``. Rows and a checksum of the keys are observed on the way to the files and
+    compared with what is in them; ``keys_expected`` is null if the checksums differ.
+    """
+    spark = df.sparkSession
+    kept = F.coalesce(keep, F.lit(False))
+    checksum = F.sum(F.when(F.col("_kept"), F.xxhash64(key).cast("decimal(20,0)")))
+    rows = [F.count(F.lit(1)).alias("before"), F.count_if("_kept").alias("expected")]
+    watch = Observation(f"write {name}")
+    marked = df.withColumn("_kept", kept).observe(watch, *rows, checksum.alias("checksum"))
+    slim = marked.select(
+        "_kept", *[F.col(c) if c == key else F.when(F.col("_kept"), F.col(c)).alias(c) for c in df.columns]
+    )
+    slim.write.mode("overwrite").partitionBy("_kept").parquet(path)
+    seen = watch.get
+    files = spark.read.schema(slim.schema).parquet(path).select(key, "_kept")
+    report = files.agg(
+        F.count_if("_kept").alias("rows_written"),
+        checksum.alias("_checksum"),
+        F.count_distinct(key).alias("keys_before"),
+        F.count_distinct(F.when(F.col("_kept"), F.col(key))).alias("keys_written"),
+    )
+    same = F.col("_checksum").eqNullSafe(F.lit(seen["checksum"]).cast("decimal(30,0)"))
+    columns = len(spark.read.parquet(accepted(path)).columns) if seen["expected"] else len(df.columns)
+    return (
+        report.withColumn("table", F.lit(name))
+        .withColumn("rows_before", F.lit(seen["before"]).cast("bigint"))
+        .withColumn("rows_expected", F.lit(seen["expected"]).cast("bigint"))
+        .withColumn("keys_expected", F.when(same, F.col("keys_written")))
+        .withColumn("columns_expected", F.lit(len(df.columns)).cast("bigint"))
+        .withColumn("columns_written", F.lit(columns).cast("bigint"))
+        .withColumn(
+            "ok",
+            same & (F.col("rows_expected") == F.col("rows_written")) & (F.col("columns_expected") == F.col("columns_written")),
+        )
+        .drop("_checksum")
+    )
+
+
+def accepted(path: str) -> str:
+    """Where ``write_verified`` puts the rows it keeps."""
+    return f"{path.rstrip('/')}/_kept=true"
+
+
 def check_detail_total(orders: DataFrame, lines: DataFrame) -> DataFrame:
     """``(n_orders, n_lines, n_detail)``; the plan fails on empty or unequal tables.
 
