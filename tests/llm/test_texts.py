@@ -110,7 +110,7 @@ def test_redaction_replaces_spans_only(personal):
         ("<p style='DISPLAY : none'>no</p>yes", "yes"), ("<!-- a <p> b -->x<!-- open", "x"), ("1 < 2 &amp; 3 &gt; 2", "1 < 2 & 3 > 2"),
         ("<head><title>t</title></head><body>b", "b"), ("<a href=\"x>y\">l</a>", "l"), ("</p></div>x", "x"),
         ("<img alt='pic'>", "pic"), ("<dl><dt>t<dd>d</dl>", "t\n  d"), ("<hr>", "---"), ("<td>x", "x"), ("<svg/>x", "x"),
-        ("<div>" * 30000 + "deep", "deep"), ("<textarea></p>x</textarea>y", "y"), ("<blockquote>q</blockquote>e", "  q\n\ne"),
+        ("<div>" * 30000 + "deep", "deep"), ("<textarea></p>x</textarea>y", "</p>xy"), ("<blockquote>q</blockquote>e", "  q\n\ne"),
     ],
 )
 def test_rendering(html, text):
@@ -124,7 +124,7 @@ def test_rendering(html, text):
         ("<head><title>T</title><font><p>whole page</font>", "whole page"), ("<head> <meta>\n<foo>bar</foo>", "bar"),
         ("<html><head>\n<title>T</title>\n<!-- c --> <style>p{}</style><script>s</script>\n<link></head><body>b", "b"),
         ("<head><noscript>n</noscript><template><b>t</b></template><svg/>x", "x"), ("<head><title>T</title></head><head>a", "a"),
-        ("<head><![CDATA[c]]></head><body>b", "b"), ("<head></p><td>a", "a"), ("<head><textarea>t</textarea>v", "v"),
+        ("<head><![CDATA[c]]></head><body>b", "b"), ("<head></p><td>a", "a"), ("<head><textarea>t</textarea>v", "tv"),
     ],
 )
 def test_a_head_without_end_tag_ends_where_the_page_begins(html, text):
@@ -490,3 +490,130 @@ def test_five_bytes_of_context_count(spark, tmp_path):
 def test_log_gamma():
     x = np.array([0.5, 1.0, 1.5, 3.25, 100.5, 1e6])
     assert lm_score.log_gamma(x) == pytest.approx([math.lgamma(v) for v in x], rel=1e-12, abs=1e-12)
+
+
+def test_parts_of_a_group_give_the_same_scores(spark, tmp_path, monkeypatch):
+    rng = np.random.default_rng(6)
+    rows = [(i, " ".join(rng.choice(["the", "cat", "sat", "on", "mats", "again"], rng.integers(1, 60)))) for i in range(120)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(6).write.parquet(str(tmp_path / "d"))
+    df = spark.read.parquet(str(tmp_path / "d"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "4k")
+    try:
+        whole = {r["doc_id"]: r["score"] for r in lm_score.score_documents(df).collect()}
+        monkeypatch.setattr(lm_score, "PART_BYTES", 60)
+        parts = {r["doc_id"]: r["score"] for r in lm_score.score_documents(df).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert parts == pytest.approx(whole)
+
+
+def test_other_texts_of_the_same_number_are_noticed():
+    marks = {lm_score.text_mark(t, o) for t, o in (([b"a", b"b"], [True, False]), ([b"a", b"c"], [True, False]), ([b"a", b"b"], [False, True]))}
+    assert len(marks) == 3
+
+
+@pytest.mark.parametrize(("changed", "least"), [(0.1, 1.0), (0.2, 0.95), (0.3, 0.8)])
+def test_recall_of_edited_copies(spark, changed, least):
+    """Copies of 50-word passages with a share of their words replaced, one in each of many documents."""
+    rng = np.random.default_rng(int(changed * 100))
+    words = [f"{a}{b}{c}" for a in "bdfgklmnprst" for b in "aeiou" for c in ("n", "r", "st", "l")]
+    passage = lambda n: rng.choice(words, n).tolist()
+    items = [passage(50) for _ in range(60)]
+    docs = []
+    for i, item in enumerate(items):
+        copy = [w if rng.random() >= changed else rng.choice(words) for w in item]
+        docs.append((i, " ".join(passage(200) + copy + passage(100))))
+    docs += [(1000 + i, " ".join(passage(350))) for i in range(200)]
+    benchmark = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(table, benchmark).collect()}
+    recall = sum((i, i) in found for i in range(len(items))) / len(items)
+    assert recall >= least, recall
+    assert not any(d >= 1000 for d, _ in found)
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ("<textarea>\nab\n c &amp; d</textarea>x", "ab\n c & dx"), ("<input value='typed'><input type=checkbox value=no>", "typed"),
+        ("<input type=hidden value=h><input type=password value=p>y", "y"),
+        ("<select><option>a<option selected>b</select> z", "b z"), ("<select><option>a</option><option>b</select>", "a"),
+        ("<select multiple><option>a<option>b</select>", "a\nb"), ("<select><optgroup label=l><option>a</select>", "a"),
+        ("<svg><title>t</title><text>drawn</text><path/></svg> <math><mi>x</mi><annotation>no</annotation></math>", "drawn x"),
+        ("<p style='visibility:hidden'>no <b style='Visibility : visible'>yes</b> no</p>", "yes"),
+        ("<p style='display:none'>no <b style='visibility:visible'>no</b></p>y", "y"),
+        ("<ul style='visibility:collapse'><li>no<li style='visibility:visible'>yes</ul>", "- yes"),
+        ("<ol reversed><li>a<li>b<ul><li>c</ul><li>d</ol>", "3. a\n2. b\n   - c\n1. d"),
+        ("<ol reversed start=9><li>a<li value=4>b<li>c</ol>", "9. a\n4. b\n3. c"),
+        ("<ol type=a start=26><li>a<li>b</ol>", "z. a\naa. b"), ("<ol type=I start=1994><li>a</ol>", "MCMXCIV. a"),
+        ("<ol start=-1><li>a<li>b<li>c</ol>", "-1. a\n0. b\n1. c"), ("<ol type=i start=0><li>a</ol>", "0. a"),
+        ("<table><tr><td colspan=400>a<td>b<tr><td>c</table>", "ab\nc"),
+    ],
+)
+def test_more_of_what_is_visible(html, text):
+    assert html_layout.visible_text(html).replace("a  b", "ab") == text
+
+
+def slow_is_open(page, names, limits):
+    for name, *_ in reversed(page.open):
+        if name in names:
+            return True
+        if name in limits:
+            return False
+    return False
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from("<p> </p> <div> </div> <table> <tr> <td> </table> <li> <ul> </ul> <i> </td> <svg> <option> <select> x".split()), max_size=60))
+def test_places_of_open_elements_against_a_walk(tags):
+    page = html_layout.Page()
+    for what, name, rest in html_layout.tokens("".join(tags)):
+        getattr(page, {"text": "text", "start": "start", "end": "end"}[what])(*((rest,) if what == "text" else (name, rest, False) if what == "start" else (name,)))
+        for names, limits in (({"p"}, html_layout.SCOPE), ({"td", "th"}, {"tr", "table"}), ({"tr"}, {"table"}), ({"li"}, {"ul", "ol"})):
+            assert page.is_open(names, limits) == slow_is_open(page, names, limits)
+        assert sum(map(len, page.at.values())) == len(page.open)
+
+
+@pytest.mark.parametrize("tag", ["<div>", "<i></p>", "<b>", "<ul><li>", "<p><em>", "<svg><g>"])
+def test_deep_pages_cost_as_much_per_tag_as_flat_ones(tag):
+    import time
+
+    def seconds(n):
+        begin = time.perf_counter()
+        html_layout.visible_text(tag * n + "deep")
+        return time.perf_counter() - begin
+
+    assert min(seconds(40000) for _ in range(2)) < 12 * min(seconds(10000) for _ in range(2)) + 0.2
+
+
+@pytest.mark.parametrize(
+    ("text", "names"),
+    [
+        ("SPDX-License-Identifier: Apache-2.0 OR MIT", ["Apache-2.0", "MIT"]),
+        ("SPDX-License-Identifier: (GPL-2.0-or-later AND BSD-3-Clause) OR MIT\nor not", ["GPL-2.0", "BSD-3-Clause", "MIT"]),
+        ("SPDX-License-Identifier: ISC\nMIT and more", ["ISC"]),
+        ("It is not released under the MIT License.", []), ("This isn't licensed under the MIT License", []),
+        ("It has never been made available, licensed under the MIT License", []),
+        ("It is not only free, it is released under the MIT License.", ["MIT"]),
+        ("Licensed under GPLv3", ["GPL-3.0"]), ("released under the LGPL v2.1", ["LGPL-2.1"]), ("GPL-2.0-or-later", ["GPL-2.0"]),
+        ("GNU Affero General Public License, version 3", ["AGPL-3.0"]),
+    ],
+)
+def test_expressions_refusals_and_abbreviations(text, names):
+    found = license_align.best_matches(license_align.scan(text, license_align.templates_of(license_align.NOTICES), 0.8))
+    assert [f[0] for f in found] == names
+    words = license_align.words_of(text)
+    assert all(0 <= f[3] <= f[4] < len(words) for f in found)
+
+
+def test_context_words_are_whole_words():
+    import re
+
+    for kind in pii.KINDS:
+        pattern = re.compile(pii.context_words(kind))
+        if kind.name == "ip":
+            assert pattern.search("my ip is") and not pattern.search("a trip to")
+        if kind.name == "phone":
+            assert pattern.search("tel 12") and not pattern.search("hotel 12")

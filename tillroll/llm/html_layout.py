@@ -3,8 +3,8 @@
 A tokenizer cuts the markup, a tree builder keeps the open elements and adds
 the tags that HTML lets authors omit, visibility rules drop what isn't shown,
 and a renderer keeps block spacing, list markers, preformatted text and tables
-with aligned columns. All of it is one pass with a stack, so nesting of any
-depth is fine.
+with aligned columns. All of it is one pass with a stack; the places of open
+elements are kept by name, so a tag costs the same at any depth.
 """
 
 from __future__ import annotations
@@ -27,15 +27,21 @@ TAG = re.compile(
 )
 ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 SPACE = re.compile(r"[ \t\n\r\f]+")
-NOT_SHOWN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
+NO_BOX = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.I)
+VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(visible|hidden|collapse)", re.I)
 
 # Fixed names from the HTML standard: elements by what they mean for parsing and layout.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 HIDDEN = frozenset(
-    "head script style template title noscript iframe noembed noframes object audio video canvas svg math "
-    "datalist select textarea".split()
+    "head script style template title noscript iframe noembed noframes object audio video canvas datalist".split()
 )
+FOREIGN = frozenset(["svg", "math"])
+# Parts of drawings and formulas that are not drawn.
+FOREIGN_HIDDEN = frozenset("annotation annotation-xml clippath defs desc marker mask metadata pattern symbol".split())
+LISTS = frozenset("ul ol menu dir".split())
+# Fields whose value isn't text on the page.
+NO_TEXT = frozenset("hidden password checkbox radio range color file image".split())
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section "
@@ -163,26 +169,30 @@ class Table:
 class Page:
     """Open elements and the flows they write to."""
 
-    def __init__(self) -> None:
+    def __init__(self, reversed_sizes: list[int] | None = None) -> None:
         self.flows = [Flow()]
-        self.open: list[tuple[str, bool, object]] = []
+        self.open: list[tuple[str, bool, object, bool]] = []
+        # Places in ``open`` by name, the last one last.
+        self.at: dict[str, list[int]] = {}
         self.tables: list[Table] = []
         self.hidden = 0
+        self.visible = True
         self.pre = 0
-        self.collapsed = 0
+        # Items of the numbered lists of the page, in the order of their tags.
+        self.sizes = iter(reversed_sizes or [])
 
     @property
     def flow(self) -> Flow:
         return self.flows[-1]
 
-    def names_until(self, limits: set[str] | frozenset[str]) -> Iterator[str]:
-        for name, _, _ in reversed(self.open):
-            yield name
-            if name in limits:
-                return
+    def place(self, names) -> int:
+        """Place of the innermost open element of these names, -1 without one."""
+        return max([self.at[n][-1] for n in names if self.at.get(n)], default=-1)
 
     def is_open(self, names, limits) -> bool:
-        return any(n in names for n in self.names_until(limits))
+        """Whether one of ``names`` is open with none of ``limits`` inside it."""
+        place = self.place(names)
+        return place >= 0 and place >= self.place(limits)
 
     def in_head(self) -> bool:
         return bool(self.open) and self.open[-1][0] == "head"
@@ -190,7 +200,7 @@ class Page:
     def text(self, raw: str) -> None:
         if self.in_head() and raw.strip(" \t\n\r\f"):
             self.close_through({"head"})
-        if self.hidden or not raw:
+        if self.hidden or not self.visible or not raw:
             return
         # Text between the parts of a table, outside cells, is not laid out there.
         if self.open and self.open[-1][0] in ("table", "thead", "tbody", "tfoot", "tr", "colgroup") and not raw.strip():
@@ -211,31 +221,38 @@ class Page:
             self.start("tr", "", False)
         if name == "tr" and not self.is_open({"thead", "tbody", "tfoot"}, {"table"}):
             self.start("tbody", "", False)
-        if name in ("html", "body", "head") and any(n == name for n, _, _ in self.open):
+        if name in ("html", "body", "head") and self.at.get(name):
             return
         if name == "body" and self.is_open({"head"}, {"html"}):
             self.close_through({"head"})
         if self.in_head() and name not in IN_HEAD:
             self.close_through({"head"})
         found = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(attributes)} if attributes.strip(" /") else {}
+        style = found.get("style", "")
+        foreign = self.place(FOREIGN) >= 0
         hidden = (
             name in HIDDEN
             or "hidden" in found
-            or bool(NOT_SHOWN.search(found.get("style", "")))
+            or bool(NO_BOX.search(style))
             or (name == "dialog" and "open" not in found)
+            or (foreign and name in FOREIGN_HIDDEN)
         )
+        said = VISIBILITY.findall(style)
+        visible = said[-1].lower() == "visible" if said else self.visible
         if name in VOID:
-            if not hidden and not self.hidden:
+            if not hidden and not self.hidden and visible:
                 self.void(name, found)
             return
-        if closed and name in ("svg", "math"):
+        if closed and (foreign or name in FOREIGN):
             return
         kept: object = None
+        before, self.visible = self.visible, visible
         if hidden:
             self.hidden += 1
         elif not self.hidden:
             kept = self.begin(name, found)
-        self.open.append((name, hidden, kept))
+        self.at.setdefault(name, []).append(len(self.open))
+        self.open.append((name, hidden, kept, before))
 
     def void(self, name: str, found: dict[str, str]) -> None:
         if name == "br":
@@ -246,7 +263,7 @@ class Page:
             self.flow.space()
         elif name == "img" and found.get("alt"):
             self.flow.text(unescape(found["alt"]), False)
-        elif name == "input" and found.get("type", "text").lower() in ("submit", "button", "reset"):
+        elif name == "input" and found.get("type", "text").lower() not in NO_TEXT:
             self.flow.text(unescape(found.get("value", "")), False)
 
     def begin(self, name: str, found: dict[str, str]) -> object:
@@ -259,20 +276,32 @@ class Page:
         elif name in ("td", "th", "caption"):
             self.flows.append(Flow())
             return [_number(found.get(k), 1, most) for k, most in MOST_SPAN.items()]
-        elif name in ("ul", "ol", "menu", "dir", "dl"):
-            nested = any(n in ("li", "dd") for n, _, _ in self.open)
+        elif name == "textarea":
+            self.pre += 1
+        elif name == "select":
+            # All options are shown, or only the chosen one, the first unless another is marked.
+            listed = "multiple" in found or _number(found.get("size"), 1, 1 << 31) > 1
+            return {"options": [], "chosen": None, "listed": listed}
+        elif name == "option" and self.at.get("select"):
+            self.flows.append(Flow())
+            return "selected" in found
+        elif name == "optgroup" and self.at.get("select"):
+            pass
+        elif name in LISTS or name == "dl":
+            nested = self.place(("li", "dd")) >= 0
             flow.end_line()
             flow.blank |= not nested
-            first = _number(found.get("start"), 1, 1 << 31) if name == "ol" else None
-            return [first, nested]
+            numbers = Numbers.of(found, next(self.sizes, 0)) if name == "ol" else None
+            return [numbers, nested]
         elif name == "li":
             flow.end_line()
             depth = len(flow.indents)
-            number = next((k for n, _, k in reversed(self.open) if n in ("ul", "ol", "menu", "dir") and k), None)
-            if number and number[0] is not None:
-                at = _number(found.get("value"), number[0], 1 << 31)
-                number[0] = at + 1
-                flow.marker = f"{at}. "
+            place = self.place(LISTS)
+            kept = self.open[place][2] if place >= 0 else None
+            if not self.visible:
+                flow.marker = ""
+            elif kept and kept[0] is not None:
+                flow.marker = kept[0].marker(found.get("value"))
             else:
                 flow.marker = "- "
             return depth
@@ -300,7 +329,24 @@ class Page:
                 self.tables[-1].caption += flow.lines
             else:
                 self.tables[-1].rows[-1].append((flow.lines, *kept))
-        elif name in ("ul", "ol", "menu", "dir", "dl"):
+        elif name == "textarea":
+            self.pre -= 1
+        elif name == "select":
+            shown = kept["options"] if kept["listed"] else kept["options"][kept["chosen"] or 0 :][:1]
+            for i, text in enumerate(shown):
+                if i:
+                    flow.end_line()
+                flow.text(text, False)
+        elif name == "option" and self.at.get("select"):
+            flow.end_line()
+            self.flows.pop()
+            of = self.open[self.at["select"][-1]][2]
+            if kept:
+                of["chosen"] = len(of["options"])
+            of["options"].append(" ".join(flow.lines))
+        elif name == "optgroup" and self.at.get("select"):
+            pass
+        elif name in LISTS or name == "dl":
             flow.end_line()
             flow.blank |= not kept[1]
         elif name == "li":
@@ -317,11 +363,13 @@ class Page:
             self.pre -= name == "pre"
 
     def close_last(self) -> None:
-        name, hidden, kept = self.open.pop()
+        name, hidden, kept, visible = self.open.pop()
+        self.at[name].pop()
         if hidden:
             self.hidden -= 1
         elif not self.hidden:
             self.finish(name, kept)
+        self.visible = visible
 
     def close_through(self, names) -> None:
         while self.open:
@@ -354,6 +402,42 @@ class Page:
         return "\n".join(lines[begin:])
 
 
+ROMAN = ((1000, "m"), (900, "cm"), (500, "d"), (400, "cd"), (100, "c"), (90, "xc"), (50, "l"), (40, "xl"), (10, "x"), (9, "ix"), (5, "v"), (4, "iv"), (1, "i"))
+
+
+class Numbers:
+    """Markers of one numbered list: the next number, its step and how it is written."""
+
+    def __init__(self, at: int, step: int, kind: str):
+        self.at, self.step, self.kind = at, step, kind
+
+    @classmethod
+    def of(cls, found: dict[str, str], size: int) -> Numbers:
+        down = "reversed" in found
+        return cls(_integer(found.get("start"), size if down else 1), -1 if down else 1, found.get("type", "1"))
+
+    def marker(self, value: str | None) -> str:
+        n = _integer(value, self.at)
+        self.at = n + self.step
+        written = ""
+        if self.kind in ("a", "A"):
+            while n > 0:
+                n, letter = divmod(n - 1, 26)
+                written = chr(97 + letter) + written
+        elif self.kind in ("i", "I") and 0 < n < 4000:
+            for size, letters in ROMAN:
+                written += letters * (n // size)
+                n %= size
+        if not written:
+            return f"{self.at - self.step}. "
+        return f"{written.upper() if self.kind in ('A', 'I') else written}. "
+
+
+def _integer(raw: str | None, default: int) -> int:
+    digits = re.match(r"\s*([+-]?\d{1,9})", raw or "")
+    return int(digits[1]) if digits else default
+
+
 def _number(raw: str | None, default: int, most: int) -> int:
     digits = re.match(r"\s*(\d{1,9})", raw or "")
     return min(max(1, int(digits[1])), most) if digits else default
@@ -368,35 +452,67 @@ def visible_text(html: str | None) -> str:
     """
     if not html:
         return ""
-    page, at, n = Page(), 0, len(html)
+    page = Page(list_sizes(html) if "reversed" in html.lower() else None)
+    for what, name, rest in tokens(html):
+        if what == "text":
+            page.text(rest)
+        elif what == "literal":
+            if not page.in_head():
+                page.text(rest.replace("&", "&amp;"))
+        elif what == "end":
+            page.end(name)
+        elif what == "start":
+            page.start(name, rest, rest.endswith("/"))
+        elif page.open and page.open[-1][0] == name:
+            # The inside of an element that holds text alone; a field drops its first line break.
+            page.text(re.sub(r"\A\r?\n", "", rest) if name == "textarea" else rest)
+            page.end(name) if name == "textarea" else None
+    return page.result()
+
+
+def tokens(html: str) -> Iterator[tuple[str, str, str]]:
+    """Texts, start and end tags of a page in order, and the insides of elements that hold text alone."""
+    at, n = 0, len(html)
     while at < n:
         found = TAG.search(html, at)
         if not found:
-            page.text(html[at:])
-            break
+            yield "text", "", html[at:]
+            return
         if found.start() > at:
-            page.text(html[at : found.start()])
+            yield "text", "", html[at : found.start()]
         at = found.end()
         name = (found[2] or found[5] or "").lower()
         if not name:
-            if found[0].startswith("<![CDATA[") and not page.in_head():
-                page.text(found[0][9:].removesuffix("]]>").replace("&", "&amp;"))
+            if found[0].startswith("<![CDATA["):
+                yield "literal", "", found[0][9:].removesuffix("]]>")
             continue
         if found[1] or found[4]:
-            page.end(name)
+            yield "end", name, ""
             continue
-        attributes = found[3] or found[6] or ""
-        page.start(name, attributes, attributes.endswith("/"))
+        yield "start", name, found[3] or found[6] or ""
         if name in RAW:
             close = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.I).search(html, at)
             stop = close.start() if close else n
-            if page.open and page.open[-1][0] == name:
-                page.text(html[at:stop])
+            yield "inside", name, html[at:stop]
             at = stop
         elif name == "plaintext":
-            page.text(html[at:].replace("&", "&amp;"))
-            break
-    return page.result()
+            yield "literal", "", html[at:]
+            return
+
+
+def list_sizes(html: str) -> list[int]:
+    """Items of each numbered list, in the order of their start tags."""
+    sizes: list[int] = []
+    lists: list[int | None] = []
+    for what, name, _ in tokens(html):
+        if what == "start" and name in LISTS:
+            lists.append(len(sizes) if name == "ol" else None)
+            sizes += [0] * (name == "ol")
+        elif what == "end" and name in LISTS and lists:
+            lists.pop()
+        elif what == "start" and name == "li" and lists and lists[-1] is not None:
+            sizes[lists[-1]] += 1
+    return sizes
 
 
 def extract_text(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:

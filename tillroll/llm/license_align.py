@@ -27,6 +27,15 @@ WORD = re.compile(r"\w+")
 LEAST = 0.8
 # Before a name, these words make it another license.
 QUALIFIERS = frozenset("custom modified non".split())
+# Before a notice, and the verbs it may follow, these words refuse it; so does a verb with "n't".
+REFUSALS = frozenset("not never nor neither without".split())
+VERBS = frozenset(
+    "is was are were has have had be been being made available released licensed distributed published provided isn wasn aren "
+    "weren hasn haven hadn".split()
+)
+# A license expression; each identifier in it is one the text names.
+EXPRESSION = re.compile(r"(SPDX-License-Identifier\s*:)([^\n]*)", re.I)
+JOINS = re.compile(r"(?<=[\s)])(?:OR|AND)(?=[\s(])", re.I)
 
 # Wording of common license notices, by SPDX identifier, and the phrases that decide.
 NOTICES = (
@@ -195,6 +204,42 @@ def decided(words: list[str], aligned: list[tuple[int, int]], deciding: list[tup
     return all(any(stands(t, n) for t in places) for places, n in deciding)
 
 
+def refused(words: list[str], first: int) -> bool:
+    """Whether the words before a notice that begins at ``first`` say that it doesn't hold."""
+    at = first
+    while at and words[at - 1] in VERBS:
+        at -= 1
+    before = words[max(0, at - 2) : at]
+    return bool(before) and (before[-1] in REFUSALS or (before[-1] == "t" and before[0] in VERBS))
+
+
+def expanded(text: str) -> tuple[list[str], list[int]]:
+    """The words of a text and their places in it; in a license expression each identifier has the tag before it."""
+    words: list[str] = []
+    places: list[int] = []
+
+    def take(part: str) -> None:
+        own = words_of(part)
+        begin = places[-1] + 1 if places else 0
+        words.extend(own)
+        places.extend(range(begin, begin + len(own)))
+
+    at = 0
+    for found in EXPRESSION.finditer(text):
+        take(text[at : found.end(1)])
+        tag = slice(len(words) - 3, len(words))
+        joins, begin = list(JOINS.finditer(found[2])), 0
+        for join in joins:
+            take(found[2][begin : join.end()])
+            begin = join.end()
+            words.extend(words[tag])
+            places.extend([places[-1]] * 3)
+        take(found[2][begin:])
+        at = found.end()
+    take(text[at:])
+    return words, places
+
+
 def scan(text: str, templates: Templates, least: float) -> list[tuple[str, int, float, int, int, int]]:
     """Matches (license, template, coverage, first word, last word, words aligned), not overlapping per template.
 
@@ -202,7 +247,7 @@ def scan(text: str, templates: Templates, least: float) -> list[tuple[str, int,
     it would begin; it is aligned at places with enough votes, most votes
     first, if the text holds its deciding words and enough of the others at all.
     """
-    words = words_of(text)
+    words, own = expanded(text)
     present = templates.vocabulary.intersection(words)
     may = {
         k for k, (row, needed) in enumerate(zip(templates.distinct, templates.needed, strict=True))
@@ -242,7 +287,8 @@ def scan(text: str, templates: Templates, least: float) -> list[tuple[str, int,
             if here and decided(words, here, templates.deciding[k]):
                 first, last = here[0][0], here[-1][0]
                 insort(spans, (first, last))
-                found.append((templates.names[k], k, coverage, first, last, len(aligned)))
+                if not (templates.deciding[k] and refused(words, first)):
+                    found.append((templates.names[k], k, coverage, own[first], own[last], len(aligned)))
     return sorted(found, key=lambda f: (f[3], f[4], f[1]))
 
 

@@ -170,6 +170,16 @@ def short_notices() -> list[Notice]:
         for name, said in (*NAMES, *gnu) for form in ("Released under the {}.", "Licensed under the {}.")
     ]
     out += [(name, f"This work is licensed under the {said}.", (said,)) for name, said in gnu]
+    # These stand on their own as well; the abbreviations follow a phrase.
+    out += [(name, said, (said,)) for name, said in gnu]
+    for name, _, version in GNU:
+        out += [(name, f"{name}-{tail}", (f"{name}-{tail}",)) for tail in ("only", "or-later")]
+        family = name.split("-")[0]
+        for short in (f"{family}v{version}", f"{family} v{version}", f"{family} version {version}"):
+            out += [
+                (name, form.format(short), (short,))
+                for form in ("Licensed under {}.", "Licensed under the {}.", "Released under {}.", "Released under the {}.")
+            ]
     for short, full in COMMONS:
         for version in ("2.0", "2.5", "3.0", "4.0"):
             name = f"CC-{short}-{version}"

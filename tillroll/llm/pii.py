@@ -176,6 +176,11 @@ def find_spans(df: DataFrame, text: str = "text") -> DataFrame:
     return out.withColumns({f"{k.name}_spans": _spans(k) for k in KINDS}).drop("_t", *names, *gaps, *steps)
 
 
+def context_words(kind: Kind) -> str:
+    """The kind's context words as whole words, in a pattern that both dialects read alike."""
+    return f"(?i)(?:^|[^a-z])(?:{kind.words})(?:[^a-z]|$)"
+
+
 def _spans(kind: Kind) -> Column:
     matches, gaps, starts = (F.col(f"{c}_{kind.name}") for c in ("_m", "_g", "_s"))
 
@@ -183,7 +188,7 @@ def _spans(kind: Kind) -> Column:
         before, after = gaps[i], gaps[i + 1]
         start = starts[i] + F.length(before)
         near = F.concat(F.right(before, F.lit(NEARBY)), F.lit("\n"), F.left(after, F.lit(NEARBY)))
-        score = F.lit(kind.score) + F.when(near.rlike(f"(?i){kind.words}"), CONTEXT).otherwise(0)
+        score = F.lit(kind.score) + F.when(near.rlike(context_words(kind)), CONTEXT).otherwise(0)
         return F.struct(
             F.lit(kind.name).alias("kind"),
             start.alias("start"),
@@ -304,7 +309,7 @@ def digest_sql() -> str:
     )
     confirmed = " ".join(f"WHEN '{k.name}' THEN {SQL_CONFIRM[k.name]}" for k in KINDS)
     scores = " ".join(
-        f"WHEN '{k.name}' THEN {k.score} + CASE WHEN regexp_matches(near, '(?i){k.words}') THEN {CONTEXT} ELSE 0 END"
+        f"WHEN '{k.name}' THEN {k.score} + CASE WHEN regexp_matches(near, '{context_words(k)}') THEN {CONTEXT} ELSE 0 END"
         for k in KINDS
     )
     base = ", ".join(f"'{k.name}'" for k in KINDS if k.base)
