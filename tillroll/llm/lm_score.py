@@ -28,6 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,6 +38,8 @@ from tillroll.llm.common import id_remainder, shuffle_partitions, stored, text_s
 DEPTH = 5
 # Bytes of recent context shared by the grams of one tree task; shorter contexts are summed over them.
 SHARED = 2
+# Packed bytes of a group's grams that one task takes from the chunks.
+PART_BYTES = 8 << 20
 # Byte positions handled together, and distinct grams after which a task folds what it has.
 SORTED, FOLDED = 1 << 19, 1 << 20
 
@@ -171,12 +174,17 @@ def words_of(raw: bytes) -> list[bytes]:
     return raw.lower().split()
 
 
+def text_mark(texts: list[bytes], out: list[bool]) -> int:
+    """A number that changes, but for chance, with any text or with its being held out; it adds up over texts."""
+    return sum(xxhash.xxh64_intdigest(raw, seed=is_out) for raw, is_out in zip(texts, out, strict=True)) & (1 << 64) - 1
+
+
 def chunk_counts(docs: DataFrame) -> DataFrame:
     """Rows (chunk, word or packed grams, training count) for all that occurs in each scan partition.
 
     ``word`` is null in rows about grams, which hold those of one group
     (``grp``) and their counts packed; a row without word and grams counts the
-    training texts.
+    training texts and has the mark of all texts in ``counts``.
     """
     groups = 4 * shuffle_partitions(docs.sparkSession)
 
@@ -184,10 +192,11 @@ def chunk_counts(docs: DataFrame) -> DataFrame:
         chunk = TaskContext.get().partitionId()
         words: Counter[bytes] = Counter()
         others: set[bytes] = set()
-        keys, counts, held, most, trained = [], [], 0, FOLDED, 0
+        keys, counts, held, most, trained, mark = [], [], 0, FOLDED, 0, 0
         for batch, texts in text_steps(batches):
             out = batch.column("out").to_pylist()
             trained += out.count(False)
+            mark += text_mark(texts, out)
             for raw, is_out in zip(texts, out, strict=True):
                 if is_out:
                     others.update(words_of(raw))
@@ -228,7 +237,7 @@ def chunk_counts(docs: DataFrame) -> DataFrame:
         for at in range(0, len(found), step):
             part = found[at : at + step]
             yield rows(len(part), word=part, n=[words[w] for w in part])
-        yield rows(1, n=[trained])
+        yield rows(1, n=[trained], counts=[(mark & (1 << 64) - 1).to_bytes(8, "little")])
 
     return docs.select("text", "out").mapInArrow(
         count, "chunk int, grp int, word binary, grams binary, counts binary, n long"
@@ -322,23 +331,59 @@ def gram_logs(key: np.ndarray, levels: list[tuple], depth: int) -> np.ndarray:
     return total
 
 
+def dealt_groups(counted: DataFrame) -> DataFrame:
+    """Rows about grams with ``part``: the chunks of a group of more than ``PART_BYTES`` are dealt into ``parts`` parts."""
+    rows = counted.select("grp", "chunk", "grams", "counts")
+    size = F.sum(F.length("grams") + F.length("counts"))
+    parts = rows.groupBy("grp").agg(F.ceil(size / F.lit(PART_BYTES)).cast("int").alias("parts"))
+    # One row per group: Spark broadcasts them below its limit and shuffles them above it.
+    return rows.join(parts, "grp").withColumn("part", F.pmod(F.hash("chunk"), F.col("parts")))
+
+
+def distinct_grams(dealt: DataFrame) -> DataFrame:
+    """``grp, parts, grams, counts``: one row per group, its distinct grams with the sum of their counts."""
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        told: dict[str, int] = {}
+
+        def packed() -> Iterator[tuple[bytes, bytes]]:
+            for batch in batches:
+                told.update({c: batch.column(c)[0].as_py() for c in ("grp", "parts")})
+                yield from zip(batch.column("grams").to_pylist(), batch.column("counts").to_pylist(), strict=True)
+
+        key, n = folded(packed())
+        columns = [pa.array([told["grp"]], pa.int32()), pa.array([told["parts"]], pa.int32())]
+        columns += [pa.array([raw], pa.binary()) for raw in (pack_keys(key), pack(n))]
+        yield pa.RecordBatch.from_arrays(columns, names=["grp", "parts", "grams", "counts"])
+
+    kind = "grp int, parts int, grams binary, counts binary"
+    columns = ("grp", "part", "parts", "grams", "counts")
+    once = dealt.select(*columns).groupBy("grp", "part").applyInArrow(fold, kind)
+    several = once.filter("parts > 1").groupBy("grp").applyInArrow(fold, kind)
+    return once.filter("parts = 1").unionByName(several)
+
+
 def gram_model(counted: DataFrame, depth: int = DEPTH) -> DataFrame:
     """``chunk, grams, logs`` for rows ``chunk, grp, grams, counts``: log10 probabilities beside the grams, packed.
 
-    A count may be 0: a gram to be scored only. The tree is built per
-    ``SHARED`` bytes of recent context. The nodes above are at most 256
-    contexts of 255 decisions, and are all that meets on the driver, however
-    long the texts are.
+    A count may be 0: a gram to be scored only. Counts are folded per part of a
+    group, then per group, so no task holds what all chunks say about a
+    context. The tree is built per ``SHARED`` bytes of recent context from the
+    distinct grams. The nodes above are at most 256 contexts of 255 decisions,
+    and are all that meets on the driver, however long the texts are.
     """
+    dealt = dealt_groups(counted)
+    distinct = stored(distinct_grams(dealt), "gram-counts")
 
     def tops(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, n = folded(pair for batch in batches for pair in zip(*map(pa.Array.to_pylist, batch.columns[1:]), strict=True))
-        node, zeros, ones, logs, _ = subtree(key, n, depth, SHARED)[-1]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in (node, zeros, ones, logs)], names=["node", "zeros", "ones", "logs"])
-
-    shared = counted.select("grp", "grams", "counts").groupBy("grp").applyInArrow(
-        tops, "node long, zeros long, ones long, logs double"
-    )
+        for batch in batches:
+            for grams, counts in zip(*map(pa.Array.to_pylist, batch.columns), strict=True):
+                node, zeros, ones, logs, _ = subtree(unpack_keys(grams), unpack(counts), depth, SHARED)[-1]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c) for c in (node, zeros, ones, logs)], names=["node", "zeros", "ones", "logs"]
+                )
+
+    shared = distinct.select("grams", "counts").mapInArrow(tops, "node long, zeros long, ones long, logs double")
     shorter = shared.groupBy(F.col("node").bitwiseAND(F.lit((1 << (8 * SHARED)) - 1)).alias("node"))
     found = shorter.agg(
         F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("logs").alias("below")
@@ -351,22 +396,19 @@ def gram_model(counted: DataFrame, depth: int = DEPTH) -> DataFrame:
         logs, share = weigh(node, zeros, ones, below)
         above.append((node, zeros, ones, logs, share))
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [row for batch in batches for row in zip(*map(pa.Array.to_pylist, batch.columns[1:]), strict=True)]
-        key, n = folded((grams, counts) for _, grams, counts in held)
+    def score(named: pa.Table, model: pa.Table) -> pa.Table:
+        key, n = unpack_keys(model["grams"][0].as_py()), unpack(model["counts"][0].as_py())
         levels = [*subtree(key, n, depth, SHARED), *above]
         logs = np.concatenate(
             [gram_logs(key[at : at + SORTED], levels, depth) for at in range(0, len(key), SORTED)] or [np.zeros(0)]
         )
         del levels, n
-        for chunk, grams, _ in held:
-            told = pack(logs[np.searchsorted(key, unpack_keys(grams))])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([chunk], pa.int32()), pa.array([grams], pa.binary()), pa.array([told], pa.binary())],
-                names=["chunk", "grams", "logs"],
-            )
+        told = [pack(logs[np.searchsorted(key, unpack_keys(grams.as_py()))]) for grams in named["grams"]]
+        return pa.table({"chunk": named["chunk"], "grams": named["grams"], "logs": pa.array(told, pa.binary())})
 
-    return counted.select("grp", "chunk", "grams", "counts").groupBy("grp").applyInArrow(
+    models = distinct.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    named = dealt.select("grp", "part", "chunk", "grams").groupBy("grp", "part")
+    return named.cogroup(models.select("grp", "part", "grams", "counts").groupBy("grp", "part")).applyInArrow(
         score, "chunk int, grams binary, logs binary"
     )
 
@@ -401,7 +443,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
         )
         .unionByName(
             texts.select(
-                "chunk", nothing.alias("word"), nothing.alias("grams"), nothing.alias("logs"), F.col("n").cast("double").alias("value")
+                "chunk", nothing.alias("word"), nothing.alias("grams"), F.col("counts").alias("logs"), F.col("n").cast("double").alias("value")
             )
         )
     )
@@ -412,7 +454,8 @@ def score_documents(docs: DataFrame) -> DataFrame:
     def score(docs: pa.Table, told: pa.Table) -> pa.Table:
         out = docs["out"].to_pylist()
         word, gram = told["word"].is_valid(), told["grams"].is_valid()
-        if told.filter(pc.invert(pc.or_(word, gram)))["value"].to_pylist() != [float(out.count(False))]:
+        mark = text_mark([t.as_py() or b"" for t in docs["text"].cast(pa.binary())], out).to_bytes(8, "little")
+        if told.filter(pc.invert(pc.or_(word, gram)))["logs"].to_pylist() != [mark]:
             raise ValueError("the documents were dealt anew between two passes; store them first")
         about, packed = told.filter(word), told.filter(gram)
         words = np.log10((about["value"].to_numpy() + 0.1) / floor).tolist()
