@@ -8,10 +8,12 @@ models and series.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,9 +54,13 @@ def _n() -> Column:
 
 
 def windows(series: DataFrame) -> DataFrame:
-    """One row per series: values in time order and the last month."""
-    return arrays(series).select(
-        "series_key", F.element_at("months", -1).alias("last_month"), "ys"
+    """One row per series: values in time order and the last month.
+
+    The rows are pinned, so that fits which look at them more than once never
+    go back to what the panel was made of.
+    """
+    return pinned(
+        arrays(series).select("series_key", F.element_at("months", -1).alias("last_month"), "ys")
     )
 
 
@@ -429,20 +435,21 @@ def compare(forecasts: DataFrame, actual: DataFrame) -> DataFrame:
 def future(series: DataFrame, best: DataFrame, models: Sequence[str] = CLOSED, h: int = 6) -> DataFrame:
     """Each series' best model on its full history, ``h`` months ahead.
 
-    Only the branch of the chosen model is evaluated for a series. Series whose
+    A model is fitted to the series that chose it and to no other. Series whose
     best model is not among ``models`` are left to ``future_boosted``.
     """
-    chosen = best.filter(F.col("model").isin(*models)).select("series_key", "model")
-    w = prepared(windows(series), models).join(chosen, "series_key")
-    value = None
-    for m in models:
-        chosen = F.col("model") == m
-        value = F.when(chosen, forecast_values(m, h)) if value is None else value.when(
-            chosen, forecast_values(m, h)
+    chosen = pinned(best.select("series_key", "model"))
+    names = {r["model"] for r in chosen.select("model").distinct().collect()}
+    w = windows(series.join(chosen.select("series_key"), "series_key", "left_semi")).join(chosen, "series_key")
+    out = None
+    for m in [m for m in models if m in names]:
+        ahead = prepared(w.filter(F.col("model") == m), [m]).select(
+            "series_key", "model", "last_month", F.posexplode(forecast_values(m, h)).alias("_k", "yhat")
         )
-    return w.select("series_key", "model", "last_month", F.posexplode(value).alias("_k", "yhat")).select(
-        "series_key", "model", F.add_months("last_month", F.col("_k") + 1).alias("month"), "yhat"
-    )
+        out = ahead if out is None else out.unionByName(ahead)
+    if out is None:
+        out = w.limit(0).select("series_key", "model", "last_month", F.lit(0).alias("_k"), F.lit(0.0).alias("yhat"))
+    return out.select("series_key", "model", F.add_months("last_month", F.col("_k") + 1).alias("month"), "yhat")
 
 
 def _tslm_leverage(t: Column) -> Column:
@@ -704,7 +711,76 @@ def forecast_boosted(
     return predict_recursive(model, history, scale, name, h).drop("h")
 
 
-def future_boosted(series: DataFrame, best: DataFrame, name: str, h: int = 6) -> DataFrame:
+@dataclass(frozen=True)
+class BoostedModels:
+    """Both boosted models of a panel, with the rows they learned from and the scale of each series."""
+
+    rows: DataFrame
+    models: dict[str, GBTRegressionModel]
+
+    def scale(self) -> DataFrame:
+        return self.rows.select("series_key", "scale").distinct()
+
+
+def fit_all_boosted(parted: DataFrame, leak_free: bool = True, rounds: int = 100) -> BoostedModels:
+    rows = pinned(boosted_features(parted, leak_free))
+    return BoostedModels(rows, {name: fit_boosted(rows, *BOOSTED[name], rounds) for name in BOOSTED})
+
+
+def boosted_forecasts(parted: DataFrame, fitted: BoostedModels, h: int = 6) -> DataFrame:
+    """Test months of all boosted models, each forecast feeding the next month's features."""
+    history = parted.filter(F.col("part").isin("skip", "train")).select("series_key", "month", "y")
+    out = [predict_recursive(model, history, fitted.scale(), name, h).drop("h") for name, model in fitted.models.items()]
+    return reduce(DataFrame.unionByName, out)
+
+
+def boosted_residuals(fitted: BoostedModels) -> DataFrame:
+    """``(series_key, model, month, y, fitted, residual)`` over the training months whose features are known."""
+    learned = fitted.rows.filter(F.col("part") == "train")
+    told = [predict_rows(model, learned, name) for name, model in fitted.models.items()]
+    both = reduce(DataFrame.unionByName, told).join(learned.select("series_key", "month", "y"), ["series_key", "month"])
+    return both.select(
+        "series_key", "model", "month", "y", F.col("yhat").alias("fitted"), (F.col("y") - F.col("yhat")).alias("residual")
+    )
+
+
+@dataclass(frozen=True)
+class AllModels:
+    """What every model, statistical and boosted, says about a panel that ``split`` has parted."""
+
+    forecasts: DataFrame
+    scores: DataFrame
+    best: DataFrame
+    residuals: DataFrame
+    future: DataFrame
+
+
+def all_models(parted: DataFrame, h: int = 6, rounds: int = 100) -> AllModels:
+    """Forecasts of the test months, scores, choice, residuals and the chosen models' future.
+
+    The boosted models are fitted once for the test months and, if a series
+    chose one of them, once more on all months. What later steps read is
+    pinned.
+    """
+    learn = parted.filter(F.col("part") == "train").select("series_key", "month", "y")
+    hold = parted.filter(F.col("part") == "test").select("series_key", "month", "y")
+    history = parted.select("series_key", "month", "y")
+    names = ("series_key", "model", "month", "yhat")
+    boosted = fit_all_boosted(parted, rounds=rounds)
+    found = forecast(learn, STATISTICAL, h).select(*names)
+    found = pinned(found.unionByName(boosted_forecasts(parted, boosted, h).select(*names)))
+    scores = pinned(accuracy(found, hold, learn))
+    best = pinned(best_model(scores))
+    ahead = future(history, best, STATISTICAL, h)
+    scored = history.join(best.select("series_key"), "series_key", "left_semi")
+    for name in BOOSTED:
+        if best.filter(F.col("model") == name).take(1):
+            ahead = ahead.unionByName(future_boosted(scored, best, name, h, rounds))
+    left = residuals(learn, STATISTICAL).unionByName(boosted_residuals(boosted))
+    return AllModels(found, scores, best, left, ahead)
+
+
+def future_boosted(series: DataFrame, best: DataFrame, name: str, h: int = 6, rounds: int = 100) -> DataFrame:
     """``h`` months ahead for the series whose best model is this boosted one.
 
     The trees are fitted anew on the full histories of all series, since one
@@ -712,7 +788,7 @@ def future_boosted(series: DataFrame, best: DataFrame, name: str, h: int = 6) ->
     """
     depth, leaf = BOOSTED[name]
     rows = boosted_features(series.withColumn("part", F.lit("train")))
-    model = fit_boosted(rows, depth, leaf)
+    model = fit_boosted(rows, depth, leaf, rounds)
     chosen = series.join(best.filter(F.col("model") == name).select("series_key"), "series_key", "left_semi")
     scale = rows.select("series_key", "scale").distinct()
     return predict_recursive(model, chosen, scale, name, h).select("series_key", "model", "month", "yhat")

@@ -188,7 +188,7 @@ def kmeans_check(spark, sf_dir):
         ("customers", customer_features(star), CUSTOMER, 3, "total_spend"),
         ("products", product_features(star), PRODUCT, 2, "total_revenue"),
     ):
-        found = pinned(segment.segment(feats, columns, k, measure, restarts=5))
+        found = pinned(segment.segment(feats, columns, k, measure))
         z = [c for c in found.columns if c.startswith("z_")]
         total = found.agg(F.sum(measure)).scalar()
         row = segment.misplaced(found, z).select(
@@ -204,14 +204,14 @@ def kmeans_check(spark, sf_dir):
     f"""{Z_SQL}
     SELECT CAST(k AS INTEGER) AS k, CASE WHEN k = 1 THEN {q(f'CAST({len(CUSTOMER)} * (n - 1) AS DOUBLE)', 2)} END AS whole,
         TRUE AS falls, TRUE AS in_range
-    FROM (SELECT count(*) AS n FROM z), range(1, 5) r(k)""",
+    FROM (SELECT count(*) AS n FROM z), range(1, 11) r(k)""",
 )
 def cost_by_k_check(spark, sf_dir):
     """One cluster costs the whole sum of squares, more cost less, and widths lie between -1 and 1."""
     scaled = segment.scaled_features(customer_features(load_star(spark, sf_dir)), CUSTOMER)[0].persist()
     try:
-        cost = segment.wss_by_k(scaled, 4)
-        width = segment.silhouette_by_k(scaled, 4)
+        cost = segment.wss_by_k(scaled)
+        width = segment.silhouette_by_k(scaled)
     finally:
         scaled.unpersist()
     before = F.lag("wss").over(Window.partitionBy().orderBy("k"))

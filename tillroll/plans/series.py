@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions.columns import rounded
@@ -99,23 +102,21 @@ def month_spine(spark, sf_dir):
     "month_spine_gaps",
     """
     m AS (
-        SELECT brand AS series_key, CAST(date_trunc('month', order_date) AS DATE) AS month,
+        SELECT brand || '|' || color AS series_key, CAST(date_trunc('month', order_date) AS DATE) AS month,
             sum(quantity) AS y
         FROM s_fact GROUP BY ALL),
-    kept AS (SELECT * FROM m WHERE (year(month) * 12 + month(month)) % 5 <> 0),
     spine AS (
         SELECT series_key, CAST(unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS DATE) AS month
-        FROM (SELECT series_key, min(month) AS lo, max(month) AS hi FROM kept GROUP BY 1))
-    SELECT series_key, month, coalesce(y, 0) AS y FROM spine LEFT JOIN kept USING (series_key, month)
+        FROM (SELECT series_key, min(month) AS lo, max(month) AS hi FROM m GROUP BY 1))
+    SELECT series_key, month, coalesce(y, 0) AS y FROM spine LEFT JOIN m USING (series_key, month)
     """,
 )
 def month_spine_gaps(spark, sf_dir):
-    """Every fifth month is blanked out after all lines were added up."""
-    lines = fact(load_star(spark, sf_dir), "brand", "order_date", "quantity")
-    monthly = reports.monthly_qty(lines, ["brand"])
-    kept = monthly.filter((F.year("month") * 12 + F.month("month")) % 5 != 0)
+    """Colours of a brand, of which many sell nothing in some months between their first and last."""
+    lines = fact(load_star(spark, sf_dir), "brand", "color", "order_date", "quantity")
+    monthly = reports.monthly_qty(lines, ["brand", "color"])
     return ts.complete_months(
-        kept.select(F.col("brand").alias("series_key"), "month", F.col("qty").alias("y"))
+        monthly.select(F.concat_ws("|", "brand", "color").alias("series_key"), "month", F.col("qty").alias("y"))
     )
 
 
@@ -661,7 +662,7 @@ def boosted_check(spark, sf_dir):
     learned = rows.filter(F.col("part") == "train")
     out = None
     for name, (depth, leaf) in fc.BOOSTED.items():
-        model = fc.fit_boosted(rows, depth, leaf, rounds=20)
+        model = fc.fit_boosted(rows, depth, leaf)
         errors = fc.predict_rows(model, learned, name).join(learned, ["series_key", "month"]).agg(
             F.avg((F.col("yhat") / F.col("scale") - F.col("target")) ** 2).alias("left"),
             F.var_pop("target").alias("around"),
@@ -677,6 +678,68 @@ def boosted_check(spark, sf_dir):
     return out
 
 
+@query("fc_all_models")
+def fc_all_models(spark, sf_dir):
+    """Forecasts, residuals, scores and futures of all twelve models as one long table."""
+    return show(_all_long(fc.all_models(pinned_parts(spark, sf_dir))), 2)
+
+
+def _all_long(found: fc.AllModels) -> DataFrame:
+    """``(kind, series_key, model, month, value)`` with the rank of each model by RMSE."""
+    place = F.row_number().over(Window.partitionBy("series_key").orderBy("rmse", "model"))
+    parts = {
+        "forecast": found.forecasts.withColumnRenamed("yhat", "value"),
+        "residual": found.residuals.withColumnRenamed("residual", "value"),
+        "future": found.future.withColumnRenamed("yhat", "value"),
+        "rmse": found.scores.withColumn("month", F.lit(None).cast("date")).withColumnRenamed("rmse", "value"),
+        "rank": found.scores.withColumn("value", place.cast("double")).withColumn("month", F.lit(None).cast("date")),
+    }
+    tables = [t.select(F.lit(kind).alias("kind"), "series_key", "model", "month", "value") for kind, t in parts.items()]
+    return reduce(DataFrame.unionByName, tables)
+
+
+@query(
+    "fc_all_models_check",
+    f"""{SCORES_SQL},
+    least AS (SELECT series_key, min(rmse) AS rmse FROM scores GROUP BY 1),
+    models AS (SELECT DISTINCT model FROM scores UNION ALL SELECT unnest(['GBT depthwise', 'GBT small']))
+    SELECT l.series_key, m.model, CAST(6 AS BIGINT) AS months,
+        CASE WHEN m.model LIKE 'MA(%' THEN 0 WHEN m.model IN ('Naive', 'Drift') THEN n - 1
+            WHEN m.model = 'Seasonal Naive' THEN n - 12 WHEN m.model = 'AR' THEN NULL ELSE n END AS residuals,
+        {q('s.rmse', 2)} AS rmse, {q('l.rmse', 2)} AS best_statistical, TRUE AS best_is_least, TRUE AS ranked,
+        CAST(6 AS BIGINT) AS months_ahead
+    FROM least l CROSS JOIN models m JOIN (SELECT series_key, n FROM ends) e ON e.series_key = l.series_key
+    LEFT JOIN scores s ON s.series_key = l.series_key AND s.model = m.model""",
+)
+def fc_all_models_check(spark, sf_dir):
+    """What is certain about twelve models: who has forecasts, residuals and scores, who is ranked and chosen."""
+    found = fc.all_models(pinned_parts(spark, sf_dir))
+    long = pinned(_all_long(found))
+    boosted = F.col("model").isin(*fc.BOOSTED)
+    of = lambda kind: F.when(F.col("kind") == kind, F.col("value"))
+    per_model = long.filter("kind <> 'future'").groupBy("series_key", "model").agg(
+        F.count(of("forecast")).alias("months"), F.count(of("residual")).alias("residuals"),
+        F.max(of("rmse")).alias("_rmse"), F.max(of("rank")).alias("_rank"),
+    )
+    ahead = found.future.groupBy("series_key", F.col("model").alias("_chosen")).agg(F.count("yhat").alias("months_ahead"))
+    whole = Window.partitionBy("series_key")
+    by_rank = whole.orderBy("_rank")
+    rows = per_model.join(ahead, "series_key", "left").withColumns(
+        {
+            "best_statistical": rounded(F.min(F.when(~boosted, F.col("_rmse"))).over(whole), 2),
+            "_first": F.min_by("model", "_rank").over(whole),
+            "ranked": F.coalesce(F.col("_rmse") >= F.lag("_rmse").over(by_rank), F.col("_rank") == 1),
+            "_least": F.min("_rmse").over(whole),
+        }
+    )
+    return rows.select(
+        "series_key", "model", "months", F.when(F.col("model") != "AR", F.col("residuals")).alias("residuals"),
+        F.when(~boosted, rounded("_rmse", 2)).alias("rmse"), "best_statistical",
+        ((F.col("_first") == F.col("_chosen")) & F.when(F.col("_rank") == 1, F.col("_rmse") == F.col("_least")).otherwise(True)).alias("best_is_least"),
+        "ranked", "months_ahead",
+    )
+
+
 # --- diagnostics ------------------------------------------------------------------
 
 
