@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import id_remainder, text_steps
+from tillroll.llm.common import id_remainder, shuffle_partitions, text_steps
 
 # Sampled letters per language and texts looked at for them: the bound of the fitted sample.
 SAMPLE_CHARS, SAMPLE_TEXTS = 24_000, 64
@@ -178,15 +178,26 @@ def sample_languages(labelled: DataFrame) -> Languages:
     letters and blanks; the last one is cut there. Nothing else about the rows
     counts.
     """
+    spark = labelled.sparkSession
     usable = labelled.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    hashed = usable.select("lang", "text", F.xxhash64("text").alias("_h"))
-    smallest = Window.partitionBy("lang").orderBy("_h")
-    listed = hashed.select("lang", "_h").distinct().withColumn("_n", F.row_number().over(smallest))
-    listed = listed.filter(F.col("_n") <= SAMPLE_TEXTS)
-    picked = hashed.join(listed, ["lang", "_h"]).groupBy("lang", "_n").agg(F.min("text").alias("text"))
+    hashed = usable.select("lang", F.xxhash64("text").alias("_h"))
+    # The smallest of each share of the hashes first, so that no task sees all of a language.
+    own = F.pmod(F.col("_h"), F.lit(max(16, shuffle_partitions(spark))))
+    listed = hashed.distinct().withColumn("_share", own)
+    for keys in (["lang", "_share"], ["lang"]):
+        smallest = Window.partitionBy(*keys).orderBy("_h")
+        listed = listed.withColumn("_n", F.row_number().over(smallest)).filter(F.col("_n") <= SAMPLE_TEXTS)
+    chosen = [(r["lang"], r["_h"], r["_n"]) for r in listed.collect()]
+    if not chosen:
+        return Languages([], [], np.zeros(0, "i4"), np.zeros(0, "i8"), np.zeros(0))
+    # At most SAMPLE_TEXTS rows a language are broadcast, so only texts of the sample are shuffled.
+    wanted = F.broadcast(spark.createDataFrame(chosen, "lang string, _h long, _n int"))
+    picked = usable.withColumn("_h", F.xxhash64("text")).join(wanted, ["lang", "_h"])
+    picked = picked.groupBy("lang", "_n").agg(F.min("text").alias("text"))
     texts: dict[str, list[np.ndarray]] = {}
     letters, lower = letter_map()
-    for row in picked.orderBy("lang", "_n").toLocalIterator():
+    # One task hands over the few texts, one after the other.
+    for row in picked.coalesce(1).sortWithinPartitions("lang", "_n").toLocalIterator():
         own = texts.setdefault(row["lang"], [])
         if sum(map(len, own)) < SAMPLE_CHARS:
             points = code_points(row["text"].encode())
