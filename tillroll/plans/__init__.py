@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("sources", "cleaning", "joins", "reports", "segments", "series", "distributions")
+MODULES = ("sources", "cleaning", "joins", "reports", "segments", "series", "arma", "distributions")
 
 
 def load():
