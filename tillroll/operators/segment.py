@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.arrays import array_sum
 from tillroll.functions.columns import finite_or_zero
+from tillroll.session import pinned
 
 T = TypeVar("T")
 
@@ -135,21 +136,95 @@ def arranged(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def segment(
-    df: DataFrame, columns: Sequence[str], k: int, rank_by: str, restarts: int = 25, seed: int = 42
+    df: DataFrame, columns: Sequence[str], k: int, rank_by: str, restarts: int = 25, seed: int = 42, transfer: bool = True
 ) -> DataFrame:
     """Adds ``cluster`` from k-means over the standardised features.
 
-    ``df`` is read once per iteration and should be a pinned or written table.
+    The best of ``restarts`` runs is improved by ``transferred`` unless that is
+    switched off. ``df`` is read once per iteration and should be a pinned or
+    written table.
     """
-    scaled, _ = scaled_features(arranged(df, columns), columns)
+    scaled, z = scaled_features(arranged(df, columns), columns)
     scaled = scaled.persist()
     try:
         model = best_kmeans(scaled, k, restarts, seed)
-        return ranked_clusters(model.transform(scaled), rank_by).drop("features")
+        found = model.transform(scaled).drop("features")
+        return ranked_clusters(transferred(found, z, "_cluster") if transfer else found, rank_by)
     finally:
         scaled.unpersist()
 
 
+# Least fall of the cost, as a share of a point's own part of it, for which the point moves.
+LEAST_GAIN = 1e-9
+
+
+def cluster_moments(df: DataFrame, z: Sequence[str], cluster: str) -> tuple[dict[int, tuple[int, list[float]]], float]:
+    """Size and mean of each cluster, and the sum of squares around the means."""
+    norm = sum((F.col(c) * F.col(c) for c in z), F.lit(0.0))
+    rows = df.groupBy(cluster).agg(
+        F.count(F.lit(1)).alias("n"), F.array(*[F.avg(c) for c in z]).alias("mean"), F.sum(norm).alias("square")
+    ).collect()
+    cost = sum(r["square"] - r["n"] * sum(m * m for m in r["mean"]) for r in rows)
+    return {r[cluster]: (r["n"], list(r["mean"])) for r in rows}, cost
+
+
+def _best_move(z: Sequence[str], cluster: str, moments: dict[int, tuple[int, list[float]]]) -> tuple[Column, Column]:
+    """How far the cost falls if the point alone moves to the best other cluster, and that cluster.
+
+    Leaving a cluster of ``n`` saves ``n / (n - 1)`` of the squared distance to
+    its mean, joining one costs ``n / (n + 1)`` of it. The last point of a
+    cluster stays.
+    """
+    own, others = F.lit(0.0), []
+    for c, (n, mean) in moments.items():
+        distance = sum(((F.col(name) - F.lit(float(m))) ** 2 for name, m in zip(z, mean, strict=True)), F.lit(0.0))
+        here = F.col(cluster) == c
+        own = F.when(here, distance * (n / (n - 1)) if n > 1 else F.lit(0.0)).otherwise(own)
+        others.append(F.when(~here, F.struct((distance * (n / (n + 1))).alias("cost"), F.lit(c).alias("to"))))
+    best = F.array_min(F.filter(F.array(*others), lambda o: o.isNotNull()))
+    gain = own - best["cost"]
+    return F.when(gain > LEAST_GAIN * F.greatest(own, F.lit(1e-12)), gain), best["to"]
+
+
+def movable(df: DataFrame, z: Sequence[str], cluster: str = "cluster") -> int:
+    """Points whose move to another cluster would make the cost fall."""
+    gain, _ = _best_move(z, cluster, cluster_moments(df, z, cluster)[0])
+    return df.filter(gain.isNotNull()).count()
+
+
+def transferred(df: DataFrame, z: Sequence[str], cluster: str = "cluster") -> DataFrame:
+    """Moves points between clusters until no single move makes the cost fall.
+
+    Points move in rounds over stored rows, all that gain at once. Moves of one
+    round can spoil each other; a round after which the cost isn't lower is
+    undone, and fewer points, chosen by a hash, move in the next, in the end
+    the one that gains most. So the cost falls with every round that counts.
+    """
+    state = pinned(df.withColumn("_row", F.monotonically_increasing_id()))
+    moments, cost = cluster_moments(state, z, cluster)
+    share = 1.0
+    while len(moments) > 1:
+        gain, to = _best_move(z, cluster, moments)
+        marked = state.withColumn("_gain", gain)
+        told = marked.agg(F.count("_gain").alias("n"), F.max_by("_row", F.struct("_gain", -F.col("_row"))).alias("best")).first()
+        if not told["n"]:
+            break
+        if share * told["n"] < 1:
+            moves = F.col("_row") == told["best"]
+        else:
+            moves = F.pmod(F.xxhash64("_row"), F.lit(1 << 20)) < int(share * (1 << 20))
+        after = pinned(state.withColumn(cluster, F.when(gain.isNotNull() & moves, to).otherwise(F.col(cluster))))
+        new_moments, new_cost = cluster_moments(after, z, cluster)
+        if new_cost < cost:
+            state, moments, cost, share = after, new_moments, new_cost, min(1.0, 2 * share)
+        elif share * told["n"] < 1:
+            # Not even the best move helps beyond rounding.
+            break
+        else:
+            share /= 4
+    return state.drop("_row")
+
+
 def wss_by_k(
     scaled: DataFrame, k_max: int = 10, seed: int = 42, parallelism: int = 8
 ) -> DataFrame:

@@ -199,6 +199,33 @@ def kmeans_check(spark, sf_dir):
     return out
 
 
+@query(
+    "transfer_check",
+    f"""{CUST_ORDER_SQL}, {CUST_ITEM_SQL}, {PROD_SALES_SQL}
+    SELECT 'customers' AS part, count(*) AS n, TRUE AS no_dearer, CAST(0 AS BIGINT) AS movable
+    FROM cust_order JOIN cust_item USING (customer_id)
+    UNION ALL SELECT 'products', count(*), TRUE, 0 FROM prod_sales""",
+)
+def transfer_check(spark, sf_dir):
+    """Moving single points never ends above Lloyd's cost, and leaves none whose move would still pay."""
+    star = load_star(spark, sf_dir)
+    out = None
+    for name, feats, columns, k, measure in (
+        ("customers", customer_features(star), CUSTOMER, 3, "total_spend"),
+        ("products", product_features(star), PRODUCT, 2, "total_revenue"),
+    ):
+        before = pinned(segment.segment(feats, columns, k, measure, restarts=1, transfer=False))
+        z = [c for c in before.columns if c.startswith("z_")]
+        after = segment.transferred(before, z)
+        costs = [segment.cluster_moments(t, z, "cluster")[1] for t in (before, after)]
+        row = after.agg(F.count(F.lit(1)).alias("n")).select(
+            F.lit(name).alias("part"), "n", F.lit(costs[1] <= costs[0]).alias("no_dearer"),
+            F.lit(segment.movable(after, z)).cast("bigint").alias("movable"),
+        )
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 @query(
     "cost_by_k_check",
     f"""{Z_SQL}
