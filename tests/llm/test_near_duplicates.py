@@ -1,5 +1,6 @@
 """Near-duplicate operators against brute force."""
 
+import collections
 import itertools
 import re
 
@@ -214,3 +215,29 @@ def test_a_repeated_id_does_not_lose_a_text(spark, turn):
     assert [(i, t) for i, t, _ in kept] == [(0, rows[5][1]), (3, a), (5, b)]
     again = spark.createDataFrame(rows, df.schema).repartition(4)
     assert kept == sorted((r["doc_id"] or 0, r["text"], r["n"]) for r in simhash.one_per_group(again).collect())
+
+
+def test_probers_of_a_rare_value_are_met_in_blocks(spark, monkeypatch):
+    """Thousands of fingerprints of one part value probe its rare neighbour, and no meeting holds them all."""
+    monkeypatch.setattr(simhash, "BLOCK", 200)
+    rng = np.random.default_rng(4)
+    crowd = (rng.integers(0, 1 << 32, 4000, dtype="u8") << np.uint64(32)) | np.uint64(0xABCD1234)
+    rare = np.concatenate([crowd[:3] ^ np.uint64(1), crowd[3:6] ^ np.uint64(1 << 40)])
+    fp = np.unique(np.concatenate([crowd, rare, rng.integers(0, 1 << 63, 500, dtype="u8")]))
+    prints = spark.createDataFrame([(int(x),) for x in fp.view("i8")], "fp long")
+    probing = simhash.with_probes(prints, simhash.probing_of(prints, 2))
+    rows = [b.to_pandas() for b in simhash.meeting_rows(fp, probing, 1)]
+    sizes = collections.Counter(m for b in rows for m in b["meeting"])
+    assert max(sizes.values()) < 3 * 200 < 4000
+    near = np.bitwise_count(fp[:, None] ^ fp[None]) <= 2
+    label = np.arange(len(fp))
+    for _ in range(8):
+        label = np.array([label[row].min() for row in near])
+    links = simhash.fingerprint_links(prints, 2).toPandas()
+    at = {int(x): i for i, x in enumerate(fp.view("i8"))}
+    found = list(range(len(fp)))
+    for _ in range(12):
+        for a, b in zip(links["a"], links["b"], strict=True):
+            low = min(found[at[a]], found[at[b]])
+            found[at[a]] = found[at[b]] = low
+    assert found == label.tolist()

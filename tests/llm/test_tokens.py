@@ -187,3 +187,28 @@ def test_plans_of_few_pieces_against_every_packing(sizes):
 @given(st.dictionaries(st.integers(21, 60), st.integers(1, 30), max_size=30))
 def test_plans_of_large_pieces_are_the_best_there_are(histogram):
     assert bins_of(histogram, 60) == fewest_large_bins(histogram, 60)
+
+
+def test_keys_of_chunks_are_dealt_evenly(spark):
+    from pyspark.sql import functions as F
+
+    from tillroll.llm.common import spread_keys
+
+    for count in (1, 5, 8, 100):
+        rows = spread_keys(spark, count).collect()
+        assert sorted(r["chunk"] for r in rows) == list(range(count)) and len({r["key"] for r in rows}) == count
+    dealt = spread_keys(spark, 24).repartition(8, "key").groupBy(F.spark_partition_id()).count().collect()
+    assert [r["count"] for r in dealt] == [3] * 8
+
+
+def test_stored_tables_are_released(spark, monkeypatch):
+    import os
+
+    from tillroll.llm import common
+
+    monkeypatch.setattr(common, "_stored", {})
+    df = common.stored(spark.range(10), "some")
+    paths = next(iter(common._stored.values()))
+    assert df.count() == 10 and os.path.isdir(paths[0])
+    assert common.release(spark) == 1 and not os.path.exists(paths[0])
+    assert common.release(spark) == 0

@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import id_remainder, shuffle_partitions, stored, text_steps
+from tillroll.llm.common import id_remainder, shuffle_partitions, spread_keys, stored, text_steps
 
 DEPTH = 5
 # Bytes of recent context shared by the grams of one tree task; shorter contexts are summed over them.
@@ -492,4 +492,8 @@ def score_documents(docs: DataFrame) -> DataFrame:
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
         "base_score double, score double, code_bits_per_byte double"
     )
-    return scored.groupBy("chunk").cogroup(named.groupBy("chunk")).applyInArrow(score, kind)
+    # A chunk is large, so chunks are dealt evenly; there are as many as scan tasks, one row each.
+    keys = stored(spread_keys(docs.sparkSession, scored.rdd.getNumPartitions()), "chunk-keys")
+    scored = scored.join(F.broadcast(keys), "chunk").drop("chunk")
+    named = named.join(F.broadcast(keys.withColumnRenamed("key", "of_key")), "chunk").drop("chunk")
+    return scored.groupBy("key").cogroup(named.groupBy("of_key")).applyInArrow(score, kind)

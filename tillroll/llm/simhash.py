@@ -13,7 +13,7 @@ on all 64 bits, so the links are exact whatever the estimates.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cached_property
 from itertools import combinations, repeat
 from math import comb
@@ -177,6 +177,8 @@ class Probing:
     parts: list[list[int]]
     counts: list[np.ndarray]
     distance: int
+    # Probes that each counted value gets, by part; None before they are counted.
+    probes: list[np.ndarray] | None = None
 
     @cached_property
     def work(self) -> list[np.ndarray]:
@@ -193,11 +195,24 @@ class Probing:
             costs.append(work[:, low.astype("i8")])
         return allocate(costs, self.distance + 1)
 
-    def blocks(self, part: int, values: np.ndarray) -> np.ndarray:
-        """Blocks among which the holders of each value are dealt: 1, unless it is held very often."""
+    def blocks(self, part: int, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Blocks among which the holders and the probers of each value are dealt: 1, unless there are very many."""
         counts = self.counts[part]
         low = (values & np.uint64(len(counts) - 1)).astype("i8")
-        return np.maximum(1, -(-counts[low] // BLOCK)).astype("i8")
+        held = np.maximum(1, -(-counts[low] // BLOCK)).astype("i8")
+        if self.probes is None:
+            return held, held
+        return held, np.maximum(1, -(-self.probes[part][low] // BLOCK)).astype("i8")
+
+    def targets(self, fp: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Part, fingerprints (by place) and the values they probe, for all flips their thresholds ask for."""
+        picked = self.thresholds(fp)
+        for i, bits in enumerate(self.parts):
+            value = part_values(fp, bits)
+            for t in range(int(picked[i].max(initial=0))):
+                near = np.flatnonzero(picked[i] > t)
+                for flips in combinations(range(len(bits)), t):
+                    yield i, near, value[near] ^ np.uint64(sum(1 << f for f in flips))
 
 
 def even_work(n: int, m: int, distance: int) -> float:
@@ -261,27 +276,52 @@ def probing_of(prints: DataFrame, distance: int) -> Probing:
     return Probing(parts, counts, distance)
 
 
+def with_probes(prints: DataFrame, probing: Probing) -> Probing:
+    """Counts all probes by part and value; as many counts as for the holders reach the driver."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [np.zeros(len(c), "i8") for c in probing.counts]
+        for batch in batches:
+            fp = np.ascontiguousarray(batch.column(0).to_numpy()).view("u8")
+            for i, _, seen in probing.targets(fp):
+                low = (seen & np.uint64(len(found[i]) - 1)).astype("i8")
+                np.add.at(found[i], low, 1)
+        for i, row in enumerate(found):
+            at = np.flatnonzero(row)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(at), i, "i4")), pa.array(at), pa.array(row[at])], names=["part", "value", "n"]
+            )
+
+    kind = "part int, value long, n long"
+    totals = prints.select("fp").mapInArrow(count, kind).groupBy("part", "value").agg(F.sum("n").alias("n"))
+    probes = [np.zeros(len(c), "i8") for c in probing.counts]
+    for r in totals.filter(F.col("n") > BLOCK).toLocalIterator():
+        probes[r["part"]][r["value"]] = r["n"]
+    return replace(probing, probes=probes)
+
+
 def meeting_rows(fp: np.ndarray, probing: Probing, groups: int) -> Iterator[pa.RecordBatch]:
-    """Rows (group, meeting, probes, fp): where fingerprints are held and where they probe."""
-    picked = probing.thresholds(fp)
+    """Rows (group, meeting, probes, fp): where fingerprints are held and where they probe.
+
+    A holder is in one block of its value's holders and meets every block of
+    its probers, and the other way round, so no meeting grows with either.
+    """
+    mix = (fp * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype("i8")
+
+    def every(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each place repeated as often as told, and the number of the repetition."""
+        who = np.repeat(np.arange(len(n)), n)
+        return who, np.arange(len(who)) - np.repeat(np.cumsum(n) - n, n)
+
     for i, bits in enumerate(probing.parts):
         value = part_values(fp, bits)
-        r = probing.blocks(i, value)
-        mix = (fp * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype("i8")
-        held = np.repeat(np.arange(len(fp)), r)
-        other = np.arange(len(held)) - np.repeat(np.cumsum(r) - r, r)
-        own = mix[held] % r[held]
-        yield _rows(i, value[held], own, other, fp[held], False, groups)
-        for t in range(int(picked[i].max(initial=0))):
-            near = np.flatnonzero(picked[i] > t)
-            for flips in combinations(range(len(bits)), t):
-                flip = np.uint64(sum(1 << f for f in flips))
-                seen = value[near] ^ flip
-                r = probing.blocks(i, seen)
-                who = np.repeat(np.arange(len(near)), r)
-                other = np.arange(len(who)) - np.repeat(np.cumsum(r) - r, r)
-                own = mix[near][who] % r[who]
-                yield _rows(i, seen[who], other, own, fp[near][who], True, groups)
+        holders, probers = probing.blocks(i, value)
+        who, prober = every(probers)
+        yield _rows(i, value[who], mix[who] % holders[who], prober, fp[who], False, groups)
+    for i, near, seen in probing.targets(fp):
+        holders, probers = probing.blocks(i, seen)
+        who, holder = every(holders)
+        yield _rows(i, seen[who], holder, mix[near][who] % probers[who], fp[near][who], True, groups)
 
 
 def _rows(part, value, holder, prober, fp, probes, groups) -> pa.RecordBatch:
@@ -339,7 +379,7 @@ def fingerprint_links(prints: DataFrame, distance: int) -> DataFrame:
     """
     if not prints.take(1):
         return prints.select(F.col("fp").alias("a"), F.col("fp").alias("b"))
-    probing = probing_of(prints, distance)
+    probing = with_probes(prints, probing_of(prints, distance))
     n = sum(int(c.sum()) for c in probing.counts[:1])
     per_print = even_work(n, len(probing.parts), distance) / ROW_COST
     groups = max(4 * shuffle_partitions(prints.sparkSession), int(n * per_print / GROUP_ROWS) + 1)
