@@ -617,3 +617,18 @@ def test_context_words_are_whole_words():
             assert pattern.search("my ip is") and not pattern.search("a trip to")
         if kind.name == "phone":
             assert pattern.search("tel 12") and not pattern.search("hotel 12")
+
+
+def test_blocks_of_items_find_what_one_block_finds(spark, monkeypatch):
+    items = [f"item {i} has words{i} of its{i} own and some{i} more that{i} are rare" for i in range(12)] + ["", None]
+    docs = [(i, "before " + t + " after it") for i, t in enumerate(items) if t] + [(99, "nothing of them here")]
+    benchmark = spark.createDataFrame([(i, t) for i, t in enumerate(items)], "item_id long, text string")
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    whole = sorted(map(tuple, decontaminate.contaminated(table, benchmark).collect()))
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 100)
+    passes = []
+    count = decontaminate.word_shares
+    monkeypatch.setattr(decontaminate, "word_shares", lambda *a: passes.append(1) or count(*a))
+    assert sorted(map(tuple, decontaminate.contaminated(table, benchmark).collect())) == whole
+    assert len(passes) == 1 and {r[0] for r in whole} == set(range(12))
+    assert decontaminate.without_copies(table, benchmark).count() == 1

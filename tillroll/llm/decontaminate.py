@@ -9,7 +9,8 @@ shares, so an item copied into many documents keeps its seeds. An item of
 common words alone has its rarest run for a seed. Where a document holds a seed, the item is aligned with the words
 around it by Smith-Waterman, which tolerates replaced, added and lost words.
 
-Items are taken in blocks of a bounded size, each met by all documents.
+Words are counted once for all items. Items are then taken in blocks of a
+bounded size, each met by all documents.
 """
 
 from __future__ import annotations
@@ -206,10 +207,18 @@ def word_shares(docs: DataFrame, vocabulary: dict[str, int]) -> tuple[np.ndarray
 
 
 def known_items(docs: DataFrame, benchmark: DataFrame) -> Iterator[Items]:
+    """Blocks of items with their seeds; the documents' words are counted once for all of them."""
+    every: set[str] = set()
+    for _, words in item_blocks(benchmark):
+        every.update(*words)
+    if not every:
+        return
+    numbers = {w: i for i, w in enumerate(sorted(every), 1)}
+    del every
+    shares, total = word_shares(docs, numbers)
     for ids, words in item_blocks(benchmark):
-        vocabulary = {w: i for i, w in enumerate(sorted(set().union(*words)), 1)}
+        vocabulary = {w: numbers[w] for w in set().union(*words)}
         rows = [np.array([vocabulary[w] for w in row], "u4") for row in words]
-        shares, total = word_shares(docs, vocabulary)
         yield Items(ids, rows, vocabulary, seeds_of(rows, shares, total))
 
 
