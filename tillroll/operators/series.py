@@ -13,7 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tillroll.functions.arrays import array_mean, array_sum, let, steps
+from tillroll.functions.arrays import array_mean, array_quantile, array_sum, let, steps
+from tillroll.session import pinned
 
 SEASON = 12
 
@@ -294,6 +295,104 @@ def decompose(series: DataFrame) -> DataFrame:
     )
 
 
+# Months that a value of the robust trend is fitted over, refits of season and trend, and rounds of new weights.
+TREND_MONTHS, REFITS, ROBUST_ROUNDS = 19, 2, 3
+
+
+def _local_line(values: Column, weights: Column, months: int) -> Column:
+    """Local straight lines through the ``months`` nearest values, tricube in distance and weighted."""
+    n = F.size(values)
+    q = F.least(F.lit(months), n)
+
+    def at(i: Column) -> Column:
+        edge = F.least(i, n - 1 - i)
+        reach = F.when(q <= 2 * edge + 1, F.floor(q / F.lit(2)).cast("int")).otherwise(q - 1 - edge)
+
+        def moments(h: Column) -> Column:
+            near = F.sequence(F.greatest(i - h, F.lit(0)), F.least(i + h, n - 1))
+            none = F.struct(*[F.lit(0.0).alias(c) for c in ("s0", "s1", "s2", "t0", "t1")])
+
+            def add(acc: Column, j: Column) -> Column:
+                d = (j - i).cast("double")
+                near = F.pow(1 - F.pow(F.abs(d) / (h + 1), F.lit(3)), F.lit(3))
+                return let(
+                    F.struct((near * F.get(weights, j)).alias("w"), d.alias("d"), F.get(values, j).alias("v")),
+                    lambda p: F.struct(
+                        (acc["s0"] + p["w"]).alias("s0"), (acc["s1"] + p["w"] * p["d"]).alias("s1"),
+                        (acc["s2"] + p["w"] * p["d"] * p["d"]).alias("s2"), (acc["t0"] + p["w"] * p["v"]).alias("t0"),
+                        (acc["t1"] + p["w"] * p["d"] * p["v"]).alias("t1"),
+                    ),
+                )
+
+            return F.aggregate(near, none, add)
+
+        def value(m: Column) -> Column:
+            line = F.try_divide(m["s2"] * m["t0"] - m["s1"] * m["t1"], m["s0"] * m["s2"] - m["s1"] * m["s1"])
+            return F.coalesce(line, F.try_divide(m["t0"], m["s0"]))
+
+        return let(reach, lambda h: let(moments(h), value))
+
+    return F.transform(F.sequence(F.lit(0), n - 1), at)
+
+
+def _weighted_season(values: Column, weights: Column) -> Column:
+    """Weighted mean of each calendar month, centred on 0; a month without weight has its median."""
+    pairs = F.arrays_zip(values.alias("v"), weights.alias("w"))
+
+    def month(m: Column) -> Column:
+        own = F.filter(pairs, lambda p, i: i % SEASON == m)
+        weighted = F.try_divide(array_sum(F.transform(own, lambda p: p["v"] * p["w"])), array_sum(F.transform(own, lambda p: p["w"])))
+        return F.coalesce(weighted, array_quantile(F.transform(own, lambda p: p["v"]), 0.5))
+
+    raw = F.transform(F.sequence(F.lit(0), F.least(F.lit(SEASON), F.size(values)) - 1), month)
+    return let(raw, lambda r: let(array_mean(r), lambda c: F.transform(r, lambda v: v - c)))
+
+
+def _bisquare(w: DataFrame) -> DataFrame:
+    """Adds weights ``_rho``: 1 for no remainder ``_left``, 0 from six times the median on."""
+    w = w.withColumn("_reach", 6 * array_quantile(F.col("_left"), 0.5))
+
+    def weight(r: Column) -> Column:
+        share = F.coalesce(F.try_divide(r, F.col("_reach")), F.when(r > 0, 1.0).otherwise(0.0))
+        return F.pow(1 - F.pow(F.least(share, F.lit(1.0)), F.lit(2)), F.lit(2))
+
+    return w.withColumn("_rho", F.transform("_left", weight))
+
+
+def robust_decompose(series: DataFrame, months: int = TREND_MONTHS, refits: int = REFITS, rounds: int = ROBUST_ROUNDS) -> DataFrame:
+    """Trend by local lines, one season for all years, remainder, and the weight each month had.
+
+    Running medians begin. Season and trend are then fitted in turn to what the other leaves; after each
+    round, months with a large remainder get less weight (bisquare, none
+    beyond six times the median), so that single outliers stay in the remainder.
+    """
+    w = pinned(arrays(series))
+    around = lambda i: F.slice("ys", F.greatest(i - SEASON // 2, F.lit(0)) + 1, F.least(i, F.lit(SEASON // 2)) + SEASON // 2 + 1)
+    # Medians come first: means would hand an outlier's part to its neighbours and to its month of every year.
+    w = w.withColumn("_middle", F.transform("ys", lambda y, i: array_quantile(around(i), 0.5)))
+    left = F.zip_with("ys", "_middle", lambda y, t: y - t)
+    w = w.withColumn("_season", _weighted_season(left, F.transform("ys", lambda y: F.lit(0.0))))
+    w = w.withColumn("_adjusted", F.transform("ys", lambda y, i: y - F.get("_season", i % SEASON)))
+    w = _bisquare(w.withColumn("_left", F.transform("_adjusted", lambda v, i: F.abs(v - F.get("_middle", i)))))
+    w = w.withColumn("_trend", _local_line(F.col("_adjusted"), F.col("_rho"), months))
+    for k in range(rounds + 1):
+        for _ in range(refits):
+            left = F.zip_with("ys", "_trend", lambda y, t: y - t)
+            w = w.withColumn("_season", _weighted_season(left, F.col("_rho")))
+            adjusted = F.transform("ys", lambda y, i: y - F.get("_season", i % SEASON))
+            w = w.withColumn("_adjusted", adjusted)
+            w = w.withColumn("_trend", _local_line(F.col("_adjusted"), F.col("_rho"), months))
+        if k < rounds:
+            w = _bisquare(w.withColumn("_left", F.transform("_adjusted", lambda v, i: F.abs(v - F.get("_trend", i)))))
+        # A round's result is a few numbers a month; without this, all rounds would be one expression.
+        w = pinned(w.select("series_key", "months", "ys", "_rho", "_trend", "_season"))
+    rows = F.arrays_zip(F.col("months").alias("month"), F.col("ys").alias("y"), F.col("_trend").alias("trend"), F.col("_rho").alias("weight"))
+    return w.select("series_key", "_season", F.posexplode(rows).alias("_i", "_r")).select(
+        "series_key", "_r.month", "_r.y", "_r.trend", F.get("_season", F.col("_i") % SEASON).alias("seasonal"),
+        (F.col("_r.y") - F.col("_r.trend") - F.get("_season", F.col("_i") % SEASON)).alias("remainder"), "_r.weight",
+    )
+
+
 def _acf_array(lags_: int) -> Column:
     ys = F.col("ys")
     centred = let(array_mean(ys), lambda m: F.transform(ys, lambda y: y - m))

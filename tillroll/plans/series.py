@@ -807,6 +807,78 @@ def ts_decompose(spark, sf_dir):
     return show(ts.decompose(panel(spark, sf_dir)), 2)
 
 
+def _robust_sql(months, refits, rounds):
+    """Each step of the robust decomposition as one stored table."""
+    steps = [f"""
+    base AS MATERIALIZED (SELECT series_key, month, i - 1 AS i, y, count(*) OVER (PARTITION BY series_key) AS n FROM series),
+    reach AS (
+        SELECT series_key, i, n, CASE WHEN least({months}, n) <= 2 * least(i, n - 1 - i) + 1 THEN least({months}, n) // 2
+            ELSE least({months}, n) - 1 - least(i, n - 1 - i) END AS h FROM base),
+    near AS MATERIALIZED (
+        SELECT a.series_key, a.i, b.i AS j, b.i - a.i AS d, pow(1 - pow(abs(b.i - a.i) / (h + 1e0), 3), 3) AS w
+        FROM reach a JOIN base b ON b.series_key = a.series_key AND abs(b.i - a.i) <= h),
+    middle AS MATERIALIZED (
+        SELECT *, median(y) OVER (PARTITION BY series_key ORDER BY i ROWS BETWEEN 6 PRECEDING AND 6 FOLLOWING) AS t FROM base),
+    season0 AS MATERIALIZED (
+        SELECT series_key, m, raw - avg(raw) OVER (PARTITION BY series_key) AS s FROM (
+            SELECT series_key, i % 12 AS m, median(y - t) AS raw FROM middle GROUP BY 1, 2)),
+    left0 AS MATERIALIZED (
+        SELECT b.series_key, b.i, y - s AS v, t FROM middle b JOIN season0 z ON z.series_key = b.series_key AND z.m = b.i % 12),
+    rho0 AS MATERIALIZED (
+        SELECT series_key, i, pow(1 - pow(least(abs(v - t) / med, 1), 2), 2) AS rho FROM (
+            SELECT *, 6 * quantile_cont(abs(v - t), 0.5) OVER (PARTITION BY series_key) AS med FROM left0))"""]
+
+    def line(name, values, rho):
+        return f"""
+    {name} AS MATERIALIZED (
+        SELECT series_key, i, (s2 * t0 - s1 * t1) / (s0 * s2 - s1 * s1) AS trend FROM (
+            SELECT x.series_key, x.i, sum(w * rho) AS s0, sum(w * rho * d) AS s1, sum(w * rho * d * d) AS s2,
+                sum(w * rho * v) AS t0, sum(w * rho * d * v) AS t1
+            FROM near x JOIN {values} v ON v.series_key = x.series_key AND v.i = x.j
+            JOIN {rho} r ON r.series_key = x.series_key AND r.i = x.j GROUP BY 1, 2))"""
+
+    steps.append(line("trend0", "left0", "rho0"))
+    count, rho = 0, "rho0"
+    for k in range(rounds + 1):
+        for _ in range(refits):
+            before, count = f"trend{count}", count + 1
+            steps.append(f"""
+    season{count} AS MATERIALIZED (
+        SELECT series_key, m, raw - avg(raw) OVER (PARTITION BY series_key) AS s FROM (
+            SELECT b.series_key, b.i % 12 AS m, coalesce(sum(rho * (y - trend)) / nullif(sum(rho), 0), median(y - trend)) AS raw
+            FROM base b JOIN {before} t ON t.series_key = b.series_key AND t.i = b.i
+            JOIN {rho} r ON r.series_key = b.series_key AND r.i = b.i GROUP BY 1, 2)),
+    left{count} AS MATERIALIZED (
+        SELECT b.series_key, b.i, y - s AS v FROM base b JOIN season{count} z ON z.series_key = b.series_key AND z.m = b.i % 12)""")
+            steps.append(line(f"trend{count}", f"left{count}", rho))
+        if k < rounds:
+            steps.append(f"""
+    rho{k + 1} AS MATERIALIZED (
+        SELECT series_key, i, pow(1 - pow(least(r / med, 1), 2), 2) AS rho FROM (
+            SELECT *, 6 * quantile_cont(r, 0.5) OVER (PARTITION BY series_key) AS med FROM (
+                SELECT v.series_key, v.i, abs(v - trend) AS r FROM left{count} v
+                JOIN trend{count} t ON t.series_key = v.series_key AND t.i = v.i)))""")
+            rho = f"rho{k + 1}"
+    return ",".join(steps) + f""",
+    done AS (
+        SELECT b.series_key, month, y, trend, s AS seasonal, y - trend - s AS remainder, rho AS weight
+        FROM base b JOIN trend{count} t ON t.series_key = b.series_key AND t.i = b.i
+        JOIN season{count} z ON z.series_key = b.series_key AND z.m = b.i % 12
+        JOIN {rho} r ON r.series_key = b.series_key AND r.i = b.i)"""
+
+
+@query(
+    "ts_robust_decompose",
+    f"""{SERIES_SQL}, {_robust_sql(ts.TREND_MONTHS, ts.REFITS, ts.ROBUST_ROUNDS)}
+    SELECT series_key, month, {q('y', 1)} AS y, {q('trend', 1)} AS trend, {q('seasonal', 1)} AS seasonal,
+        {q('remainder', 1)} AS remainder, {q('weight', 6)} AS weight FROM done""",
+)
+def ts_robust_decompose(spark, sf_dir):
+    found = ts.robust_decompose(panel(spark, sf_dir))
+    names = ("y", "trend", "seasonal", "remainder")
+    return found.select("series_key", "month", *[rounded(c, 1).alias(c) for c in names], rounded("weight", 6).alias("weight"))
+
+
 ACF_SQL = f"""{SERIES_SQL},
     c AS (SELECT series_key, i, y - avg(y) OVER (PARTITION BY series_key) AS z FROM series),
     r AS (
