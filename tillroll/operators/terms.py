@@ -123,7 +123,8 @@ def term_index(
     not ``stored`` is made anew by each query that uses it.
     """
     keep = pinned if stored else lambda df: df
-    terms = keep(_terms(spark, palette).repartition("ord"))
+    # A few terms make many neighbours, so they are dealt to all cores however small they are.
+    terms = keep(_terms(spark, palette).repartition(spark.sparkContext.defaultParallelism, "ord"))
     size, own = F.length("part"), F.substring_index("key", ":", 1).cast("int")
     least, most = PART_LENGTHS
     of_short = _neighbours(_stretches(terms, "term", F.lit(1), F.lit(SHORT + 1)), "part", of_text=False)
