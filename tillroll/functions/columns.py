@@ -36,11 +36,6 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return F.try_divide(numerator.cast("double"), denominator.cast("double"))
 
 
-def share_true(condition: Column) -> Column:
-    """Share of rows with a true condition; NULL conditions do not count."""
-    return F.avg(condition.cast("int"))
-
-
 def distinct_with_missing(c: Column | str) -> Column:
     """Distinct count in which a missing value is one more value."""
     return F.count_distinct(col(c)) + F.coalesce(F.max(col(c).isNull().cast("int")), F.lit(0))

@@ -40,40 +40,6 @@ def column_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def verify_write(
-    df: DataFrame, path: str, key: str, name: str, before: DataFrame | None = None
-) -> DataFrame:
-    """One report row comparing ``df`` with the copy written to ``path``.
-
-    ``before`` is the table ahead of cleaning; its distinct keys are reported
-    next to those that are left.
-    """
-    copy = df.sparkSession.read.parquet(path)
-    source = df if before is None else before
-
-    def shape(table: DataFrame, suffix: str) -> list:
-        return [
-            F.count(F.lit(1)).alias(f"rows_{suffix}"), F.count_distinct(key).alias(f"keys_{suffix}")
-        ]
-
-    report = source.agg(*shape(source, "before")).withColumn("table", F.lit(name))
-    for suffix, table in (("expected", df), ("written", copy)):
-        one = table.agg(*shape(table, suffix))
-        report = report.withColumn("_s", one.select(F.struct(*one.columns)).scalar())
-        report = report.select("*", "_s.*").drop("_s")
-    return (
-        report
-        .withColumn("columns_expected", F.lit(len(df.columns)).cast("bigint"))
-        .withColumn("columns_written", F.lit(len(copy.columns)).cast("bigint"))
-        .withColumn(
-            "ok",
-            (F.col("rows_expected") == F.col("rows_written"))
-            & (F.col("keys_expected") == F.col("keys_written"))
-            & (F.col("columns_expected") == F.col("columns_written")),
-        )
-    )
-
-
 def write_verified(df: DataFrame, keep: Column, path: str, key: str, name: str) -> DataFrame:
     """Writes the rows that ``keep`` holds for, and reports whether they arrived; ``df`` is read once.
 
