@@ -35,3 +35,10 @@ def test_fits_get_rows_that_spark_keeps_as_objects(cloud, monkeypatch):
     for df in given:
         assert not df.storageLevel.useMemory and not df.storageLevel.useDisk
     scaled.unpersist()
+
+
+def test_cost_and_width_share_their_fits(spark, monkeypatch):
+    starts, real = [], segment._kmeans
+    monkeypatch.setattr(segment, "_kmeans", lambda k, seed: starts.append(k) or real(k, seed))
+    assert load()[0]["cost_by_k_check"](spark, "/root/testdata/sf0.001").count() == 10
+    assert sorted(starts) == list(range(2, 11))

@@ -237,8 +237,9 @@ def cost_by_k_check(spark, sf_dir):
     """One cluster costs the whole sum of squares, more cost less, and widths lie between -1 and 1."""
     scaled = segment.scaled_features(customer_features(load_star(spark, sf_dir)), CUSTOMER)[0].persist()
     try:
-        cost = segment.wss_by_k(scaled)
-        width = segment.silhouette_by_k(scaled)
+        models = segment.models_by_k(scaled)
+        cost = segment.wss_by_k(scaled, models=models)
+        width = segment.silhouette_by_k(scaled, models=models)
     finally:
         scaled.unpersist()
     before = F.lag("wss").over(Window.partitionBy().orderBy("k"))
