@@ -194,7 +194,8 @@ def _best_move(z: Sequence[str], cluster: str, moments: dict[int, tuple[int, lis
         here = F.col(cluster) == c
         own = F.when(here, distance * (n / (n - 1)) if n > 1 else F.lit(0.0)).otherwise(own)
         others.append(F.when(~here, F.struct((distance * (n / (n + 1))).alias("cost"), F.lit(c).alias("to"))))
-    best = F.array_min(F.filter(F.array(*others), lambda o: o.isNotNull()))
+    # The least of those that are there; a single cluster has no other.
+    best = F.least(*others) if len(others) > 1 else others[0]
     gain = own - best["cost"]
     return F.when(gain > LEAST_GAIN * F.greatest(own, F.lit(1e-12)), gain), best["to"]
 
@@ -205,37 +206,67 @@ def movable(df: DataFrame, z: Sequence[str], cluster: str = "cluster") -> int:
     return df.filter(gain.isNotNull()).count()
 
 
+# Rounds of moves after which the chain of kept states is cut.
+KEPT_ROUNDS = 8
+
+
 def transferred(df: DataFrame, z: Sequence[str], cluster: str = "cluster") -> DataFrame:
     """Moves points between clusters until no single move makes the cost fall.
 
-    Points move in rounds over stored rows, all that gain at once. Moves of one
-    round can spoil each other; a round after which the cost isn't lower is
-    undone, and fewer points, chosen by a hash, move in the next, in the end
-    the one that gains most. So the cost falls with every round that counts.
+    Points move in rounds, all that gain at once. Moves of one round can spoil
+    each other; a round after which the cost isn't lower is undone, and fewer
+    points, chosen by a hash, move in the next, in the end the one that gains
+    most. So the cost falls with every round that counts.
+
+    The rows are stored before and after. Between, a round keeps the points and
+    their clusters only, in memory where there is room; every few rounds they
+    are stored, so that a lost executor costs those rounds.
     """
-    state = pinned(df.withColumn("_row", F.monotonically_increasing_id()))
-    moments, cost = cluster_moments(state, z, cluster)
-    share = 1.0
-    while len(moments) > 1:
-        gain, to = _best_move(z, cluster, moments)
-        marked = state.withColumn("_gain", gain)
-        told = marked.agg(F.count("_gain").alias("n"), F.max_by("_row", F.struct("_gain", -F.col("_row"))).alias("best")).first()
-        if not told["n"]:
-            break
-        if share * told["n"] < 1:
-            moves = F.col("_row") == told["best"]
-        else:
-            moves = F.pmod(F.xxhash64("_row"), F.lit(1 << 20)) < int(share * (1 << 20))
-        after = pinned(state.withColumn(cluster, F.when(gain.isNotNull() & moves, to).otherwise(F.col(cluster))))
-        new_moments, new_cost = cluster_moments(after, z, cluster)
-        if new_cost < cost:
-            state, moments, cost, share = after, new_moments, new_cost, min(1.0, 2 * share)
-        elif share * told["n"] < 1:
-            # Not even the best move helps beyond rounding.
-            break
-        else:
-            share /= 4
-    return state.drop("_row")
+    base = pinned(df.withColumn("_row", F.monotonically_increasing_id()))
+    state = base.select("_row", *z, F.col(cluster), F.col(cluster).alias("_was")).persist()
+    kept, rounds = [state], 0
+    try:
+        moments, cost = cluster_moments(state, z, cluster)
+        share = 1.0
+        while len(moments) > 1:
+            gain, to = _best_move(z, cluster, moments)
+            marked = state.select("_row", gain.alias("_gain"))
+            told = marked.agg(F.count("_gain").alias("n"), F.max_by("_row", F.struct("_gain", -F.col("_row"))).alias("best")).first()
+            if not told["n"]:
+                break
+            if share * told["n"] < 1:
+                moves = F.col("_row") == told["best"]
+            else:
+                moves = F.pmod(F.xxhash64("_row"), F.lit(1 << 20)) < int(share * (1 << 20))
+            after = state.withColumn(cluster, F.when(gain.isNotNull() & moves, to).otherwise(F.col(cluster))).persist()
+            kept.append(after)
+            new_moments, new_cost = cluster_moments(after, z, cluster)
+            if new_cost < cost:
+                state, moments, cost, share = after, new_moments, new_cost, min(1.0, 2 * share)
+                rounds += 1
+                if rounds % KEPT_ROUNDS == 0:
+                    state = pinned(after)
+                    kept.append(state.persist())
+                    _forget(kept[:-1])
+                    del kept[:-1]
+            elif share * told["n"] < 1:
+                # Not even the best move helps beyond rounding.
+                break
+            else:
+                share /= 4
+                _forget([kept.pop()])
+        if not rounds:
+            return base.drop("_row")
+        moved = state.filter(~F.col(cluster).eqNullSafe(F.col("_was"))).select("_row", F.col(cluster).alias("_now"))
+        placed = base.join(moved, "_row", "left").withColumn(cluster, F.coalesce("_now", F.col(cluster)))
+        return pinned(placed.select(*df.columns))
+    finally:
+        _forget(kept)
+
+
+def _forget(tables: Sequence[DataFrame]) -> None:
+    for t in tables:
+        t.unpersist()
 
 
 def models_by_k(scaled: DataFrame, k_max: int = 10, seed: int = 42, parallelism: int = 8) -> dict[int, KMeansModel]:
